@@ -51,7 +51,12 @@ def _expand(
     mid_fields: list[Column] = []
     real_fields: list[Column] = []
     types = dict(df.dtypes)
+    # Keys and internal columns are equal on both rows: they stay outside the
+    # generator, so the hash partitioning on them survives it (no new exchange).
+    same = [c for c in keep if c.startswith("_") or c in copy]
     for c in keep:
+        if c in same:
+            continue
         real_fields.append(F.col(_q(c)).alias(c))
         if c == "tstamp":
             m = F.col(f"{prefix}tstamp") + F.expr(f"(tstamp - {prefix}tstamp) div 2")
@@ -59,15 +64,14 @@ def _expand(
             m = (F.col(c) + F.col(f"{prefix}{c}")) / 2
         elif c == "volume":
             m = F.lit(0).cast("long")
-        elif c.startswith("_") or c in copy:
-            m = F.col(_q(c))
         else:
             m = F.lit(None).cast(types[c])
         mid_fields.append(m.alias(c))
     rows = F.when(diff > max_gap, F.array(F.struct(*mid_fields), F.struct(*real_fields))).otherwise(
         F.array(F.struct(*real_fields))
     )
-    return df.select(F.inline(rows))
+    out = df.select(*[F.col(_q(c)) for c in same], F.inline(rows))
+    return out.select(*[F.col(_q(c)) for c in keep])
 
 
 def interpolate(
@@ -182,11 +186,13 @@ def indicators(
     if fill_gaps:
         s2 = _expand(s2, [*user_cols, seg.BLK, seg.HALO, seg.POS], max_gap, copy=keys)
     out = s2
-    for s in ema_spans:
-        out = _ema_column(out, keys, s, column, f"ema_{s}d")
+    # SMA first: its window shares the (keys, _blk, tstamp) sort with the EMA's
+    # running count, so the two land in one Window operator.
     wp = Window.partitionBy(*keys, seg.BLK).orderBy("tstamp")
     for s in sma_spans:
         out = out.withColumn(f"sma_{s}d", F.avg(column).over(wp.rowsBetween(-(s - 1), _CUR)))
+    for s in ema_spans:
+        out = _ema_column(out, keys, s, column, f"ema_{s}d")
     if keep_internal:
         return out
     new_cols = [f"ema_{s}d" for s in ema_spans] + [f"sma_{s}d" for s in sma_spans]
@@ -219,9 +225,16 @@ def running_close(
 ) -> DataFrame:
     """Summary of the running list of non-null closes: its length, first and last element."""
     keys = list(keys)
+    width = seg.choose_width(df, keys, "tstamp", width=width)
     if width is None:
-        width = seg.segment_width(df, keys, "tstamp")
-    d = df.withColumn(seg.SEG, F.expr(f"tstamp div {int(width)}"))
+        w = Window.partitionBy(*keys).orderBy("tstamp").rowsBetween(_UNB, _CUR)
+        return df.select(
+            *[F.col(_q(c)) for c in df.columns],
+            F.count(column).over(w).alias("n_closes"),
+            F.first(column, ignorenulls=True).over(w).alias("first_close"),
+            F.last(column, ignorenulls=True).over(w).alias("last_close"),
+        )
+    d = df.withColumn(seg.SEG, F.expr(f"tstamp div {int(width)}")).repartition(*keys, seg.SEG)
     summary = d.groupBy(*keys, seg.SEG).agg(
         F.count(column).alias("_nn"),
         F.expr(f"min_by({_q(column)}, tstamp) FILTER (WHERE {_q(column)} IS NOT NULL)").alias("_f"),

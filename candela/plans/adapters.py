@@ -44,25 +44,31 @@ def bars_from_orders(orders: DataFrame) -> DataFrame:
 
 def bars_from_lineitem(lineitem: DataFrame) -> DataFrame:
     # (l_orderkey, l_linenumber) is not unique, so open/close take the price
-    # of the smallest/largest (orderkey, linenumber, price) triple.
-    trip = F.struct("l_orderkey", "l_linenumber", "l_extendedprice")
-    return (
+    # of the smallest/largest (orderkey, linenumber, price) triple: first the
+    # price range per (orderkey, linenumber), then min_by/max_by on that pair,
+    # which is unique there.  Both steps are hash aggregations.
+    pair = F.col("l_orderkey") * 1024 + F.col("l_linenumber")
+    per_line = (
         lineitem.select(
             F.col("l_suppkey").cast("string").alias("symbol"),
             epoch_seconds("l_shipdate").alias("tstamp"),
-            "l_orderkey",
-            "l_linenumber",
+            pair.alias("line"),
             "l_extendedprice",
         )
-        .groupBy("symbol", "tstamp")
+        .groupBy("symbol", "tstamp", "line")
         .agg(
-            F.max("l_extendedprice").alias("high"),
-            F.min("l_extendedprice").alias("low"),
-            F.min(trip)["l_extendedprice"].alias("open"),
-            F.max(trip)["l_extendedprice"].alias("close"),
-            F.count(F.lit(1)).alias("volume"),
+            F.min("l_extendedprice").alias("lo"),
+            F.max("l_extendedprice").alias("hi"),
+            F.count(F.lit(1)).alias("n"),
         )
     )
+    return per_line.groupBy("symbol", "tstamp").agg(
+        F.max("hi").alias("high"),
+        F.min("lo").alias("low"),
+        F.min_by("lo", "line").alias("open"),
+        F.max_by("hi", "line").alias("close"),
+        F.sum("n").alias("volume"),
+    )
 
 
 def orders_bars(spark: SparkSession, sf_dir: str) -> DataFrame:

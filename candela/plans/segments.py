@@ -55,13 +55,11 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def segment_width(
-    df: DataFrame, keys: Sequence[str], order: str, target_rows: int = TARGET_SEGMENT_ROWS
-) -> int:
-    """Width (in units of ``order``) giving the densest series ~target_rows rows a segment.
+def series_stats(df: DataFrame, keys: Sequence[str], order: str) -> tuple[float | None, int]:
+    """(rows per unit of ``order`` of the densest series, rows of the longest series).
 
-    Runs one aggregation over (keys, order) only; partial aggregation keeps a hot
-    key from landing in one task.  Returns one number to the driver.
+    One aggregation over (keys, order) only; partial aggregation keeps a hot key
+    from landing in one task.  Two numbers reach the driver.
     """
     per_key = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
@@ -69,14 +67,50 @@ def segment_width(
         F.max(order).alias("hi"),
     )
     row = per_key.agg(
-        F.max(F.col("n") / (F.col("hi").cast("double") - F.col("lo") + 1)).alias("density")
+        F.max(F.col("n") / (F.col("hi").cast("double") - F.col("lo") + 1)).alias("density"),
+        F.max("n").alias("longest"),
     ).first()
-    density = row["density"] if row is not None else None
+    if row is None:
+        return None, 0
+    return row["density"], int(row["longest"] or 0)
+
+
+def width_for(density: float | None, target_rows: int = TARGET_SEGMENT_ROWS) -> int:
     if not density:
         return _MAX_WIDTH
     return int(max(1, min(_MAX_WIDTH, math.floor(target_rows / density))))
 
 
+def segment_width(
+    df: DataFrame, keys: Sequence[str], order: str, target_rows: int = TARGET_SEGMENT_ROWS
+) -> int:
+    """Width (in units of ``order``) giving the densest series ~target_rows rows a segment."""
+    return width_for(series_stats(df, keys, order)[0], target_rows)
+
+
+def choose_width(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    *,
+    width: int | None,
+    target_rows: int = TARGET_SEGMENT_ROWS,
+    whole_rows: int = BLOCK_ROWS,
+) -> int | None:
+    """Segment width, or None when every series is short enough to stay whole.
+
+    ``None`` means the check proved that no series holds more than
+    ``whole_rows`` rows, so one window group per series is bounded and the
+    single-shuffle plan is safe.  An explicit ``width`` always segments.
+    """
+    if width is not None:
+        return width
+    density, longest = series_stats(df, keys, order)
+    if longest <= whole_rows:
+        return None
+    return width_for(density, target_rows)
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``cols`` treating NULL keys as equal; keeps the left key columns."""
     renamed = right.select(
@@ -110,8 +144,14 @@ def sequence(
     """
     keys = list(keys)
     if width is None:
-        width = segment_width(df, keys, order, target_rows)
-    d = df.withColumn(SEG, F.expr(f"{_q(order)} div {int(width)}"))
+        width = choose_width(df, keys, order, width=None, target_rows=target_rows,
+                             whole_rows=block_rows or BLOCK_ROWS)
+    if width is None:
+        return _sequence_whole(df, keys, order, carry=carry, count_col=count_col,
+                               block_rows=block_rows, prev_prefix=prev_prefix)
+    # One exchange by (keys, seg) feeds both the summary and the rows (the plan
+    # reuses it), so the input is computed and shuffled once.
+    d = df.withColumn(SEG, F.expr(f"{_q(order)} div {int(width)}")).repartition(*keys, SEG)
 
     aggs: list[Column] = [F.count(F.lit(1)).alias("_n")]
     if count_col:
@@ -153,6 +193,32 @@ def sequence(
     return out
 
 
+def _sequence_whole(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    *,
+    carry: Sequence[str],
+    count_col: str | None,
+    block_rows: int | None,
+    prev_prefix: str,
+) -> DataFrame:
+    """Stage 1 when every series is proven short: one window per series, one shuffle."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    whole = F.lit(0).cast("long").alias(SEG, metadata={"candela_whole": True})
+    out = df.withColumn(SEG, whole).withColumn(POS, F.row_number().over(w) - 1)
+    for c in carry:
+        out = out.withColumn(f"{prev_prefix}{c}", F.lag(F.col(_q(c))).over(w))
+    if count_col:
+        running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = out.withColumn(NPOS, F.count(count_col).over(running))
+    if block_rows:
+        out = out.withColumn(BLK, F.lit(0).cast("long"))
+        if count_col:
+            out = out.withColumn(NEND, F.col(NPOS))
+    return out
+
+
 def spread(
     df: DataFrame,
     *,
@@ -168,6 +234,8 @@ def spread(
     block it serves) with ``_halo`` true on copies.  The caller partitions its
     windows by (keys, _blk); halo copies must be filtered out at the end.
     """
+    if SEG in df.columns and _is_whole(df):
+        return df.drop(NEND).withColumn(HALO, F.lit(False))
     halo_rows = min(max(halo_rows, 0), block_rows)
     src = F.lit(False)
     if halo_rows > 0:
@@ -195,3 +263,8 @@ def ema_halo(span: int) -> int:
     if b <= 0.0:
         return 1
     return int(math.ceil(30.0 * math.log(10.0) / -math.log(b))) + 1
+
+
+def _is_whole(df: DataFrame) -> bool:
+    """True when ``df`` came from the single-window form of ``sequence`` (constant segment)."""
+    return bool(df.schema[SEG].metadata.get("candela_whole")) if SEG in df.columns else False
