@@ -6,8 +6,9 @@ booleans are kept (value as text), NULL leaves and empty containers give no
 row.  ``legacy_paths=True`` writes array elements the way the source did,
 repeating the key after the index (``k[i].k``).
 
-Runs on VARIANT values: one aggregate finds the deepest nesting (one schema
-string to the driver), then that many explode levels are stacked lazily.
+Runs on VARIANT values: one aggregate finds the nesting depth (one schema
+string to the driver), then that many explode levels are stacked lazily; an
+emptiness check adds levels only where mixed-type arrays hide deeper nesting.
 """
 
 from __future__ import annotations
@@ -54,7 +55,13 @@ def flatten_json(
     # frontier rows: (ids, _path, _key, _v) where _v is the value at _path
     frontier = root.select(*ids, F.lit("").alias("_path"), F.lit("").alias("_key"), "_v")
     leaves: list[DataFrame] = []
-    for _ in range(depth):
+    level = 0
+    while True:
+        # the merged schema gives the depth, except under mixed-type arrays
+        # (typed VARIANT there): past it, go on while containers remain
+        if level >= depth and frontier.isEmpty():
+            break
+        level += 1
         obj = F.try_variant_get("_v", "$", "map<string,variant>")
         arr = F.try_variant_get("_v", "$", "array<variant>")
         kids_obj = frontier.select(*id_cols, "_path", F.explode(obj).alias("_k", "_c")).select(
