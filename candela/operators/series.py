@@ -259,12 +259,12 @@ def running_close(
 
 
 # ---------------------------------------------------------------------------
-# Reference-shaped forms, for tests on small inputs only: they keep a whole
+# Direct forms (per-row list fold, one window per series), for tests on small inputs only: they keep a whole
 # series in one window group and build a list per row (quadratic).
 # ---------------------------------------------------------------------------
 
 
-def ema_fold_reference(df: DataFrame, keys: Sequence[str], span: int, column: str = "close") -> DataFrame:
+def ema_list_fold(df: DataFrame, keys: Sequence[str], span: int, column: str = "close") -> DataFrame:
     a = 2.0 / (span + 1)
     w = Window.partitionBy(*keys).orderBy("tstamp").rowsBetween(_UNB, _CUR)
     lst = F.collect_list(column).over(w)
@@ -272,6 +272,6 @@ def ema_fold_reference(df: DataFrame, keys: Sequence[str], span: int, column: st
     return df.withColumn(f"ema_{span}d", fold)
 
 
-def sma_reference(df: DataFrame, keys: Sequence[str], span: int, column: str = "close") -> DataFrame:
+def sma_plain_window(df: DataFrame, keys: Sequence[str], span: int, column: str = "close") -> DataFrame:
     w = Window.partitionBy(*keys).orderBy("tstamp").rowsBetween(-(span - 1), _CUR)
     return df.withColumn(f"sma_{span}d", F.avg(column).over(w))
