@@ -31,11 +31,15 @@ def _depth(schema: str | None) -> int:
 
 
 def _leaf_type(v: Column) -> Column:
+    """JSON leaf kind.  VARIANT keeps integer literals as integers and any number
+    written with a point as DECIMAL (trailing zeros stripped: ``2.0`` is
+    DECIMAL(1,0)), so DECIMAL means a double in the document, except integer
+    literals too long for BIGINT."""
     s = F.schema_of_variant(v)
+    big_int = s.rlike(r"^DECIMAL\((19|[2-9][0-9]|[0-9]{3,}),0\)$")
     return (
         F.when(s == "STRING", "string")
-        .when(s.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), "int")
-        .when(s.startswith("DECIMAL") & s.endswith(",0)"), "int")
+        .when(s.isin("TINYINT", "SMALLINT", "INT", "BIGINT") | big_int, "int")
         .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), "double")
         .when(s == "BOOLEAN", "boolean")
     )
@@ -90,9 +94,10 @@ def flatten_json(
     for part in leaves[1:]:
         out = out.unionByName(part)
     typed = out.select(*id_cols, "_path", F.col("_v"), _leaf_type(F.col("_v")).alias("type"))
+    # doubles print as JVM doubles (2.0, 1.0E7); other leaves as their text
+    value = F.when(
+        F.col("type") == "double", F.variant_get("_v", "$", "double").cast("string")
+    ).otherwise(F.variant_get("_v", "$", "string"))
     return typed.filter(F.col("type").isNotNull()).select(
-        *id_cols,
-        F.col("_path").alias("path"),
-        F.variant_get("_v", "$", "string").alias("value"),
-        "type",
+        *id_cols, F.col("_path").alias("path"), value.alias("value"), "type"
     )

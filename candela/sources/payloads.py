@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candela.functions.numeric import round_half_up
-from candela.schemas import CHART_DDL, V7_CSV_DDL, V7_ROUND, V8_ROUND
+from candela.schemas import CHART_DDL, V7_CSV_DDL, V7_ROUND, V8_ROUND, VALID_RANGES
 
 KNOWN_VERSIONS = ("v7", "v8")
 
@@ -137,10 +137,23 @@ def v8_payloads(bars: DataFrame, api_version: str = "v8") -> DataFrame:
         F.col("rows.close").alias("close"),
         F.col("rows.volume").alias("volume"),
     )
+    first_ts = F.element_at("rows", 1)["tstamp"]
+    last_ts = F.element_at("rows", -1)["tstamp"]
+    period = F.struct(
+        F.lit("UTC").alias("timezone"),
+        last_ts.alias("end"),
+        first_ts.alias("start"),
+        F.lit(0).alias("gmtoffset"),
+    )
     meta = F.struct(
         F.col("symbol").alias("symbol"),
         F.lit("USD").alias("currency"),
+        first_ts.alias("firstTradeDate"),
+        F.lit(False).alias("hasPrePostMarketData"),
+        F.element_at("rows", -1)["close"].alias("regularMarketPrice"),
+        F.struct(period.alias("regular")).alias("currentTradingPeriod"),
         F.lit("1d").alias("dataGranularity"),
+        F.array(*[F.lit(r) for r in VALID_RANGES]).alias("validRanges"),
     )
     result = F.struct(
         meta.alias("meta"),
