@@ -3,7 +3,7 @@
 Prints one JSON line: {"metric", "value" (sum of query seconds), "unit",
 "queries": {name: seconds}, "sf", ...}.  Each query runs to completion through
 a ``noop`` write (every row produced, nothing collected); the best of
-$BENCH_REPEAT runs counts, after one warm-up of the JVM.
+$BENCH_REPEAT (default 3) runs counts, after one warm-up of the JVM.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")), app="candela-bench")
     qs = catalog.queries()
     # warm-up: JVM code paths and parquet footers

@@ -234,7 +234,7 @@ def running_close(
             F.first(column, ignorenulls=True).over(w).alias("first_close"),
             F.last(column, ignorenulls=True).over(w).alias("last_close"),
         )
-    d = df.withColumn(seg.SEG, F.expr(f"tstamp div {int(width)}")).repartition(*keys, seg.SEG)
+    d = df.withColumn(seg.SEG, F.coalesce(F.expr(f"tstamp div {int(width)}"), F.lit(-(2**63)).cast("long")))
     summary = d.groupBy(*keys, seg.SEG).agg(
         F.count(column).alias("_nn"),
         F.expr(f"min_by({_q(column)}, tstamp) FILTER (WHERE {_q(column)} IS NOT NULL)").alias("_f"),

@@ -149,48 +149,64 @@ def sequence(
     if width is None:
         return _sequence_whole(df, keys, order, carry=carry, count_col=count_col,
                                block_rows=block_rows, prev_prefix=prev_prefix)
-    # One exchange by (keys, seg) feeds both the summary and the rows (the plan
-    # reuses it), so the input is computed and shuffled once.
-    d = df.withColumn(SEG, F.expr(f"{_q(order)} div {int(width)}")).repartition(*keys, SEG)
+    # Summarise, join and window on materialised null-safe key columns: a NULL
+    # key stays its own series, and the join keys are plain attributes, so the
+    # rows' (keys, seg) hash partitioning from the join feeds the window (one
+    # shuffle of the rows).  The summary is a partial (map-side) aggregate: only
+    # per-segment partials move; its input is a second, column-pruned read.
+    pk: list[str] = []
+    for i, k in enumerate(keys):
+        d_null, d_val = f"_kn{i}", f"_kv{i}"
+        df = df.withColumn(d_null, F.col(_q(k)).isNull()).withColumn(
+            d_val, F.coalesce(F.col(_q(k)).cast("string"), F.lit(""))
+        )
+        pk += [d_null, d_val]
+    # never NULL: a NULL stamp gets the first segment (nulls sort first, as in
+    # the whole-series window), and no inferred IS NOT NULL filter drops rows
+    seg_id = F.coalesce(F.expr(f"{_q(order)} div {int(width)}"), F.lit(-(2**63)).cast("long"))
+    d = df.withColumn(SEG, seg_id)
 
     aggs: list[Column] = [F.count(F.lit(1)).alias("_n")]
     if count_col:
         aggs.append(F.count(count_col).alias("_nn"))
-    if carry:
-        aggs.append(F.max_by(F.struct(*[F.col(_q(c)) for c in carry]), F.col(_q(order))).alias("_last"))
-    summary = d.groupBy(*keys, SEG).agg(*aggs)
+    # last row of the segment, one max_by per column: fixed-width buffers keep
+    # the partial aggregate a hash aggregate (a struct would force a sort)
+    for i, c in enumerate(carry):
+        aggs.append(F.max_by(F.col(_q(c)), F.col(_q(order))).alias(f"_last{i}"))
+    summary = d.groupBy(*pk, SEG).agg(*aggs)
 
-    ws = Window.partitionBy(*keys).orderBy(SEG)
+    ws = Window.partitionBy(*pk).orderBy(SEG)
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
     cols: list[Column] = [
-        *[F.col(_q(k)) for k in keys],
+        *[F.col(c) for c in pk],
         F.col(SEG),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
     ]
     if count_col:
         cols.append(F.coalesce(F.sum("_nn").over(before), F.lit(0)).alias("_nn0"))
-    if carry:
-        cols.append(F.lag("_last").over(ws).alias("_plast"))
-    summary = summary.select(*cols)
+    for i, _ in enumerate(carry):
+        cols.append(F.lag(f"_last{i}").over(ws).alias(f"_plast{i}"))
+    # one row per segment: the build side of a hash join (AQE may broadcast it)
+    summary = summary.select(*cols).hint("shuffle_hash")
 
-    j = null_safe_join(d, summary, [*keys, SEG])
-    w = Window.partitionBy(*keys, SEG).orderBy(order)
+    j = d.join(summary, on=[*pk, SEG], how="inner")
+    w = Window.partitionBy(*pk, SEG).orderBy(order)
     rn = F.row_number().over(w)
     out = j.withColumn(POS, F.col("_n0") + rn - 1)
-    for c in carry:
+    for i, c in enumerate(carry):
         out = out.withColumn(
             f"{prev_prefix}{c}",
-            F.when(rn == 1, F.col("_plast")[c]).otherwise(F.lag(F.col(_q(c))).over(w)),
+            F.when(rn == 1, F.col(f"_plast{i}")).otherwise(F.lag(F.col(_q(c))).over(w)),
         )
     if count_col:
         running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         out = out.withColumn(NPOS, F.col("_nn0") + F.count(count_col).over(running))
-    out = out.drop("_n0", "_nn0", "_plast")
+    out = out.drop("_n0", "_nn0", *[f"_plast{i}" for i in range(len(carry))])
     if block_rows:
         out = out.withColumn(BLK, F.expr(f"{POS} div {int(block_rows)}"))
         if count_col:
-            out = out.withColumn(NEND, F.max(NPOS).over(Window.partitionBy(*keys, SEG, BLK)))
-    return out
+            out = out.withColumn(NEND, F.max(NPOS).over(Window.partitionBy(*pk, SEG, BLK)))
+    return out.drop(*pk)
 
 
 def _sequence_whole(

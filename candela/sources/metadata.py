@@ -54,7 +54,10 @@ def flatten_json(
 ) -> DataFrame:
     ids = [F.col(c) for c in id_cols]
     root = df.select(*ids, F.try_parse_json(json_col).alias("_v"))
-    depth = _depth(root.agg(F.schema_of_variant_agg("_v")).first()[0])
+    schema = root.agg(F.schema_of_variant_agg("_v")).first()[0] or ""
+    depth = _depth(schema)
+    # only a VARIANT inside the merged schema (mixed-type arrays) can hide depth
+    exact = "VARIANT" not in schema
 
     # frontier rows: (ids, _path, _key, _v) where _v is the value at _path
     frontier = root.select(*ids, F.lit("").alias("_path"), F.lit("").alias("_key"), "_v")
@@ -63,7 +66,7 @@ def flatten_json(
     while True:
         # the merged schema gives the depth, except under mixed-type arrays
         # (typed VARIANT there): past it, go on while containers remain
-        if level >= depth and frontier.isEmpty():
+        if level >= depth and (exact or frontier.isEmpty()):
             break
         level += 1
         obj = F.try_variant_get("_v", "$", "map<string,variant>")
