@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from candela.functions.codec import json_bytes_to_map, map_to_json_bytes
 from candela.functions.numeric import round_half_up
 from candela.operators import notify, quality, series
+from candela.plans import jobs
 from candela.plans.adapters import (
     LINEITEM_BARS_SQL,
     ORDERS_BARS_SQL,
@@ -347,6 +348,35 @@ def q_alert_crossover(spark: SparkSession, sf: str) -> DataFrame:
     return notify.crossover_alerts(orders_bars(spark, sf))
 
 
+ALERT_TO = "alerts@example.com"
+
+
+def q_alert_outbox(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts -> event maps -> wire bytes -> decoded -> outbox rows."""
+    alerts = notify.crossover_alerts(orders_bars(spark, sf))
+    wire = notify.encode_events(notify.alert_events(alerts, ALERT_TO), key_col="symbol")
+    mail = notify.outbox(notify.decode_events(wire))
+    return mail.select(F.col("key").alias("symbol"), "to", "subject", "content")
+
+
+def q_recipient_split(spark: SparkSession, sf: str) -> DataFrame:
+    valid, _ = notify.split_recipients(notify.address_tokens(table(spark, sf, "documents")))
+    return valid
+
+
+def q_batch_load(spark: SparkSession, sf: str) -> DataFrame:
+    landed = payloads.v8_payloads(orders_bars(spark, sf))
+    out = jobs.load_prices(
+        landed,
+        _scratch(spark, "prices"),
+        quarantine_path=_scratch(spark, "quarantine"),
+        events_path=_scratch(spark, "alert-events"),
+        alert_to=ALERT_TO,
+    )
+    return _r4(out.select("symbol", "tstamp", "high", "low", "open", "close", "volume", "ema_10d", "sma_10d"),
+               "ema_10d", "sma_10d")
+
+
 # ---------------------------------------------------------------------------
 # quality
 # ---------------------------------------------------------------------------
@@ -446,6 +476,9 @@ def queries() -> dict[str, QueryFn]:
         "notification_outbox": q_notification_outbox,
         "event_stream_outbox": q_event_stream_outbox,
         "alert_crossover": q_alert_crossover,
+        "alert_outbox": q_alert_outbox,
+        "recipient_split": q_recipient_split,
+        "batch_load": q_batch_load,
         "missing_timestamps": q_missing_timestamps,
         "check_chronology": q_check_chronology,
         "check_future": q_check_future,
@@ -581,6 +614,22 @@ g AS (SELECT *, sign("close" - sma_10d) AS sg, lag(sign("close" - sma_10d)) OVER
 SELECT symbol, tstamp, "close", sma_10d, CASE WHEN sg > psg THEN 'up' ELSE 'down' END AS direction
 FROM g WHERE sg <> psg"""
     )
+    s["alert_outbox"] = _bars_sql_with(
+        f"""
+, s AS (SELECT symbol, tstamp, "close", round({_sma_sql(10)}, 4) AS sma_10d FROM bars),
+g AS (SELECT *, sign("close" - sma_10d) AS sg, lag(sign("close" - sma_10d)) OVER (PARTITION BY symbol ORDER BY tstamp) AS psg FROM s)
+SELECT symbol, '{ALERT_TO}' AS "to",
+       symbol || ' crossed ' || CASE WHEN sg > psg THEN 'up' ELSE 'down' END AS subject,
+       'tstamp ' || CAST(tstamp AS VARCHAR) || ' close ' || CAST("close" AS VARCHAR) AS content
+FROM g WHERE sg <> psg"""
+    )
+    s["recipient_split"] = r"""
+WITH tok AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS email FROM documents)
+SELECT doc_id, email, split_part(email, '@', 1) AS user_name, substr(email, strpos(email, '@') + 1) AS domain
+FROM tok
+WHERE email LIKE '%@%' AND trim(email) <> ''
+  AND regexp_full_match(email, '^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$')"""
+    s["batch_load"] = _chain_sql(ORDERS_BARS_SQL)
     s["missing_timestamps"] = _bars_sql_with(
         """
 , span AS (SELECT symbol, min(tstamp) AS lo, max(tstamp) AS hi FROM bars GROUP BY symbol),
