@@ -22,6 +22,7 @@ from candela.session import local_session  # noqa: E402
 HEADLINE = [
     "load_symbol",
     "load_symbol_large",
+    "load_symbol_hot",
     "indicator_set_large",
     "interpolate_midpoint",
     "ema_10",

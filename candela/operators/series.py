@@ -155,6 +155,7 @@ def indicators(
     null_fill: float | None = None,
     width: int | None = None,
     block_rows: int | None = None,
+    segment_rows: int = seg.TARGET_SEGMENT_ROWS,
     extra_halo: int = 0,
     keep_internal: bool = False,
 ) -> DataFrame:
@@ -162,6 +163,11 @@ def indicators(
 
     Adds ``ema_{span}d`` (in ``ema_spans`` order) then ``sma_{span}d``.  Spans
     count rows; invented midpoint rows count too, as in the source chain.
+
+    Plan: when no series exceeds ``block_rows`` rows (checked first), one
+    window per series after one shuffle.  Otherwise rows move by (keys, time
+    segment of about ``segment_rows`` rows) and then by (keys, block of
+    ``block_rows`` positions) with halos; see ``candela.plans.segments``.
     """
     keys = tuple(keys)
     for s in [*ema_spans, *sma_spans]:
@@ -180,6 +186,7 @@ def indicators(
         carry=BAR_COLS if fill_gaps else (),
         count_col=column if ema_spans else None,
         width=width,
+        target_rows=segment_rows,
         block_rows=k,
     )
     s2 = seg.spread(s1, block_rows=k, halo_rows=halo, nn_halo=nn_halo, count_col=column)

@@ -96,3 +96,18 @@ SELECT CAST(l_suppkey AS VARCHAR) AS symbol, CAST(epoch(l_shipdate) AS BIGINT) A
        CAST(count(*) AS BIGINT) AS volume
 FROM lineitem GROUP BY 1, 2
 """
+
+
+def hot_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem bars plus one extra series ``HOT`` holding all of them again.
+
+    ``HOT`` carries half of all rows (stamps made unique per supplier), the
+    skew case the series operators must split.
+    """
+    b = lineitem_bars(spark, sf_dir)
+    hot = b.select(
+        F.lit("HOT").alias("symbol"),
+        (F.col("tstamp") * 10000 + F.col("symbol").cast("long")).alias("tstamp"),
+        "high", "low", "open", "close", "volume",
+    )
+    return b.unionByName(hot)

@@ -21,6 +21,7 @@ from candela.plans.adapters import (
     LINEITEM_BARS_SQL,
     ORDERS_BARS_SQL,
     epoch_seconds,
+    hot_bars,
     lineitem_bars,
     orders_bars,
     table,
@@ -145,6 +146,23 @@ def _q_ema(span: int) -> QueryFn:
     return run
 
 
+HOT_BLOCK_ROWS = 1 << 16
+
+
+def q_load_symbol_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """The chain over a table where one series holds half of all rows.
+
+    Segments and blocks of 2^16 rows make the hot series take the segmented
+    plan at this scale (the whole-series plan is allowed only up to one block).  No SQL
+    oracle: the list fold over one 10^5-row series is quadratic in DuckDB;
+    tests compare this plan with the whole-series plan instead.
+    """
+    out = series.load_symbol_chain(
+        hot_bars(spark, sf), max_gap=86400 * 10000, block_rows=HOT_BLOCK_ROWS, segment_rows=HOT_BLOCK_ROWS
+    )
+    return _r4(out, "ema_10d", "sma_10d")
+
+
 def q_indicator_set(spark: SparkSession, sf: str) -> DataFrame:
     out = series.indicators(lineitem_bars(spark, sf), ema_spans=[3, 50], sma_spans=[3, 50])
     return _r4(out, "ema_3d", "ema_50d", "sma_3d", "sma_50d")
@@ -447,6 +465,7 @@ def queries() -> dict[str, QueryFn]:
     q: dict[str, QueryFn] = {
         "load_symbol": q_load_symbol,
         "load_symbol_large": q_load_symbol_large,
+        "load_symbol_hot": q_load_symbol_hot,
         "interpolate_midpoint": q_interpolate,
         "gap_diff": q_gap_diff,
         "sma_3": _q_sma(3),

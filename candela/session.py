@@ -43,3 +43,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = conf or tempfile.mkdtemp(prefix="candela-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path
+
+
+# Settings suggested for a large cluster (about 100 TB of bars, 1000
+# executors).  Nothing here is applied automatically; pass them to
+# spark-submit or the session builder.
+CLUSTER_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    # start wide, let AQE merge: ~256 MB per post-shuffle partition
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # 256 MB input splits for the Parquet scans
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # summaries below this are broadcast by AQE at run time
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
