@@ -35,10 +35,15 @@ def split_recipients(df: DataFrame, col: str = "email") -> tuple[DataFrame, Data
     )
 
 
+# A whitespace-separated token holding an "@": the same tokens as splitting on
+# whitespace and keeping those with "@", without generating every word first.
+AT_TOKEN = r"\S*@\S*"
+
+
 def address_tokens(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Whitespace tokens of whole texts that contain ``@``: candidate recipients."""
-    tok = docs.select(id_col, F.explode(F.split(F.col(text_col), r"\s+")).alias("email"))
-    return tok.filter(F.col("email").contains("@"))
+    found = F.regexp_extract_all(F.col(text_col), F.lit(AT_TOKEN), 0)
+    return docs.select(id_col, F.explode(found).alias("email"))
 
 
 def outbox(events: DataFrame, map_col: str = "m") -> DataFrame:

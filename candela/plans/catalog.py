@@ -330,8 +330,8 @@ def q_recipient_validation(spark: SparkSession, sf: str) -> DataFrame:
 
 def _doc_events(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents")
-    toks = d.select("doc_id", "lang", "source", F.explode(F.split("text", r"\s+")).alias("email"))
-    toks = toks.filter(F.col("email").contains("@"))
+    found = F.regexp_extract_all(F.col("text"), F.lit(notify.AT_TOKEN), 0)
+    toks = d.select("doc_id", "lang", "source", F.explode(found).alias("email"))
     subject = F.when(F.col("lang") == "en", F.concat(F.lit("doc "), F.col("doc_id").cast("string")))
     m = F.create_map(
         F.lit("to"), F.col("email"), F.lit("subject"), subject, F.lit("content"), F.col("source"),

@@ -171,8 +171,10 @@ def sequence(
         aggs.append(F.count(count_col).alias("_nn"))
     # last row of the segment, one max_by per column: fixed-width buffers keep
     # the partial aggregate a hash aggregate (a struct would force a sort)
+    # NULL stamps order first, as in the whole-series window
+    last_key = F.coalesce(F.col(_q(order)), F.lit(-(2**63)).cast("long"))
     for i, c in enumerate(carry):
-        aggs.append(F.max_by(F.col(_q(c)), F.col(_q(order))).alias(f"_last{i}"))
+        aggs.append(F.max_by(F.col(_q(c)), last_key).alias(f"_last{i}"))
     summary = d.groupBy(*pk, SEG).agg(*aggs)
 
     ws = Window.partitionBy(*pk).orderBy(SEG)
