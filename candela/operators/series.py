@@ -241,22 +241,26 @@ def running_close(
             F.first(column, ignorenulls=True).over(w).alias("first_close"),
             F.last(column, ignorenulls=True).over(w).alias("last_close"),
         )
-    d = df.withColumn(seg.SEG, F.coalesce(F.expr(f"tstamp div {int(width)}"), F.lit(-(2**63)).cast("long")))
-    summary = d.groupBy(*keys, seg.SEG).agg(
+    d, pk = seg.null_safe_keys(df, keys)
+    d = d.withColumn(seg.SEG, seg.segment_id("tstamp", width))
+    nonnull = F.col(_q(column)).isNotNull()
+    # NULL stamps order first, as in the whole-series window
+    order = F.coalesce(F.col("tstamp"), F.lit(-(2**63)).cast("long"))
+    summary = d.groupBy(*pk, seg.SEG).agg(
         F.count(column).alias("_nn"),
-        F.expr(f"min_by({_q(column)}, tstamp) FILTER (WHERE {_q(column)} IS NOT NULL)").alias("_f"),
-        F.expr(f"max_by({_q(column)}, tstamp) FILTER (WHERE {_q(column)} IS NOT NULL)").alias("_l"),
+        F.min_by(F.col(_q(column)), F.when(nonnull, order)).alias("_f"),
+        F.max_by(F.col(_q(column)), F.when(nonnull, order)).alias("_l"),
     )
-    before = Window.partitionBy(*keys).orderBy(seg.SEG).rowsBetween(_UNB, -1)
+    before = Window.partitionBy(*pk).orderBy(seg.SEG).rowsBetween(_UNB, -1)
     summary = summary.select(
-        *keys,
+        *pk,
         seg.SEG,
         F.coalesce(F.sum("_nn").over(before), F.lit(0)).alias("_nn0"),
         F.first("_f", ignorenulls=True).over(before).alias("_f0"),
         F.last("_l", ignorenulls=True).over(before).alias("_l0"),
-    )
-    j = seg.null_safe_join(d, summary, [*keys, seg.SEG])
-    w = Window.partitionBy(*keys, seg.SEG).orderBy("tstamp").rowsBetween(_UNB, _CUR)
+    ).hint("shuffle_hash")
+    j = d.join(summary, on=[*pk, seg.SEG], how="inner")
+    w = Window.partitionBy(*pk, seg.SEG).orderBy("tstamp").rowsBetween(_UNB, _CUR)
     return j.select(
         *[F.col(_q(c)) for c in df.columns],
         (F.col("_nn0") + F.count(column).over(w)).alias("n_closes"),

@@ -111,14 +111,29 @@ def choose_width(
     return width_for(density, target_rows)
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``cols`` treating NULL keys as equal; keeps the left key columns."""
-    renamed = right.select(
-        *[F.col(_q(c)).alias(f"__r_{c}") if c in cols else F.col(_q(c)) for c in right.columns]
-    )
-    cond = [left[_q(c)].eqNullSafe(renamed[f"`__r_{c}`"]) for c in cols]
-    out = left.join(renamed, on=cond, how=how)
-    return out.drop(*[f"__r_{c}" for c in cols])
+def null_safe_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Add materialised null-safe key columns ``_kn<i>``/``_kv<i>``.
+
+    Grouping, joining and windowing on them treats a NULL key as its own
+    series, and the join keys stay plain attributes, so a hash partitioning on
+    them is reused by the window after the join (an ``<=>`` join would hash
+    rewritten expressions and shuffle again).
+    """
+    pk: list[str] = []
+    for i, k in enumerate(keys):
+        d_null, d_val = f"_kn{i}", f"_kv{i}"
+        df = df.withColumn(d_null, F.col(_q(k)).isNull()).withColumn(
+            d_val, F.coalesce(F.col(_q(k)).cast("string"), F.lit(""))
+        )
+        pk += [d_null, d_val]
+    return df, pk
+
+
+def segment_id(order: str, width: int) -> Column:
+    """``order div width``, never NULL: a NULL stamp gets the first segment (nulls
+    sort first, as in a whole-series window), and no inferred IS NOT NULL
+    filter can drop rows."""
+    return F.coalesce(F.expr(f"{_q(order)} div {int(width)}"), F.lit(-(2**63)).cast("long"))
 
 
 def sequence(
@@ -149,22 +164,13 @@ def sequence(
     if width is None:
         return _sequence_whole(df, keys, order, carry=carry, count_col=count_col,
                                block_rows=block_rows, prev_prefix=prev_prefix)
-    # Summarise, join and window on materialised null-safe key columns: a NULL
-    # key stays its own series, and the join keys are plain attributes, so the
-    # rows' (keys, seg) hash partitioning from the join feeds the window (one
-    # shuffle of the rows).  The summary is a partial (map-side) aggregate: only
-    # per-segment partials move; its input is a second, column-pruned read.
-    pk: list[str] = []
-    for i, k in enumerate(keys):
-        d_null, d_val = f"_kn{i}", f"_kv{i}"
-        df = df.withColumn(d_null, F.col(_q(k)).isNull()).withColumn(
-            d_val, F.coalesce(F.col(_q(k)).cast("string"), F.lit(""))
-        )
-        pk += [d_null, d_val]
-    # never NULL: a NULL stamp gets the first segment (nulls sort first, as in
-    # the whole-series window), and no inferred IS NOT NULL filter drops rows
-    seg_id = F.coalesce(F.expr(f"{_q(order)} div {int(width)}"), F.lit(-(2**63)).cast("long"))
-    d = df.withColumn(SEG, seg_id)
+    # Summarise, join and window on materialised null-safe key columns (see
+    # null_safe_keys): the rows' (keys, seg) hash partitioning from the join
+    # feeds the window (one shuffle of the rows).  The summary is a partial
+    # (map-side) aggregate: only per-segment partials move; its input is a
+    # second, column-pruned read.
+    df, pk = null_safe_keys(df, keys)
+    d = df.withColumn(SEG, segment_id(order, width))
 
     aggs: list[Column] = [F.count(F.lit(1)).alias("_n")]
     if count_col:
