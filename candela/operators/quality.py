@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candela.plans import segments as seg
@@ -106,22 +106,36 @@ def missing_stamps(bars: DataFrame, keys: Sequence[str] = ("symbol",), step: int
 
 
 def check_completeness(bars: DataFrame, keys: Sequence[str] = ("symbol",), step: int = 86400) -> DataFrame:
-    """Per series: expected stamps, present, missing and coverage ratio."""
-    span = bars.groupBy(*keys).agg(
-        F.min("tstamp").alias("lo"), F.max("tstamp").alias("hi"), F.count(F.lit(1)).alias("present")
+    """Per series: expected stamps (every ``step`` from first to last), present
+    rows, missing stamps and the coverage ratio.
+
+    One pass: a partial aggregate by (keys, stamp mod step) -- at most ``step``
+    rows per series -- then a roll-up per series.  ``missing`` counts expected
+    stamps that are absent, i.e. expected minus the rows on the grid of the
+    first stamp (stamps are unique per series; see ``check_keys``); it equals
+    ``missing_stamps(...)`` counted per series, without building the calendar.
+    """
+    keys = list(keys)
+    phases = bars.groupBy(*keys, F.expr(f"pmod(tstamp, {int(step)})").alias("_ph")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("tstamp").alias("_lo"), F.max("tstamp").alias("_hi")
     )
-    expected = (F.floor((F.col("hi") - F.col("lo")) / step) + 1).cast("long")
-    miss = missing_stamps(bars, keys, step).groupBy(*keys).agg(F.count(F.lit(1)).alias("missing"))
-    return (
-        span.join(miss, list(keys), "left")
-        .select(
-            *keys,
-            expected.alias("expected"),
-            F.col("present").cast("long").alias("present"),
-            F.coalesce(F.col("missing"), F.lit(0)).cast("long").alias("missing"),
-        )
-        .withColumn("coverage", F.round(F.col("present") / F.col("expected"), 6))
+    series_lo = F.min("_lo").over(Window.partitionBy(*keys))
+    phases = phases.withColumn("_lo_all", series_lo).withColumn(
+        "_grid", F.col("_ph") == F.expr(f"pmod(_lo_all, {int(step)})")
     )
+    per = phases.groupBy(*keys).agg(
+        F.min("_lo").alias("lo"),
+        F.max("_hi").alias("hi"),
+        F.sum("_n").alias("present"),
+        F.sum(F.when(F.col("_grid"), F.col("_n")).otherwise(0)).alias("on_grid"),
+    )
+    expected = (F.floor((F.col("hi") - F.col("lo")) / step) + 1).cast("long")
+    return per.select(
+        *keys,
+        expected.alias("expected"),
+        F.col("present").cast("long").alias("present"),
+        (expected - F.col("on_grid")).cast("long").alias("missing"),
+    ).withColumn("coverage", F.round(F.col("present") / F.col("expected"), 6))
 
 
 def interval_limits(spark: SparkSession) -> DataFrame:

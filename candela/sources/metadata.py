@@ -7,8 +7,8 @@ row.  ``legacy_paths=True`` writes array elements the way the source did,
 repeating the key after the index (``k[i].k``).
 
 Runs on VARIANT values: one aggregate finds the nesting depth (one schema
-string to the driver), then that many explode levels are stacked lazily; an
-emptiness check adds levels only where mixed-type arrays hide deeper nesting.
+string to the driver), then that many generator steps are chained lazily; an
+emptiness check adds steps only where mixed-type arrays hide deeper nesting.
 """
 
 from __future__ import annotations
@@ -59,44 +59,44 @@ def flatten_json(
     # only a VARIANT inside the merged schema (mixed-type arrays) can hide depth
     exact = "VARIANT" not in schema
 
-    # frontier rows: (ids, _path, _key, _v) where _v is the value at _path
-    frontier = root.select(*ids, F.lit("").alias("_path"), F.lit("").alias("_key"), "_v")
-    leaves: list[DataFrame] = []
+    def as_obj(v: Column) -> Column:
+        return F.try_variant_get(v, "$", "map<string,variant>")
+
+    def as_arr(v: Column) -> Column:
+        return F.try_variant_get(v, "$", "array<variant>")
+
+    # One linear chain of generators: at each level a container becomes its
+    # children and a leaf passes through unchanged.  No unions, so the input
+    # is read once and nothing is recomputed per level.
+    path, key, val = F.col("_path"), F.col("_key"), F.col("_v")
+    rows = root.filter(as_obj(val).isNotNull()).select(
+        *ids, F.lit("").alias("_path"), F.lit("").alias("_key"), val
+    )
     level = 0
     while True:
-        # the merged schema gives the depth, except under mixed-type arrays
-        # (typed VARIANT there): past it, go on while containers remain
-        if level >= depth and (exact or frontier.isEmpty()):
+        if level >= depth and (exact or rows.filter(as_obj(val).isNotNull() | as_arr(val).isNotNull()).isEmpty()):
             break
         level += 1
-        obj = F.try_variant_get("_v", "$", "map<string,variant>")
-        arr = F.try_variant_get("_v", "$", "array<variant>")
-        kids_obj = frontier.select(*id_cols, "_path", F.explode(obj).alias("_k", "_c")).select(
-            *id_cols,
-            F.when(F.col("_path") == "", F.col("_k")).otherwise(F.concat_ws(".", "_path", "_k")).alias("_path"),
-            F.col("_k").alias("_key"),
-            F.col("_c").alias("_v"),
-        )
-        idx = F.concat(F.lit("["), F.col("_i").cast("string"), F.lit("]"))
-        child_path = F.concat("_path", idx, F.lit("."), "_key") if legacy_paths else F.concat("_path", idx)
-        kids_arr = frontier.select(*id_cols, "_path", "_key", F.posexplode(arr).alias("_i", "_c")).select(
-            *id_cols, child_path.alias("_path"), "_key", F.col("_c").alias("_v")
-        )
-        nxt = kids_obj.unionByName(kids_arr)
-        is_container = (
-            F.try_variant_get("_v", "$", "map<string,variant>").isNotNull()
-            | F.try_variant_get("_v", "$", "array<variant>").isNotNull()
+        obj_kids = F.transform(
+            F.map_entries(as_obj(val)),
+            lambda e: F.struct(
+                F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit("."), e["key"])).alias("_path"),
+                e["key"].alias("_key"),
+                e["value"].alias("_v"),
+            ),
         )
-        leaves.append(nxt.filter(~is_container))
-        frontier = nxt.filter(is_container)
-    if not leaves:
-        return df.sparkSession.createDataFrame(
-            [], df.select(*ids).schema.add("path", "string").add("value", "string").add("type", "string")
-        )
-    out = leaves[0]
-    for part in leaves[1:]:
-        out = out.unionByName(part)
-    typed = out.select(*id_cols, "_path", F.col("_v"), _leaf_type(F.col("_v")).alias("type"))
+
+        def arr_child(x: Column, i: Column) -> Column:
+            idx = F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
+            p = F.concat(idx, F.lit("."), key) if legacy_paths else idx
+            return F.struct(p.alias("_path"), key.alias("_key"), x.alias("_v"))
+
+        arr_kids = F.transform(as_arr(val), arr_child)
+        keep = F.array(F.struct(path.alias("_path"), key.alias("_key"), val.alias("_v")))
+        nxt = F.when(as_obj(val).isNotNull(), obj_kids).when(as_arr(val).isNotNull(), arr_kids).otherwise(keep)
+        rows = rows.select(*ids, F.inline(nxt))
+
+    typed = rows.select(*id_cols, "_path", val, _leaf_type(val).alias("type"))
     # doubles print as JVM doubles (2.0, 1.0E7); other leaves as their text
     value = F.when(
         F.col("type") == "double", F.variant_get("_v", "$", "double").cast("string")

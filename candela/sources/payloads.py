@@ -8,7 +8,7 @@ driver-side parsing, no UDF.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candela.functions.numeric import round_half_up
@@ -32,82 +32,117 @@ def status_gate(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def parse_v8(payloads: DataFrame, places: int = V8_ROUND) -> DataFrame:
-    """JSON chart payloads -> bars ``(symbol, tstamp, high, low, open, close, volume)``.
+_PRICES = ("high", "low", "open", "close")
 
-    Walks ``chart.result[]`` and each ``indicators.quote[]``, zips the six arrays
-    by position (a short array pads with NULL) and rounds prices.
-    """
-    parsed = payloads.select("symbol", F.from_json("body", CHART_DDL).alias("j"))
-    results = parsed.select("symbol", F.explode("j.chart.result").alias("r"))
-    quotes = results.select(
-        "symbol", F.col("r.timestamp").alias("ts"), F.explode("r.indicators.quote").alias("q")
+
+def _bar(tstamp: Column, high: Column, low: Column, open_: Column, close: Column,
+         adj_close: Column, volume: Column, places: int) -> Column:
+    """One bar struct, prices rounded; the same type for both payload versions."""
+    return F.struct(
+        tstamp.cast("long").alias("tstamp"),
+        round_half_up(high.cast("double"), places).alias("high"),
+        round_half_up(low.cast("double"), places).alias("low"),
+        round_half_up(open_.cast("double"), places).alias("open"),
+        round_half_up(close.cast("double"), places).alias("close"),
+        round_half_up(adj_close.cast("double"), places).alias("adj_close"),
+        volume.cast("long").alias("volume"),
     )
-    zipped = quotes.select(
-        "symbol",
-        F.inline(
-            F.arrays_zip(
-                F.col("ts").alias("tstamp"),
-                F.col("q.high").alias("high"),
-                F.col("q.low").alias("low"),
-                F.col("q.open").alias("open"),
-                F.col("q.close").alias("close"),
-                F.col("q.volume").alias("volume"),
+
+
+def v8_rows(chart: Column, places: int = V8_ROUND) -> Column:
+    """Parsed chart payload -> array of bar structs.
+
+    One row per entry of each result's ``timestamp`` array, for every quote of
+    that result; a price array shorter than ``timestamp`` reads as NULL there.
+    """
+
+    def per_result(r: Column) -> Column:
+        ts = r["timestamp"]
+        n = F.coalesce(F.size(ts), F.lit(0))
+        idx = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+
+        def per_quote(q: Column) -> Column:
+            return F.transform(
+                idx,
+                lambda i: _bar(
+                    F.try_element_at(ts, i),
+                    F.try_element_at(q["high"], i),
+                    F.try_element_at(q["low"], i),
+                    F.try_element_at(q["open"], i),
+                    F.try_element_at(q["close"], i),
+                    F.lit(None),
+                    F.try_element_at(q["volume"], i),
+                    places,
+                ),
             )
-        ),
-    )
-    return zipped.select(
-        "symbol",
-        "tstamp",
-        *[round_half_up(c, places).alias(c) for c in ("high", "low", "open", "close")],
-        "volume",
-    )
+
+        return F.flatten(F.transform(F.coalesce(r["indicators"]["quote"], F.array()), per_quote))
+
+    return F.flatten(F.transform(F.coalesce(chart["chart"]["result"], F.array()), per_result))
+
+
+def v7_rows(body: Column, places: int = V7_ROUND) -> Column:
+    """CSV download payload -> array of bar structs (with ``adj_close``).
+
+    Skips the header line and blank lines, reads cells with a fixed 7-column
+    schema (``null`` cells are NULL), rounds numbers and turns ``Date``
+    (yyyy-MM-dd, UTC) into epoch seconds.
+    """
+    lines = F.split(body, "\r?\n")
+    data = F.filter(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), lambda l: F.trim(l) != "")
+
+    def per_line(line: Column) -> Column:
+        c = F.from_csv(line, V7_CSV_DDL, {"nullValue": "null"})
+        day = F.to_date(c["Date"], "yyyy-MM-dd")
+        tstamp = F.datediff(day, F.lit("1970-01-01").cast("date")).cast("long") * 86400
+        return _bar(tstamp, c["High"], c["Low"], c["Open"], c["Close"], c["Adj Close"],
+                    round_half_up(c["Volume"], places), places)
+
+    return F.transform(data, per_line)
+
+
+def parse_v8(payloads: DataFrame, places: int = V8_ROUND) -> DataFrame:
+    """JSON chart payloads -> bars ``(symbol, tstamp, high, low, open, close, volume)``."""
+    chart = F.from_json("body", CHART_DDL)
+    return payloads.select("symbol", F.inline(v8_rows(chart, places))).drop("adj_close")
 
 
 def parse_v7(payloads: DataFrame, places: int = V7_ROUND) -> DataFrame:
-    """CSV download payloads -> bars with ``adj_close``.
+    """CSV download payloads -> bars with ``adj_close``."""
+    out = payloads.select("symbol", F.inline(v7_rows(F.col("body"), places)))
+    return out.select("symbol", "tstamp", "high", "low", "open", "close", "adj_close", "volume")
+
 
-    Skips the header line, parses cells with a fixed 7-column schema (``null``
-    cells read as NULL), rounds numbers, turns ``Date`` (yyyy-MM-dd, UTC) into
-    epoch seconds and renames to lower snake case.
+def classify(payloads: DataFrame) -> DataFrame:
+    """Adds ``reason`` (NULL when the response is usable) and ``_bars`` in one pass.
+
+    Reasons: ``status <code>`` (the source raised on any non-200), ``unsupported
+    api version`` (the parser is chosen by ``lower(api_version)``), ``malformed
+    body`` (a v8 body that does not parse to a chart).  The body is parsed once.
     """
-    lines = payloads.select("symbol", F.split("body", "\r?\n").alias("lines"))
-    rows = lines.select("symbol", F.explode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(1)))).alias("line"))
-    rows = rows.filter(F.trim("line") != "")
-    cells = rows.select("symbol", F.from_csv("line", V7_CSV_DDL, {"nullValue": "null"}).alias("c"))
-    day = F.to_date(F.col("c.Date"), "yyyy-MM-dd")
-    return cells.select(
-        "symbol",
-        (F.datediff(day, F.lit("1970-01-01").cast("date")).cast("long") * 86400).alias("tstamp"),
-        round_half_up("c.High", places).alias("high"),
-        round_half_up("c.Low", places).alias("low"),
-        round_half_up("c.Open", places).alias("open"),
-        round_half_up("c.Close", places).alias("close"),
-        round_half_up("c.`Adj Close`", places).alias("adj_close"),
-        round_half_up("c.Volume", places).cast("long").alias("volume"),
+    ver = F.lower(F.col("api_version"))
+    chart = F.col("_chart")
+    with_chart = payloads.withColumn("_chart", F.when(ver == "v8", F.from_json("body", CHART_DDL)))
+    reason = (
+        F.when(~F.coalesce(F.col("status") == 200, F.lit(False)),
+               F.concat(F.lit("status "), F.coalesce(F.col("status").cast("string"), F.lit("null"))))
+        .when(~F.coalesce(ver.isin(*KNOWN_VERSIONS), F.lit(False)), F.lit("unsupported api version"))
+        .when((ver == "v8") & (chart.isNull() | chart["chart"].isNull()), F.lit("malformed body"))
     )
+    rows = F.when(ver == "v8", v8_rows(chart)).otherwise(v7_rows(F.col("body")))
+    return with_chart.select(*payloads.columns, reason.alias("reason"), rows.alias("_bars"))
 
 
 def dispatch(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Status gate, then the parser chosen by ``lower(api_version)``.
+    """Status gate and per-version parsing: returns (bars, quarantine).
 
-    Returns (bars, quarantine).  Bars from both versions are unioned by name
-    (``adj_close`` NULL for v8).  Quarantine holds non-200 responses, unknown
-    versions and bodies that parse to nothing (``reason`` column).
+    Each output reads the landed table once.  Bars carry ``adj_close`` (NULL
+    for v8); the quarantine keeps the response columns plus ``reason``.
     """
-    good, bad = status_gate(payloads)
-    ver = F.lower(F.col("api_version"))
-    v8 = good.filter(ver == "v8")
-    v7 = good.filter(ver == "v7")
-    unknown = good.filter(~F.coalesce(ver.isin(*KNOWN_VERSIONS), F.lit(False))).withColumn(
-        "reason", F.lit("unsupported api version")
-    )
-    malformed = (
-        v8.filter(F.from_json("body", CHART_DDL).isNull() | F.from_json("body", CHART_DDL)["chart"].isNull())
-        .withColumn("reason", F.lit("malformed body"))
-    )
-    bars = parse_v8(v8).unionByName(parse_v7(v7), allowMissingColumns=True)
-    return bars, bad.unionByName(unknown).unionByName(malformed)
+    c = classify(payloads)
+    bars = c.filter(F.col("reason").isNull()).select("symbol", F.inline("_bars"))
+    bad = c.filter(F.col("reason").isNotNull()).drop("_bars")
+    return bars, bad
 
 
 # ---------------------------------------------------------------------------
