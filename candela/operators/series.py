@@ -177,8 +177,8 @@ def indicators(
     user_cols = list(src.columns)
     halo = max([s - 1 for s in sma_spans] + [1 if fill_gaps else 0, extra_halo])
     nn_halo = max([seg.ema_halo(s) for s in ema_spans], default=0)
-    # a halo must fit in the one block before: blocks hold at least as many rows
-    k = max(int(block_rows or seg.BLOCK_ROWS), halo, nn_halo)
+    # the row halo must fit in the one block before: blocks hold at least as many rows
+    k = max(int(block_rows or seg.BLOCK_ROWS), halo, 1)
     s1 = seg.sequence(
         src,
         keys,
@@ -188,8 +188,9 @@ def indicators(
         width=width,
         target_rows=segment_rows,
         block_rows=k,
+        reach_nn=nn_halo,
     )
-    s2 = seg.spread(s1, block_rows=k, halo_rows=halo, nn_halo=nn_halo, count_col=column)
+    s2 = seg.spread(s1, block_rows=k, halo_rows=halo)
     if fill_gaps:
         s2 = _expand(s2, [*user_cols, seg.BLK, seg.HALO, seg.POS], max_gap, copy=keys)
     out = s2

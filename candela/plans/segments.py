@@ -18,12 +18,14 @@ segment borders), its position ``_pos`` in the whole series and, if asked,
 the running count ``_npos`` of non-null values of one column.
 
 Stage 2, position blocks with halos (``spread``).  ``_blk = _pos div K``.  The
-last ``halo_rows`` rows of each block, plus the rows holding the last
-``nn_halo`` non-null values, are copied into the next block with
-``_halo = true``.  Rows shuffle by (keys, _blk); a window over (keys, _blk)
-then sees enough context before its first own row for row frames (SMA, lag)
-and for exponentially decaying sums (EMA, whose weights beyond the halo are
-below 1e-30).  Halo copies are dropped afterwards.
+last ``halo_rows`` rows of each block are copied into the next block, and
+every non-null row into each later block that starts before its E-th next
+non-null row (``_reach``), with ``_halo = true``: each block then holds the
+last E non-null values before it, however many blocks back they lie.  Rows
+shuffle by (keys, _blk); a window over (keys, _blk) sees enough context before
+its first own row for row frames (SMA, lag) and for exponentially decaying
+sums (EMA, whose weights beyond E values are below 1e-30).  Halo copies are
+dropped afterwards.
 
 Everything is DataFrame API; no collect of data, no UDF.  The one driver-side
 value is the segment width (one aggregate row).
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 SEG = "_seg"
 POS = "_pos"
 NPOS = "_npos"
-NEND = "_nend"
+REACH = "_reach"
 BLK = "_blk"
 HALO = "_halo"
 
@@ -146,6 +148,7 @@ def sequence(
     width: int | None = None,
     target_rows: int = TARGET_SEGMENT_ROWS,
     block_rows: int | None = None,
+    reach_nn: int = 0,
     prev_prefix: str = "prev_",
 ) -> DataFrame:
     """Stage 1: previous-row values, series position and running non-null count.
@@ -153,8 +156,11 @@ def sequence(
     Adds ``prev_<c>`` for every ``c`` in ``carry`` (the value on the previous row
     of the same series, NULL on the first row), ``_pos`` (0-based position in
     the series), ``_npos`` (count of non-null ``count_col`` up to and including
-    the row) and ``_seg``.  With ``block_rows`` also ``_blk`` and ``_nend`` (a
-    lower bound of ``_npos`` at the end of the row's block) for ``spread``.
+    the row) and ``_seg``.  With ``block_rows`` also ``_blk``; with ``reach_nn``
+    (E) also ``_reach`` on non-null rows: the position of the E-th non-null row
+    after this one (an upper bound of it past the segment end; the series end
+    when there is none).  A block starting at or before ``_reach`` needs the
+    row as context: fewer than E non-null values lie between them.
     ``order`` must be unique within ``keys`` (see ``quality.check_keys``).
     """
     keys = list(keys)
@@ -163,7 +169,7 @@ def sequence(
                              whole_rows=block_rows or BLOCK_ROWS)
     if width is None:
         return _sequence_whole(df, keys, order, carry=carry, count_col=count_col,
-                               block_rows=block_rows, prev_prefix=prev_prefix)
+                               block_rows=block_rows, reach_nn=reach_nn, prev_prefix=prev_prefix)
     # Summarise, join and window on materialised null-safe key columns (see
     # null_safe_keys): the rows' (keys, seg) hash partitioning from the join
     # feeds the window (one shuffle of the rows).  The summary is a partial
@@ -194,8 +200,23 @@ def sequence(
         cols.append(F.coalesce(F.sum("_nn").over(before), F.lit(0)).alias("_nn0"))
     for i, _ in enumerate(carry):
         cols.append(F.lag(f"_last{i}").over(ws).alias(f"_plast{i}"))
+    want_reach = bool(reach_nn and count_col and block_rows)
+    if want_reach:
+        cols += [F.col("_n"), F.col("_nn")]
+    summary = summary.select(*cols)
+    if want_reach:
+        # per segment: cumulative non-nulls through it and its last position;
+        # _ub = last position of the first segment whose cumulative count
+        # reaches this one's + E (a bound on the reach of rows whose E-th next
+        # non-null lies past this segment); _end = last position of the series
+        nn_end = F.col("_nn0") + F.col("_nn")
+        summary = summary.withColumn("_nn_end", nn_end).withColumn("_pos_end", F.col("_n0") + F.col("_n") - 1)
+        ahead = Window.partitionBy(*pk).orderBy("_nn_end").rangeBetween(int(reach_nn), Window.unboundedFollowing)
+        summary = summary.withColumn("_ub", F.min("_pos_end").over(ahead)).withColumn(
+            "_end", F.max("_pos_end").over(Window.partitionBy(*pk))
+        ).drop("_n", "_nn", "_nn_end", "_pos_end")
     # one row per segment: the build side of a hash join (AQE may broadcast it)
-    summary = summary.select(*cols).hint("shuffle_hash")
+    summary = summary.hint("shuffle_hash")
 
     j = d.join(summary, on=[*pk, SEG], how="inner")
     w = Window.partitionBy(*pk, SEG).orderBy(order)
@@ -209,11 +230,14 @@ def sequence(
     if count_col:
         running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         out = out.withColumn(NPOS, F.col("_nn0") + F.count(count_col).over(running))
-    out = out.drop("_n0", "_nn0", *[f"_plast{i}" for i in range(len(carry))])
+    if want_reach:
+        nonnull = F.col(_q(count_col)).isNotNull()
+        wnn = Window.partitionBy(*pk, SEG, nonnull).orderBy(order)
+        ahead_in_seg = F.lead(POS, int(reach_nn)).over(wnn)
+        out = out.withColumn(REACH, F.when(nonnull, F.coalesce(ahead_in_seg, F.col("_ub"), F.col("_end"))))
+    out = out.drop("_n0", "_nn0", "_ub", "_end", *[f"_plast{i}" for i in range(len(carry))])
     if block_rows:
         out = out.withColumn(BLK, F.expr(f"{POS} div {int(block_rows)}"))
-        if count_col:
-            out = out.withColumn(NEND, F.max(NPOS).over(Window.partitionBy(*pk, SEG, BLK)))
     return out.drop(*pk)
 
 
@@ -225,6 +249,7 @@ def _sequence_whole(
     carry: Sequence[str],
     count_col: str | None,
     block_rows: int | None,
+    reach_nn: int,
     prev_prefix: str,
 ) -> DataFrame:
     """Stage 1 when every series is proven short: one window per series, one shuffle."""
@@ -238,8 +263,6 @@ def _sequence_whole(
         out = out.withColumn(NPOS, F.count(count_col).over(running))
     if block_rows:
         out = out.withColumn(BLK, F.lit(0).cast("long"))
-        if count_col:
-            out = out.withColumn(NEND, F.col(NPOS))
     return out
 
 
@@ -248,29 +271,35 @@ def spread(
     *,
     block_rows: int,
     halo_rows: int,
-    nn_halo: int = 0,
-    count_col: str | None = None,
 ) -> DataFrame:
-    """Stage 2: copy block tails into the next block as halo rows.
-
-    Needs ``_pos``/``_blk`` (and ``_npos``/``_nend`` when ``nn_halo``) from
-    ``sequence(..., block_rows=block_rows)``.  Output has one row per (row,
-    block it serves) with ``_halo`` true on copies.  The caller partitions its
-    windows by (keys, _blk); halo copies must be filtered out at the end.
+    """Stage 2: copy rows into the later blocks that need them as context (halo).
+
+    A row goes to the next block when it is among that block's ``halo_rows``
+    predecessors (row frames, lag), and to every later block starting at or
+    before its ``_reach`` (EMA context: the last E non-null values before the
+    block, however many blocks back they are).  Needs ``_pos``/``_blk`` (and
+    ``_reach``) from ``sequence(..., block_rows=block_rows)``.  Output has one
+    row per (row, block it serves) with ``_halo`` true on copies; the caller
+    windows by (keys, _blk) and drops halo copies at the end.
     """
     if SEG in df.columns and _is_whole(df):
-        return df.drop(NEND).withColumn(HALO, F.lit(False))
-    halo_rows = min(max(halo_rows, 0), block_rows)
-    src = F.lit(False)
+        return df.withColumn(HALO, F.lit(False))
+    k = int(block_rows)
+    halo_rows = min(max(halo_rows, 0), k)
+    blk = F.col(BLK)
+    none = F.array().cast("array<bigint>")
+    row_t = none
     if halo_rows > 0:
-        src = src | (F.expr(f"pmod({POS}, {int(block_rows)})") >= block_rows - halo_rows)
-    if nn_halo > 0 and count_col:
-        src = src | (F.col(_q(count_col)).isNotNull() & (F.col(NPOS) > F.col(NEND) - nn_halo))
-    own = F.struct(F.col(BLK).alias(BLK), F.lit(False).alias(HALO))
-    nxt = F.struct((F.col(BLK) + 1).alias(BLK), F.lit(True).alias(HALO))
-    targets = F.when(src, F.array(own, nxt)).otherwise(F.array(own))
-    rest = [c for c in df.columns if c not in (BLK, NEND)]
-    return df.select(*[F.col(_q(c)) for c in rest], F.inline(targets))
+        row_t = F.when(F.expr(f"pmod({POS}, {k})") >= k - halo_rows, F.array(blk + 1)).otherwise(none)
+    ema_t = none
+    if REACH in df.columns:
+        hi = F.expr(f"{REACH} div {k}")
+        ema_t = F.when(F.col(REACH).isNotNull() & (hi > blk), F.sequence(blk + 1, hi)).otherwise(none)
+    halo_blocks = F.array_distinct(F.concat(row_t, ema_t))
+    own = F.array(F.struct(blk.alias(BLK), F.lit(False).alias(HALO)))
+    copies = F.transform(halo_blocks, lambda t: F.struct(t.alias(BLK), F.lit(True).alias(HALO)))
+    rest = [c for c in df.columns if c not in (BLK, REACH)]
+    return df.select(*[F.col(_q(c)) for c in rest], F.inline(F.concat(own, copies)))
 
 
 def ema_block_rows(span: int) -> int:
