@@ -37,7 +37,7 @@ def load_prices(
         rejected.write.mode("append").parquet(quarantine_path)
     table = series.load_symbol_chain(bars.drop("adj_close"), span=span)
     sinks.write_partitioned(table, out_path)
-    written = sinks.read_partitioned(spark_of(landed), out_path)
+    written = sinks.read_partitioned(spark_of(landed), out_path, schema=table.schema)
     if alert_to and events_path:
         alerts = notify.crossover_alerts(written.select("symbol", "tstamp", "high", "low", "open", "close", "volume"), span=span)
         wire = notify.encode_events(notify.alert_events(alerts, alert_to), key_col="symbol")

@@ -34,8 +34,14 @@ def write_partitioned(
     )
 
 
-def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
+    """Read a partitioned table; with ``schema`` the partition columns keep their
+    written types (otherwise Spark infers them from directory names, so a
+    symbol like ``67`` would come back as an integer)."""
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(path)
 
 
 def read_jdbc(
