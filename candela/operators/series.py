@@ -158,6 +158,7 @@ def indicators(
     segment_rows: int = seg.TARGET_SEGMENT_ROWS,
     extra_halo: int = 0,
     keep_internal: bool = False,
+    materialize: bool = False,
 ) -> DataFrame:
     """Optional gap fill, then EMA and SMA columns, in two shuffles total.
 
@@ -168,12 +169,23 @@ def indicators(
     window per series after one shuffle.  Otherwise rows move by (keys, time
     segment of about ``segment_rows`` rows) and then by (keys, block of
     ``block_rows`` positions) with halos; see ``candela.plans.segments``.
+
+    The plan reads its input up to three times (size check, segment summary,
+    rows).  For an input that is itself an expensive computation,
+    ``materialize=True`` writes it once with a reliable ``checkpoint()`` into
+    the session's checkpoint directory (shared storage on a cluster) and reads
+    that instead.
     """
     keys = tuple(keys)
     for s in [*ema_spans, *sma_spans]:
         if s < 1:
             raise ValueError(f"span must be >= 1, got {s}")
     src = _fill_nulls(df, null_fill)
+    if materialize:
+        from candela.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(src.sparkSession)
+        src = src.checkpoint(eager=True)
     user_cols = list(src.columns)
     halo = max([s - 1 for s in sma_spans] + [1 if fill_gaps else 0, extra_halo])
     nn_halo = max([seg.ema_halo(s) for s in ema_spans], default=0)

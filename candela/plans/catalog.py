@@ -155,10 +155,13 @@ def q_load_symbol_hot(spark: SparkSession, sf: str) -> DataFrame:
     Segments and blocks of 2^16 rows make the hot series take the segmented
     plan at this scale (the whole-series plan is allowed only up to one block).  No SQL
     oracle: the list fold over one 10^5-row series is quadratic in DuckDB;
-    tests compare this plan with the whole-series plan instead.
+    tests compare this plan with the whole-series plan instead.  The input
+    (two aggregations of lineitem) is checkpointed once, since the segmented
+    plan reads it three times.
     """
     out = series.load_symbol_chain(
-        hot_bars(spark, sf), max_gap=86400 * 10000, block_rows=HOT_BLOCK_ROWS, segment_rows=HOT_BLOCK_ROWS
+        hot_bars(spark, sf), max_gap=86400 * 10000, block_rows=HOT_BLOCK_ROWS, segment_rows=HOT_BLOCK_ROWS,
+        materialize=True,
     )
     return _r4(out, "ema_10d", "sma_10d")
 
