@@ -27,8 +27,12 @@ its first own row for row frames (SMA, lag) and for exponentially decaying
 sums (EMA, whose weights beyond E values are below 1e-30).  Halo copies are
 dropped afterwards.
 
-Everything is DataFrame API; no collect of data, no UDF.  The one driver-side
-value is the segment width (one aggregate row).
+Before either stage, one partial aggregate over (keys, order) sends two
+numbers to the driver: the longest series and the densest one.  When no
+series exceeds one block the check has proven every window group bounded, and
+the plan is a single window per series after one shuffle; otherwise the
+density gives the segment width.  Everything is DataFrame API: no collect of
+data, no UDF.
 """
 
 from __future__ import annotations
