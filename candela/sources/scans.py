@@ -45,10 +45,18 @@ def request_scan(
         j = bars.join(F.broadcast(req), (F.col("symbol") == F.col("_rs")) & in_range)
         return j.drop("_rs")
     w = int(bucket_seconds)
-    req_b = req.withColumn(
-        "_b",
-        F.explode(F.sequence(F.floor(F.col("period1") / w), F.floor((F.col("period2") - 1) / w))),
-    ).filter(F.col("period2") > F.col("period1"))
+    # Clamp each request to the time range the bars cover (two numbers from one
+    # aggregate), so a request with absurd bounds cannot explode into billions
+    # of empty buckets; empty requests never explode at all.
+    span = bars.agg(F.min("tstamp").alias("lo"), F.max("tstamp").alias("hi")).first()
+    if span is None or span["lo"] is None:
+        # no bars: an empty result of the same shape (the optimiser folds it away)
+        return bars.join(req, F.col("symbol") == F.col("_rs")).filter(F.lit(False)).drop("_rs")
+    lo = F.greatest(F.col("period1"), F.lit(span["lo"]))
+    hi = F.least(F.col("period2") - 1, F.lit(span["hi"]))
+    req_b = req.filter(lo <= hi).withColumn(
+        "_b", F.explode(F.sequence(F.floor(lo / w), F.floor(hi / w)))
+    )
     bars_b = bars.withColumn("_b", F.floor(F.col("tstamp") / w))
     j = bars_b.join(req_b, (F.col("symbol") == F.col("_rs")) & (bars_b["_b"] == req_b["_b"]) & in_range)
     return j.drop("_rs", "_b")
