@@ -155,16 +155,21 @@ def _day(tstamp):
     return F.date_from_unix_date(F.floor(tstamp / 86400).cast("int"))
 
 
-def _yearly(bars: DataFrame) -> DataFrame:
-    """One response per (symbol, calendar year): bounded arrays, sorted by tstamp."""
-    year = F.year(_day(F.col("tstamp")))
+def _yearly(bars: DataFrame, period_days: int | None = None) -> DataFrame:
+    """One response per (symbol, calendar year), or per (symbol, ``period_days``
+    window) for intraday bars, the way the price API bounds a request's range:
+    each response array is bounded by the period, sorted by tstamp."""
+    if period_days:
+        period = F.floor(F.col("tstamp") / (86400 * int(period_days)))
+    else:
+        period = F.year(_day(F.col("tstamp")))
     row = F.struct("tstamp", "high", "low", "open", "close", "volume")
-    return bars.groupBy("symbol", year.alias("year")).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    return bars.groupBy("symbol", period.alias("year")).agg(F.array_sort(F.collect_list(row)).alias("rows"))
 
 
-def v8_payloads(bars: DataFrame, api_version: str = "v8") -> DataFrame:
-    """Bars -> JSON chart payloads, one per (symbol, year)."""
-    y = _yearly(bars)
+def v8_payloads(bars: DataFrame, api_version: str = "v8", period_days: int | None = None) -> DataFrame:
+    """Bars -> JSON chart payloads, one per (symbol, year) or per ``period_days``."""
+    y = _yearly(bars, period_days)
     quote = F.struct(
         F.col("rows.high").alias("high"),
         F.col("rows.low").alias("low"),
@@ -201,9 +206,9 @@ def v8_payloads(bars: DataFrame, api_version: str = "v8") -> DataFrame:
     )
 
 
-def v7_payloads(bars: DataFrame, api_version: str = "v7") -> DataFrame:
+def v7_payloads(bars: DataFrame, api_version: str = "v7", period_days: int | None = None) -> DataFrame:
     """Bars -> CSV download payloads (header + one line per bar), one per (symbol, year)."""
-    y = _yearly(bars)
+    y = _yearly(bars, period_days)
     header = F.lit("Date,Open,High,Low,Close,Adj Close,Volume")
     line = F.transform(
         "rows",
