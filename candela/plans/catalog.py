@@ -243,6 +243,15 @@ def q_bars_csv(spark: SparkSession, sf: str) -> DataFrame:
     return scans.read_bars_csv(spark, path, with_symbol=True)
 
 
+def q_symbol_universe(spark: SparkSession, sf: str) -> DataFrame:
+    """Symbols of the bars written as the source's symbol list (``SYM,`` per
+    line) and read back through the universe reader."""
+    path = _scratch(spark, "symbols")
+    syms = orders_bars(spark, sf).select("symbol").distinct()
+    syms.select(F.concat("symbol", F.lit(",")).alias("line")).write.text(path)
+    return scans.read_symbols_csv(spark, path)
+
+
 def q_write_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     """Write bars partitioned by symbol, overwrite one symbol again, read back."""
     bars = orders_bars(spark, sf)
@@ -485,6 +494,7 @@ def queries() -> dict[str, QueryFn]:
         "request_batch_scan_bucketed": q_request_batch_scan_bucketed,
         "date_to_epoch": q_date_to_epoch,
         "bars_csv": q_bars_csv,
+        "symbol_universe": q_symbol_universe,
         "write_overwrite_roundtrip": q_write_overwrite,
         "payload_v8_bars": q_payload_v8,
         "payload_v7_bars": q_payload_v7,
@@ -554,6 +564,7 @@ SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day,
        CAST(floor(epoch(o_orderdate)) AS BIGINT) AS ts_seconds
 FROM orders"""
     s["bars_csv"] = ORDERS_BARS_SQL
+    s["symbol_universe"] = "SELECT DISTINCT o_orderpriority AS symbol FROM orders"
     s["write_overwrite_roundtrip"] = ORDERS_BARS_SQL
     s["payload_v8_bars"] = _bars_sql_with(
         'SELECT symbol, tstamp, round(high, 3) AS high, round(low, 3) AS low, round("open", 3) AS "open", '
