@@ -215,7 +215,14 @@ def sequence(
         # non-null lies past this segment); _end = last position of the series
         nn_end = F.col("_nn0") + F.col("_nn")
         summary = summary.withColumn("_nn_end", nn_end).withColumn("_pos_end", F.col("_n0") + F.col("_n") - 1)
-        ahead = Window.partitionBy(*pk).orderBy("_nn_end").rangeBetween(int(reach_nn), Window.unboundedFollowing)
+        # segments with _nn_end >= this one's + E: descending order with an
+        # unbounded-preceding range frame, which Spark keeps incrementally
+        # (an ascending unbounded-following frame is recomputed per row)
+        ahead = (
+            Window.partitionBy(*pk)
+            .orderBy(F.col("_nn_end").desc())
+            .rangeBetween(Window.unboundedPreceding, -int(reach_nn))
+        )
         summary = summary.withColumn("_ub", F.min("_pos_end").over(ahead)).withColumn(
             "_end", F.max("_pos_end").over(Window.partitionBy(*pk))
         ).drop("_n", "_nn", "_nn_end", "_pos_end")
