@@ -153,6 +153,7 @@ def sequence(
     target_rows: int = TARGET_SEGMENT_ROWS,
     block_rows: int | None = None,
     reach_nn: int = 0,
+    series_first: bool = False,
     prev_prefix: str = "prev_",
 ) -> DataFrame:
     """Stage 1: previous-row values, series position and running non-null count.
@@ -165,6 +166,7 @@ def sequence(
     after this one (an upper bound of it past the segment end; the series end
     when there is none).  A block starting at or before ``_reach`` needs the
     row as context: fewer than E non-null values lie between them.
+    With ``series_first`` also ``_first``: the smallest ``order`` of the series.
     ``order`` must be unique within ``keys`` (see ``quality.check_keys``).
     """
     keys = list(keys)
@@ -173,7 +175,8 @@ def sequence(
                              whole_rows=block_rows or BLOCK_ROWS)
     if width is None:
         return _sequence_whole(df, keys, order, carry=carry, count_col=count_col,
-                               block_rows=block_rows, reach_nn=reach_nn, prev_prefix=prev_prefix)
+                               block_rows=block_rows, reach_nn=reach_nn, series_first=series_first,
+                               prev_prefix=prev_prefix)
     # Summarise, join and window on materialised null-safe key columns (see
     # null_safe_keys): the rows' (keys, seg) hash partitioning from the join
     # feeds the window (one shuffle of the rows).  The summary is a partial
@@ -191,6 +194,8 @@ def sequence(
     last_key = F.coalesce(F.col(_q(order)), F.lit(-(2**63)).cast("long"))
     for i, c in enumerate(carry):
         aggs.append(F.max_by(F.col(_q(c)), last_key).alias(f"_last{i}"))
+    if series_first:
+        aggs.append(F.min(_q(order)).alias("_smin"))
     summary = d.groupBy(*pk, SEG).agg(*aggs)
 
     ws = Window.partitionBy(*pk).orderBy(SEG)
@@ -204,6 +209,8 @@ def sequence(
         cols.append(F.coalesce(F.sum("_nn").over(before), F.lit(0)).alias("_nn0"))
     for i, _ in enumerate(carry):
         cols.append(F.lag(f"_last{i}").over(ws).alias(f"_plast{i}"))
+    if series_first:
+        cols.append(F.min("_smin").over(Window.partitionBy(*pk)).alias("_first"))
     want_reach = bool(reach_nn and count_col and block_rows)
     if want_reach:
         cols += [F.col("_n"), F.col("_nn")]
@@ -262,6 +269,7 @@ def _sequence_whole(
     block_rows: int | None,
     reach_nn: int,
     prev_prefix: str,
+    series_first: bool = False,
 ) -> DataFrame:
     """Stage 1 when every series is proven short: one window per series, one shuffle."""
     w = Window.partitionBy(*keys).orderBy(order)
@@ -272,6 +280,8 @@ def _sequence_whole(
     if count_col:
         running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         out = out.withColumn(NPOS, F.count(count_col).over(running))
+    if series_first:
+        out = out.withColumn("_first", F.min(_q(order)).over(Window.partitionBy(*keys)))
     if block_rows:
         out = out.withColumn(BLK, F.lit(0).cast("long"))
     return out
