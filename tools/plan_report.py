@@ -113,7 +113,9 @@ def flagship_trees(spark, sf: str) -> None:
     from candela.plans.adapters import orders_bars
 
     path = f"{sf.rstrip('/')}/orders.parquet"
-    bars_path = "/tmp/candela-plan-bars-" + spark.sparkContext.applicationId
+    from candela.session import ensure_checkpoint_dir
+
+    bars_path = ensure_checkpoint_dir(spark).rstrip("/") + "/candela-plan-bars-" + spark.sparkContext.applicationId
     orders_bars(spark, sf).write.mode("overwrite").parquet(bars_path)
     bars = spark.read.parquet(bars_path)
     print("\n## Flagship chain (gap fill -> EMA(10) -> SMA(10)) over a bars Parquet table\n")
