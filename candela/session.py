@@ -19,6 +19,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # drop reliable checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -60,4 +62,6 @@ CLUSTER_SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "256m",
     # summaries below this are broadcast by AQE at run time
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # remove checkpoint files of materialised inputs when no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
