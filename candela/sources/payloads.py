@@ -155,12 +155,26 @@ def _day(tstamp):
     return F.date_from_unix_date(F.floor(tstamp / 86400).cast("int"))
 
 
+# Longest response array the builders make; denser data gets shorter periods.
+MAX_PAYLOAD_ROWS = 100_000
+
+
 def _yearly(bars: DataFrame, period_days: int | None = None) -> DataFrame:
     """One response per (symbol, calendar year), or per (symbol, ``period_days``
-    window) for intraday bars, the way the price API bounds a request's range:
-    each response array is bounded by the period, sorted by tstamp."""
-    if period_days:
-        period = F.floor(F.col("tstamp") / (86400 * int(period_days)))
+    window), the way the price API bounds a request's range; arrays sorted by
+    tstamp.  Without ``period_days`` a density check (two numbers from one
+    partial aggregate) keeps arrays at about ``MAX_PAYLOAD_ROWS`` at most: if a
+    year of the densest series (at its average rate) would exceed it, periods
+    shrink to match."""
+    period_seconds = 86400 * int(period_days) if period_days else None
+    if period_seconds is None:
+        from candela.plans.segments import series_stats
+
+        density, _ = series_stats(bars, ["symbol"], "tstamp")
+        if (density or 0.0) * 86400 * 366 > MAX_PAYLOAD_ROWS:
+            period_seconds = max(1, int(MAX_PAYLOAD_ROWS / density))
+    if period_seconds:
+        period = F.floor(F.col("tstamp") / period_seconds)
     else:
         period = F.year(_day(F.col("tstamp")))
     row = F.struct("tstamp", "high", "low", "open", "close", "volume")
