@@ -224,17 +224,21 @@ def v7_payloads(bars: DataFrame, api_version: str = "v7", period_days: int | Non
     """Bars -> CSV download payloads (header + one line per bar), one per (symbol, year)."""
     y = _yearly(bars, period_days)
     header = F.lit("Date,Open,High,Low,Close,Adj Close,Volume")
+    def cell(c: Column) -> Column:
+        # a missing value is written as null (concat_ws would drop it and shift the cells)
+        return F.coalesce(c.cast("string"), F.lit("null"))
+
     line = F.transform(
         "rows",
         lambda r: F.concat_ws(
             ",",
-            _day(r["tstamp"]).cast("string"),
-            r["open"].cast("string"),
-            r["high"].cast("string"),
-            r["low"].cast("string"),
-            r["close"].cast("string"),
-            r["close"].cast("string"),
-            r["volume"].cast("string"),
+            cell(_day(r["tstamp"])),
+            cell(r["open"]),
+            cell(r["high"]),
+            cell(r["low"]),
+            cell(r["close"]),
+            cell(r["close"]),
+            cell(r["volume"]),
         ),
     )
     body = F.concat_ws("\n", F.concat(F.array(header), line))
