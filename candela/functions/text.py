@@ -16,12 +16,16 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# Blank as the JVM's String.trim sees it: only characters up to U+0020.
+BLANK = r"^[\x00-\x20]*\z"
+
+
 def email_reason(col: str | Column) -> Column:
     """NULL for a valid address, else ``'null'``, ``'blank'`` or ``'pattern'``."""
     c = _c(col)
     return (
         F.when(c.isNull(), F.lit("null"))
-        .when(F.trim(c) == "", F.lit("blank"))
+        .when(c.rlike(BLANK), F.lit("blank"))
         .when(~c.rlike(EMAIL_FULL_MATCH), F.lit("pattern"))
     )
 

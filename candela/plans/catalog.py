@@ -369,7 +369,7 @@ SELECT doc_id, email AS "to",
        coalesce(CASE WHEN lang = 'en' THEN 'doc ' || CAST(doc_id AS VARCHAR) END, '(no subject)') AS subject,
        coalesce(source, '(no content)') AS content
 FROM tok
-WHERE email LIKE '%@%' AND email IS NOT NULL AND trim(email) <> ''
+WHERE email LIKE '%@%' AND email IS NOT NULL AND NOT regexp_full_match(email, '[\x00-\x20]*')
   AND regexp_full_match(email, '^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$')
 """
 
@@ -631,7 +631,7 @@ FROM events"""
     s["recipient_validation"] = r"""
 WITH tok AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS email FROM documents),
 v AS (SELECT doc_id, email,
-        CASE WHEN email IS NULL THEN 'null' WHEN trim(email) = '' THEN 'blank'
+        CASE WHEN email IS NULL THEN 'null' WHEN regexp_full_match(email, '[\x00-\x20]*') THEN 'blank'
              WHEN NOT regexp_full_match(email, '^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$') THEN 'pattern' END AS reason
       FROM tok WHERE email LIKE '%@%')
 SELECT doc_id, email, reason IS NULL AS valid, reason,
@@ -660,7 +660,7 @@ FROM g WHERE sg <> psg"""
 WITH tok AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS email FROM documents)
 SELECT doc_id, email, split_part(email, '@', 1) AS user_name, substr(email, strpos(email, '@') + 1) AS domain
 FROM tok
-WHERE email LIKE '%@%' AND trim(email) <> ''
+WHERE email LIKE '%@%' AND NOT regexp_full_match(email, '[\x00-\x20]*')
   AND regexp_full_match(email, '^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$')"""
     s["batch_load"] = _chain_sql(ORDERS_BARS_SQL)
     s["missing_timestamps"] = _bars_sql_with(
