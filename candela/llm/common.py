@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -68,6 +69,19 @@ def map_batches(
     return df.mapInArrow(run, kind)
 
 
+def slices(batch: pa.RecordBatch, text: str = "__text", chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, each of one row or of at most ``chars`` code points."""
+    size = pc.utf8_length(batch.column(batch.schema.names.index(text))).to_numpy(zero_copy_only=False)
+    start = total = 0
+    for i, n in enumerate(size.tolist()):
+        if i > start and total + n > chars:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def keep_and_text(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
     """The kept columns and the text (null: empty) under a name of its own."""
     return df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import bpe, pii, quality, secret_scan
+from candela.llm import bpe, decontaminate, html_extract, pii, pitman_yor, quality, secret_scan, simhash
 from candela.llm.common import table
 
 VOCABULARY = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -38,6 +38,12 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(pii.detect(table(spark, sf_dir, "documents")), pii.KINDS[:4])
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds, with the stretch of the text and its similarity."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.leaked(decontaminate.annotate(docs, items))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the bytes they decode to."""
     ids = bpe.encode(table(spark, sf_dir, "documents"), *VOCABULARY).select(
@@ -47,18 +53,35 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base score and model score of every document."""
+    return pitman_yor.score(table(spark, sf_dir, "documents"))
+
+
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return quality.rate(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return _digest(secret_scan.scan(table(spark, sf_dir, "documents")), secret_scan.KINDS[:3])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op4_bpe, op7_quality, op10_secrets)}
+    return {f.__name__: f for f in (op1_pii, op3_decontamination, op4_bpe, op5_lm_scores, op6_html, op7_quality, op8_simhash, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
