@@ -50,26 +50,27 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def map_batches(
-    df: DataFrame,
-    fn: Callable[[dict[str, list]], dict[str, list]],
-    schema: StructType | str,
+    df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: StructType | str, slices: bool = False
 ) -> DataFrame:
-    """Apply ``fn`` (columns in, columns out, as lists) to Arrow batches of rows."""
+    """Apply ``fn`` (columns in, columns out, as lists) to Arrow batches of rows.
+
+    ``slices``: to parts of them whose column ``__text`` is of bounded size,
+    for functions that hold much more than the text itself.
+    """
     kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(kind)
         for batch in batches:
-            if batch.num_rows:
-                out = fn({n: batch.column(n).to_pylist() for n in batch.schema.names})
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow
-                )
+            for part in text_slices(batch) if slices else [batch]:
+                if part.num_rows:
+                    out = fn({n: part.column(n).to_pylist() for n in part.schema.names})
+                    yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, kind)
 
 
-def slices(batch: pa.RecordBatch, text: str = "__text", chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, text: str = "__text", chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Parts of a batch, each of one row or of at most ``chars`` code points."""
     size = pc.utf8_length(batch.column(batch.schema.names.index(text))).to_numpy(zero_copy_only=False)
     start = total = 0

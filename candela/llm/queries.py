@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import bpe, decontaminate, html_extract, pii, pitman_yor, quality, secret_scan, simhash
+from candela.llm import (
+    bpe, decontaminate, html_extract, line_dedup, pii, pitman_yor, quality, secret_scan, simhash, substring_dedup,
+)
 from candela.llm.common import table
 
 VOCABULARY = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -38,6 +40,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(pii.detect(table(spark, sf_dir, "documents")), pii.KINDS[:4])
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line (or stretch of a long line) whose group has more than one occurrence, and whether it is kept."""
+    return line_dedup.groups(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that a document holds, with the stretch of the text and its similarity."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -75,13 +82,22 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph whose group has more than one occurrence, and whether it is kept."""
+    return substring_dedup.groups(table(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return _digest(secret_scan.scan(table(spark, sf_dir, "documents")), secret_scan.KINDS[:3])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op3_decontamination, op4_bpe, op5_lm_scores, op6_html, op7_quality, op8_simhash, op10_secrets)}
+    found = (
+        op1_pii, op2_line_dedup, op3_decontamination, op4_bpe, op5_lm_scores,
+        op6_html, op7_quality, op8_simhash, op9_substring_dedup, op10_secrets,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm import bpe, quality
+from candela.llm import bpe, decontaminate, line_dedup, quality, simhash
 from candela.llm.common import stored, table
 from candela.llm.queries import VOCABULARY
 
@@ -20,6 +20,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.rate(docs, keep=docs.columns).where("kept").select(*docs.columns)
 
 
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts every line but the first of each group of alike lines; ``n_chars`` follows the text."""
+    found = line_dedup.remove(docs)
+    return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each component of near-duplicates, the one with the smallest id.
+
+    Of rows that repeat with that id one stays; documents without an id have
+    none to be chosen by and stay, and they hide no other document.
+    """
+    found = simhash.near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    chosen = docs.where("doc_id is not null").join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return chosen.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
+def without_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold a benchmark item."""
+    found = decontaminate.annotate(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns)
+    return found.where(F.size("leaks") == 0).select(*docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encodes each text; the text itself gives way to its ids, a digest of them and of what they decode to."""
     ids = bpe.encode(docs, *VOCABULARY, keep=("doc_id", "lang", "source"))
@@ -30,7 +53,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-STAGES = [("quality rules", quality_rules), ("byte-level BPE", encode)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", without_repeated_lines),
+    ("SimHash near-dedup", without_near_duplicates),
+    ("benchmark decontamination", without_benchmark_items),
+    ("byte-level BPE", encode),
+]
 
 #: SQL cannot express the stages; tests hold ``run`` against a brute-force version.
 ORACLE_SQL = None
