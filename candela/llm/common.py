@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -49,6 +51,15 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` with this package on the workers' search path, as where a checked-out repository is run from another folder."""
+    env = df.sparkSession.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
+    return df.mapInArrow(fn, schema)
+
+
 def map_batches(
     df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: StructType | str, slices: bool = False
 ) -> DataFrame:
@@ -67,7 +78,7 @@ def map_batches(
                     out = fn({n: part.column(n).to_pylist() for n in part.schema.names})
                     yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 
-    return df.mapInArrow(run, kind)
+    return map_arrow(df, run, kind)
 
 
 def text_slices(batch: pa.RecordBatch, text: str = "__text", chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
@@ -107,7 +118,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
         .distinct()
     )
-    nodes, last = step, None
+    last = None
     while True:
         mark = step.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if mark["n"] == 0 or mark == last:
@@ -124,6 +135,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         step = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct())
-    del nodes
     found = step.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())

@@ -146,7 +146,7 @@ def links(distinct: DataFrame, radius: int, fp: str = "fingerprint") -> DataFram
         )
     )
     dealt = sized.repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
-    return dealt.mapInArrow(_linked(radius), "a long, b long")
+    return common.map_arrow(dealt, _linked(radius), "a long, b long")
 
 
 def near_duplicates(
