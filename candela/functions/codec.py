@@ -20,8 +20,3 @@ def map_to_json_bytes(col: str | Column) -> Column:
 def json_bytes_to_map(col: str | Column) -> Column:
     """UTF-8 JSON bytes -> ``map<string,string>``; NULL or malformed -> NULL."""
     return F.from_json(_c(col).cast("string"), MAP_DDL, {"mode": "PERMISSIVE"})
-
-
-def is_malformed(raw: str | Column, parsed: str | Column) -> Column:
-    """True where bytes were present but did not parse to a map."""
-    return _c(raw).isNotNull() & _c(parsed).isNull()

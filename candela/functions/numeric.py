@@ -9,17 +9,3 @@ from pyspark.sql import functions as F
 def round_half_up(col: str | Column, places: int) -> Column:
     """Round half away from zero on the value's shortest decimal form (Spark ``round``)."""
     return F.round(F.col(col) if isinstance(col, str) else col, places)
-
-
-def mean2(a: str | Column, b: str | Column) -> Column:
-    """Mean of two values (NULL if either is NULL)."""
-    a = F.col(a) if isinstance(a, str) else a
-    b = F.col(b) if isinstance(b, str) else b
-    return (a + b) / 2
-
-
-def midpoint_ts(prev: str | Column, cur: str | Column) -> Column:
-    """``prev + (cur - prev) div 2`` in integer arithmetic."""
-    prev = F.col(prev) if isinstance(prev, str) else prev
-    cur = F.col(cur) if isinstance(cur, str) else cur
-    return prev + F.floor((cur - prev) / 2).cast("long")

@@ -37,7 +37,8 @@ def split_recipients(df: DataFrame, col: str = "email") -> tuple[DataFrame, Data
 
 # A whitespace-separated token holding an "@": the same tokens as splitting on
 # whitespace and keeping those with "@", without generating every word first.
-AT_TOKEN = r"\S*@\S*"
+# Starts only where a token starts and never goes back, so its time is linear.
+AT_TOKEN = r"(?<!\S)[^\s@]*+@\S*"
 
 
 def address_tokens(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -46,8 +47,12 @@ def address_tokens(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
     return docs.select(id_col, F.explode(found).alias("email"))
 
 
-def outbox(events: DataFrame, map_col: str = "m") -> DataFrame:
-    """Event maps -> ``(to, subject, content)`` with defaults; valid recipients only."""
+def addressed(events: DataFrame, map_col: str = "m") -> DataFrame:
+    """Event maps with ``to``, ``subject``, ``content`` (defaults filled in) and ``rejected``.
+
+    ``rejected`` is NULL for mail that can go out, ``undecodable`` where the
+    event has no map, else the reason against the recipient.
+    """
     m = F.col(map_col)
     mail = events.select(
         "*",
@@ -55,7 +60,18 @@ def outbox(events: DataFrame, map_col: str = "m") -> DataFrame:
         F.coalesce(m["subject"], F.lit(DEFAULT_SUBJECT)).alias("subject"),
         F.coalesce(m["content"], F.lit(DEFAULT_CONTENT)).alias("content"),
     )
-    return mail.filter(email_reason("to").isNull())
+    reason = F.concat(F.lit("recipient "), email_reason("to"))
+    return mail.withColumn("rejected", F.when(m.isNull(), F.lit("undecodable")).otherwise(reason))
+
+
+def outbox(events: DataFrame, map_col: str = "m") -> DataFrame:
+    """Event maps -> ``(to, subject, content)`` with defaults; valid recipients only."""
+    return addressed(events, map_col).filter(F.col("rejected").isNull()).drop("rejected")
+
+
+def rejects(events: DataFrame, map_col: str = "m") -> DataFrame:
+    """The events that ``outbox`` leaves out, with the reason in ``rejected``."""
+    return addressed(events, map_col).filter(F.col("rejected").isNotNull()).drop("to", "subject", "content")
 
 
 def decode_events(wire: DataFrame, value_col: str = "value") -> DataFrame:
@@ -74,26 +90,29 @@ def crossover_alerts(
     keys: Sequence[str] = ("symbol",),
     span: int = DEFAULT_SPAN,
     places: int = 4,
-    **kw,
+    target_rows: int = seg.TARGET_ROWS,
+    sma: str | None = None,
 ) -> DataFrame:
-    """Rows where ``close - sma`` changes sign against the previous row.
-
-    The SMA is rounded to ``places`` before the sign so that the result does not
-    hinge on the last bits of a mean.  ``direction`` is ``up`` or ``down``.
+    """Rows where ``close`` crosses its SMA: the sign of ``close - sma`` differs from the last one that was not 0.
+
+    Rows without a close, and rows on the SMA, are no crossing and are passed
+    over; the first row of a series that has a sign (not the first row of all,
+    whose SMA is its own close) only sets it.  The SMA is rounded to ``places``
+    before the sign so that the result does not hinge on the last bits of a
+    mean.  ``direction`` is ``up`` or ``down``.  ``sma``: a column that already
+    holds the SMA.
     """
     name = f"sma_{span}d"
-    s = series.indicators(bars, keys, sma_spans=[span], extra_halo=span, keep_internal=True, **kw)
-    sign = F.signum(F.col("close") - F.round(F.col(name), places))
-    w = Window.partitionBy(*keys, seg.BLK).orderBy("tstamp")
-    s = s.withColumn("_sg", sign).withColumn("_psg", F.lag("_sg").over(w))
-    hit = s.filter(~F.col(seg.HALO) & (F.col("_sg") != F.col("_psg")))
-    return hit.select(
-        *keys,
-        "tstamp",
-        "close",
-        F.round(F.col(name), places).alias(name),
-        F.when(F.col("_sg") > F.col("_psg"), "up").otherwise("down").alias("direction"),
-    )
+    s = bars if sma else series.indicators(bars, keys, sma_spans=[span], target_rows=target_rows)
+    mean = F.round(F.col(seg.q(sma or name)), places)
+    sign = F.signum(F.col("close") - mean)
+    plain = [F.col(seg.q(k)) for k in keys]
+    own = s.select(*plain, "tstamp", "close", mean.alias(name), F.when(sign != 0, sign).alias("_sign"))
+    # among rows with a sign, the row before holds the last sign
+    split = seg.split(own.filter(F.col("_sign").isNotNull()), keys, "tstamp", halo=1, target_rows=target_rows)
+    w = Window.partitionBy(*[seg.q(k) for k in keys], seg.SEG).orderBy("tstamp")
+    hit = split.withColumn("_was", F.lag("_sign").over(w)).filter(~F.col(seg.HALO) & (F.col("_sign") != F.col("_was")))
+    return hit.select(*plain, "tstamp", "close", name, F.when(F.col("_sign") > 0, "up").otherwise("down").alias("direction"))
 
 
 def alert_events(alerts: DataFrame, to: str, keys: Sequence[str] = ("symbol",)) -> DataFrame:

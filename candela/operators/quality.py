@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candela.plans import segments as seg
-from candela.schemas import INTERVAL_LIMITS, SYMBOL_MAX_LEN
+from candela.schemas import INTERVAL_LIMITS, SPAN_LIMITED, SYMBOL_MAX_LEN
 
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 
@@ -33,20 +33,20 @@ def _summary(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 
 def chronology_flags(
-    df: DataFrame, seq_col: str, ts_col: str, keys: Sequence[str] = (), width: int | None = None
+    df: DataFrame, seq_col: str, ts_col: str, keys: Sequence[str] = (), target_rows: int = seg.TARGET_ROWS
 ) -> DataFrame:
-    """Rows in ingest order ``seq_col`` with ``out_of_order`` when ``ts`` goes back in time."""
-    s = seg.sequence(df, keys, seq_col, carry=[ts_col], width=width, prev_prefix="_prev_")
-    return s.select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.coalesce(F.col(ts_col) < F.col(f"_prev_{ts_col}"), F.lit(False)).alias("out_of_order"),
-    )
+    """Rows in ingest order ``seq_col`` (an integer) with ``out_of_order`` when ``ts`` goes back in time."""
+    seg.refuse_own_names(df, ["out_of_order"])
+    s = seg.split(df, keys, seq_col, target_rows=target_rows)
+    w = Window.partitionBy(*[seg.q(k) for k in keys], seg.SEG).orderBy(seg.q(seq_col))
+    late = F.coalesce(F.col(seg.q(ts_col)) < F.lag(seg.q(ts_col)).over(w), F.lit(False))
+    return s.withColumn("out_of_order", late).filter(~F.col(seg.HALO)).select(*[F.col(seg.q(c)) for c in df.columns], "out_of_order")
 
 
 def check_chronology(
-    df: DataFrame, seq_col: str, ts_col: str, keys: Sequence[str] = (), width: int | None = None
+    df: DataFrame, seq_col: str, ts_col: str, keys: Sequence[str] = (), target_rows: int = seg.TARGET_ROWS
 ) -> DataFrame:
-    flags = chronology_flags(df, seq_col, ts_col, keys, width)
+    flags = chronology_flags(df, seq_col, ts_col, keys, target_rows)
     return _summary(flags, {"chronology": F.col("out_of_order")})
 
 
@@ -103,23 +103,27 @@ def missing_stamps(
     keys: Sequence[str] = ("symbol",),
     step: int = 86400,
     chunk: int = 4096,
-    width: int | None = None,
+    target_rows: int = seg.TARGET_ROWS,
 ) -> DataFrame:
     """Expected stamps (every ``step`` from each series' first stamp to its last)
     that are absent from the bars.
 
     Each missing stamp lies strictly between two consecutive actual stamps, so
-    one skew-safe pass with the previous stamp (``segments.sequence``, two
-    columns) plus the grid points inside each gap gives exactly the anti-join
+    one skew-safe pass with the previous stamp (``segments.split``) plus the grid points inside each gap gives exactly the anti-join
     of the full calendar with the actual stamps, without building the
     calendar or joining.  Long gaps are generated in ``chunk``-sized pieces
     spread over the cluster.  Same result as ``expected_stamps`` left-anti
     joined with the bars.
     """
     keys = list(keys)
-    s = seg.sequence(bars.select(*keys, "tstamp"), keys, "tstamp", carry=["tstamp"], series_first=True, width=width)
+    s = seg.split(bars.select(*keys, "tstamp"), keys, "tstamp", target_rows=target_rows)
+    w = Window.partitionBy(*keys, seg.SEG)
+    # the first stamp of a series that is not cut is that of its only segment
+    s = s.withColumns(
+        {"_prev": F.lag("tstamp").over(w.orderBy("tstamp")), "_lo": F.coalesce(seg.FIRST, F.min("tstamp").over(w))}
+    ).filter(~F.col(seg.HALO))
     st = int(step)
-    prev, cur, lo = F.col("prev_tstamp"), F.col("tstamp"), F.col("_first")
+    prev, cur, lo = F.col("_prev"), F.col("tstamp"), F.col("_lo")
     first = prev + st - F.pmod(prev - lo, F.lit(st))            # first grid point after prev
     last = (cur - 1) - F.pmod(cur - 1 - lo, F.lit(st))           # last grid point before cur
     gaps = s.select(*keys, first.alias("_g1"), last.alias("_g2")).filter(F.col("_g2") >= F.col("_g1"))
@@ -177,7 +181,8 @@ def validate_requests(requests: DataFrame, as_of: Column) -> DataFrame:
     """Per request ``ok`` and ``reason``.
 
     Reasons in order: ``period`` (a bound <= 0 or NULL), ``order`` (period1 >=
-    period2), ``interval`` (not a known interval), ``lookback`` (period1 older
+    period2), ``interval`` (not a known interval), ``lookback`` (for ``1m`` the
+    span of the request is limited, for the others period1 must not be older
     than the interval allows, counted back from ``as_of``).  The limits table
     is fixed at 12 rows, so it is broadcast.
     """
@@ -188,7 +193,7 @@ def validate_requests(requests: DataFrame, as_of: Column) -> DataFrame:
         F.when(p1.isNull() | p2.isNull() | (p1 <= 0) | (p2 <= 0), "period")
         .when(p1 >= p2, "order")
         .when(F.col("_iv").isNull(), "interval")
-        .when(F.col("max_lookback").isNotNull() & (as_of - p1 > F.col("max_lookback")), "lookback")
+        .when(F.when(F.col("_iv") == SPAN_LIMITED, p2 - p1).otherwise(as_of - p1) > F.col("max_lookback"), "lookback")
     )
     out = j.withColumn("reason", reason).drop("_iv", "max_lookback")
     return out.withColumn("ok", F.col("reason").isNull())

@@ -3,8 +3,9 @@
 All functions are ``DataFrame -> DataFrame`` and take ``keys`` (the columns
 naming one series, ``("symbol",)`` by default; ``()`` for a single series).
 Rows are ordered by ``tstamp`` (epoch seconds, unique within a series).
-Execution is skew-safe (see ``candela.plans.segments``): no window is ever
-partitioned by the series key alone.
+Windows run over (keys, segment) with a halo (see ``candela.plans.segments``):
+one shuffle of the rows, one plan at every size, no window over a whole long
+series.  ``target_rows`` is the segment size aimed at.
 """
 
 from __future__ import annotations
@@ -15,14 +16,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.plans import segments as seg
+from candela.plans.segments import HALO, NON_FINITE, PREFIX, SEG
 from candela.schemas import BAR_COLS, DAY_SECONDS, DEFAULT_SPAN, PRICE_COLS
 
 _UNB = Window.unboundedPreceding
 _CUR = Window.currentRow
-
-
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+_q = seg.q
+#: Stamp of the row that a midpoint was made for; its own for any other row.
+_AT = PREFIX + "at"
+_PREV = PREFIX + "prev_"
 
 
 def _fill_nulls(df: DataFrame, fill: float | None) -> DataFrame:
@@ -37,41 +39,40 @@ def _fill_nulls(df: DataFrame, fill: float | None) -> DataFrame:
     )
 
 
-def _expand(
-    df: DataFrame, keep: Sequence[str], max_gap: int, copy: Sequence[str] = (), prefix: str = "prev_"
-) -> DataFrame:
+def _lagged(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    """The bar columns of the previous row of the series, NULL on its first."""
+    w = Window.partitionBy(*[_q(k) for k in keys], SEG).orderBy("tstamp")
+    return df.withColumns({f"{prefix}{c}": F.lag(F.col(c)).over(w) for c in BAR_COLS})
+
+
+def _expand(df: DataFrame, columns: Sequence[str], same: Sequence[str], max_gap: int) -> DataFrame:
     """Add one midpoint row before every row whose gap to its predecessor exceeds max_gap.
 
-    Needs ``prev_<c>`` for the six bar columns.  Midpoint: tstamp
-    ``prev + diff div 2``, prices the mean of both rows, volume 0.  Columns in
-    ``copy`` (the keys) and internal ``_`` columns are copied from the current
-    row onto the midpoint; other columns are NULL there.
+    Needs the previous bar columns.  Midpoint: tstamp ``prev + diff div 2``,
+    prices the mean of both rows, volume 0.  Columns in ``same`` (the keys and
+    the package's own) are copied from the current row onto the midpoint; other
+    columns are NULL there.
     """
-    diff = F.col("tstamp") - F.col(f"{prefix}tstamp")
-    mid_fields: list[Column] = []
-    real_fields: list[Column] = []
+    diff = F.col("tstamp") - F.col(f"{_PREV}tstamp")
     types = dict(df.dtypes)
-    # Keys and internal columns are equal on both rows: they stay outside the
-    # generator, so the hash partitioning on them survives it (no new exchange).
-    same = [c for c in keep if c.startswith("_") or c in copy]
-    for c in keep:
+    real, mid = [F.col("tstamp").alias(_AT)], [F.col("tstamp").alias(_AT)]
+    # What is equal on both rows stays outside the generator, so the hash
+    # partitioning on it survives (no new exchange).
+    for c in columns:
         if c in same:
             continue
-        real_fields.append(F.col(_q(c)).alias(c))
+        real.append(F.col(_q(c)).alias(c))
         if c == "tstamp":
-            m = F.col(f"{prefix}tstamp") + F.expr(f"(tstamp - {prefix}tstamp) div 2")
+            m = F.col(f"{_PREV}tstamp") + F.expr(f"(tstamp - {_PREV}tstamp) div 2")
         elif c in PRICE_COLS:
-            m = (F.col(c) + F.col(f"{prefix}{c}")) / 2
+            m = (F.col(c) + F.col(f"{_PREV}{c}")) / 2
         elif c == "volume":
             m = F.lit(0).cast("long")
         else:
             m = F.lit(None).cast(types[c])
-        mid_fields.append(m.alias(c))
-    rows = F.when(diff > max_gap, F.array(F.struct(*mid_fields), F.struct(*real_fields))).otherwise(
-        F.array(F.struct(*real_fields))
-    )
-    out = df.select(*[F.col(_q(c)) for c in same], F.inline(rows))
-    return out.select(*[F.col(_q(c)) for c in keep])
+        mid.append(m.alias(c))
+    rows = F.when(diff > max_gap, F.array(F.struct(*mid), F.struct(*real))).otherwise(F.array(F.struct(*real)))
+    return df.select(*[F.col(_q(c)) for c in same], F.inline(rows))
 
 
 def interpolate(
@@ -80,20 +81,16 @@ def interpolate(
     *,
     max_gap: int = DAY_SECONDS,
     null_fill: float | None = None,
-    width: int | None = None,
+    target_rows: int = seg.TARGET_ROWS,
 ) -> DataFrame:
-    """Midpoint gap fill (one Spark shuffle, by (keys, segment)).
+    """Midpoint gap fill (one shuffle of the rows, by (keys, segment)).
 
     A row whose distance to the previous row of its series is strictly greater
     than ``max_gap`` gets one extra row at ``prev + diff div 2`` with averaged
-    prices and volume 0.  The first row never gets one.  Key and other columns
-    pass through.
+    prices and volume 0.  The first row never gets one.  Keys are copied onto
+    it, other columns are NULL there.
     """
-    keys = tuple(keys)
-    src = _fill_nulls(df, null_fill)
-    user_cols = [c for c in src.columns]
-    s = seg.sequence(src, keys, "tstamp", carry=BAR_COLS, width=width)
-    return _expand(s, user_cols, max_gap, copy=keys)
+    return indicators(df, keys, fill_gaps=True, max_gap=max_gap, null_fill=null_fill, target_rows=target_rows)
 
 
 def gap_diff(
@@ -101,10 +98,11 @@ def gap_diff(
     keys: Sequence[str] = ("symbol",),
     *,
     max_gap: int = DAY_SECONDS,
-    width: int | None = None,
+    target_rows: int = seg.TARGET_ROWS,
 ) -> DataFrame:
     """Previous-row values, ``diff = tstamp - prev_tstamp`` and the gap flag."""
-    s = seg.sequence(df, keys, "tstamp", carry=BAR_COLS, width=width)
+    seg.refuse_own_names(df, [*[f"prev_{c}" for c in BAR_COLS], "diff", "is_gap"])
+    s = _lagged(seg.split(df, keys, "tstamp", target_rows=target_rows), keys, "prev_").filter(~F.col(HALO))
     return s.select(
         *[F.col(_q(c)) for c in df.columns],
         *[F.col(f"prev_{c}") for c in BAR_COLS],
@@ -113,34 +111,78 @@ def gap_diff(
     )
 
 
-def _ema_column(df: DataFrame, keys: Sequence[str], span: int, column: str, name: str) -> DataFrame:
-    """EMA with seed 0.0 over the rows of each (keys, _blk) partition, ordered by tstamp.
+def _emas(df: DataFrame, keys: Sequence[str], spans: Sequence[int], column: str) -> DataFrame:
+    """EMA columns with seed 0.0 over the rows of each (keys, segment), ordered by tstamp.
 
-    ``ema_n = a*c_n + (1-a)*ema_{n-1}`` over non-null values; a NULL row repeats the
-    previous value.  Linear form: inside sub-blocks of B non-null values,
-    ``L = b^j * sum(a*c_i*b^-i)`` is a running sum; the previous sub-block
-    enters as ``b^(j+1) * L_last``.  Older sub-blocks weigh < 1e-200.
+    ``ema_n = a*c_n + (1-a)*ema_{n-1}`` over non-null values; a NULL row repeats
+    the previous value.  Linear form: in blocks of B non-null values (the same
+    blocks for all spans, small enough that no weight falls below 1e-300),
+    ``L = b^j * sum(a*c_i*b^-i)`` is a running sum, taken relative to the
+    block's largest value (its power of two) so that nothing overflows; the two blocks before
+    enter with their weights, and what is older weighs nothing in doubles.
+    A value that is not finite stays in the EMA for good: that state comes from
+    the rows of the segment or, for earlier ones, from the counting pass.
     """
-    a = 2.0 / (span + 1)
-    b = 1.0 - a
-    wp = Window.partitionBy(*keys, seg.BLK).orderBy("tstamp")
-    if b <= 0.0:
-        return df.withColumn(
-            name,
-            F.coalesce(F.last(column, ignorenulls=True).over(wp.rowsBetween(_UNB, _CUR)), F.lit(0.0)),
+    own = [_q(k) for k in keys]
+    wp = Window.partitionBy(*own, SEG).orderBy("tstamp")
+    running = wp.rowsBetween(_UNB, _CUR)
+    nan, pos, neg = seg.non_finite(column)
+    seen = {}
+    for name, here in zip(NON_FINITE, (nan, pos, neg)):
+        before = F.coalesce(F.col(name) <= F.col(_AT), F.lit(False))
+        seen[name] = before | F.coalesce(F.max(here).over(running), F.lit(False))
+    n, sub, j, top, bad, c = (PREFIX + x for x in ("n", "sub", "j", "top", "bad", "c"))
+    inf = float("inf")
+    spans_b = [s for s in spans if s > 1]
+    size = min([seg.ema_block(s) for s in spans_b], default=1)
+    d = df.withColumns(
+        {
+            n: F.count(_q(column)).over(running) - 1,
+            c: F.when(~(nan | pos | neg), F.col(_q(column)).cast("double")).otherwise(F.when(F.col(_q(column)).isNotNull(), F.lit(0.0))),
+            bad: F.when(seen[NON_FINITE[0]] | (seen[NON_FINITE[1]] & seen[NON_FINITE[2]]), F.lit(float("nan")))
+            .when(seen[NON_FINITE[1]], F.lit(inf))
+            .when(seen[NON_FINITE[2]], F.lit(-inf)),
+        }
+    )
+    out = {}
+    if 1 in spans:
+        # weight 0 on the past: 0 * inf is NaN, so any value after one that is not finite is NaN
+        was = F.lag(bad).over(wp)
+        value = F.last(F.col(_q(column)).cast("double"), ignorenulls=True).over(running)
+        out["ema_1d"] = F.when(was.isNotNull(), F.when(F.col(_q(column)).isNull(), was).otherwise(F.lit(float("nan")))).otherwise(F.coalesce(value, F.lit(0.0)))
+        d = d.withColumn(PREFIX + "ema_1", out["ema_1d"])
+    if spans_b:
+        d = d.withColumn(sub, F.expr(f"greatest({n}, 0) div {size}"))
+        d = d.withColumn(j, F.expr(f"greatest({n}, 0) - {sub} * {size}"))
+        ws = Window.partitionBy(*own, SEG, sub).orderBy("tstamp")
+        most = F.max(F.abs(F.col(c))).over(ws.rowsBetween(_UNB, Window.unboundedFollowing))
+        # a power of two, so that scaling rounds nothing
+        d = d.withColumn(top, F.when(most > 0, F.pow(F.lit(2.0), F.floor(F.log2(most)))))
+        scaled = F.col(c) / F.col(top)
+        local = {}
+        for s in spans_b:
+            a, b = 2.0 / (s + 1), 1.0 - 2.0 / (s + 1)
+            total = F.sum(F.lit(a) * scaled * F.pow(F.lit(b), -F.col(j))).over(ws.rowsBetween(_UNB, _CUR))
+            local[PREFIX + f"l{s}"] = F.coalesce(total * F.pow(F.lit(b), F.col(j)) * F.col(top), F.lit(0.0))
+        d = d.withColumns(local)
+        wc = Window.partitionBy(*own, SEG).orderBy(sub)
+        d = d.withColumns(
+            {
+                PREFIX + f"p{s}_{k}": F.coalesce(F.max_by(PREFIX + f"l{s}", n).over(wc.rangeBetween(-k, -k)), F.lit(0.0))
+                for s in spans_b
+                for k in (1, 2)
+            }
         )
-    bs = seg.ema_block_rows(span)
-    n, sub, j, lv, pv = "_e_n", "_e_sub", "_e_j", "_e_l", "_e_p"
-    d = df.withColumn(n, F.count(column).over(wp.rowsBetween(_UNB, _CUR)) - 1)
-    d = d.withColumn(sub, F.expr(f"greatest({n}, 0) div {bs}"))
-    d = d.withColumn(j, F.expr(f"greatest({n}, 0) - {sub} * {bs}"))
-    ws = Window.partitionBy(*keys, seg.BLK, sub).orderBy("tstamp").rowsBetween(_UNB, _CUR)
-    term = F.lit(a) * F.col(column) * F.pow(F.lit(b), -F.col(j))
-    d = d.withColumn(lv, F.coalesce(F.sum(term).over(ws), F.lit(0.0)) * F.pow(F.lit(b), F.col(j)))
-    wc = Window.partitionBy(*keys, seg.BLK).orderBy(sub).rangeBetween(-1, -1)
-    d = d.withColumn(pv, F.max_by(lv, n).over(wc))
-    d = d.withColumn(name, F.col(lv) + F.pow(F.lit(b), F.col(j) + 1) * F.coalesce(F.col(pv), F.lit(0.0)))
-    return d.drop(n, sub, j, lv, pv)
+    final = {}
+    for s in spans:
+        if s == 1:
+            final["ema_1d"] = F.col(PREFIX + "ema_1")
+            continue
+        b = 1.0 - 2.0 / (s + 1)
+        past = F.col(PREFIX + f"p{s}_1") + F.pow(F.lit(b), F.lit(size)) * F.col(PREFIX + f"p{s}_2")
+        value = F.col(PREFIX + f"l{s}") + F.pow(F.lit(b), F.col(j) + 1) * past
+        final[f"ema_{s}d"] = F.coalesce(F.col(bad), value)
+    return d.withColumns(final)
 
 
 def indicators(
@@ -153,28 +195,18 @@ def indicators(
     column: str = "close",
     max_gap: int = DAY_SECONDS,
     null_fill: float | None = None,
-    width: int | None = None,
-    block_rows: int | None = None,
-    segment_rows: int = seg.TARGET_SEGMENT_ROWS,
-    extra_halo: int = 0,
-    keep_internal: bool = False,
+    target_rows: int = seg.TARGET_ROWS,
     materialize: bool = False,
 ) -> DataFrame:
-    """Optional gap fill, then EMA and SMA columns, in two shuffles total.
+    """Optional gap fill, then EMA and SMA columns, in one shuffle of the rows.
 
     Adds ``ema_{span}d`` (in ``ema_spans`` order) then ``sma_{span}d``.  Spans
     count rows; invented midpoint rows count too, as in the source chain.
 
-    Plan: when no series exceeds ``block_rows`` rows (checked first), one
-    window per series after one shuffle.  Otherwise rows move by (keys, time
-    segment of about ``segment_rows`` rows) and then by (keys, block of
-    ``block_rows`` positions) with halos; see ``candela.plans.segments``.
-
-    The plan reads its input up to three times (size check, segment summary,
-    rows).  For an input that is itself an expensive computation,
-    ``materialize=True`` writes it once with a reliable ``checkpoint()`` into
-    the session's checkpoint directory (shared storage on a cluster) and reads
-    that instead.
+    The plan reads its input twice (counting pass, rows).  For an input that is
+    itself an expensive computation, ``materialize=True`` writes it once with a
+    reliable ``checkpoint()`` into the session's checkpoint directory (shared
+    storage on a cluster) and reads that instead.
     """
     keys = tuple(keys)
     for s in [*ema_spans, *sma_spans]:
@@ -186,37 +218,25 @@ def indicators(
 
         ensure_checkpoint_dir(src.sparkSession)
         src = src.checkpoint(eager=True)
-    user_cols = list(src.columns)
-    halo = max([s - 1 for s in sma_spans] + [1 if fill_gaps else 0, extra_halo])
-    nn_halo = max([seg.ema_halo(s) for s in ema_spans], default=0)
-    # the row halo must fit in the one block before: blocks hold at least as many rows
-    k = max(int(block_rows or seg.BLOCK_ROWS), halo, 1)
-    s1 = seg.sequence(
-        src,
-        keys,
-        "tstamp",
-        carry=BAR_COLS if fill_gaps else (),
-        count_col=column if ema_spans else None,
-        width=width,
-        target_rows=segment_rows,
-        block_rows=k,
-        reach_nn=nn_halo,
-    )
-    s2 = seg.spread(s1, block_rows=k, halo_rows=halo)
+    new = [f"ema_{s}d" for s in ema_spans] + [f"sma_{s}d" for s in sma_spans]
+    seg.refuse_own_names(src, new)
+    # a midpoint needs the row before it: one row more
+    rows = max([s - 1 for s in sma_spans], default=0) + 1
+    halo = max([rows, *[seg.ema_context(s) + 1 for s in ema_spans]])
+    counted = column if ema_spans else None
+    out = seg.split(src, keys, "tstamp", halo=halo, count_col=counted, target_rows=target_rows)
+    same = [*keys, SEG, HALO, *(NON_FINITE if counted else ())]
     if fill_gaps:
-        s2 = _expand(s2, [*user_cols, seg.BLK, seg.HALO, seg.POS], max_gap, copy=keys)
-    out = s2
-    # SMA first: its window shares the (keys, _blk, tstamp) sort with the EMA's
-    # running count, so the two land in one Window operator.
-    wp = Window.partitionBy(*keys, seg.BLK).orderBy("tstamp")
-    for s in sma_spans:
-        out = out.withColumn(f"sma_{s}d", F.avg(column).over(wp.rowsBetween(-(s - 1), _CUR)))
-    for s in ema_spans:
-        out = _ema_column(out, keys, s, column, f"ema_{s}d")
-    if keep_internal:
-        return out
-    new_cols = [f"ema_{s}d" for s in ema_spans] + [f"sma_{s}d" for s in sma_spans]
-    return out.filter(~F.col(seg.HALO)).select(*[F.col(_q(c)) for c in user_cols], *new_cols)
+        out = _expand(_lagged(out, keys, _PREV), src.columns, same, max_gap)
+    else:
+        out = out.withColumn(_AT, F.col("tstamp"))
+    # SMA first: its window shares the sort with the EMA's running count.
+    wp = Window.partitionBy(*[_q(k) for k in keys], SEG).orderBy("tstamp")
+    if sma_spans:
+        out = out.withColumns({f"sma_{s}d": F.avg(column).over(wp.rowsBetween(-(s - 1), _CUR)) for s in sma_spans})
+    if ema_spans:
+        out = _emas(out, keys, list(dict.fromkeys(ema_spans)), column)
+    return out.filter(~F.col(HALO)).select(*[F.col(_q(c)) for c in src.columns], *new)
 
 
 def sma(df: DataFrame, keys: Sequence[str] = ("symbol",), span: int = DEFAULT_SPAN, **kw) -> DataFrame:
@@ -241,44 +261,37 @@ def running_close(
     keys: Sequence[str] = ("symbol",),
     *,
     column: str = "close",
-    width: int | None = None,
+    target_rows: int = seg.TARGET_ROWS,
 ) -> DataFrame:
-    """Summary of the running list of non-null closes: its length, first and last element."""
-    keys = list(keys)
-    width = seg.choose_width(df, keys, "tstamp", width=width)
-    if width is None:
-        w = Window.partitionBy(*keys).orderBy("tstamp").rowsBetween(_UNB, _CUR)
-        return df.select(
-            *[F.col(_q(c)) for c in df.columns],
-            F.count(column).over(w).alias("n_closes"),
-            F.first(column, ignorenulls=True).over(w).alias("first_close"),
-            F.last(column, ignorenulls=True).over(w).alias("last_close"),
-        )
-    d, pk = seg.null_safe_keys(df, keys)
-    d = d.withColumn(seg.SEG, seg.segment_id("tstamp", width))
-    nonnull = F.col(_q(column)).isNotNull()
-    # NULL stamps order first, as in the whole-series window
-    order = F.coalesce(F.col("tstamp"), F.lit(-(2**63)).cast("long"))
-    summary = d.groupBy(*pk, seg.SEG).agg(
-        F.count(column).alias("_nn"),
-        F.min_by(F.col(_q(column)), F.when(nonnull, order)).alias("_f"),
-        F.max_by(F.col(_q(column)), F.when(nonnull, order)).alias("_l"),
+    """Summary of the running list of non-null closes: its length, first and last element.
+
+    Each segment's own summary, rolled up over the segments before it, is
+    joined to the segment's rows (one row a segment, on their partitioning).
+    """
+    seg.refuse_own_names(df, ["n_closes", "first_close", "last_close"])
+    rows = seg.split(df, keys, "tstamp", halo=0, target_rows=target_rows).filter(~F.col(HALO))
+    own = [f"{PREFIX}g{i}" for i in range(2 * len(keys))]
+    for i, k in enumerate(keys):
+        # null-safe and plain: the window after the join needs no new exchange
+        rows = rows.withColumns({own[2 * i]: F.col(_q(k)).isNull(), own[2 * i + 1]: F.coalesce(F.col(_q(k)).cast("string"), F.lit(""))})
+    order = F.when(F.col(_q(column)).isNotNull(), F.coalesce(F.col("tstamp"), F.lit(-(2**63)).cast("long")))
+    nn, first, last, n0, f0, l0 = (PREFIX + x for x in ("nn", "f", "l", "n0", "f0", "l0"))
+    summary = rows.groupBy(*own, SEG).agg(
+        F.count(column).alias(nn), F.min_by(F.col(_q(column)), order).alias(first), F.max_by(F.col(_q(column)), order).alias(last)
     )
-    before = Window.partitionBy(*pk).orderBy(seg.SEG).rowsBetween(_UNB, -1)
-    summary = summary.select(
-        *pk,
-        seg.SEG,
-        F.coalesce(F.sum("_nn").over(before), F.lit(0)).alias("_nn0"),
-        F.first("_f", ignorenulls=True).over(before).alias("_f0"),
-        F.last("_l", ignorenulls=True).over(before).alias("_l0"),
-    ).hint("shuffle_hash")
-    j = d.join(summary, on=[*pk, seg.SEG], how="inner")
-    w = Window.partitionBy(*pk, seg.SEG).orderBy("tstamp").rowsBetween(_UNB, _CUR)
-    return j.select(
+    before = Window.partitionBy(*own).orderBy(SEG).rowsBetween(_UNB, -1)
+    rolled = summary.select(
+        *own, SEG,
+        F.coalesce(F.sum(nn).over(before), F.lit(0)).alias(n0),
+        F.first(first, ignorenulls=True).over(before).alias(f0),
+        F.last(last, ignorenulls=True).over(before).alias(l0),
+    ).hint("shuffle_hash")
+    w = Window.partitionBy(*own, SEG).orderBy("tstamp").rowsBetween(_UNB, _CUR)
+    return rows.join(rolled, [*own, SEG]).select(
         *[F.col(_q(c)) for c in df.columns],
-        (F.col("_nn0") + F.count(column).over(w)).alias("n_closes"),
-        F.coalesce(F.col("_f0"), F.first(column, ignorenulls=True).over(w)).alias("first_close"),
-        F.coalesce(F.last(column, ignorenulls=True).over(w), F.col("_l0")).alias("last_close"),
+        (F.col(n0) + F.count(column).over(w)).alias("n_closes"),
+        F.coalesce(F.col(f0), F.first(column, ignorenulls=True).over(w)).alias("first_close"),
+        F.coalesce(F.last(column, ignorenulls=True).over(w), F.col(l0)).alias("last_close"),
     )
 
 

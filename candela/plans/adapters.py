@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candela.schemas import V7_HEADER, VALID_RANGES
+
 
 def epoch_seconds(col: str | Column) -> Column:
     """Epoch seconds of a TIMESTAMP_NTZ (wall clock read as UTC), independent of the session zone."""
@@ -44,35 +46,38 @@ def bars_from_orders(orders: DataFrame) -> DataFrame:
 
 def bars_from_lineitem(lineitem: DataFrame) -> DataFrame:
     # (l_orderkey, l_linenumber) is not unique, so open/close take the price
-    # of the smallest/largest (orderkey, linenumber, price) triple: first the
-    # price range per (orderkey, linenumber), then min_by/max_by on that pair,
-    # which is unique there.  Both steps are hash aggregations.
-    pair = F.col("l_orderkey") * 1024 + F.col("l_linenumber")
-    per_line = (
+    # of the smallest/largest (orderkey, linenumber, price) triple.
+    line = F.struct(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_extendedprice").alias("price"))
+    return (
         lineitem.select(
             F.col("l_suppkey").cast("string").alias("symbol"),
             epoch_seconds("l_shipdate").alias("tstamp"),
-            pair.alias("line"),
             "l_extendedprice",
+            line.alias("line"),
         )
-        .groupBy("symbol", "tstamp", "line")
+        .groupBy("symbol", "tstamp")
         .agg(
-            F.min("l_extendedprice").alias("lo"),
-            F.max("l_extendedprice").alias("hi"),
-            F.count(F.lit(1)).alias("n"),
+            F.max("l_extendedprice").alias("high"),
+            F.min("l_extendedprice").alias("low"),
+            F.min("line")["price"].alias("open"),
+            F.max("line")["price"].alias("close"),
+            F.count(F.lit(1)).alias("volume"),
         )
     )
-    return per_line.groupBy("symbol", "tstamp").agg(
-        F.max("hi").alias("high"),
-        F.min("lo").alias("low"),
-        F.min_by("lo", "line").alias("open"),
-        F.max_by("hi", "line").alias("close"),
-        F.sum("n").alias("volume"),
-    )
 
 
-def orders_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bars_from_orders(table(spark, sf_dir, "orders"))
+def orders_bars(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None) -> DataFrame:
+    """Bars of ``orders``; ``days``: of the dates from the first up to, not including, the second (a filter on the scan)."""
+    orders = table(spark, sf_dir, "orders")
+    if days:
+        first, end = (F.lit(d).cast("timestamp_ntz") for d in days)
+        orders = orders.filter((F.col("o_orderdate") >= first) & (F.col("o_orderdate") < end))
+    return bars_from_orders(orders)
+
+
+def uneven(bars: DataFrame) -> DataFrame:
+    """Bars with prices divided by 7: rounding them to three or four places is no no-op."""
+    return bars.withColumns({c: F.col(c) / 7 for c in ("high", "low", "open", "close")})
 
 
 def lineitem_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,3 +116,98 @@ def hot_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         "high", "low", "open", "close", "volume",
     )
     return b.unionByName(hot)
+
+
+HOT_BARS_SQL = f"""
+WITH b AS ({LINEITEM_BARS_SQL})
+SELECT * FROM b
+UNION ALL
+SELECT 'HOT', tstamp * 10000 + CAST(symbol AS BIGINT), high, low, "open", "close", volume FROM b
+"""
+
+
+# ---------------------------------------------------------------------------
+# Landed responses made from bars, to feed the parsers from real tables
+# ---------------------------------------------------------------------------
+
+
+def _day(tstamp):
+    """Calendar day (UTC) of epoch seconds, without the session time zone."""
+    return F.date_from_unix_date(F.floor(tstamp / 86400).cast("int"))
+
+
+def _per_period(bars: DataFrame, period_days: int | None = None) -> DataFrame:
+    """One row per (symbol, calendar year), or per (symbol, ``period_days`` window), arrays sorted by tstamp."""
+    if period_days:
+        period = F.floor(F.col("tstamp") / (86400 * int(period_days)))
+    else:
+        period = F.year(_day(F.col("tstamp")))
+    row = F.struct("tstamp", "high", "low", "open", "close", "volume")
+    return bars.groupBy("symbol", period.alias("year")).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+
+
+def v8_payloads(bars: DataFrame, api_version: str = "v8", period_days: int | None = None) -> DataFrame:
+    """Bars -> JSON chart payloads, one per (symbol, year) or per ``period_days``."""
+    y = _per_period(bars, period_days)
+    quote = F.struct(
+        F.col("rows.high").alias("high"),
+        F.col("rows.low").alias("low"),
+        F.col("rows.open").alias("open"),
+        F.col("rows.close").alias("close"),
+        F.col("rows.volume").alias("volume"),
+    )
+    first_ts = F.element_at("rows", 1)["tstamp"]
+    last_ts = F.element_at("rows", -1)["tstamp"]
+    period = F.struct(
+        F.lit("UTC").alias("timezone"),
+        last_ts.alias("end"),
+        first_ts.alias("start"),
+        F.lit(0).alias("gmtoffset"),
+    )
+    meta = F.struct(
+        F.col("symbol").alias("symbol"),
+        F.lit("USD").alias("currency"),
+        first_ts.alias("firstTradeDate"),
+        F.lit(False).alias("hasPrePostMarketData"),
+        F.element_at("rows", -1)["close"].alias("regularMarketPrice"),
+        F.struct(period.alias("regular")).alias("currentTradingPeriod"),
+        F.lit("1d").alias("dataGranularity"),
+        F.array(*[F.lit(r) for r in VALID_RANGES]).alias("validRanges"),
+    )
+    result = F.struct(
+        meta.alias("meta"),
+        F.col("rows.tstamp").alias("timestamp"),
+        F.struct(F.array(quote).alias("quote")).alias("indicators"),
+    )
+    body = F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart")))
+    return y.select(
+        "symbol", F.lit(200).alias("status"), F.lit(api_version).alias("api_version"), body.alias("body")
+    )
+
+
+def v7_payloads(bars: DataFrame, api_version: str = "v7", period_days: int | None = None) -> DataFrame:
+    """Bars -> CSV download payloads (header + one line per bar), one per (symbol, year)."""
+    y = _per_period(bars, period_days)
+    header = F.lit(V7_HEADER)
+
+    def cell(c: Column) -> Column:
+        # a missing value is written as null (concat_ws would drop it and shift the cells)
+        return F.coalesce(c.cast("string"), F.lit("null"))
+
+    line = F.transform(
+        "rows",
+        lambda r: F.concat_ws(
+            ",",
+            cell(_day(r["tstamp"])),
+            cell(r["open"]),
+            cell(r["high"]),
+            cell(r["low"]),
+            cell(r["close"]),
+            cell(r["close"]),
+            cell(r["volume"]),
+        ),
+    )
+    body = F.concat_ws("\n", F.concat(F.array(header), line))
+    return y.select(
+        "symbol", F.lit(200).alias("status"), F.lit(api_version).alias("api_version"), body.alias("body")
+    )

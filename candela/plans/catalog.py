@@ -18,6 +18,7 @@ from candela.functions.numeric import round_half_up
 from candela.operators import notify, quality, series
 from candela.plans import jobs
 from candela.plans.adapters import (
+    HOT_BARS_SQL,
     LINEITEM_BARS_SQL,
     ORDERS_BARS_SQL,
     epoch_seconds,
@@ -25,8 +26,11 @@ from candela.plans.adapters import (
     lineitem_bars,
     orders_bars,
     table,
+    uneven,
+    v7_payloads,
+    v8_payloads,
 )
-from candela.schemas import VALID_RANGES
+from candela.schemas import EVENT_WIRE, VALID_RANGES
 from candela.session import ensure_checkpoint_dir
 from candela.sources import metadata, payloads, scans, sinks
 from candela.streaming import events as streams
@@ -36,15 +40,19 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 RANGE_SYMBOL = "3-MEDIUM"
 RANGE_P1 = 820454400  # 1996-01-01
 RANGE_P2 = 852076800  # 1997-01-01
+RANGE_DAYS = ("1996-01-01", "1997-01-01")
 FUTURE_AS_OF = "2024-01-25 00:00:00"
+HOT_MAX_GAP = 86400 * 10000
 REQUEST_AS_OF = 1706745600  # 2024-02-01
 REQUEST_INTERVALS = ["1m", "2m", "5m", "15m", "30m", "90m", "1h", "1d", "5d", "1wk", "1mo", "3mo", "2h"]
 
 _EMA_SQL = (
     "list_reduce(list(\"close\") OVER (PARTITION BY symbol ORDER BY tstamp "
-    "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
+    "ROWS BETWEEN {rows} PRECEDING AND CURRENT ROW), "
     "lambda p, c: {a} * c + (1 - {a}) * p, 0.0::DOUBLE)"
 )
+# Older values weigh less than 1e-34 at span 10: below the last bit of the sum.
+_EMA_400 = _EMA_SQL.format(a="(2.0 / 11)", rows="400")
 # Sum the frame front to back, as Spark's sliding row frame does, then divide
 # by the count: same additions in the same order, so the same bits.
 _SMA_FRAME = "OVER (PARTITION BY symbol ORDER BY tstamp ROWS BETWEEN {p} PRECEDING AND CURRENT ROW)"
@@ -54,7 +62,7 @@ _SMA_SQL = (
 
 
 def _ema_sql(span: int) -> str:
-    return _EMA_SQL.format(a=f"(2.0 / {span + 1})")
+    return _EMA_SQL.format(a=f"(2.0 / {span + 1})", rows="UNBOUNDED")
 
 
 def _sma_sql(span: int) -> str:
@@ -95,7 +103,7 @@ def q_load_symbol_large(spark: SparkSession, sf: str) -> DataFrame:
     return _r4(series.load_symbol_chain(lineitem_bars(spark, sf)), "ema_10d", "sma_10d")
 
 
-def _filled_sql(bars_sql: str) -> str:
+def _filled_sql(bars_sql: str, max_gap: int = 86400) -> str:
     return f"""
 WITH bars AS ({bars_sql}),
 prev AS (
@@ -107,16 +115,16 @@ filled AS (
   UNION ALL
   SELECT symbol, p_t + (tstamp - p_t) // 2, (high + p_h) / 2, (low + p_l) / 2,
          ("open" + p_o) / 2, ("close" + p_c) / 2, CAST(0 AS BIGINT)
-  FROM prev WHERE tstamp - p_t > 86400)
+  FROM prev WHERE tstamp - p_t > {max_gap})
 """
 
 
-def _chain_sql(bars_sql: str) -> str:
+def _chain_sql(bars_sql: str, max_gap: int = 86400, ema: str | None = None) -> str:
     return (
-        _filled_sql(bars_sql)
+        _filled_sql(bars_sql, max_gap)
         + f"""
 SELECT symbol, tstamp, high, low, "open", "close", volume,
-       {_q4(_ema_sql(10))} AS ema_10d,
+       {_q4(ema or _ema_sql(10))} AS ema_10d,
        {_q4(_sma_sql(10))} AS sma_10d
 FROM filled
 """
@@ -146,23 +154,15 @@ def _q_ema(span: int) -> QueryFn:
     return run
 
 
-HOT_BLOCK_ROWS = 1 << 16
+HOT_TARGET_ROWS = 1 << 12
 
 
 def q_load_symbol_hot(spark: SparkSession, sf: str) -> DataFrame:
     """The chain over a table where one series holds half of all rows.
 
-    Segments and blocks of 2^16 rows make the hot series take the segmented
-    plan at this scale (the whole-series plan is allowed only up to one block).  No SQL
-    oracle: the list fold over one 10^5-row series is quadratic in DuckDB;
-    tests compare this plan with the whole-series plan instead.  The input
-    (two aggregations of lineitem) is checkpointed once, since the segmented
-    plan reads it three times.
+    Segments of 2^12 rows cut the hot series into many at every scale here.
     """
-    out = series.load_symbol_chain(
-        hot_bars(spark, sf), max_gap=86400 * 10000, block_rows=HOT_BLOCK_ROWS, segment_rows=HOT_BLOCK_ROWS,
-        materialize=True,
-    )
+    out = series.load_symbol_chain(hot_bars(spark, sf), max_gap=HOT_MAX_GAP, target_rows=HOT_TARGET_ROWS)
     return _r4(out, "ema_10d", "sma_10d")
 
 
@@ -183,7 +183,7 @@ def q_running_close(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_symbol_range_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return scans.symbol_range_scan(orders_bars(spark, sf), RANGE_SYMBOL, RANGE_P1, RANGE_P2)
+    return scans.symbol_range_scan(orders_bars(spark, sf, RANGE_DAYS), RANGE_SYMBOL, RANGE_P1, RANGE_P2)
 
 
 def _requests(bars: DataFrame) -> DataFrame:
@@ -209,7 +209,7 @@ def q_request_batch_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_request_batch_scan_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     bars = orders_bars(spark, sf)
-    return scans.request_scan(bars, _requests(bars), broadcast_limit=0).select(
+    return scans.request_scan(bars, _requests(bars), target_rows=64).select(
         "request_id", "symbol", "tstamp", "high", "low", "open", "close", "volume"
     )
 
@@ -252,6 +252,19 @@ def q_symbol_universe(spark: SparkSession, sf: str) -> DataFrame:
     return scans.read_symbols_csv(spark, path)
 
 
+def q_symbol_universe_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Symbols of the bars written as one JSON document and read back through the universe reader."""
+    path = _scratch(spark, "symbols-json")
+    syms = orders_bars(spark, sf).select("symbol").distinct()
+    syms.agg(F.collect_set("symbol").alias("symbols")).coalesce(1).write.json(path)
+    return scans.read_symbols_json(spark, path)
+
+
+def q_empty_bars(spark: SparkSession, sf: str) -> DataFrame:
+    """The typed empty frame, as the start of a union with the bars."""
+    return scans.empty_bars(spark).unionByName(orders_bars(spark, sf))
+
+
 def q_write_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     """Write bars partitioned by symbol, overwrite one symbol again, read back."""
     bars = orders_bars(spark, sf)
@@ -268,32 +281,46 @@ def q_write_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_payload_v8(spark: SparkSession, sf: str) -> DataFrame:
-    return payloads.parse_v8(payloads.v8_payloads(orders_bars(spark, sf)))
+    return payloads.parse_v8(v8_payloads(uneven(orders_bars(spark, sf))))
 
 
 def q_payload_v7(spark: SparkSession, sf: str) -> DataFrame:
-    return payloads.parse_v7(payloads.v7_payloads(orders_bars(spark, sf)))
+    return payloads.parse_v7(v7_payloads(uneven(orders_bars(spark, sf))))
 
 
 def _mixed_payloads(bars: DataFrame) -> DataFrame:
-    """v8 for two symbols, v7 for two, an unknown version for one; status 404 for 1998."""
-    v8 = payloads.v8_payloads(bars.filter(F.col("symbol").isin("1-URGENT", "2-HIGH", "5-LOW")))
+    """v8 for three symbols (of which one says v9), v7 for all others; status 404 for 1998; broken bodies for 1993 to 1996.
+
+    The broken ones: a v7 page of HTML, a v7 cell that is no number, a v8 error
+    body, and a v8 body that breaks off.
+    """
+    is_v8 = F.coalesce(F.col("symbol").isin("1-URGENT", "2-HIGH", "5-LOW"), F.lit(False))
+    v8 = v8_payloads(bars.filter(is_v8))
     v8 = v8.withColumn("api_version", F.when(F.col("symbol") == "5-LOW", "v9").otherwise("V8"))
-    v7 = payloads.v7_payloads(bars.filter(F.col("symbol").isin("3-MEDIUM", "4-NOT SPECIFIED")))
-    both = v8.unionByName(v7)
-    is_1998 = F.get_json_object("body", "$.chart.result[0].timestamp[0]").cast("long").between(883612800, 915148799) | (
-        F.col("body").contains("\n1998-")
+    year = F.year(F.timestamp_seconds(F.get_json_object("body", "$.chart.result[0].timestamp[0]").cast("long")))
+    v8 = v8.withColumn("year", year).withColumn(
+        "body",
+        F.when(F.col("year") == 1995, '{"chart":{"result":null,"error":{"code":"Not Found","description":"No data"}}}')
+        .when(F.col("year") == 1996, F.expr("left(body, length(body) - 9)"))
+        .otherwise(F.col("body")),
+    )
+    v7 = v7_payloads(bars.filter(~is_v8)).withColumn("year", F.split_part("body", F.lit("\n"), F.lit(2)).substr(1, 4).cast("int"))
+    v7 = v7.withColumn(
+        "body",
+        F.when(F.col("year") == 1993, "<html><body>Bad gateway</body></html>")
+        .when(F.col("year") == 1994, F.concat("body", F.lit("\n1994-12-31,1.0,2.0,abc,1.5,1.5,7")))
+        .otherwise(F.col("body")),
     )
-    return both.withColumn("status", F.when(is_1998, 404).otherwise(200))
+    return v8.unionByName(v7).withColumn("status", F.when(F.col("year") == 1998, 404).otherwise(200)).drop("year")
 
 
 def q_payload_dispatch(spark: SparkSession, sf: str) -> DataFrame:
-    bars, _ = payloads.dispatch(_mixed_payloads(orders_bars(spark, sf)))
+    bars, _ = payloads.dispatch(_mixed_payloads(uneven(orders_bars(spark, sf))))
     return bars.select("symbol", "tstamp", "high", "low", "open", "close", "adj_close", "volume")
 
 
 def q_payload_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    _, bad = payloads.dispatch(_mixed_payloads(orders_bars(spark, sf)))
+    _, bad = payloads.dispatch(_mixed_payloads(uneven(orders_bars(spark, sf))))
     return bad.groupBy("symbol", "reason").agg(F.count(F.lit(1)).alias("responses"))
 
 
@@ -301,8 +328,16 @@ def q_metadata_flatten(spark: SparkSession, sf: str) -> DataFrame:
     return metadata.flatten_json(table(spark, sf, "events"), "props", ["event_id"])
 
 
+def q_metadata_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected documents by reason, of event properties of which some are cut off, turned into arrays or missing."""
+    props = F.when(F.col("event_id") % 10 == 3, F.expr("left(props, length(props) - 1)"))
+    props = props.when(F.col("event_id") % 10 == 4, F.concat(F.lit("["), "props", F.lit("]"))).when(F.col("event_id") % 10 != 5, F.col("props"))
+    broken = table(spark, sf, "events").select("event_id", props.alias("props"))
+    return metadata.malformed_json(broken, "props", ["event_id"]).groupBy("reason").agg(F.count(F.lit(1)).alias("documents"))
+
+
 def q_payload_meta_flatten(spark: SparkSession, sf: str) -> DataFrame:
-    p = payloads.v8_payloads(orders_bars(spark, sf))
+    p = v8_payloads(orders_bars(spark, sf))
     meta = p.select(
         F.concat_ws("-", "symbol", F.get_json_object("body", "$.chart.result[0].timestamp[0]")).alias("payload_id"),
         F.get_json_object("body", "$.chart.result[0].meta").alias("meta"),
@@ -359,10 +394,32 @@ def q_notification_outbox(spark: SparkSession, sf: str) -> DataFrame:
 def q_event_stream_outbox(spark: SparkSession, sf: str) -> DataFrame:
     topic = _scratch(spark, "topic")
     notify.encode_events(_doc_events(spark, sf)).write.parquet(topic)
-    out = streams.run_outbox(spark, topic, _scratch(spark, "outbox"), _scratch(spark, "outbox-ckpt"))
+    out = streams.run_outbox(spark, topic, _scratch(spark, "outbox"), _scratch(spark, "outbox-ckpt"), carry=["doc_id"])
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), "to", "subject", "content")
 
 
+def q_event_stream_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Wire events through the streaming sink into files, read back and decoded."""
+    topic, sink = _scratch(spark, "sink-topic"), _scratch(spark, "sink")
+    notify.encode_events(_doc_events(spark, sf)).write.parquet(topic)
+    wire = streams.read_event_stream(spark, fmt="parquet", path=topic)
+    streams.write_event_stream(wire, _scratch(spark, "sink-ckpt"), fmt="parquet", path=sink, available_now=True).awaitTermination()
+    back = notify.decode_events(spark.read.schema(EVENT_WIRE).parquet(sink))
+    return back.select(F.col("m")["doc_id"].cast("long").alias("doc_id"), F.col("m")["to"].alias("to"), F.col("m")["content"].alias("content"))
+
+
+def q_event_stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected events of the stream by reason; the event of every tenth document breaks off."""
+    topic, bad = _scratch(spark, "rejects-topic"), _scratch(spark, "rejects")
+    wire = notify.encode_events(_doc_events(spark, sf), key_col="doc_id")
+    cut = F.col("value").cast("string")
+    wire.withColumn(
+        "value", F.when(F.col("key").cast("long") % 10 == 0, F.expr("left(cast(value as string), 9)")).otherwise(cut).cast("binary")
+    ).write.parquet(topic)
+    streams.run_outbox(spark, topic, _scratch(spark, "rejects-outbox"), _scratch(spark, "rejects-ckpt"), rejected_path=bad)
+    return spark.read.parquet(bad).groupBy("rejected").agg(F.count(F.lit(1)).alias("events"))
+
+
 _OUTBOX_SQL = r"""
 WITH tok AS (SELECT doc_id, lang, source, unnest(regexp_split_to_array(text, '\s+')) AS email FROM documents)
 SELECT doc_id, email AS "to",
@@ -395,7 +452,7 @@ def q_recipient_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_batch_load(spark: SparkSession, sf: str) -> DataFrame:
-    landed = payloads.v8_payloads(orders_bars(spark, sf))
+    landed = v8_payloads(orders_bars(spark, sf))
     out = jobs.load_prices(
         landed,
         _scratch(spark, "prices"),
@@ -495,18 +552,23 @@ def queries() -> dict[str, QueryFn]:
         "date_to_epoch": q_date_to_epoch,
         "bars_csv": q_bars_csv,
         "symbol_universe": q_symbol_universe,
+        "symbol_universe_json": q_symbol_universe_json,
+        "empty_bars": q_empty_bars,
         "write_overwrite_roundtrip": q_write_overwrite,
         "payload_v8_bars": q_payload_v8,
         "payload_v7_bars": q_payload_v7,
         "payload_dispatch": q_payload_dispatch,
         "payload_quarantine": q_payload_quarantine,
         "metadata_flatten": q_metadata_flatten,
+        "metadata_malformed": q_metadata_malformed,
         "payload_meta_flatten": q_payload_meta_flatten,
         "round_half_up": q_round_half_up,
         "event_map_roundtrip": q_event_map_roundtrip,
         "recipient_validation": q_recipient_validation,
         "notification_outbox": q_notification_outbox,
         "event_stream_outbox": q_event_stream_outbox,
+        "event_stream_sink": q_event_stream_sink,
+        "event_stream_rejects": q_event_stream_rejects,
         "alert_crossover": q_alert_crossover,
         "alert_outbox": q_alert_outbox,
         "recipient_split": q_recipient_split,
@@ -528,6 +590,7 @@ def oracle_sql() -> dict[str, str]:
     s: dict[str, str] = {}
     s["load_symbol"] = _chain_sql(ORDERS_BARS_SQL)
     s["load_symbol_large"] = _chain_sql(LINEITEM_BARS_SQL)
+    s["load_symbol_hot"] = _chain_sql(HOT_BARS_SQL, HOT_MAX_GAP, _EMA_400)
     s["interpolate_midpoint"] = _filled_sql(ORDERS_BARS_SQL) + "SELECT * FROM filled"
     s["gap_diff"] = _bars_sql_with(
         """
@@ -565,33 +628,43 @@ SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day,
 FROM orders"""
     s["bars_csv"] = ORDERS_BARS_SQL
     s["symbol_universe"] = "SELECT DISTINCT o_orderpriority AS symbol FROM orders"
+    s["symbol_universe_json"] = s["symbol_universe"]
+    s["empty_bars"] = ORDERS_BARS_SQL
     s["write_overwrite_roundtrip"] = ORDERS_BARS_SQL
     s["payload_v8_bars"] = _bars_sql_with(
-        'SELECT symbol, tstamp, round(high, 3) AS high, round(low, 3) AS low, round("open", 3) AS "open", '
-        'round("close", 3) AS "close", volume FROM bars'
+        'SELECT symbol, tstamp, round(high / 7, 3) AS high, round(low / 7, 3) AS low, round("open" / 7, 3) AS "open", '
+        'round("close" / 7, 3) AS "close", volume FROM bars'
     )
     s["payload_v7_bars"] = _bars_sql_with(
-        'SELECT symbol, (tstamp // 86400) * 86400 AS tstamp, round(high, 4) AS high, '
-        'round(low, 4) AS low, round("open", 4) AS "open", round("close", 4) AS "close", '
-        'round("close", 4) AS adj_close, volume FROM bars'
+        'SELECT symbol, (tstamp // 86400) * 86400 AS tstamp, round(high / 7, 4) AS high, '
+        'round(low / 7, 4) AS low, round("open" / 7, 4) AS "open", round("close" / 7, 4) AS "close", '
+        'round("close" / 7, 4) AS adj_close, volume FROM bars'
     )
     s["payload_dispatch"] = _bars_sql_with(
         """
-SELECT symbol, tstamp, round(high, 3) AS high, round(low, 3) AS low, round("open", 3) AS "open",
-       round("close", 3) AS "close", CAST(NULL AS DOUBLE) AS adj_close, volume
-FROM bars WHERE symbol IN ('1-URGENT', '2-HIGH') AND year(epoch_ms(tstamp * 1000)) <> 1998
+, b AS (SELECT *, year(epoch_ms(tstamp * 1000)) AS y FROM bars)
+SELECT symbol, tstamp, round(high / 7, 3) AS high, round(low / 7, 3) AS low, round("open" / 7, 3) AS "open",
+       round("close" / 7, 3) AS "close", CAST(NULL AS DOUBLE) AS adj_close, volume
+FROM b WHERE symbol IN ('1-URGENT', '2-HIGH') AND y NOT IN (1995, 1996, 1998)
 UNION ALL
-SELECT symbol, tstamp, round(high, 4), round(low, 4), round("open", 4), round("close", 4), round("close", 4), volume
-FROM bars WHERE symbol IN ('3-MEDIUM', '4-NOT SPECIFIED') AND year(epoch_ms(tstamp * 1000)) <> 1998"""
+SELECT symbol, tstamp, round(high / 7, 4), round(low / 7, 4), round("open" / 7, 4), round("close" / 7, 4), round("close" / 7, 4), volume
+FROM b WHERE (symbol IS NULL OR symbol NOT IN ('1-URGENT', '2-HIGH', '5-LOW')) AND y NOT IN (1993, 1994, 1998)"""
     )
     s["payload_quarantine"] = _bars_sql_with(
         """
-SELECT symbol, CASE WHEN y = 1998 THEN 'status 404' ELSE 'unsupported api version' END AS reason,
+SELECT symbol, CASE WHEN y = 1998 THEN 'status 404' WHEN symbol = '5-LOW' THEN 'unsupported api version'
+            WHEN y = 1993 THEN 'malformed body: header' WHEN y = 1994 THEN 'malformed body: cell'
+            WHEN y = 1995 THEN 'api error: Not Found: No data' ELSE 'malformed body' END AS reason,
        CAST(count(*) AS BIGINT) AS responses
 FROM (SELECT DISTINCT symbol, year(epoch_ms(tstamp * 1000)) AS y FROM bars) t
-WHERE y = 1998 OR symbol = '5-LOW'
+WHERE y = 1998 OR symbol = '5-LOW' OR y IN (1995, 1996) AND symbol IN ('1-URGENT', '2-HIGH')
+   OR y IN (1993, 1994) AND (symbol IS NULL OR symbol NOT IN ('1-URGENT', '2-HIGH'))
 GROUP BY 1, 2"""
     )
+    s["metadata_malformed"] = """
+SELECT CASE event_id % 10 WHEN 3 THEN 'not json' WHEN 4 THEN 'not an object' ELSE 'null' END AS reason,
+       CAST(count(*) AS BIGINT) AS documents
+FROM events WHERE event_id % 10 IN (3, 4, 5) GROUP BY 1"""
     s["metadata_flatten"] = """
 SELECT e.event_id, j.key AS path, j.atom::VARCHAR AS value,
        CASE WHEN j.type IN ('BIGINT', 'UBIGINT') THEN 'int' WHEN j.type = 'DOUBLE' THEN 'double'
@@ -640,21 +713,31 @@ SELECT doc_id, email, reason IS NULL AS valid, reason,
 FROM v"""
     s["notification_outbox"] = _OUTBOX_SQL
     s["event_stream_outbox"] = _OUTBOX_SQL
-    s["alert_crossover"] = _bars_sql_with(
-        f"""
+    s["event_stream_sink"] = r"""
+SELECT doc_id, email AS "to", source AS content
+FROM (SELECT doc_id, source, unnest(regexp_split_to_array(text, '\s+')) AS email FROM documents) t WHERE email LIKE '%@%'"""
+    s["event_stream_rejects"] = r"""
+WITH tok AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS email FROM documents)
+SELECT CASE WHEN doc_id % 10 = 0 THEN 'undecodable' ELSE 'recipient pattern' END AS rejected, CAST(count(*) AS BIGINT) AS events
+FROM tok WHERE email LIKE '%@%'
+  AND (doc_id % 10 = 0 OR NOT regexp_full_match(email, '^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$'))
+GROUP BY 1"""
+    crossings = f"""
 , s AS (SELECT symbol, tstamp, "close", round({_sma_sql(10)}, 4) AS sma_10d FROM bars),
-g AS (SELECT *, sign("close" - sma_10d) AS sg, lag(sign("close" - sma_10d)) OVER (PARTITION BY symbol ORDER BY tstamp) AS psg FROM s)
-SELECT symbol, tstamp, "close", sma_10d, CASE WHEN sg > psg THEN 'up' ELSE 'down' END AS direction
-FROM g WHERE sg <> psg"""
+g AS (SELECT *, sign("close" - sma_10d) AS sg FROM s WHERE sign("close" - sma_10d) <> 0),
+h AS (SELECT *, lag(sg) OVER (PARTITION BY symbol ORDER BY tstamp) AS psg FROM g)
+"""
+    s["alert_crossover"] = _bars_sql_with(
+        crossings
+        + """SELECT symbol, tstamp, "close", sma_10d, CASE WHEN sg > psg THEN 'up' ELSE 'down' END AS direction
+FROM h WHERE sg <> psg"""
     )
     s["alert_outbox"] = _bars_sql_with(
-        f"""
-, s AS (SELECT symbol, tstamp, "close", round({_sma_sql(10)}, 4) AS sma_10d FROM bars),
-g AS (SELECT *, sign("close" - sma_10d) AS sg, lag(sign("close" - sma_10d)) OVER (PARTITION BY symbol ORDER BY tstamp) AS psg FROM s)
-SELECT symbol, '{ALERT_TO}' AS "to",
+        crossings
+        + f"""SELECT symbol, '{ALERT_TO}' AS "to",
        symbol || ' crossed ' || CASE WHEN sg > psg THEN 'up' ELSE 'down' END AS subject,
        'tstamp ' || CAST(tstamp AS VARCHAR) || ' close ' || CAST("close" AS VARCHAR) AS content
-FROM g WHERE sg <> psg"""
+FROM h WHERE sg <> psg"""
     )
     s["recipient_split"] = r"""
 WITH tok AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\s+')) AS email FROM documents)
@@ -716,7 +799,7 @@ j AS (SELECT r.*, l.interval AS known, l.max_lookback FROM req r LEFT JOIN lim l
 v AS (SELECT *, CASE WHEN period1 IS NULL OR period2 IS NULL OR period1 <= 0 OR period2 <= 0 THEN 'period'
                      WHEN period1 >= period2 THEN 'order'
                      WHEN known IS NULL THEN 'interval'
-                     WHEN max_lookback IS NOT NULL AND {REQUEST_AS_OF} - period1 > max_lookback THEN 'lookback' END AS reason
+                     WHEN CASE WHEN interval = '1m' THEN period2 - period1 ELSE {REQUEST_AS_OF} - period1 END > max_lookback THEN 'lookback' END AS reason
       FROM j)
 SELECT event_id, symbol, period1, period2, interval, reason IS NULL AS ok, reason FROM v"""
     s["check_keys"] = _bars_sql_with(

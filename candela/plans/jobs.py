@@ -13,6 +13,7 @@ from candela.operators import notify, series
 from candela.sources import payloads as pl
 from candela.sources import sinks
 from candela.schemas import DEFAULT_SPAN
+from candela.session import ensure_checkpoint_dir
 from candela.streaming.events import write_event_batch
 
 
@@ -31,19 +32,18 @@ def load_prices(
     ``landed``: ``(symbol, status, api_version, body)``.  Rejected responses go
     to ``quarantine_path`` when given.  With ``alert_to`` and ``events_path``,
     close/SMA crossings become notification events after the table is written.
+    Each path belongs to this load: a rerun replaces what the run before wrote.
+    The responses are parsed once, into a checkpoint that both outputs read.
     """
-    bars, rejected = pl.dispatch(landed)
+    ensure_checkpoint_dir(landed.sparkSession)
+    bars, rejected = pl.split_classified(pl.classify(landed).checkpoint(eager=True))
     if quarantine_path:
-        rejected.write.mode("append").parquet(quarantine_path)
+        rejected.write.mode("overwrite").parquet(quarantine_path)
     table = series.load_symbol_chain(bars.drop("adj_close"), span=span)
     sinks.write_partitioned(table, out_path)
-    written = sinks.read_partitioned(spark_of(landed), out_path, schema=table.schema)
+    written = sinks.read_partitioned(landed.sparkSession, out_path, schema=table.schema)
     if alert_to and events_path:
-        alerts = notify.crossover_alerts(written.select("symbol", "tstamp", "high", "low", "open", "close", "volume"), span=span)
+        alerts = notify.crossover_alerts(written, span=span, sma=f"sma_{span}d")
         wire = notify.encode_events(notify.alert_events(alerts, alert_to), key_col="symbol")
-        write_event_batch(wire, fmt=events_format, path=events_path)
+        write_event_batch(wire, fmt=events_format, path=events_path, mode="overwrite")
     return written
-
-
-def spark_of(df: DataFrame):
-    return df.sparkSession

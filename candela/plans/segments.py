@@ -1,344 +1,153 @@
-"""Skew-safe execution of ordered-series operators.
-
-``Window.partitionBy(symbol).orderBy(tstamp)`` sends each whole series to one
-task.  When one symbol holds a third of all rows that task holds a third of
-the data.  The functions here split every series into bounded pieces and carry
-the state that crosses piece borders through small summary tables, so every
-window group stays bounded whatever the key distribution.
-
-Stage 1, time segments (``sequence``).  ``seg = order div width``; ``width``
-comes from a density check so that the densest series gets about
-``target_rows`` rows per segment.  A sort-free summary per (keys, seg) (row
-count, non-null count, last row by order) is rolled up per key over segments
-(one row per segment, so small) into the row offset of each segment and the
-last row of the previous non-empty segment.  Rows shuffle once by (keys, seg)
-and join that summary on the same keys, so only the summary side moves.  One
-window over (keys, seg) then gives every row its previous row (lag 1 across
-segment borders), its position ``_pos`` in the whole series and, if asked,
-the running count ``_npos`` of non-null values of one column.
-
-Stage 2, position blocks with halos (``spread``).  ``_blk = _pos div K``.  The
-last ``halo_rows`` rows of each block are copied into the next block, and
-every non-null row into each later block that starts before its E-th next
-non-null row (``_reach``), with ``_halo = true``: each block then holds the
-last E non-null values before it, however many blocks back they lie.  Rows
-shuffle by (keys, _blk); a window over (keys, _blk) sees enough context before
-its first own row for row frames (SMA, lag) and for exponentially decaying
-sums (EMA, whose weights beyond E values are below 1e-30).  Halo copies are
-dropped afterwards.
-
-Before either stage, one partial aggregate over (keys, order) sends two
-numbers to the driver: the longest series and the densest one.  When no
-series exceeds one block the check has proven every window group bounded, and
-the plan is a single window per series after one shuffle; otherwise the
-density gives the segment width.  Everything is DataFrame API: no collect of
-data, no UDF.
+"""Skew-safe windows over ordered series: equal-depth segments with a halo.
+
+``Window.partitionBy(symbol).orderBy(tstamp)`` sends a whole series to one
+task.  ``split`` cuts every long series into segments of about ``target_rows``
+rows, and copies the rows just before a segment into it as context, so a
+window partitioned by (keys, segment) sees what it needs and holds a bounded
+number of rows whatever the distribution of keys and stamps:
+
+* One counting pass, a partial aggregate by key, gives each series its length
+  and quantiles of ``order`` (a sketch, exact to ``1/ACCURACY`` of the
+  length).  A series of n rows gets ``min(ceil(n / target_rows),
+  MAX_SEGMENTS)`` segments, cut at quantiles: by rank, so neither a stray
+  stamp nor a burst makes a segment larger.  A segment holds at most
+  ``max(target_rows, n / MAX_SEGMENTS)`` rows and a tenth more.
+* Only series of more than ``target_rows`` rows have cuts, so the table of
+  cuts has at most ``rows / target_rows`` rows; that bound is why it may be
+  broadcast.  Short series are one segment, by the same plan.
+* A segment's halo starts at a quantile that leaves at least ``halo`` rows
+  (non-null rows of ``count_col``, if given) before the cut, the sketch's error
+  allowed for, or at the start of the series.
+
+The rows then shuffle once, by (keys, segment).  Halo copies carry
+``HALO = true``; callers drop them after their windows.  Everything is
+DataFrame API: no job while a plan is built, no collect, no UDF.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SEG = "_seg"
-POS = "_pos"
-NPOS = "_npos"
-REACH = "_reach"
-BLK = "_blk"
-HALO = "_halo"
+#: Names with this prefix are the package's own; inputs that use it are refused.
+PREFIX = "__cd_"
+SEG = PREFIX + "seg"
+HALO = PREFIX + "halo"
+FIRST = PREFIX + "first"
+#: First stamps of NaN, +inf and -inf in ``count_col``, for series with cuts.
+NON_FINITE = (PREFIX + "nan", PREFIX + "pos", PREFIX + "neg")
 
-# Rows aimed at per (key, segment) and per (key, block).  Both bound the size
-# of every window group in the series operators.
-TARGET_SEGMENT_ROWS = 1 << 20
-BLOCK_ROWS = 1 << 20
-_MAX_WIDTH = 1 << 60
+TARGET_ROWS = 1 << 20
+MAX_SEGMENTS = 512
+GRID = 2048
+ACCURACY = 20_000
+_LOWEST = -(2**63)
 
 
-def _q(name: str) -> str:
+def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def series_stats(df: DataFrame, keys: Sequence[str], order: str) -> tuple[float | None, int]:
-    """(rows per unit of ``order`` of the densest series, rows of the longest series).
-
-    One aggregation over (keys, order) only; partial aggregation keeps a hot key
-    from landing in one task.  Two numbers reach the driver.
-    """
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(order).alias("lo"),
-        F.max(order).alias("hi"),
-    )
-    row = per_key.agg(
-        F.max(F.col("n") / (F.col("hi").cast("double") - F.col("lo") + 1)).alias("density"),
-        F.max("n").alias("longest"),
-    ).first()
-    if row is None:
-        return None, 0
-    return row["density"], int(row["longest"] or 0)
-
-
-def width_for(density: float | None, target_rows: int = TARGET_SEGMENT_ROWS) -> int:
-    if not density:
-        return _MAX_WIDTH
-    return int(max(1, min(_MAX_WIDTH, math.floor(target_rows / density))))
-
-
-def segment_width(
-    df: DataFrame, keys: Sequence[str], order: str, target_rows: int = TARGET_SEGMENT_ROWS
-) -> int:
-    """Width (in units of ``order``) giving the densest series ~target_rows rows a segment."""
-    return width_for(series_stats(df, keys, order)[0], target_rows)
-
-
-def choose_width(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    *,
-    width: int | None,
-    target_rows: int = TARGET_SEGMENT_ROWS,
-    whole_rows: int = BLOCK_ROWS,
-) -> int | None:
-    """Segment width, or None when every series is short enough to stay whole.
-
-    ``None`` means the check proved that no series holds more than
-    ``whole_rows`` rows, so one window group per series is bounded and the
-    single-shuffle plan is safe.  An explicit ``width`` always segments.
-    """
-    if width is not None:
-        return width
-    density, longest = series_stats(df, keys, order)
-    if longest <= whole_rows:
-        return None
-    return width_for(density, target_rows)
-
-
-def null_safe_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Add materialised null-safe key columns ``_kn<i>``/``_kv<i>``.
-
-    Grouping, joining and windowing on them treats a NULL key as its own
-    series, and the join keys stay plain attributes, so a hash partitioning on
-    them is reused by the window after the join (an ``<=>`` join would hash
-    rewritten expressions and shuffle again).
-    """
-    pk: list[str] = []
-    for i, k in enumerate(keys):
-        d_null, d_val = f"_kn{i}", f"_kv{i}"
-        df = df.withColumn(d_null, F.col(_q(k)).isNull()).withColumn(
-            d_val, F.coalesce(F.col(_q(k)).cast("string"), F.lit(""))
-        )
-        pk += [d_null, d_val]
-    return df, pk
+def refuse_own_names(df: DataFrame, more: Sequence[str] = ()) -> None:
+    """Raise where a column would be overwritten by a column of the package."""
+    taken = [c for c in df.columns if c.lower().startswith(PREFIX) or c.lower() in {m.lower() for m in more}]
+    if taken:
+        raise ValueError(f"columns with reserved names: {taken}")
 
 
-def segment_id(order: str, width: int) -> Column:
-    """``order div width``, never NULL: a NULL stamp gets the first segment (nulls
-    sort first, as in a whole-series window), and no inferred IS NOT NULL
-    filter can drop rows."""
-    return F.coalesce(F.expr(f"{_q(order)} div {int(width)}"), F.lit(-(2**63)).cast("long"))
+def non_finite(col: str) -> tuple[Column, Column, Column]:
+    """Whether a value is NaN, +inf, -inf (false where it is NULL)."""
+    c = F.col(q(col)).cast("double")
+    inf = float("inf")
+    return tuple(F.coalesce(x, F.lit(False)) for x in (F.isnan(c) & c.isNotNull(), c == F.lit(inf), c == F.lit(-inf)))
 
 
-def sequence(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    *,
-    carry: Sequence[str] = (),
-    count_col: str | None = None,
-    width: int | None = None,
-    target_rows: int = TARGET_SEGMENT_ROWS,
-    block_rows: int | None = None,
-    reach_nn: int = 0,
-    series_first: bool = False,
-    prev_prefix: str = "prev_",
+def cuts(
+    df: DataFrame, keys: Sequence[str], order: str, *, halo: int, count_col: str | None, target_rows: int
 ) -> DataFrame:
-    """Stage 1: previous-row values, series position and running non-null count.
-
-    Adds ``prev_<c>`` for every ``c`` in ``carry`` (the value on the previous row
-    of the same series, NULL on the first row), ``_pos`` (0-based position in
-    the series), ``_npos`` (count of non-null ``count_col`` up to and including
-    the row) and ``_seg``.  With ``block_rows`` also ``_blk``; with ``reach_nn``
-    (E) also ``_reach`` on non-null rows: the position of the E-th non-null row
-    after this one (an upper bound of it past the segment end; the series end
-    when there is none).  A block starting at or before ``_reach`` needs the
-    row as context: fewer than E non-null values lie between them.
-    With ``series_first`` also ``_first``: the smallest ``order`` of the series.
-    ``order`` must be unique within ``keys`` (see ``quality.check_keys``).
-    """
-    keys = list(keys)
-    if width is None:
-        width = choose_width(df, keys, order, width=None, target_rows=target_rows,
-                             whole_rows=block_rows or BLOCK_ROWS)
-    if width is None:
-        return _sequence_whole(df, keys, order, carry=carry, count_col=count_col,
-                               block_rows=block_rows, reach_nn=reach_nn, series_first=series_first,
-                               prev_prefix=prev_prefix)
-    # Summarise, join and window on materialised null-safe key columns (see
-    # null_safe_keys): the rows' (keys, seg) hash partitioning from the join
-    # feeds the window (one shuffle of the rows).  The summary is a partial
-    # (map-side) aggregate: only per-segment partials move; its input is a
-    # second, column-pruned read.
-    df, pk = null_safe_keys(df, keys)
-    d = df.withColumn(SEG, segment_id(order, width))
-
-    aggs: list[Column] = [F.count(F.lit(1)).alias("_n")]
-    if count_col:
-        aggs.append(F.count(count_col).alias("_nn"))
-    # last row of the segment, one max_by per column: fixed-width buffers keep
-    # the partial aggregate a hash aggregate (a struct would force a sort)
-    # NULL stamps order first, as in the whole-series window
-    last_key = F.coalesce(F.col(_q(order)), F.lit(-(2**63)).cast("long"))
-    for i, c in enumerate(carry):
-        aggs.append(F.max_by(F.col(_q(c)), last_key).alias(f"_last{i}"))
-    if series_first:
-        aggs.append(F.min(_q(order)).alias("_smin"))
-    summary = d.groupBy(*pk, SEG).agg(*aggs)
-
-    ws = Window.partitionBy(*pk).orderBy(SEG)
-    before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    cols: list[Column] = [
-        *[F.col(c) for c in pk],
-        F.col(SEG),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+    """One row per series longer than ``target_rows``: its cuts and the start of each later segment's halo."""
+    # one literal, not thousands
+    grid = F.split(F.lit(",".join(str(i / GRID) for i in range(1, GRID))), ",").cast("array<double>")
+    stamp = F.col(q(order)).cast("long")
+    counted = F.when(F.col(q(count_col)).isNotNull(), stamp) if count_col else stamp
+    aggs = [
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx(stamp, grid, ACCURACY).alias("grid"),
+        F.count(counted).alias("nn"),
+        F.min(stamp).alias(FIRST),
     ]
     if count_col:
-        cols.append(F.coalesce(F.sum("_nn").over(before), F.lit(0)).alias("_nn0"))
-    for i, _ in enumerate(carry):
-        cols.append(F.lag(f"_last{i}").over(ws).alias(f"_plast{i}"))
-    if series_first:
-        cols.append(F.min("_smin").over(Window.partitionBy(*pk)).alias("_first"))
-    want_reach = bool(reach_nn and count_col and block_rows)
-    if want_reach:
-        cols += [F.col("_n"), F.col("_nn")]
-    summary = summary.select(*cols)
-    if want_reach:
-        # per segment: cumulative non-nulls through it and its last position;
-        # _ub = last position of the first segment whose cumulative count
-        # reaches this one's + E (a bound on the reach of rows whose E-th next
-        # non-null lies past this segment); _end = last position of the series
-        nn_end = F.col("_nn0") + F.col("_nn")
-        summary = summary.withColumn("_nn_end", nn_end).withColumn("_pos_end", F.col("_n0") + F.col("_n") - 1)
-        # segments with _nn_end >= this one's + E: descending order with an
-        # unbounded-preceding range frame, which Spark keeps incrementally
-        # (an ascending unbounded-following frame is recomputed per row)
-        ahead = (
-            Window.partitionBy(*pk)
-            .orderBy(F.col("_nn_end").desc())
-            .rangeBetween(Window.unboundedPreceding, -int(reach_nn))
-        )
-        summary = summary.withColumn("_ub", F.min("_pos_end").over(ahead)).withColumn(
-            "_end", F.max("_pos_end").over(Window.partitionBy(*pk))
-        ).drop("_n", "_nn", "_nn_end", "_pos_end")
-    # one row per segment: the build side of a hash join (AQE may broadcast it)
-    summary = summary.hint("shuffle_hash")
-
-    j = d.join(summary, on=[*pk, SEG], how="inner")
-    w = Window.partitionBy(*pk, SEG).orderBy(order)
-    rn = F.row_number().over(w)
-    out = j.withColumn(POS, F.col("_n0") + rn - 1)
-    for i, c in enumerate(carry):
-        out = out.withColumn(
-            f"{prev_prefix}{c}",
-            F.when(rn == 1, F.col(f"_plast{i}")).otherwise(F.lag(F.col(_q(c))).over(w)),
-        )
-    if count_col:
-        running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = out.withColumn(NPOS, F.col("_nn0") + F.count(count_col).over(running))
-    if want_reach:
-        nonnull = F.col(_q(count_col)).isNotNull()
-        wnn = Window.partitionBy(*pk, SEG, nonnull).orderBy(order)
-        ahead_in_seg = F.lead(POS, int(reach_nn)).over(wnn)
-        out = out.withColumn(REACH, F.when(nonnull, F.coalesce(ahead_in_seg, F.col("_ub"), F.col("_end"))))
-    out = out.drop("_n0", "_nn0", "_ub", "_end", *[f"_plast{i}" for i in range(len(carry))])
-    if block_rows:
-        out = out.withColumn(BLK, F.expr(f"{POS} div {int(block_rows)}"))
-    return out.drop(*pk)
+        aggs.append(F.percentile_approx(counted, grid, ACCURACY).alias("nn_grid"))
+        aggs += [F.min(F.when(x, stamp)).alias(name) for x, name in zip(non_finite(count_col), NON_FINITE)]
+    per = df.groupBy(*[F.col(q(k)).alias(f"{PREFIX}k{i}") for i, k in enumerate(keys)]).agg(*aggs).where(F.col("n") > target_rows)
+    pieces = F.least(F.ceil(F.col("n") / target_rows), F.lit(MAX_SEGMENTS))
+    # the i-th of s cuts is the quantile i / s
+    at = F.transform(F.sequence(F.lit(1), (pieces - 1).cast("int")), lambda i: F.element_at("grid", F.greatest(F.lit(1), F.floor(i * GRID / pieces)).cast("int")))
+    context = "nn_grid" if count_col else "grid"
+    # grid steps that hold the halo, and two more for the error of both ends
+    back = F.ceil(F.lit(halo) * GRID / F.greatest(F.col("nn"), F.lit(1)) + 2 * GRID / ACCURACY).cast("int") + 1
+
+    def start(cut: Column) -> Column:
+        below = F.size(F.filter(F.coalesce(F.col(context), F.array().cast("array<bigint>")), lambda x: x < cut))
+        return F.when(below - back >= 1, F.try_element_at(F.col(context), F.greatest(below - back, F.lit(1)))).otherwise(F.lit(_LOWEST))
+
+    one = per.withColumn(PREFIX + "cuts", F.array_distinct(at))
+    return one.withColumn(PREFIX + "starts", F.transform(PREFIX + "cuts", start)).select(
+        *[f"{PREFIX}k{i}" for i in range(len(keys))], PREFIX + "cuts", PREFIX + "starts", FIRST, *(NON_FINITE if count_col else ())
+    )
 
 
-def _sequence_whole(
+def split(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
     *,
-    carry: Sequence[str],
-    count_col: str | None,
-    block_rows: int | None,
-    reach_nn: int,
-    prev_prefix: str,
-    series_first: bool = False,
+    halo: int = 1,
+    count_col: str | None = None,
+    target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
-    """Stage 1 when every series is proven short: one window per series, one shuffle."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    whole = F.lit(0).cast("long").alias(SEG, metadata={"candela_whole": True})
-    out = df.withColumn(SEG, whole).withColumn(POS, F.row_number().over(w) - 1)
-    for c in carry:
-        out = out.withColumn(f"{prev_prefix}{c}", F.lag(F.col(_q(c))).over(w))
-    if count_col:
-        running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = out.withColumn(NPOS, F.count(count_col).over(running))
-    if series_first:
-        out = out.withColumn("_first", F.min(_q(order)).over(Window.partitionBy(*keys)))
-    if block_rows:
-        out = out.withColumn(BLK, F.lit(0).cast("long"))
-    return out
+    """Rows with their segment ``SEG``, and halo copies in later segments.
 
+    Adds ``SEG``, ``HALO``, ``FIRST`` (first stamp of a series that is cut) and,
+    with ``count_col``, ``NON_FINITE``.  ``order`` must be an integer column.
+    Rows without a stamp come first, in the first segment.
+    """
+    refuse_own_names(df)
+    found = F.broadcast(cuts(df, keys, order, halo=halo, count_col=count_col, target_rows=int(target_rows)))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(q(k)).eqNullSafe(F.col(f"{PREFIX}k{i}"))
+    stamp = F.coalesce(F.col(q(order)).cast("long"), F.lit(_LOWEST))
 
-def spread(
-    df: DataFrame,
-    *,
-    block_rows: int,
-    halo_rows: int,
-) -> DataFrame:
-    """Stage 2: copy rows into the later blocks that need them as context (halo).
+    def reached(bounds: str) -> Column:
+        return F.coalesce(F.size(F.filter(F.col(bounds), lambda c: c <= stamp)), F.lit(0))
 
-    A row goes to the next block when it is among that block's ``halo_rows``
-    predecessors (row frames, lag), and to every later block starting at or
-    before its ``_reach`` (EMA context: the last E non-null values before the
-    block, however many blocks back they are).  Needs ``_pos``/``_blk`` (and
-    ``_reach``) from ``sequence(..., block_rows=block_rows)``.  Output has one
-    row per (row, block it serves) with ``_halo`` true on copies; the caller
-    windows by (keys, _blk) and drops halo copies at the end.
-    """
-    if SEG in df.columns and _is_whole(df):
-        return df.withColumn(HALO, F.lit(False))
-    k = int(block_rows)
-    halo_rows = min(max(halo_rows, 0), k)
-    blk = F.col(BLK)
-    none = F.array().cast("array<bigint>")
-    row_t = none
-    if halo_rows > 0:
-        row_t = F.when(F.expr(f"pmod({POS}, {k})") >= k - halo_rows, F.array(blk + 1)).otherwise(none)
-    ema_t = none
-    if REACH in df.columns:
-        hi = F.expr(f"{REACH} div {k}")
-        ema_t = F.when(F.col(REACH).isNotNull() & (hi > blk), F.sequence(blk + 1, hi)).otherwise(none)
-    halo_blocks = F.array_distinct(F.concat(row_t, ema_t))
-    own = F.array(F.struct(blk.alias(BLK), F.lit(False).alias(HALO)))
-    copies = F.transform(halo_blocks, lambda t: F.struct(t.alias(BLK), F.lit(True).alias(HALO)))
-    rest = [c for c in df.columns if c not in (BLK, REACH)]
-    return df.select(*[F.col(_q(c)) for c in rest], F.inline(F.concat(own, copies)))
+    own = F.when(F.col(PREFIX + "cuts").isNull(), F.lit(0)).otherwise(reached(PREFIX + "cuts"))
+    last = F.when(F.col(PREFIX + "cuts").isNull(), F.lit(0)).otherwise(reached(PREFIX + "starts"))
+    joined = df.join(found, same, "left").withColumn(PREFIX + "own", own).withColumn(PREFIX + "last", last)
+    more = [FIRST, *(NON_FINITE if count_col else ())]
+    spread = joined.select(
+        *[F.col(q(c)) for c in df.columns], *more, PREFIX + "own",
+        F.explode(F.sequence(F.col(PREFIX + "own"), F.greatest(PREFIX + "own", PREFIX + "last"))).alias(SEG),
+    )
+    return spread.withColumn(HALO, F.col(SEG) != F.col(PREFIX + "own")).drop(PREFIX + "own")
 
 
-def ema_block_rows(span: int) -> int:
-    """Rows per EMA sub-block: b**-j stays below 1e200 inside one."""
+def ema_context(span: int) -> int:
+    """Non-null values after which a weight, times any double, is zero."""
     b = 1.0 - 2.0 / (span + 1)
-    if b <= 0.0:
-        return 1 << 30
-    return max(1, int(math.floor(200.0 * math.log(10.0) / -math.log(b))))
+    return 1 if b <= 0.0 else _values(b, 640.0)
 
 
-def ema_halo(span: int) -> int:
-    """Non-null values of context after which older weights fall below 1e-30."""
+def ema_block(span: int) -> int:
+    """Values over which the weight falls to 1e-300."""
     b = 1.0 - 2.0 / (span + 1)
-    if b <= 0.0:
-        return 1
-    return int(math.ceil(30.0 * math.log(10.0) / -math.log(b))) + 1
+    return 1 << 30 if b <= 0.0 else max(1, _values(b, 300.0) - 2)
+
 
+def _values(b: float, decades: float) -> int:
+    from math import ceil, log
 
-def _is_whole(df: DataFrame) -> bool:
-    """True when ``df`` came from the single-window form of ``sequence`` (constant segment)."""
-    return bool(df.schema[SEG].metadata.get("candela_whole")) if SEG in df.columns else False
+    return int(ceil(decades * log(10.0) / -log(b))) + 1

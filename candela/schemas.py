@@ -23,7 +23,9 @@ DEFAULT_SUBJECT = "(no subject)"
 DEFAULT_CONTENT = "(no content)"
 # Valid chart ranges.
 VALID_RANGES = ["1d", "5d", "1mo", "3mo", "6mo", "1y", "2y", "5y", "10y", "ytd", "max"]
-# Interval -> longest allowed look-back in seconds (None = no known limit).
+# Interval -> longest allowed look-back in seconds (None = no known limit);
+# the one interval whose limit is on the length of the request instead.
+SPAN_LIMITED = "1m"
 SEVEN_DAYS = 604800
 SIXTY_DAYS = 5184000
 INTERVAL_LIMITS = {
@@ -63,51 +65,22 @@ SYMBOL_BARS = T.StructType([T.StructField("symbol", T.StringType())] + BARS.fiel
 # v7 CSV payload: Date, Open, High, Low, Close, Adj Close, Volume (this order).
 V7_CSV_DDL = (
     "Date STRING, Open DOUBLE, High DOUBLE, Low DOUBLE, Close DOUBLE, "
-    "`Adj Close` DOUBLE, Volume DOUBLE"
-)
-
-# Conformed prices table (database table without its generated id).
-PRICES = T.StructType(
-    [
-        T.StructField("tstamp", T.IntegerType(), False),
-        T.StructField("symbol", T.StringType(), False),
-        T.StructField("open", T.DoubleType()),
-        T.StructField("high", T.DoubleType()),
-        T.StructField("low", T.DoubleType()),
-        T.StructField("close", T.DoubleType()),
-        T.StructField("adj_close", T.DoubleType()),
-        T.StructField("volume", T.IntegerType()),
-    ]
-)
-
-TRADING_PERIOD_DDL = "timezone STRING, `end` BIGINT, start BIGINT, gmtoffset INT"
-
-META_DDL = (
-    "currency STRING, symbol STRING, exchangeName STRING, fullExchangeName STRING, "
-    "instrumentType STRING, firstTradeDate BIGINT, regularMarketTime BIGINT, "
-    "hasPrePostMarketData BOOLEAN, gmtoffset INT, timezone STRING, "
-    "exchangeTimezoneName STRING, regularMarketPrice DOUBLE, fiftyTwoWeekHigh DOUBLE, "
-    "fiftyTwoWeekLow DOUBLE, regularMarketDayHigh DOUBLE, regularMarketDayLow DOUBLE, "
-    "regularMarketVolume BIGINT, longName STRING, shortName STRING, "
-    "chartPreviousClose DOUBLE, priceHint BIGINT, "
-    f"currentTradingPeriod STRUCT<pre: STRUCT<{TRADING_PERIOD_DDL}>, "
-    f"regular: STRUCT<{TRADING_PERIOD_DDL}>, post: STRUCT<{TRADING_PERIOD_DDL}>>, "
-    "dataGranularity STRING, `range` STRING, validRanges ARRAY<STRING>"
+    "`Adj Close` DOUBLE, Volume DOUBLE, malformed STRING"
 )
+V7_HEADER = "Date,Open,High,Low,Close,Adj Close,Volume"
 
 QUOTE_DDL = (
     "high ARRAY<DOUBLE>, low ARRAY<DOUBLE>, open ARRAY<DOUBLE>, "
     "close ARRAY<DOUBLE>, volume ARRAY<BIGINT>"
 )
 
-# v8 chart payload: chart.result[] -> meta, timestamp[], indicators.quote[].
+# v8 chart payload: chart.result[] -> timestamp[], indicators.quote[]; the body itself where it does not fit.
 CHART_DDL = (
     "chart STRUCT<result: ARRAY<STRUCT<"
-    f"meta: STRUCT<{META_DDL}>, "
     "timestamp: ARRAY<BIGINT>, "
-    f"indicators: STRUCT<quote: ARRAY<STRUCT<{QUOTE_DDL}>>, "
-    "adjclose: ARRAY<STRUCT<adjclose: ARRAY<DOUBLE>>>>>>, "
-    "error STRING>"
+    f"indicators: STRUCT<quote: ARRAY<STRUCT<{QUOTE_DDL}>>>>>, "
+    "error STRUCT<code: STRING, description: STRING>>, "
+    "malformed STRING"
 )
 
 # Landed payload table: one API response per row.
@@ -120,18 +93,6 @@ PAYLOADS = T.StructType(
     ]
 )
 
-# Series request: fields of one price request.
-REQUESTS = T.StructType(
-    [
-        T.StructField("symbol", T.StringType()),
-        T.StructField("period1", T.LongType()),
-        T.StructField("period2", T.LongType()),
-        T.StructField("interval", T.StringType()),
-        T.StructField("events", T.StringType()),
-        T.StructField("api_version", T.StringType()),
-    ]
-)
-
 # Notification event on the wire.
 EVENT_WIRE = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("value", T.BinaryType())]

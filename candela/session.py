@@ -8,7 +8,6 @@ settings that are unset.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -24,27 +23,36 @@ _DEFAULTS = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "candela") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "candela", scratch: str | None = None
+) -> SparkSession:
+    """A local session; ``scratch`` becomes its checkpoint folder."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if scratch:
+        builder = builder.config("spark.checkpoint.dir", scratch)
     builder = builder.config("spark.driver.memory", os.environ.get("CANDELA_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a scratch one only when none is configured."""
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
+
+    There is no fallback: a folder of the driver's own machine would not be
+    seen by the executors, so an unset one is an error.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    path = conf or tempfile.mkdtemp(prefix="candela-ckpt-")
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() or path
+    return path
 
 
 # Settings suggested for a large cluster (about 100 TB of bars, 1000

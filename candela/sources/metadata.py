@@ -6,9 +6,9 @@ booleans are kept (value as text), NULL leaves and empty containers give no
 row.  ``legacy_paths=True`` writes array elements the way the source did,
 repeating the key after the index (``k[i].k``).
 
-Runs on VARIANT values: one aggregate finds the nesting depth (one schema
-string to the driver), then that many generator steps are chained lazily; an
-emptiness check adds steps only where mixed-type arrays hide deeper nesting.
+Runs on VARIANT values: one aggregate finds the largest nesting depth (one
+integer to the driver), then that many generator steps are chained lazily.
+Documents that are no JSON object give no row; ``malformed_json`` lists them.
 """
 
 from __future__ import annotations
@@ -19,15 +19,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _depth(schema: str | None) -> int:
-    depth = best = 0
-    for ch in schema or "":
-        if ch == "<":
-            depth += 1
-            best = max(best, depth)
-        elif ch == ">":
-            depth -= 1
-    return best
+def nesting(json_col: Column) -> Column:
+    """How deep containers lie in each other in a JSON text (brackets inside its strings do not count)."""
+    brackets = F.regexp_replace(F.regexp_replace(json_col, r'"(?:[^"\\]|\\.)*+"', ""), r"[^\[\]{}]", "")
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("most"))
+
+    def step(s: Column, b: Column) -> Column:
+        at = s["at"] + F.when(b.isin("[", "{"), 1).when(b == "", 0).otherwise(-1)
+        return F.struct(at.alias("at"), F.greatest(s["most"], at).alias("most"))
+
+    return F.aggregate(F.split(brackets, ""), start, step, lambda s: s["most"])
+
+
+def malformed_json(df: DataFrame, json_col: str, id_cols: Sequence[str]) -> DataFrame:
+    """Rows that ``flatten_json`` has no leaves of because of their form: id columns, the text and ``reason``.
+
+    ``null`` (no document), ``not json``, or ``not an object``.
+    """
+    v = F.try_parse_json(F.col(json_col))
+    reason = (
+        F.when(F.col(json_col).isNull(), "null")
+        .when(v.isNull(), "not json")
+        .when(F.try_variant_get(v, "$", "map<string,variant>").isNull(), "not an object")
+    )
+    return df.select(*[F.col(c) for c in id_cols], F.col(json_col), reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def _leaf_type(v: Column) -> Column:
@@ -54,10 +69,8 @@ def flatten_json(
 ) -> DataFrame:
     ids = [F.col(c) for c in id_cols]
     root = df.select(*ids, F.try_parse_json(json_col).alias("_v"))
-    schema = root.agg(F.schema_of_variant_agg("_v")).first()[0] or ""
-    depth = _depth(schema)
-    # only a VARIANT inside the merged schema (mixed-type arrays) can hide depth
-    exact = "VARIANT" not in schema
+    valid = df.filter(F.try_parse_json(json_col).isNotNull())
+    depth = valid.agg(F.max(nesting(F.col(json_col)))).first()[0] or 0
 
     def as_obj(v: Column) -> Column:
         return F.try_variant_get(v, "$", "map<string,variant>")
@@ -72,11 +85,7 @@ def flatten_json(
     rows = root.filter(as_obj(val).isNotNull()).select(
         *ids, F.lit("").alias("_path"), F.lit("").alias("_key"), val
     )
-    level = 0
-    while True:
-        if level >= depth and (exact or rows.filter(as_obj(val).isNotNull() | as_arr(val).isNotNull()).isEmpty()):
-            break
-        level += 1
+    for _ in range(depth):
         obj_kids = F.transform(
             F.map_entries(as_obj(val)),
             lambda e: F.struct(

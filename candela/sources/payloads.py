@@ -12,29 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candela.functions.numeric import round_half_up
-from candela.schemas import CHART_DDL, V7_CSV_DDL, V7_ROUND, V8_ROUND, VALID_RANGES
+from candela.schemas import CHART_DDL, V7_CSV_DDL, V7_HEADER, V7_ROUND, V8_ROUND
 
 KNOWN_VERSIONS = ("v7", "v8")
 
 
-def status_gate(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split landed responses into (status 200, rest with a reason).
-
-    The source raised on a non-200 status; here the rest goes to a quarantine
-    frame with ``reason = 'status <code>'`` so one bad response does not stop
-    the batch.
-    """
-    ok = F.coalesce(F.col("status") == 200, F.lit(False))
-    good = payloads.filter(ok)
-    bad = payloads.filter(~ok).withColumn(
-        "reason", F.concat(F.lit("status "), F.coalesce(F.col("status").cast("string"), F.lit("null")))
-    )
-    return good, bad
-
-
-_PRICES = ("high", "low", "open", "close")
-
-
 def _bar(tstamp: Column, high: Column, low: Column, open_: Column, close: Column,
          adj_close: Column, volume: Column, places: int) -> Column:
     """One bar struct, prices rounded; the same type for both payload versions."""
@@ -81,167 +63,111 @@ def v8_rows(chart: Column, places: int = V8_ROUND) -> Column:
     return F.flatten(F.transform(F.coalesce(chart["chart"]["result"], F.array()), per_result))
 
 
-def v7_rows(body: Column, places: int = V7_ROUND) -> Column:
-    """CSV download payload -> array of bar structs (with ``adj_close``).
+def v7_lines(body: Column) -> Column:
+    """CSV download payload -> array of parsed lines, without the header and blank lines.
 
-    Skips the header line and blank lines, reads cells with a fixed 7-column
-    schema (``null`` cells are NULL), rounds numbers and turns ``Date``
-    (yyyy-MM-dd, UTC) into epoch seconds.
+    Cells are read with a fixed 7-column schema (``null`` cells are NULL);
+    ``malformed`` holds the line where cells are missing, too many or no number.
     """
     lines = F.split(body, "\r?\n")
-    data = F.filter(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), lambda l: F.trim(l) != "")
+    data = F.filter(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), lambda line: F.trim(line) != "")
+    options = {"nullValue": "null", "columnNameOfCorruptRecord": "malformed"}
+    return F.transform(data, lambda line: F.from_csv(line, V7_CSV_DDL, options))
+
 
-    def per_line(line: Column) -> Column:
-        c = F.from_csv(line, V7_CSV_DDL, {"nullValue": "null"})
-        day = F.to_date(c["Date"], "yyyy-MM-dd")
-        tstamp = F.datediff(day, F.lit("1970-01-01").cast("date")).cast("long") * 86400
+def _v7_day(cell: Column) -> Column:
+    return F.try_to_date(cell["Date"], "yyyy-MM-dd")
+
+
+def v7_fault(body: Column, cells: Column) -> Column:
+    """What is wrong with a CSV payload, or NULL."""
+    header = F.regexp_replace(F.element_at(F.split(body, "\r?\n"), 1), "^\ufeff", "")
+    return (
+        F.when(body.isNull() | ~header.eqNullSafe(F.lit(V7_HEADER)), F.lit("malformed body: header"))
+        .when(F.exists(cells, lambda c: c.isNull() | c["malformed"].isNotNull()), F.lit("malformed body: cell"))
+        .when(F.exists(cells, lambda c: _v7_day(c).isNull()), F.lit("malformed body: date"))
+    )
+
+
+def v7_rows(cells: Column, places: int = V7_ROUND) -> Column:
+    """Parsed lines -> array of bar structs (with ``adj_close``): numbers rounded, ``Date`` (UTC) in epoch seconds."""
+
+    def per_line(c: Column) -> Column:
+        tstamp = F.unix_date(_v7_day(c)).cast("long") * 86400
         return _bar(tstamp, c["High"], c["Low"], c["Open"], c["Close"], c["Adj Close"],
                     round_half_up(c["Volume"], places), places)
 
-    return F.transform(data, per_line)
+    return F.transform(cells, per_line)
 
 
-def parse_v8(payloads: DataFrame, places: int = V8_ROUND) -> DataFrame:
-    """JSON chart payloads -> bars ``(symbol, tstamp, high, low, open, close, volume)``."""
-    chart = F.from_json("body", CHART_DDL)
-    return payloads.select("symbol", F.inline(v8_rows(chart, places))).drop("adj_close")
+def v8_fault(chart: Column) -> Column:
+    """What is wrong with a chart payload, or NULL."""
+    error = chart["chart"]["error"]
+    told = F.concat_ws(": ", F.lit("api error"), error["code"], error["description"])
+    return (
+        F.when(chart.isNull() | chart["malformed"].isNotNull(), F.lit("malformed body"))
+        .when(error.isNotNull(), told)
+        .when(chart["chart"]["result"].isNull(), F.lit("malformed body: no result"))
+    )
 
 
-def parse_v7(payloads: DataFrame, places: int = V7_ROUND) -> DataFrame:
-    """CSV download payloads -> bars with ``adj_close``."""
-    out = payloads.select("symbol", F.inline(v7_rows(F.col("body"), places)))
-    return out.select("symbol", "tstamp", "high", "low", "open", "close", "adj_close", "volume")
+def _parsed(payloads: DataFrame) -> DataFrame:
+    """Adds ``_ver``, ``_chart`` (v8) and ``_cells`` (v7); every body is parsed once, where its version says so."""
+    own = payloads.withColumn("_ver", F.lower(F.col("api_version")))
+    chart = F.from_json("body", CHART_DDL, {"columnNameOfCorruptRecord": "malformed"})
+    return own.withColumns(
+        {"_chart": F.when(F.col("_ver") == "v8", chart), "_cells": F.when(F.col("_ver") == "v7", v7_lines(F.col("body")))}
+    )
 
 
 def classify(payloads: DataFrame) -> DataFrame:
-    """Adds ``reason`` (NULL when the response is usable) and ``_bars`` in one pass.
+    """Adds ``reason`` (NULL when the response is usable) and ``_bars``.
 
-    Reasons: ``status <code>`` (the source raised on any non-200), ``unsupported
-    api version`` (the parser is chosen by ``lower(api_version)``), ``malformed
-    body`` (a v8 body that does not parse to a chart).  The body is parsed once.
+    Reasons: ``status <code>`` (anything but 200), ``unsupported api version``
+    (the parser is chosen by ``lower(api_version)``), ``malformed body`` with
+    what is wrong (any cell that is no number, a date that is none, missing
+    cells, a wrong header, a body without a result), ``api error`` with the
+    error a chart body tells.
     """
-    ver = F.lower(F.col("api_version"))
-    chart = F.col("_chart")
-    with_chart = payloads.withColumn("_chart", F.when(ver == "v8", F.from_json("body", CHART_DDL)))
+    ver = F.col("_ver")
+    status = F.coalesce(F.col("status").cast("string"), F.lit("null"))
     reason = (
-        F.when(~F.coalesce(F.col("status") == 200, F.lit(False)),
-               F.concat(F.lit("status "), F.coalesce(F.col("status").cast("string"), F.lit("null"))))
+        F.when(~F.coalesce(F.col("status") == 200, F.lit(False)), F.concat(F.lit("status "), status))
         .when(~F.coalesce(ver.isin(*KNOWN_VERSIONS), F.lit(False)), F.lit("unsupported api version"))
-        .when((ver == "v8") & (chart.isNull() | chart["chart"].isNull()), F.lit("malformed body"))
+        .when(ver == "v8", v8_fault(F.col("_chart")))
+        .when(ver == "v7", v7_fault(F.col("body"), F.col("_cells")))
     )
-    rows = F.when(ver == "v8", v8_rows(chart)).otherwise(v7_rows(F.col("body")))
-    return with_chart.select(*payloads.columns, reason.alias("reason"), rows.alias("_bars"))
+    rows = F.when(ver == "v8", v8_rows(F.col("_chart"))).when(ver == "v7", v7_rows(F.col("_cells")))
+    # a generator, so that a filter on the reason is not pushed below it and parses nothing again
+    both = F.array(F.struct(reason.alias("reason"), rows.alias("_bars")))
+    return _parsed(payloads).select(*payloads.columns, F.inline(both))
+
+
+def split_classified(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bars, quarantine) of a classified table.
+
+    Bars carry ``adj_close`` (NULL for v8); the quarantine keeps the response
+    columns plus ``reason``.
+    """
+    bars = classified.filter(F.col("reason").isNull()).select("symbol", F.inline("_bars"))
+    return bars, classified.filter(F.col("reason").isNotNull()).drop("_bars")
 
 
 def dispatch(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Status gate and per-version parsing: returns (bars, quarantine).
 
-    Each output reads the landed table once.  Bars carry ``adj_close`` (NULL
-    for v8); the quarantine keeps the response columns plus ``reason``.
+    Each output reads the landed table once; to write both, store ``classify``'s
+    result and use ``split_classified``.
     """
-    c = classify(payloads)
-    bars = c.filter(F.col("reason").isNull()).select("symbol", F.inline("_bars"))
-    bad = c.filter(F.col("reason").isNotNull()).drop("_bars")
-    return bars, bad
-
-
-# ---------------------------------------------------------------------------
-# Building landed payloads from bars (used to feed the parsers from real tables)
-# ---------------------------------------------------------------------------
-
-
-def _day(tstamp):
-    """Calendar day (UTC) of epoch seconds, without the session time zone."""
-    return F.date_from_unix_date(F.floor(tstamp / 86400).cast("int"))
-
-
-# Longest response array the builders make; denser data gets shorter periods.
-MAX_PAYLOAD_ROWS = 100_000
-
-
-def _yearly(bars: DataFrame, period_days: int | None = None) -> DataFrame:
-    """One response per (symbol, calendar year), or per (symbol, ``period_days``
-    window), the way the price API bounds a request's range; arrays sorted by
-    tstamp.  Without ``period_days`` a density check (two numbers from one
-    partial aggregate) keeps arrays at about ``MAX_PAYLOAD_ROWS`` at most: if a
-    year of the densest series (at its average rate) would exceed it, periods
-    shrink to match."""
-    period_seconds = 86400 * int(period_days) if period_days else None
-    if period_seconds is None:
-        from candela.plans.segments import series_stats
-
-        density, _ = series_stats(bars, ["symbol"], "tstamp")
-        if (density or 0.0) * 86400 * 366 > MAX_PAYLOAD_ROWS:
-            period_seconds = max(1, int(MAX_PAYLOAD_ROWS / density))
-    if period_seconds:
-        period = F.floor(F.col("tstamp") / period_seconds)
-    else:
-        period = F.year(_day(F.col("tstamp")))
-    row = F.struct("tstamp", "high", "low", "open", "close", "volume")
-    return bars.groupBy("symbol", period.alias("year")).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-
-
-def v8_payloads(bars: DataFrame, api_version: str = "v8", period_days: int | None = None) -> DataFrame:
-    """Bars -> JSON chart payloads, one per (symbol, year) or per ``period_days``."""
-    y = _yearly(bars, period_days)
-    quote = F.struct(
-        F.col("rows.high").alias("high"),
-        F.col("rows.low").alias("low"),
-        F.col("rows.open").alias("open"),
-        F.col("rows.close").alias("close"),
-        F.col("rows.volume").alias("volume"),
-    )
-    first_ts = F.element_at("rows", 1)["tstamp"]
-    last_ts = F.element_at("rows", -1)["tstamp"]
-    period = F.struct(
-        F.lit("UTC").alias("timezone"),
-        last_ts.alias("end"),
-        first_ts.alias("start"),
-        F.lit(0).alias("gmtoffset"),
-    )
-    meta = F.struct(
-        F.col("symbol").alias("symbol"),
-        F.lit("USD").alias("currency"),
-        first_ts.alias("firstTradeDate"),
-        F.lit(False).alias("hasPrePostMarketData"),
-        F.element_at("rows", -1)["close"].alias("regularMarketPrice"),
-        F.struct(period.alias("regular")).alias("currentTradingPeriod"),
-        F.lit("1d").alias("dataGranularity"),
-        F.array(*[F.lit(r) for r in VALID_RANGES]).alias("validRanges"),
-    )
-    result = F.struct(
-        meta.alias("meta"),
-        F.col("rows.tstamp").alias("timestamp"),
-        F.struct(F.array(quote).alias("quote")).alias("indicators"),
-    )
-    body = F.to_json(F.struct(F.struct(F.array(result).alias("result")).alias("chart")))
-    return y.select(
-        "symbol", F.lit(200).alias("status"), F.lit(api_version).alias("api_version"), body.alias("body")
-    )
+    return split_classified(classify(payloads))
 
 
-def v7_payloads(bars: DataFrame, api_version: str = "v7", period_days: int | None = None) -> DataFrame:
-    """Bars -> CSV download payloads (header + one line per bar), one per (symbol, year)."""
-    y = _yearly(bars, period_days)
-    header = F.lit("Date,Open,High,Low,Close,Adj Close,Volume")
-    def cell(c: Column) -> Column:
-        # a missing value is written as null (concat_ws would drop it and shift the cells)
-        return F.coalesce(c.cast("string"), F.lit("null"))
-
-    line = F.transform(
-        "rows",
-        lambda r: F.concat_ws(
-            ",",
-            cell(_day(r["tstamp"])),
-            cell(r["open"]),
-            cell(r["high"]),
-            cell(r["low"]),
-            cell(r["close"]),
-            cell(r["close"]),
-            cell(r["volume"]),
-        ),
-    )
-    body = F.concat_ws("\n", F.concat(F.array(header), line))
-    return y.select(
-        "symbol", F.lit(200).alias("status"), F.lit(api_version).alias("api_version"), body.alias("body")
-    )
+def parse_v8(payloads: DataFrame) -> DataFrame:
+    """Usable JSON chart payloads -> bars ``(symbol, tstamp, high, low, open, close, volume)``."""
+    return dispatch(payloads.withColumn("api_version", F.lit("v8")))[0].drop("adj_close")
+
+
+def parse_v7(payloads: DataFrame) -> DataFrame:
+    """Usable CSV download payloads -> bars with ``adj_close``."""
+    out = dispatch(payloads.withColumn("api_version", F.lit("v7")))[0]
+    return out.select("symbol", "tstamp", "high", "low", "open", "close", "adj_close", "volume")

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candela.plans import segments as seg
 from candela.schemas import BARS, SYMBOL_BARS
 
-# Largest request table joined by broadcast; beyond it the join is bucketed.
-BROADCAST_REQUESTS = 100_000
-# Bucket width (seconds) of the bucketed range join.
-RANGE_BUCKET_SECONDS = 86400 * 64
+#: Bars of a bucket of the request join, about.
+BUCKET_ROWS = 1 << 14
 
 
 def symbol_range_scan(bars: DataFrame, symbol: str, period1: int, period2: int) -> DataFrame:
@@ -24,42 +23,32 @@ def symbol_range_scan(bars: DataFrame, symbol: str, period1: int, period2: int)
     )
 
 
-def request_scan(
-    bars: DataFrame,
-    requests: DataFrame,
-    *,
-    broadcast_limit: int = BROADCAST_REQUESTS,
-    bucket_seconds: int = RANGE_BUCKET_SECONDS,
-) -> DataFrame:
+def request_scan(bars: DataFrame, requests: DataFrame, *, target_rows: int = BUCKET_ROWS) -> DataFrame:
     """Many requests at once: bars in ``[period1, period2)`` of each request's symbol.
 
-    ``requests`` needs ``request_id, symbol, period1, period2``.  When the request
-    table holds at most ``broadcast_limit`` rows (counted first) it is broadcast,
-    so the bars do not shuffle at all.  Otherwise both sides are cut into time
-    buckets and joined on (symbol, bucket): a hot symbol spreads over its
-    buckets instead of landing in one task.
+    ``requests`` needs ``request_id, symbol, period1, period2``.  A series of
+    more than ``target_rows`` bars is cut into equal-depth buckets (see
+    ``segments``); a request goes to the buckets it reaches, and both sides
+    join on (symbol, bucket).  A bar meets only the requests that reach its
+    bucket, a hot or dense symbol spreads over its buckets, and a request with
+    absurd bounds reaches no more buckets than its symbol has.
     """
-    req = requests.select("request_id", F.col("symbol").alias("_rs"), "period1", "period2")
-    in_range = (F.col("tstamp") >= F.col("period1")) & (F.col("tstamp") < F.col("period2"))
-    if req.count() <= broadcast_limit:
-        j = bars.join(F.broadcast(req), (F.col("symbol") == F.col("_rs")) & in_range)
-        return j.drop("_rs")
-    w = int(bucket_seconds)
-    # Clamp each request to the time range the bars cover (two numbers from one
-    # aggregate), so a request with absurd bounds cannot explode into billions
-    # of empty buckets; empty requests never explode at all.
-    span = bars.agg(F.min("tstamp").alias("lo"), F.max("tstamp").alias("hi")).first()
-    if span is None or span["lo"] is None:
-        # no bars: an empty result of the same shape (the optimiser folds it away)
-        return bars.join(req, F.col("symbol") == F.col("_rs")).filter(F.lit(False)).drop("_rs")
-    lo = F.greatest(F.col("period1"), F.lit(span["lo"]))
-    hi = F.least(F.col("period2") - 1, F.lit(span["hi"]))
-    req_b = req.filter(lo <= hi).withColumn(
-        "_b", F.explode(F.sequence(F.floor(lo / w), F.floor(hi / w)))
+    seg.refuse_own_names(bars)
+    bucketed = seg.split(bars, ["symbol"], "tstamp", halo=0, target_rows=target_rows).filter(~F.col(seg.HALO))
+    bounds = F.broadcast(seg.cuts(bars, ["symbol"], "tstamp", halo=0, count_col=None, target_rows=target_rows))
+    key, cuts = seg.PREFIX + "k0", seg.PREFIX + "cuts"
+    req = requests.select("request_id", F.col("symbol").alias("_rs"), "period1", "period2").filter("period1 < period2")
+
+    def reached(stamp: Column) -> Column:
+        return F.coalesce(F.size(F.filter(F.col(cuts), lambda c: c <= stamp)), F.lit(0))
+
+    buckets = F.when(F.col(cuts).isNull(), F.array(F.lit(0))).otherwise(F.sequence(reached(F.col("period1")), reached(F.col("period2") - 1)))
+    spread = req.join(bounds.select(key, cuts), F.col("_rs") == F.col(key), "left").select(
+        "request_id", "_rs", "period1", "period2", F.explode(buckets).alias("_b")
     )
-    bars_b = bars.withColumn("_b", F.floor(F.col("tstamp") / w))
-    j = bars_b.join(req_b, (F.col("symbol") == F.col("_rs")) & (bars_b["_b"] == req_b["_b"]) & in_range)
-    return j.drop("_rs", "_b")
+    in_range = (F.col("tstamp") >= F.col("period1")) & (F.col("tstamp") < F.col("period2"))
+    joined = bucketed.join(spread, (F.col("symbol") == F.col("_rs")) & (F.col(seg.SEG) == F.col("_b")) & in_range)
+    return joined.select(*[F.col(seg.q(c)) for c in bars.columns], "request_id", "period1", "period2")
 
 
 def read_bars_csv(spark: SparkSession, path: str, with_symbol: bool = False) -> DataFrame:

@@ -8,6 +8,7 @@ by the test suite here (no database may be started in this environment).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_partitioned(
@@ -15,7 +16,8 @@ def write_partitioned(
     path: str,
     *,
     partition_by: tuple[str, ...] = ("symbol",),
-    cluster_by: tuple[str, ...] = ("tstamp",),
+    order_by: str = "tstamp",
+    stretch: int = 86400 * 366 * 4,
     mode: str = "overwrite",
     fmt: str = "parquet",
     max_records_per_file: int | None = None,
@@ -23,15 +25,14 @@ def write_partitioned(
     """Write with one directory per key; overwrite replaces only the partitions present.
 
     ``partitionOverwriteMode=dynamic`` makes a reload of one symbol replace that
-    symbol's directory and nothing else.  Rows are range-partitioned by
-    (partition columns, ``cluster_by``): the sampled range bounds split a hot
-    symbol over many tasks by time instead of giving it one writer, each task
-    still writes few directories, and files come out ordered by time (tight
-    min/max statistics for ``tstamp`` filters).
+    symbol's directory and nothing else.  Rows are hashed by (partition
+    columns, stretch of ``order_by``), which needs no sample and so computes
+    the input once; a long series has a writer for each stretch.  Files come
+    out ordered by ``order_by`` (tight min/max statistics for filters).
     """
-    cols = [c for c in (*partition_by, *cluster_by) if c in df.columns]
-    writer = df.repartitionByRange(*cols).write if cols else df.write
-    writer = writer.format(fmt).mode(mode).option("partitionOverwriteMode", "dynamic")
+    if order_by in df.columns:
+        df = df.repartition(*partition_by, F.floor(F.col(order_by) / int(stretch))).sortWithinPartitions(*partition_by, order_by)
+    writer = df.write.format(fmt).mode(mode).option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(int(max_records_per_file)))
     writer.partitionBy(*partition_by).save(path)

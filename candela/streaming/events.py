@@ -9,11 +9,13 @@ checkpoint, not by consumer-group commits.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from candela.operators.notify import decode_events, outbox
+from candela.operators.notify import decode_events, outbox, rejects
 from candela.schemas import EVENT_WIRE
 
 NOTIFY_TOPIC = "email-service.notifications"
@@ -61,21 +63,26 @@ def write_event_stream(
 
 
 def write_event_batch(wire: DataFrame, *, fmt: str = "kafka", path: str | None = None,
-                      topic: str = NOTIFY_TOPIC, options: dict[str, str] | None = None) -> None:
-    """Batch form of the sink (after a table write succeeds, for example)."""
+                      topic: str = NOTIFY_TOPIC, options: dict[str, str] | None = None, mode: str = "append") -> None:
+    """Batch form of the sink (after a table write succeeds, for example); ``mode`` is for files."""
     writer = wire.write.format(fmt)
     if fmt == "kafka":
         writer = writer.option("topic", topic).option("kafka.acks", "all")
     else:
-        writer = writer.mode("append")
+        writer = writer.mode(mode)
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     writer.save(path) if path else writer.save()
 
 
-def outbox_stream(wire: DataFrame) -> DataFrame:
-    """Stateless stream: decode maps, keep valid recipients, apply defaults."""
-    return outbox(decode_events(wire)).select("to", "subject", "content", "m")
+def outbox_stream(wire: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Stateless stream: decode maps, keep valid recipients, apply defaults; ``carry``: map entries to keep as columns."""
+    return outbox(decode_events(wire)).select("to", "subject", "content", *[F.col("m")[k].alias(k) for k in carry])
+
+
+def rejects_stream(wire: DataFrame) -> DataFrame:
+    """The events that do not reach the outbox, as they came, with the reason."""
+    return rejects(decode_events(wire)).select("key", "value", "rejected")
 
 
 def run_outbox(
@@ -86,16 +93,26 @@ def run_outbox(
     *,
     source_fmt: str = "parquet",
     sink_fmt: str = "parquet",
+    carry: Sequence[str] = (),
+    rejected_path: str | None = None,
 ) -> DataFrame:
-    """Drain the event folder once (``availableNow``) into the outbox table and read it back."""
-    wire = read_event_stream(spark, fmt=source_fmt, path=source_path)
-    mail = outbox_stream(wire).select("to", "subject", "content", F.col("m")["doc_id"].alias("doc_id"))
-    q = (
-        mail.writeStream.format(sink_fmt)
-        .option("checkpointLocation", checkpoint)
+    """Drain the event folder once (``availableNow``) into the outbox table and read it back.
+
+    ``rejected_path``: a second query, with a checkpoint of its own, writes the
+    rejected events there.
+    """
+    parts = [(lambda w: outbox_stream(w, carry), sink_path, checkpoint)]
+    if rejected_path:
+        parts.append((rejects_stream, rejected_path, f"{checkpoint}-rejected"))
+    started = [
+        make(read_event_stream(spark, fmt=source_fmt, path=source_path))
+        .writeStream.format(sink_fmt)
+        .option("checkpointLocation", at)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start(sink_path)
-    )
-    q.awaitTermination()
+        .start(path)
+        for make, path, at in parts
+    ]
+    for query in started:
+        query.awaitTermination()
     return spark.read.format(sink_fmt).load(sink_path)
