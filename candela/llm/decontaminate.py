@@ -18,7 +18,7 @@ whatever the number of either.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 import xxhash
@@ -157,12 +157,20 @@ class Block:
         if not best:
             return []
         place = [m.span() for m in WORD.finditer(text)]
-        by_item: dict[object, dict] = {}
-        for p, (similarity, i, j) in sorted(best.items()):
-            old = by_item.get(self.items[p])
-            if old is None or similarity > old["similarity"]:
-                by_item[self.items[p]] = {"item_id": self.items[p], "similarity": round(similarity, 6), "start": place[i][0], "end": place[j - 1][1]}
-        return list(by_item.values())
+        return best_of(
+            {"item_id": self.items[p], "similarity": round(similarity, 6), "start": place[i][0], "end": place[j - 1][1]}
+            for p, (similarity, i, j) in sorted(best.items())
+        )
+
+
+def best_of(leaks: Iterable[dict]) -> list[dict]:
+    """One leak an item: that of its best piece, the first of equal ones."""
+    by_item: dict[object, dict] = {}
+    for x in leaks:
+        old = by_item.setdefault(x["item_id"], x)
+        if x["similarity"] > old["similarity"]:
+            by_item[x["item_id"]] = x
+    return list(by_item.values())
 
 
 def pieces(benchmark: DataFrame, text: str, item_id: str) -> DataFrame:
@@ -228,7 +236,7 @@ def annotate(
 
         def find(cols: dict[str, list], seeds=seeds) -> dict[str, list]:
             known = Hashes()
-            cols["leaks"] = [old + seeds.value.leaks(t, known) for old, t in zip(cols["leaks"], cols["__text"])]
+            cols["leaks"] = [best_of(old + seeds.value.leaks(t, known)) for old, t in zip(cols["leaks"], cols["__text"])]
             return cols
 
         out = common.map_batches(out, find, schema)
