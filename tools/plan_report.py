@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -67,7 +68,7 @@ def summarise(plan: str) -> dict:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = local_session(8)
+    spark = local_session(8, scratch=tempfile.mkdtemp(prefix="candela-plans-"))
     print("# Executed plans of the registered queries\n")
     print(f"Generated by `python tools/plan_report.py {sf}` (local[8], 8 shuffle partitions, AQE on).")
     print("Counts are of the final adaptive plan after the query ran once.")
@@ -120,19 +121,18 @@ def flagship_trees(spark, sf: str) -> None:
     bars = spark.read.parquet(bars_path)
     print("\n## Flagship chain (gap fill -> EMA(10) -> SMA(10)) over a bars Parquet table\n")
     print(f"Bars built from `{path}` and written once, so only the operator's own work shows.\n")
-    print("### Every series proven short: one shuffle by symbol\n")
+    print("### Every series one segment\n")
     print("```")
     print(condensed_tree(series.load_symbol_chain(bars)))
     print("```\n")
-    print("### Segmented plan (forced: 30-day segments, 1000-row blocks)\n")
-    print("Rows shuffle by (null-safe keys, segment) into the hash join with the per-segment")
-    print("summary (partial aggregate, build side), then by (symbol, block) after the halo copy.\n")
+    print("### The same plan over series cut into segments of about 1,000 rows\n")
+    print("The broadcast side is the counting pass; rows shuffle once, by (symbol, segment).\n")
     print("```")
-    print(condensed_tree(series.load_symbol_chain(bars, width=86400 * 30, block_rows=1000)))
+    print(condensed_tree(series.load_symbol_chain(bars, target_rows=1000)))
     print("```")
 
 
 if __name__ == "__main__":
     main()
     if "--no-trees" not in sys.argv:
-        flagship_trees(local_session(8), sys.argv[1] if len(sys.argv) > 1 and not sys.argv[1].startswith("--") else "/root/testdata/sf0.01")
+        flagship_trees(local_session(8, scratch=tempfile.mkdtemp(prefix="candela-plans-")), sys.argv[1] if len(sys.argv) > 1 and not sys.argv[1].startswith("--") else "/root/testdata/sf0.01")
