@@ -16,7 +16,7 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from candela.plans import catalog  # noqa: E402
 from candela.session import local_session  # noqa: E402
 
 
@@ -82,7 +82,7 @@ def main() -> None:
     print("- Queries over `orders`/`lineitem` include the shuffles of building bars from those tables.\n")
     print("| query | shuffles (partitioning) | bcast | windows | aggs (sort-based) | python | scans |")
     print("|---|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         df = fn(spark, sf)
         df.collect()  # run this DataFrame's own execution, so AQE's final plan is read
         plan = df._jdf.queryExecution().executedPlan().toString()
