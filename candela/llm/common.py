@@ -130,7 +130,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             both.join(low, "u")
             .where(F.col("v") > F.col("u"))
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .distinct()
         )
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))

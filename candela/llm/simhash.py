@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("do
 
 
 def spanning(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the graph of all links among ``fps`` (unsigned)."""
+    """Edges from the first member of each component to the others, for the graph of all links among ``fps`` (unsigned)."""
     near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= radius
     fresh = np.ones(len(fps), dtype=bool)
     edges = []
@@ -82,7 +82,7 @@ def spanning(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
                 found = np.flatnonzero(near[x] & fresh)
                 fresh[found] = False
                 queue.extend(found.tolist())
-                edges += [(x, int(y)) for y in found]
+            edges += [(root, y) for y in queue[1:]]
     return edges
 
 
@@ -150,25 +150,27 @@ def links(distinct: DataFrame, radius: int, fp: str = "fingerprint") -> DataFram
 
 
 def near_duplicates(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 4, seed: int = 42, radius: int = 4
-) -> DataFrame:
-    """One row per document: ``doc_id``, ``fingerprint`` (signed long), ``component_id``.
-
-    ``component_id`` is the smallest id among the documents that links reach,
-    the document itself included. Equal fingerprints are linked. Documents
-    without words have the fingerprint zero and are linked like any other.
-    Null ids keep their row and count for no component (null where all are).
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 4, seed: int = 42, radius: int = 4,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """One row per document: ``doc_id``, the kept columns, ``fingerprint`` (signed long), ``component``, ``component_id``.
+
+    ``component`` names the component by a fingerprint of it; ``component_id``
+    is the smallest id among the documents that links reach, the document
+    itself included. Equal fingerprints are linked. Documents without words
+    have the fingerprint zero and are linked like any other. Null ids keep
+    their row and count for no ``component_id`` (null where all are).
     """
-    own = common.stored(fingerprints(docs, text, (doc_id,), size, seed).withColumnRenamed(doc_id, "doc_id"))
-    distinct = common.stored(own.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
+    own = common.stored(fingerprints(docs, text, (doc_id, *keep), size, seed))
+    distinct = common.stored(own.groupBy("fingerprint").agg(F.min(f"`{doc_id}`").alias("least")))
     nodes = common.components(links(distinct, radius))
     rooted = distinct.join(nodes, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", F.coalesce("root", "fingerprint").alias("root"), "least"
+        "fingerprint", F.coalesce("root", "fingerprint").alias("component"), "least"
     )
-    low = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = common.stored(rooted.join(low, "root").select("fingerprint", "component_id"))
-    out = own.join(names, "fingerprint").select("doc_id", "fingerprint", "component_id")
-    return out.withColumnRenamed("doc_id", doc_id)
+    low = rooted.groupBy("component").agg(F.min("least").alias("component_id"))
+    names = common.stored(rooted.join(low, "component").select(F.col("fingerprint").alias("__fp"), "component", "component_id"))
+    joined = own.join(names, F.col("fingerprint") == F.col("__fp"))
+    return joined.select(f"`{doc_id}`", *[f"`{c}`" for c in keep], "fingerprint", "component", "component_id")
 
 
 def hexadecimal(fp):

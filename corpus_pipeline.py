@@ -27,14 +27,20 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component of near-duplicates, the one with the smallest id.
+    """Keeps one document of each component of near-duplicates.
 
-    Of rows that repeat with that id one stays; documents without an id have
-    none to be chosen by and stay, and they hide no other document.
+    The one with the smallest id, then by a hash of the text where an id is
+    there twice; a null id comes last. Of rows that repeat one stays.
     """
-    found = simhash.near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    chosen = docs.where("doc_id is not null").join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    keyed = docs.withColumn("__key", F.xxhash64("text"))
+    rows = stored(simhash.near_duplicates(keyed, keep=("__key",)).groupBy("component", "doc_id", "__key").agg(F.count("*").alias("n")))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__key")
+    first = rows.groupBy("component").agg(F.min(order).alias("first"))
+    marked = rows.join(first, "component").select(F.col("doc_id").alias("__id"), F.col("__key").alias("__own"), "n", order.eqNullSafe(F.col("first")).alias("stays"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__own"))
+    single = keyed.join(marked.where("not stays or n > 1"), same, "left_anti")
+    repeated = keyed.join(marked.where("stays and n > 1"), same, "left_semi").dropDuplicates(["doc_id", "__key"])
+    return single.unionByName(repeated).select(*docs.columns)
 
 
 def without_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
