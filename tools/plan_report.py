@@ -75,10 +75,10 @@ def main() -> None:
     print("`scans` lists table: columns read, pushed filters.\n")
     print("Reading notes:")
     print("- `SinglePartition` entries are final global aggregates over partial results (the check")
-    print("  queries), or a keyless window over an input the size check proved to be at most 2^20 rows.")
-    print("- Series queries take the one-shuffle plan when no series exceeds one block. At this scale")
-    print("  that includes `load_symbol_hot` (its hot series has 53k rows, its blocks 2^16); at sf0.1")
-    print("  its hot series has 533k rows and takes the segmented plan (see README, Scale design).")
+    print("  queries).")
+    print("- Series queries shuffle rows once, by (series, `__cd_seg`). Where no series is long enough to")
+    print("  be cut, the counting pass comes out empty and the join with its cuts goes at run time;")
+    print("  `load_symbol_hot` has its hot series cut at every scale.")
     print("- Queries over `orders`/`lineitem` include the shuffles of building bars from those tables.\n")
     print("| query | shuffles (partitioning) | bcast | windows | aggs (sort-based) | python | scans |")
     print("|---|---|---|---|---|---|---|")
