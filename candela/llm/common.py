@@ -10,7 +10,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -99,6 +99,23 @@ def keep_and_text(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
 
 
+#: Entries of a hashed set of document ids, at most.
+HASHED = 1 << 20
+
+
+def may_be_among(docs: DataFrame, doc_id: str, wanted: DataFrame, wanted_id: str) -> DataFrame:
+    """The documents whose hashed id is that of a wanted one: all wanted ones, and few others while few are wanted.
+
+    The hashed ids are broadcast; there are at most ``HASHED`` of them.
+    """
+
+    def hashed(c: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(f"`{c}`")), F.lit(HASHED))
+
+    some = F.broadcast(wanted.select(hashed(wanted_id).alias("__hashed")).distinct())
+    return docs.join(some, hashed(doc_id) == F.col("__hashed"), "left_semi")
+
+
 def fields(df: DataFrame, keep: Sequence[str]) -> str:
     """DDL of the kept columns."""
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)

@@ -5,7 +5,8 @@ into stretches of that many, each a unit. Units are compared in lower case,
 and have at least ``LEAST_WORDS`` words; shorter lines are left alone.
 
 1. SimHash: bit i of a unit's fingerprint is set if it is set in more than
-   half the hashes of its words. Words are rows; seven 9-bit counters share a
+   half the hashes of its distinct words (a word that a line repeats over and
+   over would else decide all bits alone). Words are rows; seven 9-bit counters share a
    long, so nine grouped sums count all 63 bits (a stretch has fewer words
    than a counter can hold).
 2. Equal units become one. Distinct units join on pigeonhole blocks: the bits
@@ -17,7 +18,7 @@ and have at least ``LEAST_WORDS`` words; shorter lines are left alone.
    points apart in edits (never more than ``MOST_EDITS``, which bounds the
    work on very long words).
 4. Groups: connected components. Every unit is first compared with the first
-   one of each of its buckets; later only units of different components are
+   one of one of its buckets; later only units of different components are
    paired, so a dense group of n variants takes about n comparisons, not all
    its pairs, and no link between components is lost.
 5. The first occurrence of a group, by document id, then text, line and
@@ -43,6 +44,8 @@ LANES = BITS // LANE
 RADIUS = 3
 SIMILARITY, MOST_EDITS = 0.9, 256
 STRIDE = 1 << 31
+#: A text of at least ``LEAST_WORDS`` words between spaces.
+ENOUGH = rf"^\x20*(?:[^\x20]++\x20++){{{LEAST_WORDS - 1}}}[^\x20]"
 
 
 def stretches(line: Column) -> Column:
@@ -57,34 +60,54 @@ def stretches(line: Column) -> Column:
 
 
 def units(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """Rows (doc_id, text_key, unit, words): the units that are long enough; unit is line * 2^31 + stretch."""
-    lines = docs.select(
-        F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(f"`{text}`").alias("text_key"), F.posexplode(F.split(F.col(f"`{text}`"), "\n")).alias("line", "s")
-    )
-    cut = lines.select("doc_id", "text_key", "line", F.posexplode(stretches(F.col("s"))).alias("stretch", "s"))
-    low = cut.select("doc_id", "text_key", (F.col("line") * F.lit(STRIDE) + F.col("stretch")).alias("unit"), F.lower("s").alias("s"))
-    return low.where(F.length("s") >= 2 * LEAST_WORDS - 1).withColumn("words", F.split("s", " ")).where(F.size("words") >= LEAST_WORDS)
+    """Rows (doc_id, text_key, unit, s): the units that are long enough, in lower case; unit is line * 2^31 + stretch.
+
+    What is computed of a row stands in a step before its parts become rows,
+    else it would be computed again for every part.
+    """
+    keyed = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(f"`{text}`").alias("text_key"), F.split(F.col(f"`{text}`"), "\n").alias("lines"))
+    lines = keyed.select("doc_id", "text_key", F.posexplode("lines").alias("line", "s"))
+    cut = lines.withColumn("parts", stretches(F.col("s"))).select("doc_id", "text_key", "line", F.posexplode("parts").alias("stretch", "s"))
+    unit = (F.col("line") * F.lit(STRIDE) + F.col("stretch")).alias("unit")
+    return cut.where(F.col("s").rlike(ENOUGH)).select("doc_id", "text_key", unit, F.lower("s").alias("s"))
 
 
 def fingerprinted(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """Rows (doc_id, text_key, unit, key, chars, fp) of all units."""
-    word = units(docs, text, doc_id).select(
-        "doc_id", "text_key", "unit", F.md5(F.col("s").cast("binary")).alias("key"), F.length("s").alias("chars"), F.explode("words").alias("w")
+    hashes = F.array_distinct(F.transform(F.split("s", " "), lambda w: F.xxhash64(w)))
+    own = units(docs, text, doc_id).select(
+        "doc_id", "text_key", "unit", F.unhex(F.md5(F.col("s").cast("binary"))).alias("key"), F.length("s").alias("chars"), hashes.alias("hashes")
     )
+    word = own.select("doc_id", "text_key", "unit", "key", "chars", F.explode("hashes").alias("h"))
     mask = sum(1 << (LANE * k) for k in range(LANES))
-    hashed = word.withColumn("h", F.xxhash64("w"))
-    counted = hashed.groupBy("doc_id", "text_key", "unit", "key", "chars").agg(
+    counted = word.groupBy("doc_id", "text_key", "unit", "key", "chars").agg(
         F.count("*").alias("n"),
         *[F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(mask))).alias(f"l{j}") for j in range(LANE)],
     )
     fp = F.lit(0).cast("long")
     for j in range(LANE):
-        for k in range(LANES):
-            count = F.shiftright(f"l{j}", LANE * k).bitwiseAND(F.lit((1 << LANE) - 1))
-            fp = fp.bitwiseOR(F.when(count * 2 > F.col("n"), F.lit(1 << (LANE * k + j))).otherwise(F.lit(0)).cast("long"))
+        fp = fp.bitwiseOR(F.shiftleft(_majority(F.col(f"l{j}"), F.col("n")), j))
     return counted.select("doc_id", "text_key", "unit", "key", "chars", fp.alias("fp"))
 
 
+def _majority(counters: Column, n: Column) -> Column:
+    """Seven packed counters -> a 1 in the lowest bit of each that is over half of ``n``.
+
+    Every second counter is looked at with the room of its neighbour: what is
+    added to it reaches its tenth bit exactly if it is over half of ``n``. The
+    topmost has no such room and is compared by itself.
+    """
+    lows = sum(1 << (2 * LANE * k) for k in range(LANES // 2))
+    full = (1 << LANE) - 1
+    need = F.lit(1 << LANE) - F.floor(n / 2) - 1
+
+    def over(three: Column) -> Column:
+        return F.shiftright(three.bitwiseAND(F.lit(lows * full)) + need * F.lit(lows), LANE).bitwiseAND(F.lit(lows))
+
+    top = F.when(F.shiftright(counters, LANE * (LANES - 1)) * 2 > n, F.lit(1 << (LANE * (LANES - 1)))).otherwise(F.lit(0)).cast("long")
+    return over(counters).bitwiseOR(F.shiftleft(over(F.shiftright(counters, LANE)), LANE)).bitwiseOR(top)
+
+
 def block_keys(fp: Column, distinct: int) -> list[Column]:
     """One key for every choice of blocks that a pair within the radius agrees on for one choice at least."""
     m = next((m for m in range(RADIUS + 2, 9) if BITS * (m - RADIUS) / m >= max(1, distinct).bit_length() + 3), 9)
@@ -95,11 +118,11 @@ def block_keys(fp: Column, distinct: int) -> list[Column]:
 
 def texts_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> DataFrame:
     """Rows (id, s): lower-case text of distinct units, read where each occurs first."""
-    there = docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).join(
+    there = common.may_be_among(docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`")), doc_id, wanted, "doc_id").join(
         wanted.select(F.col("doc_id").alias("__id")).distinct(), F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")), "left_semi"
     )
     place = wanted.select("id", F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("unit").alias("__unit"))
-    found = units(there, text, doc_id).drop("words").join(
+    found = units(there, text, doc_id).join(
         place, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")) & (F.col("unit") == F.col("__unit"))
     )
     return found.select("id", "s").dropDuplicates(["id"])
@@ -116,10 +139,22 @@ def verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, text: str,
     return common.stored(near.where(_within("x", "y")).select("a", "b"))
 
 
+def _may_link(fp: str, other: str, chars: str, other_chars: str) -> Column:
+    """Within the radius, and no further apart in length than their edits may be."""
+    most = F.floor(F.greatest(chars, other_chars) * (1 - SIMILARITY) + 1e-9)
+    return (F.bit_count(F.col(fp).bitwiseXOR(F.col(other))) <= RADIUS) & (F.abs(F.col(chars) - F.col(other_chars)) <= F.least(most, F.lit(MOST_EDITS)))
+
+
 def _within(x: str, y: str) -> Column:
-    """Edit distance of at most a tenth, computed only within a band of ``MOST_EDITS``."""
-    distance = F.levenshtein(x, y, MOST_EDITS)
-    return (distance >= 0) & (distance <= F.col("__most"))
+    """Whether the edit distance is at most ``__most``: narrow bands first, as most pairs are a few edits apart."""
+
+    def at_most(limit: str) -> Column:
+        return F.expr(f"levenshtein({x}, {y}, {limit}) >= 0")
+
+    found = at_most("least(16, __most)")
+    for low, high in ((16, 64), (64, MOST_EDITS)):
+        found = F.when(found, True).when(F.col("__most") > low, at_most(f"least({high}, __most)")).otherwise(False)
+    return found
 
 
 def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -132,33 +167,38 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     found = common.stored(fingerprinted(docs, text, doc_id))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "unit")
     # a row written twice is one occurrence
-    once = found.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.min("fp").alias("fp"), F.min("chars").alias("chars"))
+    at = F.xxhash64("doc_id", "text_key", "unit")
+    once = found.groupBy("key").agg(
+        F.min(place).alias("first"), (F.min(at) != F.max(at)).alias("again"), F.min("fp").alias("fp"), F.min("chars").alias("chars")
+    )
     distinct = common.stored(
         once.select(
-            F.monotonically_increasing_id().alias("id"), "key", "fp", "chars", "first.doc_id", "first.text_key", "first.unit",
-            (F.col("first") != F.col("last")).alias("again"),
+            F.monotonically_increasing_id().alias("id"), "key", "fp", "chars", "first.doc_id", "first.text_key", "first.unit", "again"
         )
     )
-    keys = block_keys(F.col("fp"), distinct.count())
-    bucket = Window.partitionBy("t", "k")
+    # one number says which blocks and what they hold; that two choices share one would only add pairs to test
+    keys = [F.xxhash64(F.lit(t), k) for t, k in enumerate(block_keys(F.col("fp"), distinct.count()))]
+    bucket = Window.partitionBy("k").orderBy("id")
+    whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     buckets = common.stored(
-        distinct.select("id", "fp", F.posexplode(F.array(*keys)).alias("t", "k"))
-        .select("id", "fp", "t", "k", F.count("*").over(bucket).alias("n"), F.min(F.struct("id", "fp")).over(bucket).alias("lead"))
+        distinct.select("id", "fp", "chars", F.explode(F.array(*keys)).alias("k"))
+        .select("id", "fp", "chars", "k", F.count("*").over(whole).alias("n"), *[F.first(c).over(whole).alias(f"lead_{c}") for c in ("id", "fp", "chars")])
         .where("n > 1")
-        .select("id", "fp", "t", "k", F.col("lead.id").alias("lead"), F.col("lead.fp").alias("lead_fp"))
+        .drop("n")
     )
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("lead_fp"))) <= RADIUS
-    stars = buckets.where(near & (F.col("id") != F.col("lead"))).select(F.col("lead").alias("a"), F.col("id").alias("b"))
-    edges = verified(stars, distinct, docs, text, doc_id)
+    stars = buckets.where((F.col("id") != F.col("lead_id")) & _may_link("fp", "lead_fp", "chars", "lead_chars"))
+    # of the first ones of all its buckets one is enough: what it does not link is compared below
+    one = stars.groupBy("id").agg(F.min("lead_id").alias("a")).select("a", F.col("id").alias("b"))
+    edges = verified(one, distinct, docs, text, doc_id)
     first = common.stored(common.components(edges))
 
-    named = buckets.select("id", "fp", "t", "k").join(first.withColumnRenamed("node", "id"), "id", "left")
-    named = named.withColumn("root", F.coalesce("root", "id"))
-    a, b = (named.select("t", "k", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "fp", "root")]) for s in "ab")
-    rest = a.join(b, ["t", "k"]).where(
-        (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b")) & (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= RADIUS)
+    named = buckets.select("id", "fp", "chars", "k").join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    a, b = (named.select("k", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "fp", "chars", "root")]) for s in "ab")
+    rest = a.join(b, "k").where(
+        (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b")) & _may_link("fp_a", "fp_b", "chars_a", "chars_b")
     )
-    more = verified(rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), distinct, docs, text, doc_id)
+    rest = rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct().join(one, ["a", "b"], "left_anti")
+    more = verified(rest, distinct, docs, text, doc_id)
     linked = common.components(edges.unionByName(more))
 
     rooted = distinct.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
@@ -172,7 +212,7 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     of_key = common.stored(rooted.select("key", "root").join(heads, "root").select("key", "head", "group_id"))
     here = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "unit")
     return found.join(of_key, "key").select(
-        "doc_id", "text_key", "unit", F.floor(F.col("unit") / STRIDE).cast("int").alias("line"), "group_id", here.eqNullSafe(F.col("head")).alias("kept")
+        "doc_id", "text_key", "unit", F.floor(F.col("unit") / STRIDE).cast("int").alias("line"), F.lower(F.hex("group_id")).alias("group_id"), here.eqNullSafe(F.col("head")).alias("kept")
     )
 
 
@@ -183,7 +223,7 @@ def remove(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     from the rest. A document that loses all lines keeps its row with an empty
     text; one that loses nothing keeps its text as it is, null too.
     """
-    gone = groups(docs, text, doc_id).where(~F.col("kept")).distinct().groupBy("doc_id", "text_key").agg(F.collect_list("unit").alias("__gone"))
+    gone = groups(docs, text, doc_id).where(~F.col("kept")).groupBy("doc_id", "text_key").agg(F.collect_set("unit").alias("__gone"))
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__gone")
     names = docs.columns
     own = docs.withColumn("__own", F.xxhash64(f"`{text}`"))
