@@ -123,7 +123,7 @@ def encode(
         return cols
 
     schema = ", ".join(x for x in (common.fields(docs, keep), "ids binary") if x)
-    return common.map_batches(common.keep_and_text(docs, text, keep), run, schema)
+    return common.map_batches(common.keep_and_text(docs, text, keep), run, schema, slices=True)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
