@@ -9,8 +9,11 @@ case (A to Z) by its five-word shingles, taken as 64-bit hashes.
 2. Equal paragraphs become one. Distinct ones that collide are verified by the
    exact Jaccard similarity of their shingle sets.
 3. Groups are connected components. A paragraph is first compared with the
-   first one of each of its buckets; after that only paragraphs of different
-   components are paired. A bucket of n copies costs about n comparisons.
+   first one of each of its buckets, so a bucket of n copies costs about n
+   comparisons. Buckets that then still hold several components go, in chunks
+   and pairs of chunks, to tasks that compare all paragraphs of different
+   components there and pass on no more links than connect them: no pairs are
+   made as rows, no bucket is gathered whole, and no link is lost.
 4. The first occurrence of a group, by document id, then text and line, is
    kept; the others are the removals.
 
@@ -20,7 +23,10 @@ after all others; null texts have no paragraphs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +36,8 @@ from candela.llm import common
 LEAST_WORDS = 20
 SHINGLE, SIMILARITY = 5, 0.8
 HASHES, RECALL = 56, 0.999
+#: Paragraphs of a bucket in a chunk, and columns of an incidence matrix held at once.
+CHUNK, COLUMNS = 512, 8192
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -121,7 +129,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) ->
     """Rows (id, shingles): sorted distinct shingle hashes of paragraphs, read where each occurs first."""
     # One row a document that is read, with the lines wanted of it: at most its own lines.
     lines = wanted.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("line", "id"))).alias("wanted"))
-    given = _given(docs, text, doc_id)
+    given = _given(common.may_be_among(docs.select(f"`{doc_id}`", f"`{text}`"), doc_id, wanted, "doc_id"), text, doc_id)
     there = given.join(
         lines.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "wanted"),
         F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")),
@@ -148,6 +156,58 @@ def jaccard(x: bytes, y: bytes) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def near_pairs(sets: list[np.ndarray]) -> np.ndarray:
+    """Which pairs of shingle sets reach the wanted similarity (a square of booleans)."""
+    size = np.array(list(map(len, sets)), dtype=np.int64)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.cumsum(count > 1) - 1  # a shingle of one set only is in no intersection
+    row = np.repeat(np.arange(len(sets)), size)
+    use = count[column] > 1
+    row, column = row[use], shared[column[use]]
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for low in range(0, int(column.max()) + 1 if len(column) else 0, COLUMNS):
+        here = (column >= low) & (column < low + COLUMNS)
+        part = np.zeros((len(sets), min(COLUMNS, int(column.max()) + 1 - low)), dtype=np.float32)
+        part[row[here], column[here] - low] = 1
+        both += part @ part.T  # whole numbers far below 2^24: exact
+    both = both.astype(np.float64)
+    return both / np.maximum(size[:, None] + size[None, :] - both, 1) >= SIMILARITY
+
+
+def forest(ids: list[int], roots: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that connect the components among the paragraphs just as all their links do."""
+    near = near_pairs(sets)
+    _, label = np.unique(np.array(roots), return_inverse=True)
+    edges = []
+    for x in range(len(ids)):
+        found = np.flatnonzero(near[x] & (label != label[x]))
+        while len(found):
+            y = int(found[0])
+            edges.append((ids[x], ids[y]))
+            label[label == label[y]] = label[x]
+            found = found[label[found] != label[x]]
+    return edges
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (t, k, i, j, id, root, shingles), sorted by the first four: the forest of each run of these."""
+
+    def edges(rows: list[tuple]) -> pa.RecordBatch:
+        found = forest([r[4] for r in rows], [r[5] for r in rows], [np.frombuffer(r[6], dtype=np.uint64) for r in rows])
+        a, b = zip(*found) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(7))):
+            if held and held[0][:4] != row[:4]:
+                yield edges(held)
+                held = []
+            held.append(row)
+    if held:
+        yield edges(held)
+
+
 def verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """The pairs (a, b) of at least the wanted similarity."""
     pairs = common.stored(pairs.distinct())
@@ -190,12 +250,26 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     edges = verified(buckets.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")), distinct, docs, text, doc_id)
     first = common.stored(common.components(edges))
     named = buckets.select("id", "t", "k").join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    a, b = (named.select("t", "k", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "root")]) for s in "ab")
-    rest = a.join(b, ["t", "k"]).where((F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b")))
-    # what was compared with the first of its bucket need not be compared with it again
-    tried = buckets.select(F.col("lead").alias("a"), F.col("id").alias("b"))
-    rest = rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    linked = common.components(edges.unionByName(verified(rest, distinct, docs, text, doc_id)))
+    ordered = bucket.orderBy("id")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    mixed = common.stored(
+        named.select(
+            "id", "root", "t", "k", F.count("*").over(whole).alias("n"), F.row_number().over(ordered).alias("at"),
+            (F.min("root").over(whole) != F.max("root").over(whole)).alias("open"),
+        ).where("open")
+    )
+    sets = shingle_sets(docs, distinct.join(mixed.select("id").distinct(), "id", "left_semi"), text, doc_id)
+    chunk, last = F.floor((F.col("at") - 1) / CHUNK), F.floor((F.col("n") - 1) / CHUNK)
+    dealt = (
+        mixed.join(sets, "id")
+        .withColumn("own", chunk)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+        .select(F.col("t").cast("long").alias("t"), "k", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "root", "shingles")
+        .repartition("t", "k", "i", "j")
+        .sortWithinPartitions("t", "k", "i", "j")
+    )
+    more = common.stored(common.map_arrow(dealt, _forests, "a long, b long"))
+    linked = common.components(edges.unionByName(more))
 
     rooted = distinct.drop(*bands).join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     heads = (
