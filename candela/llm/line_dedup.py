@@ -18,7 +18,7 @@ and have at least ``LEAST_WORDS`` words; shorter lines are left alone.
    points apart in edits (never more than ``MOST_EDITS``, which bounds the
    work on very long words).
 4. Groups: connected components. Every unit is first compared with the first
-   one of one of its buckets; later only units of different components are
+   one of each of its buckets; later only units of different components are
    paired, so a dense group of n variants takes about n comparisons, not all
    its pairs, and no link between components is lost.
 5. The first occurrence of a group, by document id, then text, line and
@@ -135,7 +135,7 @@ def verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, text: str,
     s = common.stored(texts_of(docs, distinct.join(ids, "id", "left_semi"), text, doc_id))
     both = pairs.join(s.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(s.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
     most = F.least(F.floor(F.greatest(F.length("x"), F.length("y")) * (1 - SIMILARITY) + 1e-9), F.lit(MOST_EDITS)).cast("int")
-    near = both.withColumn("__most", most).where(F.abs(F.length("x") - F.length("y")) <= F.col("__most"))
+    near = _between(both.withColumn("__most", most).where(F.abs(F.length("x") - F.length("y")) <= F.col("__most")))
     return common.stored(near.where(_within("x", "y")).select("a", "b"))
 
 
@@ -145,6 +145,25 @@ def _may_link(fp: str, other: str, chars: str, other_chars: str) -> Column:
     return (F.bit_count(F.col(fp).bitwiseXOR(F.col(other))) <= RADIUS) & (F.abs(F.col(chars) - F.col(other_chars)) <= F.least(most, F.lit(MOST_EDITS)))
 
 
+def _between(pairs: DataFrame) -> DataFrame:
+    """Cuts the words that x and y begin and end with alike: what is left is as many edits apart."""
+
+    def run(n: Column, sign: int) -> Column:
+        """How many of the first n words (from either end) are equal."""
+        alike = F.transform(F.sequence(F.lit(1), n), lambda i: F.element_at("__x", i * sign) == F.element_at("__y", i * sign))
+        unlike = F.array_position(alike, F.lit(False)).cast("int")
+        return F.when(n < 1, 0).when(unlike == 0, n).otherwise(unlike - 1)
+
+    def rest(words: str) -> Column:
+        middle = F.slice(words, F.col("__head") + 1, F.size(words) - F.col("__head") - F.col("__tail"))
+        return F.array_join(F.transform(middle, lambda w: F.concat(w, F.lit(" "))), "")
+
+    both = pairs.withColumns({"__x": F.split("x", " "), "__y": F.split("y", " ")})
+    both = both.withColumn("__n", F.least(F.size("__x"), F.size("__y"))).withColumn("__head", run(F.col("__n"), 1))
+    both = both.withColumn("__tail", run(F.col("__n") - F.col("__head"), -1))
+    return both.select("a", "b", "__most", rest("__x").alias("x"), rest("__y").alias("y"))
+
+
 def _within(x: str, y: str) -> Column:
     """Whether the edit distance is at most ``__most``: narrow bands first, as most pairs are a few edits apart."""
 
@@ -187,18 +206,17 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
         .drop("n")
     )
     stars = buckets.where((F.col("id") != F.col("lead_id")) & _may_link("fp", "lead_fp", "chars", "lead_chars"))
-    # of the first ones of all its buckets one is enough: what it does not link is compared below
-    one = stars.groupBy("id").agg(F.min("lead_id").alias("a")).select("a", F.col("id").alias("b"))
-    edges = verified(one, distinct, docs, text, doc_id)
+    edges = verified(stars.select(F.col("lead_id").alias("a"), F.col("id").alias("b")), distinct, docs, text, doc_id)
     first = common.stored(common.components(edges))
 
-    named = buckets.select("id", "fp", "chars", "k").join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    named = buckets.select("id", "fp", "chars", "k", "lead_id").join(first.withColumnRenamed("node", "id"), "id", "left")
+    # the first of a bucket has been compared with all of it
+    named = named.where(F.col("id") != F.col("lead_id")).withColumn("root", F.coalesce("root", "id"))
     a, b = (named.select("k", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "fp", "chars", "root")]) for s in "ab")
     rest = a.join(b, "k").where(
         (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b")) & _may_link("fp_a", "fp_b", "chars_a", "chars_b")
     )
-    rest = rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct().join(one, ["a", "b"], "left_anti")
-    more = verified(rest, distinct, docs, text, doc_id)
+    more = verified(rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), distinct, docs, text, doc_id)
     linked = common.components(edges.unionByName(more))
 
     rooted = distinct.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
