@@ -1,23 +1,26 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Test items are cut into pieces of at most ``PIECE`` words (a rest shorter than
-that joins the last piece). A piece's n-grams are its possible seeds. One pass
-over the training texts counts in how many of them each occurs; seeds are
-those in at most ``RARE`` of the texts and, always, the rarer half of a
-piece's n-grams, so that an item that leaked into very many texts keeps seeds.
-A second pass looks the seeds up in each text and aligns the piece with the
-words around every seed. A text holds a copy of an item where the score of the
+that joins the last piece). All n-grams of a piece are its seeds, frequent
+ones too: what is left of an edited copy that stands in very many texts is
+frequent. One pass looks the seeds up in each text and aligns the piece with
+the words around them. A text holds a copy of an item where the score of the
 best local alignment reaches ``ENOUGH`` of the score of a perfect one, for any
 piece.
 
-The items go through both passes in blocks of a bounded number of n-grams; a
-block is what is broadcast. All training texts are compared with all items,
-whatever the number of either.
+Two bounds keep frequent seeds cheap and lose nothing, as a score of s needs
+s / ``MATCH`` words in common: words of the piece anywhere in the text, for
+all its candidates in one step, then words of it within the window.
+
+The items go through the pass in blocks of a bounded number of words; a block
+is what is broadcast. All training texts are compared with all items, whatever
+the number of either.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Sequence
 
 import numpy as np
@@ -30,7 +33,6 @@ from candela.llm import common
 
 GRAM = 4
 PIECE = 200
-RARE = 1e-4
 ENOUGH = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Expected words of a block of items; pieces are dealt to blocks by a hash.
@@ -55,13 +57,15 @@ class Hashes(dict):
         return value
 
 
-def grams(words: list[bytes], known: Hashes) -> np.ndarray:
-    """Hash of the n-gram that begins at each word; shorter texts have one of all their words."""
-    h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-    size = min(GRAM, len(h))
-    out = np.zeros(len(h) - size + 1 if size else 0, dtype=np.uint64)
+def hashes(words: list[bytes], known: Hashes) -> np.ndarray:
+    return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+def grams(h: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the n-gram of ``size`` words that begins at each word, from the words' hashes."""
+    out = np.zeros(max(0, len(h) - size + 1), dtype=np.uint64)
     for k in range(size):
-        out = (out + h[k : len(h) - size + 1 + k]) * MIX
+        out = (out + h[k : k + len(out)]) * MIX
         out ^= out >> np.uint64(29)
     return out
 
@@ -96,57 +100,70 @@ class Block:
         known = Hashes()
         self.items = [i for i, _ in pieces]
         self.words = [w for _, w in pieces]
-        own = [grams(w, known) for w in self.words]
-        count = [len(g) for g in own]
-        self.gram = np.concatenate(own) if own else np.empty(0, dtype=np.uint64)
-        self.piece = np.repeat(np.arange(len(own)), count)
-        self.at = np.concatenate([np.arange(c) for c in count]) if own else np.empty(0, dtype=np.int64)
-        self._sort(np.ones(len(self.gram), dtype=bool))
-
-    def _sort(self, which: np.ndarray) -> None:
-        order = np.argsort(self.gram[which], kind="stable")
-        self.gram, self.piece, self.at = (x[which][order] for x in (self.gram, self.piece, self.at))
-        self.distinct, first = np.unique(self.gram, return_index=True)
-        self.first = np.append(first, len(self.gram))
-
-    def keep_seeds(self, texts_with: dict[int, int], texts: int) -> None:
-        """Drop the n-grams that are no seeds, given in how many texts each occurs."""
-        df = np.array([texts_with.get(int(g), 0) for g in self.gram], dtype=np.int64)
-        order = np.lexsort((self.at, df, self.piece))
-        size = np.bincount(self.piece, minlength=len(self.words))
-        rank = np.arange(len(order)) - np.repeat(np.cumsum(size) - size, size)
-        half = np.zeros(len(order), dtype=bool)
-        half[order] = rank < (size[self.piece[order]] + 1) // 2
-        self._sort(half | (df <= RARE * texts))
-
-    def lookup(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in ``found`` of known n-grams, and which they are."""
-        if not len(self.distinct):
-            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-        i = np.minimum(np.searchsorted(self.distinct, found), len(self.distinct) - 1)
-        hit = np.flatnonzero(self.distinct[i] == found)
-        return hit, i[hit]
+        h = [hashes(w, known) for w in self.words]
+        # a piece of fewer words than an n-gram is one seed of its own length
+        size = [min(GRAM, len(w)) for w in self.words]
+        self.sizes = sorted(set(size))
+        own = [grams(x, n) for x, n in zip(h, size)]
+        gram = np.concatenate(own)
+        order = np.argsort(gram, kind="stable")
+        self.piece = np.repeat(np.arange(len(own)), [len(g) for g in own])[order]
+        self.at = np.concatenate([np.arange(len(g)) for g in own])[order]
+        self.distinct, first = np.unique(gram[order], return_index=True)
+        self.first = np.append(first, len(gram))
+        self.known, self.word = np.unique(np.concatenate(h), return_inverse=True)
+        self.length = np.array([len(w) for w in self.words])
+        self.begin = np.cumsum(self.length) - self.length
+
+    def lookup(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of known n-grams in a text, by its words' hashes, and which they are."""
+        at, which = [], []
+        for size in self.sizes:
+            found = grams(h, size)
+            i = np.minimum(np.searchsorted(self.distinct, found), len(self.distinct) - 1)
+            hit = np.flatnonzero(self.distinct[i] == found)
+            at.append(hit)
+            which.append(i[hit])
+        return np.concatenate(at), np.concatenate(which)
+
+    def may_reach(self, pieces: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Which of the pieces have so many of their words in the text that they can reach ``ENOUGH``."""
+        there = np.zeros(len(self.known), dtype=np.int64)
+        some = np.unique(h)
+        i = np.minimum(np.searchsorted(self.known, some), len(self.known) - 1)
+        there[i[self.known[i] == some]] = 1
+        n = self.length[pieces]
+        edge = np.cumsum(n) - n
+        every = np.repeat(self.begin[pieces] - edge, n) + np.arange(n.sum())
+        return np.add.reduceat(there[self.word[every]], edge) >= ENOUGH * n
 
     def leaks(self, text: str, known: Hashes) -> list[dict]:
         """The items that the text holds: best piece each, with similarity and stretch in code points."""
         words = words_of(text)
-        hit, which = self.lookup(grams(words, known))
+        h = hashes(words, known)
+        hit, which = self.lookup(h)
         if not len(hit):
             return []
         counts = self.first[which + 1] - self.first[which]
         entry = np.repeat(self.first[which], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         piece, start = self.piece[entry], np.repeat(hit, counts) - self.at[entry]
+        some = np.unique(piece)
+        keep = np.isin(piece, some[self.may_reach(some, h)])
+        piece, start = piece[keep], start[keep]
         best: dict[int, tuple[float, int, int]] = {}
         order = np.lexsort((start, piece))
         piece, start = piece[order], start[order]
-        cuts = np.flatnonzero((piece[1:] != piece[:-1]) | (start[1:] - start[:-1] > GRAM)) + 1
-        for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(piece)]):
+        # one window for the seeds of a piece that begin within its length
+        part = start // self.length[piece]
+        cuts = np.flatnonzero((piece[1:] != piece[:-1]) | (part[1:] != part[:-1])) + 1
+        for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(piece)] if len(piece) else []):
             p = int(piece[a])
             own = self.words[p]
-            slack = max(GRAM, len(own) // 2)
-            low, high = max(0, int(start[a]) - slack), min(len(words), int(start[b - 1]) + len(own) + slack)
+            # a copy that reaches it has at most as many words put in as the piece has
+            low, high = max(0, int(start[a]) - len(own)), min(len(words), int(start[b - 1]) + 2 * len(own))
             near = words[low:high]
-            if sum(w in set(near) for w in set(own)) < ENOUGH * len(set(own)) / 2:
+            bag = Counter(near)
+            if sum(min(n, bag[w]) for w, n in Counter(own).items()) < ENOUGH * len(own):
                 continue
             number: dict[bytes, int] = {}
             x, y = (np.array([number.setdefault(w, len(number)) for w in s]) for s in (own, near))
@@ -206,7 +223,6 @@ def annotate(
     cut = common.stored(pieces(benchmark, bench_text, item_id))
     total = cut.agg(F.sum("n")).first()[0] or 0
     blocks = -(-total // BLOCK)
-    texts = docs.count() if blocks else 0
     kind = benchmark.schema[item_id].dataType.simpleString()
     leak = f"array<struct<item_id:{kind},similarity:double,start:int,end:int>>"
     out = common.keep_and_text(docs, text, keep).withColumn("leaks", F.array().cast(leak))
@@ -217,21 +233,6 @@ def annotate(
         if not rows:
             continue
         block = Block(sorted(((r["item_id"], [bytes(w) for w in r["words"]]) for r in rows), key=lambda x: (x[0] is not None, x)))
-        sent = spark.sparkContext.broadcast(block.distinct)
-
-        def count(cols: dict[str, list], sent=sent) -> dict[str, list]:
-            wanted, known = sent.value, Hashes()
-            sums = np.zeros(len(wanted), dtype=np.int64)
-            for t in cols["__text"]:
-                found = grams(words_of(t), known)
-                i = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
-                sums[np.unique(i[wanted[i] == found])] += 1
-            some = np.flatnonzero(sums)
-            return {"gram": wanted[some].view(np.int64).tolist(), "n": sums[some].tolist()}
-
-        counted = common.map_batches(docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text")), count, "gram long, n long")
-        df = {r["gram"] & 0xFFFFFFFFFFFFFFFF: r["n"] for r in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
-        block.keep_seeds(df, texts)
         seeds = spark.sparkContext.broadcast(block)
 
         def find(cols: dict[str, list], seeds=seeds) -> dict[str, list]:
