@@ -21,18 +21,18 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}+")
 
-# Weak parts. Each is no finding by itself.
+# Weak parts. Each is no finding by itself. Values have no upper bound; none is read twice.
 WEAK_ID = re.compile(
-    r"(?<![A-Za-z0-9])(?:access[_-]?key(?:[_-]?id)?|client[_-]?id|user(?:name)?|login|account)[\"']?\x20?[:=]\x20?[\"']?([A-Za-z0-9._@+-]{3,128})",
+    r"(?<![A-Za-z0-9])(?:access[_-]?key(?:[_-]?id)?|client[_-]?id|user(?:name)?|login|account)[\"']?\x20?[:=]\x20?[\"']?([A-Za-z0-9._@+-]{3,}+)",
     re.IGNORECASE | re.ASCII,
 )
 WEAK_KEY = re.compile(
-    r"(?<![A-Za-z0-9])(?:pwd|pass|auth|bearer|key|credential)[\"']?\x20?[:=\x20]\x20?[\"']?([A-Za-z0-9+/_.=-]{8,128})",
+    r"(?<![A-Za-z0-9])(?:pwd|pass|auth|bearer|key|credential)[\"']?\x20?[:=\x20]\x20?[\"']?([A-Za-z0-9+/_.=-]{8,}+)",
     re.IGNORECASE | re.ASCII,
 )
-WEAK_RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,128}+={0,2}(?![A-Za-z0-9+/_=-])")
+WEAK_RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])")
 ENDPOINT = re.compile(
-    r"(?<![A-Za-z0-9])(?:[a-z][a-z0-9+]{1,15}://[A-Za-z0-9._~:@%-]{3,256}|(?:host(?:name)?|endpoint|server|url)[\"']?\x20?[:=]\x20?[\"']?[A-Za-z0-9._:/-]{3,256})",
+    r"(?<![A-Za-z0-9])(?:[a-z][a-z0-9+]{1,15}://[A-Za-z0-9._~:@%-]{3,}+|(?:host(?:name)?|endpoint|server|url)[\"']?\x20?[:=]\x20?[\"']?[A-Za-z0-9._:/-]{3,}+)",
     re.IGNORECASE | re.ASCII,
 )
 SCOPE_END = re.compile(r"\n[\x20\t\r]*\n")
@@ -63,9 +63,11 @@ class Intervals:
 
     def __init__(self, spans: Sequence[tuple[int, int]]):
         self.starts = sorted(a for a, _ in spans)
+        self.stops = sorted(b for _, b in spans)
 
     def within(self, low: int, high: int) -> bool:
-        return bisect_left(self.starts, low) < bisect_right(self.starts, high)
+        """Whether one reaches into the stretch: begins by its end, and does not stop before it."""
+        return bisect_right(self.stops, low) < bisect_right(self.starts, high)
 
 
 def linked(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
