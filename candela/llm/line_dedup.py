@@ -1,8 +1,10 @@
 """Fuzzy line dedup with DataFrame operations only.
 
-Units are the lines of a text; a line of more than ``STRETCH`` words is cut
-into stretches of that many, each a unit. Units are compared in lower case,
-and have at least ``LEAST_WORDS`` words; shorter lines are left alone.
+Units are the lines of a text. A line is made of pieces that end behind a
+white-space sign or ``PIECE`` code points; one of more than ``STRETCH`` pieces
+is cut into stretches of that many, each a unit. Units are compared in lower
+case, with white space made one space and none at the ends; all are compared
+that have any text, whatever their length.
 
 1. SimHash: bit i of a unit's fingerprint is set if it is set in more than
    half the hashes of its distinct words (a word that a line repeats over and
@@ -15,8 +17,7 @@ and have at least ``LEAST_WORDS`` words; shorter lines are left alone.
    finds every pair. m only says how selective a key is; it grows with the
    number of units, and any m gives the same pairs.
 3. Links: within the radius, and at most a tenth of the longer unit's code
-   points apart in edits (never more than ``MOST_EDITS``, which bounds the
-   work on very long words).
+   points apart in edits; ``MOST_EDITS`` is the tenth of the longest unit.
 4. Groups: connected components. Every unit is first compared with the first
    one of one of its buckets; later only units of different components are
    paired, so a dense group of n variants takes about n comparisons, not all
@@ -37,39 +38,47 @@ from pyspark.sql import functions as F
 
 from candela.llm import common
 
-LEAST_WORDS = 4
-STRETCH = 400
+LEAST_WORDS = 1
+STRETCH, PIECE = 400, 64
 BITS, LANE = 63, 9
 LANES = BITS // LANE
 RADIUS = 3
-SIMILARITY, MOST_EDITS = 0.9, 256
+SIMILARITY, MOST_EDITS = 0.9, STRETCH * PIECE // 10
 STRIDE = 1 << 31
-#: A text of at least ``LEAST_WORDS`` words between spaces.
-ENOUGH = rf"^\x20*(?:[^\x20]++\x20++){{{LEAST_WORDS - 1}}}[^\x20]"
+WHITE = r"[\x20\t\x0B\f\r]"
 
 
 def stretches(line: Column) -> Column:
-    """The units of a line: itself, or its stretches if it is long. Joined by spaces they are the line."""
-    words = F.split(line, " ")
-    cut = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(words) - 1) / STRETCH).cast("int")),
-        lambda k: F.array_join(F.slice(words, k * STRETCH + 1, F.lit(STRETCH)), " "),
-    )
-    # more words than a stretch need at least as many spaces between them
-    return F.when((F.length(line) <= 2 * STRETCH) | (F.size(words) <= STRETCH), F.array(line)).otherwise(cut)
+    """The units of a line: itself, or its stretches if it is long. Put together they are the line."""
+    pieces = F.split(line, rf"(?<={WHITE})|(?<=\G.{{{PIECE}}})")
+
+    def cut(p: Column) -> Column:
+        at = F.sequence(F.lit(0), F.floor((F.size(p) - 1) / STRETCH).cast("int"))
+        return F.when(F.size(p) <= STRETCH, F.array(line)).otherwise(
+            F.transform(at, lambda k: F.array_join(F.slice(p, k * STRETCH + 1, F.lit(STRETCH)), ""))
+        )
+
+    # split once, not for every stretch; a short line has no more words than a counter can hold
+    return F.when(F.length(line) <= 2 * STRETCH, F.array(line)).otherwise(F.element_at(F.transform(F.array(pieces), cut), 1))
+
+
+def normal(s: Column) -> Column:
+    """What is compared of a unit."""
+    return F.lower(F.trim(F.when(s.rlike(r"[\t\x0B\f\r]|\x20\x20"), F.regexp_replace(s, f"{WHITE}+", " ")).otherwise(s)))
 
 
 def units(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """Rows (doc_id, text_key, unit, s): the units that are long enough, in lower case; unit is line * 2^31 + stretch.
+    """Rows (doc_id, text_key, unit, s): the units that have text, as they are compared; unit is line * 2^31 + stretch.
 
     What is computed of a row stands in a step before its parts become rows,
     else it would be computed again for every part.
     """
     keyed = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(f"`{text}`").alias("text_key"), F.split(F.col(f"`{text}`"), "\n").alias("lines"))
     lines = keyed.select("doc_id", "text_key", F.posexplode("lines").alias("line", "s"))
-    cut = lines.withColumn("parts", stretches(F.col("s"))).select("doc_id", "text_key", "line", F.posexplode("parts").alias("stretch", "s"))
+    parts = F.when(F.length("s") <= 2 * STRETCH, F.array(normal(F.col("s")))).otherwise(F.transform(stretches(F.col("s")), normal))
+    cut = lines.withColumn("parts", parts).select("doc_id", "text_key", "line", F.posexplode("parts").alias("stretch", "s"))
     unit = (F.col("line") * F.lit(STRIDE) + F.col("stretch")).alias("unit")
-    return cut.where(F.col("s").rlike(ENOUGH)).select("doc_id", "text_key", unit, F.lower("s").alias("s"))
+    return cut.where("s != ''").select("doc_id", "text_key", unit, "s")
 
 
 def fingerprinted(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -152,7 +161,7 @@ def _within(x: str, y: str) -> Column:
         return F.expr(f"levenshtein({x}, {y}, {limit}) >= 0")
 
     found = at_most("least(16, __most)")
-    for low, high in ((16, 64), (64, MOST_EDITS)):
+    for low, high in ((16, 64), (64, 256), (256, MOST_EDITS)):
         found = F.when(found, True).when(F.col("__most") > low, at_most(f"least({high}, __most)")).otherwise(False)
     return found
 
@@ -219,8 +228,8 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
 def remove(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """All documents, all columns; ``text`` without the units that are not kept.
 
-    A line that loses all its stretches goes; one that loses some is joined
-    from the rest. A document that loses all lines keeps its row with an empty
+    A line that loses all its stretches goes; one that loses some is what is
+    left of it. A document that loses all lines keeps its row with an empty
     text; one that loses nothing keeps its text as it is, null too.
     """
     gone = groups(docs, text, doc_id).where(~F.col("kept")).groupBy("doc_id", "text_key").agg(F.collect_set("unit").alias("__gone"))
@@ -230,8 +239,15 @@ def remove(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     both = own.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")), "left")
 
     def rest(line: Column, i: Column) -> Column:
-        left = F.filter(stretches(line), lambda s, j: ~F.array_contains("__gone", i.cast("long") * F.lit(STRIDE) + j.cast("long")))
-        return F.when(F.size(left) > 0, F.array_join(left, " "))
+        def gone(j: Column) -> Column:
+            return F.array_contains("__gone", i.cast("long") * F.lit(STRIDE) + j.cast("long"))
+
+        parts = stretches(line)
+        left = F.filter(parts, lambda s, j: ~gone(j))
+        joined = F.array_join(left, "")
+        # the white space that parted it from the last one
+        ended = F.when((F.length(line) > 2 * STRETCH) & gone(F.size(parts) - 1), F.regexp_replace(joined, rf"{WHITE}\z", "")).otherwise(joined)
+        return F.when(F.size(left) > 0, ended)
 
     lines = F.filter(F.transform(F.split(F.col(f"`{text}`"), "\n"), rest), lambda s: s.isNotNull())
     changed = F.when(F.col("__gone").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(lines, "\n"))
