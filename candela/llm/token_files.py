@@ -23,11 +23,14 @@ rows of one id by a hash of their text; rows that repeat are all written.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from functools import cache
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +48,9 @@ FRAME_IDS, FILE_IDS = 1 << 20, 1 << 25
 #: Documents of a file, at most: what a reader holds of its index.
 FILE_DOCS = 1 << 18
 #: Words of up to so many signs whose ids are kept, and how many of them.
-WORD_CHARS, WORDS = 48, 1 << 18
+WORD_CHARS, WORDS = 48, 1 << 19
+#: A word of letters that stay one piece, up to the punctuation after it.
+LATIN = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\[-`{-~]*)").fullmatch
 #: Signs of a text that are cut into words at once.
 STRETCH = 1 << 20
 LEVEL = 3
@@ -58,7 +63,10 @@ class Encoder:
 
     The tokenizer splits at white space before anything else looks at the text
     (composition and lower-casing do not reach over it), so a text's ids are
-    those of its words, and a word needs to be encoded once.
+    those of its words, and a word needs to be encoded once. Nor does a piece go
+    on from a letter into punctuation, so of a Latin word and the punctuation
+    after it each is encoded by itself. Such words, one piece each, are encoded
+    many at a time: the last token of a piece tells that it is one.
     """
 
     def __init__(self, path: str):
@@ -69,22 +77,66 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
         self.known: dict[str, bytes] = {"": b""}
+        self.plain: dict[str, bytes] = {}
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.last[[i for t, i in self.tokenizer.get_vocab().items() if suffix and t.endswith(suffix)]] = True
 
     def _ids(self, words: Sequence[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(list(words), add_special_tokens=False)]
 
+    def _plain(self, words: Sequence[str]) -> list[bytes]:
+        """Ids of words of one piece."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=self.kind)
+        ends = (np.flatnonzero(self.last[ids]) + 1) * self.width
+        if len(ends) != len(words):
+            return self._ids(words)
+        raw, ends = ids.tobytes(), ends.tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words that are not in memory."""
+        if len(self.plain) > WORDS:
+            self.plain = {}
+        plain, split, other, cores, tails = self.plain, [], [], set(), set()
+        for w in words:
+            if m := LATIN(w):
+                c, t = m.groups()
+                c = c.lower()
+                if c not in plain:
+                    cores.add(c)
+                if t and t not in plain:
+                    tails.add(t)
+                split.append((w, c, t))
+            else:
+                other.append(w)
+        if cores:
+            plain.update(zip(cores, self._plain(list(cores))))
+        if tails:
+            plain.update(zip(tails, self._ids(list(tails))))
+        found = {w: plain[c] + plain[t] if t else plain[c] for w, c, t in split}
+        if other:
+            found.update(zip(other, self._ids(other)))
+        return found
+
     def _stretch(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
+        parts = list(map(self.known.get, words))
+        if None not in parts:
+            return b"".join(parts)
         if len(self.known) > WORDS:
             self.known = {"": b""}
-        known = self.known
-        new = [w for w in set(words) if w not in known]
-        if new:
-            found = dict(zip(new, self._ids(new)))
-            known.update((w, b) for w, b in found.items() if len(w) <= WORD_CHARS)
-            if any(len(w) > WORD_CHARS for w in new):
-                return b"".join([known[w] if w in known else found[w] for w in words])
-        return b"".join([known[w] for w in words])
+        new = set(compress(words, map(not_, parts)))
+        new.discard("")
+        found = self._learn(new)
+        at = -1
+        for _ in range(parts.count(None)):
+            at = parts.index(None, at + 1)
+            parts[at] = found[words[at]]
+        if max(map(len, new)) > WORD_CHARS:
+            found = {w: b for w, b in found.items() if len(w) <= WORD_CHARS}
+        self.known.update(found)
+        return b"".join(parts)
 
     def encode(self, text: str, end: int) -> bytes:
         """The ids of a text, then ``end``."""
