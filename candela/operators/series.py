@@ -6,6 +6,11 @@ Rows are ordered by ``tstamp`` (epoch seconds, unique within a series).
 Windows run over (keys, segment) with a halo (see ``candela.plans.segments``):
 one shuffle of the rows, one plan at every size, no window over a whole long
 series.  ``target_rows`` is the segment size aimed at.
+
+An EMA needs no halo: over a segment of nn values it is the affine map
+``out = b^nn * in + L``.  Of each segment of a series that is cut, one row
+``(nn, L)`` is kept; composed in order they give the EMA with which every
+segment begins, which is joined to its rows.
 """
 
 from __future__ import annotations
@@ -16,14 +21,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.plans import segments as seg
-from candela.plans.segments import HALO, NON_FINITE, PREFIX, SEG
+from candela.plans.segments import HALO, PREFIX, SEG
 from candela.schemas import BAR_COLS, DAY_SECONDS, DEFAULT_SPAN, PRICE_COLS
 
 _UNB = Window.unboundedPreceding
 _CUR = Window.currentRow
 _q = seg.q
-#: Stamp of the row that a midpoint was made for; its own for any other row.
-_AT = PREFIX + "at"
 _PREV = PREFIX + "prev_"
 
 
@@ -39,10 +42,10 @@ def _fill_nulls(df: DataFrame, fill: float | None) -> DataFrame:
     )
 
 
-def _lagged(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
-    """The bar columns of the previous row of the series, NULL on its first."""
+def _lagged(df: DataFrame, keys: Sequence[str], prefix: str, columns: Sequence[str] = BAR_COLS) -> DataFrame:
+    """The bar columns (those in ``columns``) of the previous row of the series, NULL on its first."""
     w = Window.partitionBy(*[_q(k) for k in keys], SEG).orderBy("tstamp")
-    return df.withColumns({f"{prefix}{c}": F.lag(F.col(c)).over(w) for c in BAR_COLS})
+    return df.withColumns({f"{prefix}{c}": F.lag(F.col(c)).over(w) for c in BAR_COLS if c in columns})
 
 
 def _expand(df: DataFrame, columns: Sequence[str], same: Sequence[str], max_gap: int) -> DataFrame:
@@ -55,7 +58,7 @@ def _expand(df: DataFrame, columns: Sequence[str], same: Sequence[str], max_gap:
     """
     diff = F.col("tstamp") - F.col(f"{_PREV}tstamp")
     types = dict(df.dtypes)
-    real, mid = [F.col("tstamp").alias(_AT)], [F.col("tstamp").alias(_AT)]
+    real, mid = [], []
     # What is equal on both rows stays outside the generator, so the hash
     # partitioning on it survives (no new exchange).
     for c in columns:
@@ -111,78 +114,171 @@ def gap_diff(
     )
 
 
-def _emas(df: DataFrame, keys: Sequence[str], spans: Sequence[int], column: str) -> DataFrame:
-    """EMA columns with seed 0.0 over the rows of each (keys, segment), ordered by tstamp.
+#: Spans up to which a sliding frame is added up for every row.
+SLIDING = 64
+#: Partial sums of longer frames grow by this factor.
+STEP = 8
 
-    ``ema_n = a*c_n + (1-a)*ema_{n-1}`` over non-null values; a NULL row repeats
-    the previous value.  Linear form: in blocks of B non-null values (the same
-    blocks for all spans, small enough that no weight falls below 1e-300),
-    ``L = b^j * sum(a*c_i*b^-i)`` is a running sum, taken relative to the
-    block's largest value (its power of two) so that nothing overflows; the two blocks before
-    enter with their weights, and what is older weighs nothing in doubles.
-    A value that is not finite stays in the EMA for good: that state comes from
-    the rows of the segment or, for earlier ones, from the counting pass.
+
+def _smas(df: DataFrame, keys: Sequence[str], spans: Sequence[int], column: str) -> DataFrame:
+    """SMA columns over the rows of each (keys, segment), ordered by tstamp; NULLs are skipped.
+
+    A frame of more than ``SLIDING`` rows is put together from sums of 1, 8,
+    64, ... consecutive rows, each made of eight of the size below it by lags:
+    a row costs as many additions as the span has digits, nothing is taken
+    away again, and all spans share the sums.
+    """
+    w = Window.partitionBy(*[_q(k) for k in keys], SEG).orderBy("tstamp")
+    out = df.withColumns({f"sma_{s}d": F.avg(column).over(w.rowsBetween(-(s - 1), _CUR)) for s in spans if s <= SLIDING})
+    long = [s for s in spans if s > SLIDING]
+    if not long:
+        return out
+    name, held = PREFIX + "sum", PREFIX + "held"
+    value = F.col(_q(column))
+    out = out.withColumns({f"{name}1": F.coalesce(value.cast("double"), F.lit(0.0)), held: F.count(value).over(w.rowsBetween(_UNB, _CUR))})
+
+    def before(c: str, n: int) -> Column:
+        return F.coalesce(F.lag(c, n).over(w), F.lit(0)) if n else F.col(c)
+
+    def total(parts: list[Column]) -> Column:
+        sum_ = parts[0]
+        for p in parts[1:]:
+            sum_ = sum_ + p
+        return sum_
+
+    size = 1
+    while size * STEP <= max(long):
+        out = out.withColumn(f"{name}{size * STEP}", total([before(f"{name}{size}", size * i) for i in range(STEP)]))
+        size *= STEP
+    means = {}
+    for s in long:
+        parts, at, unit = [], 0, size
+        while unit:
+            for _ in range((s - at) // unit):
+                parts.append(before(f"{name}{unit}", at))
+                at += unit
+            unit //= STEP
+        n = F.col(held) - before(held, s)
+        means[f"sma_{s}d"] = F.when(n > 0, total(parts) / n)
+    return out.withColumns(means)
+
+
+def _local_emas(df: DataFrame, keys: Sequence[str], spans: Sequence[int], column: str) -> DataFrame:
+    """EMAs over the own rows of each (keys, segment), ordered by tstamp, as if they began there with 0.0.
+
+    Adds ``<PREFIX>nn``, the non-null values so far, and ``<PREFIX>e{span}``.
+    In blocks of B non-null values (the same blocks for all spans, small
+    enough that no weight falls below 1e-300) ``L = b^j * sum(a*c_i*b^-i)`` is
+    a running sum, taken relative to the block's largest value (its power of
+    two) so that nothing overflows.  The blocks before enter with their
+    weights: what 1, 2, 4, ... of them leave is made of two halves, until what
+    is older weighs nothing in doubles.  From a value that is not finite on,
+    the EMA is not finite either.
     """
     own = [_q(k) for k in keys]
     wp = Window.partitionBy(*own, SEG).orderBy("tstamp")
     running = wp.rowsBetween(_UNB, _CUR)
-    nan, pos, neg = seg.non_finite(column)
-    seen = {}
-    for name, here in zip(NON_FINITE, (nan, pos, neg)):
-        before = F.coalesce(F.col(name) <= F.col(_AT), F.lit(False))
-        seen[name] = before | F.coalesce(F.max(here).over(running), F.lit(False))
-    n, sub, j, top, bad, c = (PREFIX + x for x in ("n", "sub", "j", "top", "bad", "c"))
+    nn, n, sub, j, top, bad, c, raw = (PREFIX + x for x in ("nn", "n", "sub", "j", "top", "bad", "c", "raw"))
     inf = float("inf")
-    spans_b = [s for s in spans if s > 1]
-    size = min([seg.ema_block(s) for s in spans_b], default=1)
-    d = df.withColumns(
+    d = df.withColumn(raw, F.when(~F.col(HALO), F.col(_q(column)).cast("double")))
+    nan, pos, neg = seg.non_finite(raw)
+    finite = ~(nan | pos | neg)
+    seen = [F.max(x).over(running) for x in (nan, pos, neg)]
+    first_bad = PREFIX + "first_bad"
+    d = d.withColumns(
         {
-            n: F.count(_q(column)).over(running) - 1,
-            c: F.when(~(nan | pos | neg), F.col(_q(column)).cast("double")).otherwise(F.when(F.col(_q(column)).isNotNull(), F.lit(0.0))),
-            bad: F.when(seen[NON_FINITE[0]] | (seen[NON_FINITE[1]] & seen[NON_FINITE[2]]), F.lit(float("nan")))
-            .when(seen[NON_FINITE[1]], F.lit(inf))
-            .when(seen[NON_FINITE[2]], F.lit(-inf)),
+            nn: F.count(raw).over(running),
+            c: F.when(finite, F.col(raw)).otherwise(F.when(F.col(raw).isNotNull(), F.lit(0.0))),
+            bad: F.when(seen[0] | (seen[1] & seen[2]), F.lit(float("nan"))).when(seen[1], F.lit(inf)).when(seen[2], F.lit(-inf)),
         }
     )
     out = {}
     if 1 in spans:
-        # weight 0 on the past: 0 * inf is NaN, so any value after one that is not finite is NaN
-        was = F.lag(bad).over(wp)
-        value = F.last(F.col(_q(column)).cast("double"), ignorenulls=True).over(running)
-        out["ema_1d"] = F.when(was.isNotNull(), F.when(F.col(_q(column)).isNull(), was).otherwise(F.lit(float("nan")))).otherwise(F.coalesce(value, F.lit(0.0)))
-        d = d.withColumn(PREFIX + "ema_1", out["ema_1d"])
+        value = F.coalesce(F.last(raw, ignorenulls=True).over(running), F.lit(0.0))
+        d = d.withColumns({PREFIX + "value": value, first_bad: F.min(F.when(~finite, F.col(nn))).over(running)})
+        # no weight on the past, and 0 * inf is NaN: what follows a value that is not finite is NaN
+        out[PREFIX + "e1"] = F.when(F.col(nn) > F.col(first_bad), F.lit(float("nan"))).otherwise(F.col(PREFIX + "value"))
+    spans_b = [s for s in spans if s > 1]
     if spans_b:
-        d = d.withColumn(sub, F.expr(f"greatest({n}, 0) div {size}"))
-        d = d.withColumn(j, F.expr(f"greatest({n}, 0) - {sub} * {size}"))
+        size = min(seg.ema_block(s) for s in spans_b)
+        d = d.withColumn(n, F.greatest(F.col(nn) - 1, F.lit(0)))
+        d = d.withColumn(sub, F.expr(f"{n} div {size}")).withColumn(j, F.expr(f"{n} % {size}"))
         ws = Window.partitionBy(*own, SEG, sub).orderBy("tstamp")
         most = F.max(F.abs(F.col(c))).over(ws.rowsBetween(_UNB, Window.unboundedFollowing))
         # a power of two, so that scaling rounds nothing
         d = d.withColumn(top, F.when(most > 0, F.pow(F.lit(2.0), F.floor(F.log2(most)))))
         scaled = F.col(c) / F.col(top)
+        weight = {s: 1.0 - 2.0 / (s + 1) for s in spans_b}
         local = {}
-        for s in spans_b:
-            a, b = 2.0 / (s + 1), 1.0 - 2.0 / (s + 1)
-            total = F.sum(F.lit(a) * scaled * F.pow(F.lit(b), -F.col(j))).over(ws.rowsBetween(_UNB, _CUR))
-            local[PREFIX + f"l{s}"] = F.coalesce(total * F.pow(F.lit(b), F.col(j)) * F.col(top), F.lit(0.0))
+        for s, b in weight.items():
+            sum_ = F.sum(F.lit(2.0 / (s + 1)) * scaled * F.pow(F.lit(b), -F.col(j))).over(ws.rowsBetween(_UNB, _CUR))
+            local[PREFIX + f"l{s}"] = F.coalesce(sum_ * F.pow(F.lit(b), F.col(j)) * F.col(top), F.lit(0.0))
         d = d.withColumns(local)
         wc = Window.partitionBy(*own, SEG).orderBy(sub)
-        d = d.withColumns(
-            {
-                PREFIX + f"p{s}_{k}": F.coalesce(F.max_by(PREFIX + f"l{s}", n).over(wc.rangeBetween(-k, -k)), F.lit(0.0))
-                for s in spans_b
-                for k in (1, 2)
-            }
+
+        def at(name: str, k: int, order: str = n) -> Column:
+            return F.coalesce(F.max_by(name, order).over(wc.rangeBetween(-k, -k)), F.lit(0.0))
+
+        two = {s: at(PREFIX + f"l{s}", 1) + F.pow(F.lit(b), F.lit(float(size))) * at(PREFIX + f"l{s}", 2) for s, b in weight.items()}
+        d = d.withColumns({PREFIX + f"p{s}": x for s, x in two.items()})
+        # blocks that still weigh something: two of them weigh 1e-600 where the span is the least
+        need = {s: min(-(-seg.values(b, 590.0) // size), 1 << 31) for s, b in weight.items()}
+        done = 2
+        while any(done < x for x in need.values()):
+            more = {s: F.pow(F.lit(b), F.lit(float(size) * done)) for s, b in weight.items() if done < need[s]}
+            d = d.withColumns({PREFIX + f"p{s}": F.col(PREFIX + f"p{s}") + w * at(PREFIX + f"p{s}", done) for s, w in more.items()})
+            done *= 2
+        for s, b in weight.items():
+            value = F.col(PREFIX + f"l{s}") + F.pow(F.lit(b), F.col(j) + 1) * F.col(PREFIX + f"p{s}")
+            out[PREFIX + f"e{s}"] = F.coalesce(F.col(bad), value)
+    return d.withColumns(out)
+
+
+def _carried(span: int, before: Column, values: Column, local: Column) -> Column:
+    """The EMA after ``values`` non-null values whose EMA from 0.0 is ``local``, begun with ``before``."""
+    b = 1.0 - 2.0 / (span + 1)
+    gone = F.isnan(before) | (F.abs(before) == float("inf"))
+    if span == 1:
+        then = F.when(gone, F.lit(float("nan"))).otherwise(local)
+    else:
+        then = F.when(gone, before + F.when(F.isnan(local) | (F.abs(local) == float("inf")), local).otherwise(F.lit(0.0))).otherwise(
+            local + F.pow(F.lit(b), values.cast("double")) * before
         )
-    final = {}
-    for s in spans:
-        if s == 1:
-            final["ema_1d"] = F.col(PREFIX + "ema_1")
-            continue
-        b = 1.0 - 2.0 / (s + 1)
-        past = F.col(PREFIX + f"p{s}_1") + F.pow(F.lit(b), F.lit(size)) * F.col(PREFIX + f"p{s}_2")
-        value = F.col(PREFIX + f"l{s}") + F.pow(F.lit(b), F.col(j) + 1) * past
-        final[f"ema_{s}d"] = F.coalesce(F.col(bad), value)
-    return d.withColumns(final)
+    return F.when(values == 0, before).otherwise(then)
+
+
+def ema_states(segments: DataFrame, keys: Sequence[str], spans: Sequence[int]) -> DataFrame:
+    """Of rows with local EMAs: ``key_names``, ``SEG`` and, per span, the EMA with which that segment begins.
+
+    One row a segment comes out of the windows, on their partitioning; a
+    series has at most ``MAX_SEGMENTS`` of them.
+    """
+    own, nn = seg.key_names(keys), PREFIX + "nn"
+    ends = segments.groupBy(*[F.col(_q(k)).alias(o) for k, o in zip(keys, own)], SEG).agg(
+        F.max(nn).alias("nn"), *[F.max_by(PREFIX + f"e{s}", nn).alias(f"e{s}") for s in spans]
+    )
+    listed = ends.groupBy(*own).agg(F.array_sort(F.collect_list(F.struct(SEG, "nn", *[f"e{s}" for s in spans]))).alias("ends"))
+    start = F.struct(*[F.lit(0.0).alias(f"e{s}") for s in spans])
+
+    def step(e: Column, x: Column) -> Column:
+        return F.struct(*[_carried(s, e[f"e{s}"], x["nn"], x[f"e{s}"]).alias(f"e{s}") for s in spans])
+
+    entering = F.transform("ends", lambda x, i: F.struct(x[SEG].alias(SEG), F.aggregate(F.slice("ends", F.lit(1), i), start, step).alias("e")))
+    one = listed.select(*own, F.explode(entering).alias("x"))
+    return one.select(*own, F.col(f"x.{SEG}").alias(PREFIX + "at_seg"), *[F.col(f"x.e.e{s}").alias(PREFIX + f"in{s}") for s in spans])
+
+
+def _emas(df: DataFrame, keys: Sequence[str], spans: Sequence[int], column: str, cut: DataFrame) -> DataFrame:
+    """EMA columns with seed 0.0 over whole series; ``cut``: rows of the series that have several segments.
+
+    ``ema_n = a*c_n + (1-a)*ema_{n-1}`` over non-null values; a NULL row repeats
+    the previous value.
+    """
+    states = F.broadcast(ema_states(_local_emas(cut, keys, spans, column), keys, spans))
+    joined = _local_emas(df, keys, spans, column).join(states, seg.same_keys(keys) & (F.col(SEG) == F.col(PREFIX + "at_seg")), "left")
+    return joined.withColumns(
+        {f"ema_{s}d": _carried(s, F.coalesce(F.col(PREFIX + f"in{s}"), F.lit(0.0)), F.col(PREFIX + "nn"), F.col(PREFIX + f"e{s}")) for s in spans}
+    )
 
 
 def indicators(
@@ -203,10 +299,12 @@ def indicators(
     Adds ``ema_{span}d`` (in ``ema_spans`` order) then ``sma_{span}d``.  Spans
     count rows; invented midpoint rows count too, as in the source chain.
 
-    The plan reads its input twice (counting pass, rows).  For an input that is
-    itself an expensive computation, ``materialize=True`` writes it once with a
-    reliable ``checkpoint()`` into the session's checkpoint directory (shared
-    storage on a cluster) and reads that instead.
+    The plan reads its input twice (keys and rows), and three times more, in
+    few columns, the series that are cut: for their quantiles, the stamps
+    before the cuts, and the EMA of each segment.  For an input that is itself
+    an expensive computation, ``materialize=True`` writes it once as a table
+    into the session's checkpoint directory (shared storage on a cluster) and
+    reads that instead.
     """
     keys = tuple(keys)
     for s in [*ema_spans, *sma_spans]:
@@ -214,28 +312,26 @@ def indicators(
             raise ValueError(f"span must be >= 1, got {s}")
     src = _fill_nulls(df, null_fill)
     if materialize:
-        from candela.session import ensure_checkpoint_dir
+        from candela.session import stored
 
-        ensure_checkpoint_dir(src.sparkSession)
-        src = src.checkpoint(eager=True)
+        src = stored(src)
     new = [f"ema_{s}d" for s in ema_spans] + [f"sma_{s}d" for s in sma_spans]
     seg.refuse_own_names(src, new)
     # a midpoint needs the row before it: one row more
-    rows = max([s - 1 for s in sma_spans], default=0) + 1
-    halo = max([rows, *[seg.ema_context(s) + 1 for s in ema_spans]])
-    counted = column if ema_spans else None
-    out = seg.split(src, keys, "tstamp", halo=halo, count_col=counted, target_rows=target_rows)
-    same = [*keys, SEG, HALO, *(NON_FINITE if counted else ())]
-    if fill_gaps:
-        out = _expand(_lagged(out, keys, _PREV), src.columns, same, max_gap)
-    else:
-        out = out.withColumn(_AT, F.col("tstamp"))
+    halo = max([s - 1 for s in sma_spans], default=0) + 1
+    found = seg.cuts(src, keys, "tstamp", halo=halo, target_rows=target_rows)
+
+    def filled(rows: DataFrame, only_cut: bool) -> DataFrame:
+        out = seg.split(rows, keys, "tstamp", found=found, only_cut=only_cut).drop(seg.FIRST)
+        return _expand(_lagged(out, keys, _PREV, rows.columns), rows.columns, [*keys, SEG, HALO], max_gap) if fill_gaps else out
+
+    out = filled(src, False)
     # SMA first: its window shares the sort with the EMA's running count.
-    wp = Window.partitionBy(*[_q(k) for k in keys], SEG).orderBy("tstamp")
     if sma_spans:
-        out = out.withColumns({f"sma_{s}d": F.avg(column).over(wp.rowsBetween(-(s - 1), _CUR)) for s in sma_spans})
+        out = _smas(out, keys, list(dict.fromkeys(sma_spans)), column)
     if ema_spans:
-        out = _emas(out, keys, list(dict.fromkeys(ema_spans)), column)
+        narrow = src.select(*[F.col(_q(c)) for c in dict.fromkeys([*keys, "tstamp", column])])
+        out = _emas(out, keys, list(dict.fromkeys(ema_spans)), column, filled(narrow, True))
     return out.filter(~F.col(HALO)).select(*[F.col(_q(c)) for c in src.columns], *new)
 
 

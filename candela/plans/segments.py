@@ -1,23 +1,23 @@
-"""Skew-safe windows over ordered series: equal-depth segments with a halo.
+"""Skew-safe windows over ordered series: equal-depth segments with an exact halo.
 
 ``Window.partitionBy(symbol).orderBy(tstamp)`` sends a whole series to one
 task.  ``split`` cuts every long series into segments of about ``target_rows``
-rows, and copies the rows just before a segment into it as context, so a
-window partitioned by (keys, segment) sees what it needs and holds a bounded
-number of rows whatever the distribution of keys and stamps:
-
-* One counting pass, a partial aggregate by key, gives each series its length
-  and quantiles of ``order`` (a sketch, exact to ``1/ACCURACY`` of the
-  length).  A series of n rows gets ``min(ceil(n / target_rows),
-  MAX_SEGMENTS)`` segments, cut at quantiles: by rank, so neither a stray
-  stamp nor a burst makes a segment larger.  A segment holds at most
-  ``max(target_rows, n / MAX_SEGMENTS)`` rows and a tenth more.
-* Only series of more than ``target_rows`` rows have cuts, so the table of
-  cuts has at most ``rows / target_rows`` rows; that bound is why it may be
-  broadcast.  Short series are one segment, by the same plan.
-* A segment's halo starts at a quantile that leaves at least ``halo`` rows
-  (non-null rows of ``count_col``, if given) before the cut, the sketch's error
-  allowed for, or at the start of the series.
+rows, and copies the ``halo`` rows just before a segment into it as context,
+so a window partitioned by (keys, segment) sees what it needs and holds a
+bounded number of rows whatever the distribution of keys and stamps:
+
+* ``cuts`` first counts the rows of each series, a partial aggregate by key.
+  Only series of more than ``target_rows`` rows are looked at again; where
+  there is none, those scans are dropped at run time.  Their quantiles (a
+  sketch, exact to ``1/ACCURACY`` of the length) cut a series of n rows into
+  ``min(ceil(n / target_rows), MAX_SEGMENTS)`` segments by rank, so neither a
+  stray stamp nor a burst makes a segment larger.  A segment holds at most
+  ``max(target_rows, n / MAX_SEGMENTS)`` rows and a tenth more, and its halo.
+* The table of cuts has at most ``rows / target_rows`` rows; that bound is why
+  it may be broadcast.  Short series are one segment, by the same plan.
+* A segment's halo starts at the ``halo``-th stamp before the cut: of the rows
+  that the sketch says lie close before a cut, the last ``halo`` are kept,
+  each task dropping all but its own last ones before the shuffle.
 
 The rows then shuffle once, by (keys, segment).  Halo copies carry
 ``HALO = true``; callers drop them after their windows.  Everything is
@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Names with this prefix are the package's own; inputs that use it are refused.
@@ -36,8 +36,7 @@ PREFIX = "__cd_"
 SEG = PREFIX + "seg"
 HALO = PREFIX + "halo"
 FIRST = PREFIX + "first"
-#: First stamps of NaN, +inf and -inf in ``count_col``, for series with cuts.
-NON_FINITE = (PREFIX + "nan", PREFIX + "pos", PREFIX + "neg")
+CUTS, STARTS = PREFIX + "cuts", PREFIX + "starts"
 
 TARGET_ROWS = 1 << 20
 MAX_SEGMENTS = 512
@@ -64,39 +63,82 @@ def non_finite(col: str) -> tuple[Column, Column, Column]:
     return tuple(F.coalesce(x, F.lit(False)) for x in (F.isnan(c) & c.isNotNull(), c == F.lit(inf), c == F.lit(-inf)))
 
 
-def cuts(
-    df: DataFrame, keys: Sequence[str], order: str, *, halo: int, count_col: str | None, target_rows: int
-) -> DataFrame:
-    """One row per series longer than ``target_rows``: its cuts and the start of each later segment's halo."""
+#: Bounds that are looked at one by one; of longer lists, first every so many-th.
+_WIDE = 24
+
+
+def _coarse(bounds: str) -> Column:
+    """Every ``_WIDE``-th of a list of bounds."""
+    n = F.floor(F.size(bounds) / _WIDE).cast("int")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.element_at(bounds, i * _WIDE))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _reached(bounds: str, stamp: Column) -> Column:
+    """How many of a sorted list of bounds are not above ``stamp``: by every 24th of them, in a column beside it, then between two of these."""
+    some = F.size(F.filter(bounds + "_c", lambda c: c <= stamp)) * _WIDE
+    return some + F.size(F.filter(F.slice(bounds, some + 1, F.lit(_WIDE)), lambda c: c <= stamp))
+
+
+def key_names(keys: Sequence[str]) -> list[str]:
+    """Names of the keys in the tables of this module."""
+    return [f"{PREFIX}k{i}" for i in range(len(keys))]
+
+
+def same_keys(keys: Sequence[str]) -> Column:
+    """Rows of one series: the caller's keys against those of a table of this module, nulls being equal."""
+    same = F.lit(True)
+    for k, name in zip(keys, key_names(keys)):
+        same = same & F.col(q(k)).eqNullSafe(F.col(name))
+    return same
+
+
+def cuts(df: DataFrame, keys: Sequence[str], order: str, *, halo: int, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """One row per series longer than ``target_rows``: ``key_names``, its cuts, the start of each later segment's halo, its first stamp."""
+    own, at, n = key_names(keys), PREFIX + "at", PREFIX + "rows"
+    stamps = df.select(*[F.col(q(k)).alias(o) for k, o in zip(keys, own)], F.col(q(order)).cast("long").alias(at))
+    long = stamps.groupBy(*own).agg(F.count(F.lit(1)).alias(n), F.min(at).alias(FIRST)).where(F.col(n) > int(target_rows))
+
+    def of_long(other: DataFrame) -> DataFrame:
+        """The stamps of long series, with the columns of a table that has a row for each of them."""
+        right = other.select(*[F.col(o).alias(f"{o}_") for o in own], *[c for c in other.columns if c not in own])
+        same = F.lit(True)
+        for o in own:
+            same = same & F.col(o).eqNullSafe(F.col(f"{o}_"))
+        return stamps.join(F.broadcast(right), same).drop(*[f"{o}_" for o in own])
+
     # one literal, not thousands
     grid = F.split(F.lit(",".join(str(i / GRID) for i in range(1, GRID))), ",").cast("array<double>")
-    stamp = F.col(q(order)).cast("long")
-    counted = F.when(F.col(q(count_col)).isNotNull(), stamp) if count_col else stamp
-    aggs = [
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(stamp, grid, ACCURACY).alias("grid"),
-        F.count(counted).alias("nn"),
-        F.min(stamp).alias(FIRST),
-    ]
-    if count_col:
-        aggs.append(F.percentile_approx(counted, grid, ACCURACY).alias("nn_grid"))
-        aggs += [F.min(F.when(x, stamp)).alias(name) for x, name in zip(non_finite(count_col), NON_FINITE)]
-    per = df.groupBy(*[F.col(q(k)).alias(f"{PREFIX}k{i}") for i, k in enumerate(keys)]).agg(*aggs).where(F.col("n") > target_rows)
-    pieces = F.least(F.ceil(F.col("n") / target_rows), F.lit(MAX_SEGMENTS))
+    sketch = of_long(long).groupBy(*own, n, FIRST).agg(F.percentile_approx(at, grid, ACCURACY).alias("grid"))
+    pieces = F.least(F.ceil(F.col(n) / int(target_rows)), F.lit(MAX_SEGMENTS))
     # the i-th of s cuts is the quantile i / s
-    at = F.transform(F.sequence(F.lit(1), (pieces - 1).cast("int")), lambda i: F.element_at("grid", F.greatest(F.lit(1), F.floor(i * GRID / pieces)).cast("int")))
-    context = "nn_grid" if count_col else "grid"
+    places = F.transform(F.sequence(F.lit(1), (pieces - 1).cast("int")), lambda i: F.element_at("grid", F.greatest(F.lit(1), F.floor(i * GRID / pieces)).cast("int")))
+    cut = sketch.withColumn(CUTS, F.array_distinct(places))
+    if not halo:
+        return cut.select(*own, CUTS, F.col(CUTS).alias(STARTS), FIRST, _coarse(CUTS).alias(CUTS + "_c"), _coarse(CUTS).alias(STARTS + "_c"))
     # grid steps that hold the halo, and two more for the error of both ends
-    back = F.ceil(F.lit(halo) * GRID / F.greatest(F.col("nn"), F.lit(1)) + 2 * GRID / ACCURACY).cast("int") + 1
-
-    def start(cut: Column) -> Column:
-        below = F.size(F.filter(F.coalesce(F.col(context), F.array().cast("array<bigint>")), lambda x: x < cut))
-        return F.when(below - back >= 1, F.try_element_at(F.col(context), F.greatest(below - back, F.lit(1)))).otherwise(F.lit(_LOWEST))
-
-    one = per.withColumn(PREFIX + "cuts", F.array_distinct(at))
-    return one.withColumn(PREFIX + "starts", F.transform(PREFIX + "cuts", start)).select(
-        *[f"{PREFIX}k{i}" for i in range(len(keys))], PREFIX + "cuts", PREFIX + "starts", FIRST, *(NON_FINITE if count_col else ())
-    )
+    back = F.ceil(F.lit(float(halo)) * GRID / F.col(n) + 2 * GRID / ACCURACY).cast("int") + 1
+
+    def near(c: Column) -> Column:
+        below = F.size(F.filter("grid", lambda x: x < c))
+        return F.when(below - back >= 1, F.try_element_at("grid", F.greatest(below - back, F.lit(1)))).otherwise(F.lit(_LOWEST))
+
+    stretches = cut.select(*own, FIRST, CUTS, F.transform(CUTS, near).alias("near"), _coarse(CUTS).alias(CUTS + "_c"))
+    stretches = stretches.withColumn("near_c", _coarse("near"))
+    # the cuts that a row lies close before: those above it whose stretch it has reached
+    close = of_long(stretches.drop(FIRST)).withColumns({"a": _reached(CUTS, F.col(at)), "b": _reached("near", F.col(at))}).where("b > a")
+    before = close.select(*own, at, F.explode(F.slice(CUTS, F.col("a") + 1, F.col("b") - F.col("a"))).alias("cut"))
+    last = Window.partitionBy(*own, "cut").orderBy(F.desc(at))
+    kept = before.withColumn("r", F.row_number().over(last)).where(F.col("r") <= int(halo))
+    start = F.when(F.count(F.lit(1)) >= int(halo), F.min(at)).otherwise(F.lit(_LOWEST))
+    found = kept.groupBy(*own, "cut").agg(start.alias("start")).groupBy(*own).agg(F.map_from_entries(F.collect_list(F.struct("cut", "start"))).alias("exact"))
+    right = found.select(*[F.col(o).alias(f"{o}_") for o in own], "exact")
+    same = F.lit(True)
+    for o in own:
+        same = same & F.col(o).eqNullSafe(F.col(f"{o}_"))
+    # a cut with no stamp before it has only rows without one there
+    starts = F.transform(CUTS, lambda c: F.coalesce(F.try_element_at("exact", c), F.lit(_LOWEST)))
+    whole = stretches.join(F.broadcast(right), same, "left").select(*own, CUTS, CUTS + "_c", starts.alias(STARTS), FIRST)
+    return whole.withColumn(STARTS + "_c", _coarse(STARTS))
 
 
 def split(
@@ -105,49 +147,40 @@ def split(
     order: str,
     *,
     halo: int = 1,
-    count_col: str | None = None,
     target_rows: int = TARGET_ROWS,
+    found: DataFrame | None = None,
+    only_cut: bool = False,
 ) -> DataFrame:
     """Rows with their segment ``SEG``, and halo copies in later segments.
 
-    Adds ``SEG``, ``HALO``, ``FIRST`` (first stamp of a series that is cut) and,
-    with ``count_col``, ``NON_FINITE``.  ``order`` must be an integer column.
-    Rows without a stamp come first, in the first segment.
+    Adds ``SEG``, ``HALO`` and ``FIRST`` (first stamp of a series that is cut).
+    ``order`` must be an integer column.  Rows without a stamp come first, in
+    the first segment.  ``found``: the table of ``cuts``, where the caller has
+    it already.  ``only_cut``: only the series that are cut.
     """
     refuse_own_names(df)
-    found = F.broadcast(cuts(df, keys, order, halo=halo, count_col=count_col, target_rows=int(target_rows)))
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & F.col(q(k)).eqNullSafe(F.col(f"{PREFIX}k{i}"))
+    if found is None:
+        found = cuts(df, keys, order, halo=halo, target_rows=target_rows)
     stamp = F.coalesce(F.col(q(order)).cast("long"), F.lit(_LOWEST))
 
-    def reached(bounds: str) -> Column:
-        return F.coalesce(F.size(F.filter(F.col(bounds), lambda c: c <= stamp)), F.lit(0))
-
-    own = F.when(F.col(PREFIX + "cuts").isNull(), F.lit(0)).otherwise(reached(PREFIX + "cuts"))
-    last = F.when(F.col(PREFIX + "cuts").isNull(), F.lit(0)).otherwise(reached(PREFIX + "starts"))
-    joined = df.join(found, same, "left").withColumn(PREFIX + "own", own).withColumn(PREFIX + "last", last)
-    more = [FIRST, *(NON_FINITE if count_col else ())]
-    spread = joined.select(
-        *[F.col(q(c)) for c in df.columns], *more, PREFIX + "own",
+    own = F.when(F.col(CUTS).isNull(), F.lit(0)).otherwise(_reached(CUTS, stamp))
+    last = F.when(F.col(CUTS).isNull(), F.lit(0)).otherwise(_reached(STARTS, stamp))
+    joined = df.join(F.broadcast(found), same_keys(keys), "inner" if only_cut else "left")
+    spread = joined.withColumn(PREFIX + "own", own).withColumn(PREFIX + "last", last).select(
+        *[F.col(q(c)) for c in df.columns], FIRST, PREFIX + "own",
         F.explode(F.sequence(F.col(PREFIX + "own"), F.greatest(PREFIX + "own", PREFIX + "last"))).alias(SEG),
     )
     return spread.withColumn(HALO, F.col(SEG) != F.col(PREFIX + "own")).drop(PREFIX + "own")
 
 
-def ema_context(span: int) -> int:
-    """Non-null values after which a weight, times any double, is zero."""
-    b = 1.0 - 2.0 / (span + 1)
-    return 1 if b <= 0.0 else _values(b, 640.0)
-
-
 def ema_block(span: int) -> int:
     """Values over which the weight falls to 1e-300."""
     b = 1.0 - 2.0 / (span + 1)
-    return 1 << 30 if b <= 0.0 else max(1, _values(b, 300.0) - 2)
+    return 1 << 30 if b <= 0.0 else max(1, values(b, 300.0) - 2)
 
 
-def _values(b: float, decades: float) -> int:
+def values(b: float, decades: float) -> int:
+    """Values after which a weight that falls by ``b`` each time is below ten to minus ``decades``."""
     from math import ceil, log
 
     return int(ceil(decades * log(10.0) / -log(b))) + 1

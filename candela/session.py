@@ -8,8 +8,9 @@ settings that are unset.
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -55,6 +56,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back: computed once, lineage cut, columns still pruned."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/candela-stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Settings suggested for a large cluster (about 100 TB of bars, 1000
 # executors).  Nothing here is applied automatically; pass them to
 # spark-submit or the session builder.

@@ -34,9 +34,10 @@ def request_scan(bars: DataFrame, requests: DataFrame, *, target_rows: int = BUC
     absurd bounds reaches no more buckets than its symbol has.
     """
     seg.refuse_own_names(bars)
-    bucketed = seg.split(bars, ["symbol"], "tstamp", halo=0, target_rows=target_rows).filter(~F.col(seg.HALO))
-    bounds = F.broadcast(seg.cuts(bars, ["symbol"], "tstamp", halo=0, count_col=None, target_rows=target_rows))
-    key, cuts = seg.PREFIX + "k0", seg.PREFIX + "cuts"
+    found = seg.cuts(bars, ["symbol"], "tstamp", halo=0, target_rows=target_rows)
+    bucketed = seg.split(bars, ["symbol"], "tstamp", found=found)
+    bounds = F.broadcast(found)
+    key, cuts = seg.PREFIX + "k0", seg.CUTS
     req = requests.select("request_id", F.col("symbol").alias("_rs"), "period1", "period2").filter("period1 < period2")
 
     def reached(stamp: Column) -> Column:
