@@ -27,10 +27,15 @@ def _bar(tstamp: Column, high: Column, low: Column, open_: Column, close: Column
         round_half_up(open_.cast("double"), places).alias("open"),
         round_half_up(close.cast("double"), places).alias("close"),
         round_half_up(adj_close.cast("double"), places).alias("adj_close"),
-        volume.cast("long").alias("volume"),
+        volume.try_cast("long").alias("volume"),
     )
 
 
+def _wild(c: Column) -> Column:
+    """A number that is not finite; NULL is none."""
+    return c.isNotNull() & (F.isnan(c) | (F.abs(c) == float("inf")))
+
+
 def v8_rows(chart: Column, places: int = V8_ROUND) -> Column:
     """Parsed chart payload -> array of bar structs.
 
@@ -81,10 +86,19 @@ def _v7_day(cell: Column) -> Column:
 
 def v7_fault(body: Column, cells: Column) -> Column:
     """What is wrong with a CSV payload, or NULL."""
+    prices = ("Open", "High", "Low", "Close", "Adj Close")
+
+    def no_number(c: Column) -> Column:
+        wild = _wild(c["Volume"]) | (F.abs(c["Volume"]) >= 2.0**63)
+        for p in prices:
+            wild = wild | _wild(c[p])
+        return F.coalesce(wild, F.lit(False))
+
     header = F.regexp_replace(F.element_at(F.split(body, "\r?\n"), 1), "^\ufeff", "")
     return (
         F.when(body.isNull() | ~header.eqNullSafe(F.lit(V7_HEADER)), F.lit("malformed body: header"))
         .when(F.exists(cells, lambda c: c.isNull() | c["malformed"].isNotNull()), F.lit("malformed body: cell"))
+        .when(F.exists(cells, no_number), F.lit("malformed body: cell"))
         .when(F.exists(cells, lambda c: _v7_day(c).isNull()), F.lit("malformed body: date"))
     )
 
@@ -101,13 +115,40 @@ def v7_rows(cells: Column, places: int = V7_ROUND) -> Column:
 
 
 def v8_fault(chart: Column) -> Column:
-    """What is wrong with a chart payload, or NULL."""
+    """What is wrong with a chart payload, or NULL.
+
+    Every result must have its ``timestamp`` (none of them null) and at least
+    one quote, no price or volume beyond the last stamp, and finite numbers
+    only.  Prices that are missing at the end are NULL, as ``null`` is.
+    """
+    result = chart["chart"]["result"]
+    quotes = lambda r: r["indicators"]["quote"]
+    arrays = ("high", "low", "open", "close", "volume")
+
+    def too_long(r: Column) -> Column:
+        n = F.size(r["timestamp"])
+        return F.exists(quotes(r), lambda q: F.greatest(*[F.coalesce(F.size(q[a]), F.lit(0)) for a in arrays]) > n)
+
+    def wild(r: Column) -> Column:
+        some = lambda q: F.array(*[F.coalesce(F.exists(q[a], _wild), F.lit(False)) for a in arrays[:4]])
+        return F.exists(quotes(r), lambda q: F.array_contains(some(q), True))
+
+    def lacks(r: Column) -> Column:
+        no_quote = quotes(r).isNull() | (F.size(quotes(r)) <= 0) | F.exists(quotes(r), lambda q: q.isNull())
+        return r.isNull() | r["timestamp"].isNull() | F.exists(r["timestamp"], lambda t: t.isNull()) | no_quote
+
+    def any_(what) -> Column:
+        return F.coalesce(F.exists(result, lambda r: F.coalesce(what(r), F.lit(False))), F.lit(False))
+
     error = chart["chart"]["error"]
     told = F.concat_ws(": ", F.lit("api error"), error["code"], error["description"])
     return (
         F.when(chart.isNull() | chart["malformed"].isNotNull(), F.lit("malformed body"))
         .when(error.isNotNull(), told)
-        .when(chart["chart"]["result"].isNull(), F.lit("malformed body: no result"))
+        .when(result.isNull() | (F.size(result) <= 0), F.lit("malformed body: no result"))
+        .when(any_(lacks), F.lit("malformed body: no timestamp or quote"))
+        .when(any_(too_long), F.lit("malformed body: more prices than timestamps"))
+        .when(any_(wild), F.lit("malformed body: number"))
     )
 
 
@@ -125,8 +166,9 @@ def classify(payloads: DataFrame) -> DataFrame:
 
     Reasons: ``status <code>`` (anything but 200), ``unsupported api version``
     (the parser is chosen by ``lower(api_version)``), ``malformed body`` with
-    what is wrong (any cell that is no number, a date that is none, missing
-    cells, a wrong header, a body without a result), ``api error`` with the
+    what is wrong (any cell that is no finite number or no whole number of a
+    long, a date that is none, missing cells, a wrong header, a body without
+    a result, or a result without its stamps or quotes), ``api error`` with the
     error a chart body tells.
     """
     ver = F.col("_ver")
