@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from candela.functions.codec import json_bytes_to_map, map_to_json_bytes
 from candela.functions.numeric import round_half_up
-from candela.operators import notify, quality, series
+from candela.operators import calendar, notify, quality, series
 from candela.plans import jobs
 from candela.plans.adapters import (
     HOT_BARS_SQL,
@@ -473,6 +473,28 @@ def q_missing_timestamps(spark: SparkSession, sf: str) -> DataFrame:
     return quality.missing_stamps(orders_bars(spark, sf))
 
 
+def _order_days(spark: SparkSession, sf: str) -> DataFrame:
+    """An irregular calendar: every day that has an order."""
+    return table(spark, sf, "orders").select(epoch_seconds("o_orderdate").alias("tstamp"))
+
+
+def q_missing_on_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    return calendar.missing_on_calendar(orders_bars(spark, sf), _order_days(spark, sf))
+
+
+def q_completeness_on_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    return calendar.check_completeness_on(lineitem_bars(spark, sf), _order_days(spark, sf))
+
+
+_ON_CALENDAR_SQL = """
+WITH bars AS ({bars}),
+cal AS (SELECT DISTINCT CAST(epoch(o_orderdate) AS BIGINT) // 86400 AS slot FROM orders),
+have AS (SELECT DISTINCT symbol, tstamp // 86400 AS slot FROM bars),
+ends AS (SELECT symbol, min(slot) AS lo, max(slot) AS hi FROM have GROUP BY symbol),
+want AS (SELECT symbol, slot FROM ends JOIN cal ON slot BETWEEN lo AND hi)
+"""
+
+
 def q_check_chronology(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events")
     return quality.check_chronology(e, "event_id", "ts")
@@ -574,6 +596,8 @@ def queries() -> dict[str, QueryFn]:
         "recipient_split": q_recipient_split,
         "batch_load": q_batch_load,
         "missing_timestamps": q_missing_timestamps,
+        "missing_on_calendar": q_missing_on_calendar,
+        "completeness_on_calendar": q_completeness_on_calendar,
         "check_chronology": q_check_chronology,
         "check_future": q_check_future,
         "check_completeness": q_check_completeness,
@@ -753,6 +777,11 @@ exp AS (SELECT symbol, unnest(generate_series(lo, hi, 86400)) AS tstamp FROM spa
 SELECT symbol, tstamp FROM exp e
 WHERE NOT EXISTS (SELECT 1 FROM bars b WHERE b.symbol = e.symbol AND b.tstamp = e.tstamp)"""
     )
+    s["missing_on_calendar"] = _ON_CALENDAR_SQL.format(bars=ORDERS_BARS_SQL) + "SELECT symbol, slot * 86400 AS tstamp FROM want ANTI JOIN have USING (symbol, slot)"
+    s["completeness_on_calendar"] = _ON_CALENDAR_SQL.format(bars=LINEITEM_BARS_SQL) + """
+SELECT symbol, CAST(count(*) AS BIGINT) AS expected, CAST(count(h.slot) AS BIGINT) AS present,
+       CAST(count(*) - count(h.slot) AS BIGINT) AS missing, round(count(h.slot) / count(*), 6) AS coverage
+FROM want LEFT JOIN have h USING (symbol, slot) GROUP BY symbol"""
     s["check_chronology"] = """
 SELECT 'chronology' AS rule, CAST(count(*) AS BIGINT) AS checked,
        CAST(coalesce(sum(CASE WHEN ts < p THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations
