@@ -293,11 +293,14 @@ def indicators(
     null_fill: float | None = None,
     target_rows: int = seg.TARGET_ROWS,
     materialize: bool = False,
+    ema_column: str | None = None,
 ) -> DataFrame:
     """Optional gap fill, then EMA and SMA columns, in one shuffle of the rows.
 
     Adds ``ema_{span}d`` (in ``ema_spans`` order) then ``sma_{span}d``.  Spans
     count rows; invented midpoint rows count too, as in the source chain.
+    ``ema_column``: another column than ``column`` for the EMAs (a column that
+    is no bar column is NULL on midpoint rows).
 
     The plan reads its input twice (keys and rows), and three times more, in
     few columns, the series that are cut: for their quantiles, the stamps
@@ -330,8 +333,9 @@ def indicators(
     if sma_spans:
         out = _smas(out, keys, list(dict.fromkeys(sma_spans)), column)
     if ema_spans:
-        narrow = src.select(*[F.col(_q(c)) for c in dict.fromkeys([*keys, "tstamp", column])])
-        out = _emas(out, keys, list(dict.fromkeys(ema_spans)), column, filled(narrow, True))
+        of = ema_column or column
+        narrow = src.select(*[F.col(_q(c)) for c in dict.fromkeys([*keys, "tstamp", of])])
+        out = _emas(out, keys, list(dict.fromkeys(ema_spans)), of, filled(narrow, True))
     return out.filter(~F.col(HALO)).select(*[F.col(_q(c)) for c in src.columns], *new)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from candela.functions.codec import json_bytes_to_map, map_to_json_bytes
 from candela.functions.numeric import round_half_up
 from candela.operators import calendar, notify, quality, series
-from candela.plans import jobs
+from candela.plans import incremental, jobs
 from candela.plans.adapters import (
     HOT_BARS_SQL,
     LINEITEM_BARS_SQL,
@@ -32,7 +32,7 @@ from candela.plans.adapters import (
 )
 from candela.schemas import EVENT_WIRE, VALID_RANGES
 from candela.session import ensure_checkpoint_dir
-from candela.sources import metadata, payloads, scans, sinks
+from candela.sources import merge, metadata, payloads, scans, sinks
 from candela.streaming import events as streams
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -469,6 +469,30 @@ def q_batch_load(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+def q_merge_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """A late and an overlapping batch merged by (symbol, tstamp): the newest reading of each bar stays."""
+    path = _scratch(spark, "merged")
+    bars = orders_bars(spark, sf).withColumn("seen", F.lit(2).cast("long"))
+    third = F.pmod(F.floor(F.col("tstamp") / 86400), F.lit(3))
+    first = bars.where(third != 0).withColumns({"close": F.col("close") + 1, "seen": F.lit(1).cast("long")})
+    for batch in (first, bars.where(third < 2)):
+        merge.merge(batch, path, version="seen")
+    return merge.read_merged(spark, path, bars.schema)
+
+
+#: First days of the second and third batch of the incremental load.
+BATCH_STARTS = ("1994-06-01", "1997-01-01")
+
+
+def q_incremental_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars loaded in three batches, each from the state that the one before left."""
+    root = _scratch(spark, "incremental")
+    days = ("0001-01-01", *BATCH_STARTS, "9999-12-31")
+    for i, (first, end) in enumerate(zip(days, days[1:])):
+        incremental.load_batch(orders_bars(spark, sf, (first, end)), root, i)
+    return _r4(incremental.read_all(spark, root, "rows"), "ema_10d", "sma_10d")
+
+
 def q_missing_timestamps(spark: SparkSession, sf: str) -> DataFrame:
     return quality.missing_stamps(orders_bars(spark, sf))
 
@@ -598,6 +622,8 @@ def queries() -> dict[str, QueryFn]:
         "missing_timestamps": q_missing_timestamps,
         "missing_on_calendar": q_missing_on_calendar,
         "completeness_on_calendar": q_completeness_on_calendar,
+        "merge_batches": q_merge_batches,
+        "incremental_load": q_incremental_load,
         "check_chronology": q_check_chronology,
         "check_future": q_check_future,
         "check_completeness": q_check_completeness,
@@ -782,6 +808,10 @@ WHERE NOT EXISTS (SELECT 1 FROM bars b WHERE b.symbol = e.symbol AND b.tstamp =
 SELECT symbol, CAST(count(*) AS BIGINT) AS expected, CAST(count(h.slot) AS BIGINT) AS present,
        CAST(count(*) - count(h.slot) AS BIGINT) AS missing, round(count(h.slot) / count(*), 6) AS coverage
 FROM want LEFT JOIN have h USING (symbol, slot) GROUP BY symbol"""
+    s["merge_batches"] = f"""
+SELECT symbol, tstamp, high, low, "open", CASE WHEN tstamp // 86400 % 3 = 2 THEN "close" + 1 ELSE "close" END AS "close", volume,
+       CAST(CASE WHEN tstamp // 86400 % 3 = 2 THEN 1 ELSE 2 END AS BIGINT) AS seen FROM ({ORDERS_BARS_SQL})"""
+    s["incremental_load"] = _chain_sql(ORDERS_BARS_SQL)
     s["check_chronology"] = """
 SELECT 'chronology' AS rule, CAST(count(*) AS BIGINT) AS checked,
        CAST(coalesce(sum(CASE WHEN ts < p THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations
