@@ -61,29 +61,37 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 
 def map_batches(
-    df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: StructType | str, slices: bool = False
+    df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: StructType | str, slices: bool | str = False
 ) -> DataFrame:
     """Apply ``fn`` (columns in, columns out, as lists) to Arrow batches of rows.
 
-    ``slices``: to parts of them whose column ``__text`` is of bounded size,
-    for functions that hold much more than the text itself.
+    ``slices``: to parts of them whose column ``__text`` (or the one named) is
+    of bounded size, for functions that hold much more than the text itself.
+    With a name, columns that ``fn`` hands back as they came are not built anew.
     """
+    sized = slices if isinstance(slices, str) else "__text"
     kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(kind)
         for batch in batches:
-            for part in text_slices(batch) if slices else [batch]:
+            for part in text_slices(batch, sized) if slices else [batch]:
                 if part.num_rows:
-                    out = fn({n: part.column(n).to_pylist() for n in part.schema.names})
-                    yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+                    given = {n: part.column(n).to_pylist() for n in part.schema.names}
+                    out = fn(given)
+                    made = [
+                        part.column(f.name).cast(f.type) if isinstance(slices, str) and out[f.name] is given.get(f.name) else pa.array(out[f.name], type=f.type)
+                        for f in arrow
+                    ]
+                    yield pa.RecordBatch.from_arrays(made, schema=arrow)
+                    del given, out, made
 
     return map_arrow(df, run, kind)
 
 
 def text_slices(batch: pa.RecordBatch, text: str = "__text", chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Parts of a batch, each of one row or of at most ``chars`` code points."""
-    size = pc.utf8_length(batch.column(batch.schema.names.index(text))).to_numpy(zero_copy_only=False)
+    size = pc.utf8_length(batch.column(batch.schema.names.index(text))).fill_null(0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, n in enumerate(size.tolist()):
         if i > start and total + n > chars:

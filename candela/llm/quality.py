@@ -132,7 +132,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str |
 
     given = docs.select(F.col(f"`{lang}`").alias("__lang"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
     # Sums of doubles depend on their order; whole numbers do not.
-    found = common.map_batches(given, count, "lang string, part int, key binary, v double").select(
+    found = common.map_batches(given, count, "lang string, part int, key binary, v double", slices=True).select(
         "lang", "part", "key", F.round(F.col("v") * 1e9).cast("decimal(38,0)").alias("v")
     )
     sums = common.stored(found.groupBy("lang", "part", "key").agg(F.sum("v").alias("v")))
@@ -187,11 +187,13 @@ def rate(docs: DataFrame, text: str = "text", lang: str = "lang", keep: Sequence
     then verdicts; only the bounded references go through the driver.
     """
     references = learn(docs, text, lang)
+    # a kept text is passed on, not sent a second time
+    held = text if text in keep else "__text"
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         rows = []
-        for language, t in zip(cols["__lang"], cols["__text"]):
-            words, chars, symbols, dup, again = base_counts(t)
+        for language, t in zip(cols["__lang"], cols[held]):
+            words, chars, symbols, dup, again = base_counts(t := t or "")
             failed = base_failed(len(words), again)
             far = (None, None)
             if len(words) >= LEAST_WORDS and references:
@@ -201,10 +203,13 @@ def rate(docs: DataFrame, text: str = "text", lang: str = "lang", keep: Sequence
         names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept")
         return cols | dict(zip(names, map(list, zip(*rows))))
 
-    given = common.keep_and_text(docs.withColumn("__lang", F.col(f"`{lang}`")), text, [*keep, "__lang"])
+    given = docs.select(
+        *[F.col(f"`{c}`") for c in keep], F.col(f"`{lang}`").alias("__lang"),
+        *([] if held == text else [F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text")]),
+    )
     schema = (
         common.fields(docs, keep) + ", " * bool(keep)
         + "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "class_distance double, word_distance double, base_failed boolean, kept boolean"
     )
-    return common.map_batches(given, run, schema)
+    return common.map_batches(given, run, schema, slices=held)
