@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.schemas import V7_HEADER, VALID_RANGES
+from candela.schemas import V7_HEADER
+
+#: An array for the metadata of the responses made here.
+VIEWS = ("day", "week", "month", "year", "all")
 
 
 def epoch_seconds(col: str | Column) -> Column:
@@ -162,17 +165,17 @@ def v8_payloads(bars: DataFrame, api_version: str = "v8", period_days: int | Non
         F.lit("UTC").alias("timezone"),
         last_ts.alias("end"),
         first_ts.alias("start"),
-        F.lit(0).alias("gmtoffset"),
+        F.lit(0).alias("offset"),
     )
     meta = F.struct(
         F.col("symbol").alias("symbol"),
         F.lit("USD").alias("currency"),
-        first_ts.alias("firstTradeDate"),
-        F.lit(False).alias("hasPrePostMarketData"),
-        F.element_at("rows", -1)["close"].alias("regularMarketPrice"),
-        F.struct(period.alias("regular")).alias("currentTradingPeriod"),
-        F.lit("1d").alias("dataGranularity"),
-        F.array(*[F.lit(r) for r in VALID_RANGES]).alias("validRanges"),
+        first_ts.alias("firstBar"),
+        F.lit(False).alias("extended"),
+        F.element_at("rows", -1)["close"].alias("lastPrice"),
+        F.struct(period.alias("main")).alias("session"),
+        F.lit("1d").alias("spacing"),
+        F.array(*[F.lit(r) for r in VIEWS]).alias("views"),
     )
     result = F.struct(
         meta.alias("meta"),

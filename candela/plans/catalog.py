@@ -21,6 +21,7 @@ from candela.plans.adapters import (
     HOT_BARS_SQL,
     LINEITEM_BARS_SQL,
     ORDERS_BARS_SQL,
+    VIEWS,
     epoch_seconds,
     hot_bars,
     lineitem_bars,
@@ -30,7 +31,7 @@ from candela.plans.adapters import (
     v7_payloads,
     v8_payloads,
 )
-from candela.schemas import EVENT_WIRE, VALID_RANGES
+from candela.schemas import EVENT_WIRE
 from candela.session import ensure_checkpoint_dir
 from candela.sources import merge, metadata, payloads, scans, sinks
 from candela.streaming import events as streams
@@ -721,26 +722,26 @@ SELECT e.event_id, j.key AS path, j.atom::VARCHAR AS value,
             WHEN j.type = 'VARCHAR' THEN 'string' WHEN j.type = 'BOOLEAN' THEN 'boolean' END AS type
 FROM events e, json_each(e.props) j
 WHERE j.type IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'VARCHAR', 'BOOLEAN')"""
-    ranges = ", ".join(f"('validRanges[{i}]', '{r}', 'string')" for i, r in enumerate(VALID_RANGES))
+    ranges = ", ".join(f"('views[{i}]', '{r}', 'string')" for i, r in enumerate(VIEWS))
     s["payload_meta_flatten"] = _bars_sql_with(
         f"""
 , p AS (SELECT symbol, min(tstamp) AS t0, max(tstamp) AS t1, arg_max("close", tstamp) AS last_close
         FROM bars GROUP BY symbol, year(epoch_ms(tstamp * 1000))),
 leaf(path, value, type) AS (
   SELECT 'symbol', NULL, 'string' UNION ALL SELECT 'currency', 'USD', 'string'
-  UNION ALL SELECT 'firstTradeDate', NULL, 'int' UNION ALL SELECT 'hasPrePostMarketData', 'false', 'boolean'
-  UNION ALL SELECT 'regularMarketPrice', NULL, 'double'
-  UNION ALL SELECT 'currentTradingPeriod.regular.timezone', 'UTC', 'string'
-  UNION ALL SELECT 'currentTradingPeriod.regular.end', NULL, 'int'
-  UNION ALL SELECT 'currentTradingPeriod.regular.start', NULL, 'int'
-  UNION ALL SELECT 'currentTradingPeriod.regular.gmtoffset', '0', 'int'
-  UNION ALL SELECT 'dataGranularity', '1d', 'string'
+  UNION ALL SELECT 'firstBar', NULL, 'int' UNION ALL SELECT 'extended', 'false', 'boolean'
+  UNION ALL SELECT 'lastPrice', NULL, 'double'
+  UNION ALL SELECT 'session.main.timezone', 'UTC', 'string'
+  UNION ALL SELECT 'session.main.end', NULL, 'int'
+  UNION ALL SELECT 'session.main.start', NULL, 'int'
+  UNION ALL SELECT 'session.main.offset', '0', 'int'
+  UNION ALL SELECT 'spacing', '1d', 'string'
   UNION ALL SELECT * FROM (VALUES {ranges}))
 SELECT p.symbol || '-' || CAST(p.t0 AS VARCHAR) AS payload_id, l.path,
-       CASE l.path WHEN 'symbol' THEN p.symbol WHEN 'firstTradeDate' THEN CAST(p.t0 AS VARCHAR)
-            WHEN 'regularMarketPrice' THEN CAST(p.last_close AS VARCHAR)
-            WHEN 'currentTradingPeriod.regular.end' THEN CAST(p.t1 AS VARCHAR)
-            WHEN 'currentTradingPeriod.regular.start' THEN CAST(p.t0 AS VARCHAR)
+       CASE l.path WHEN 'symbol' THEN p.symbol WHEN 'firstBar' THEN CAST(p.t0 AS VARCHAR)
+            WHEN 'lastPrice' THEN CAST(p.last_close AS VARCHAR)
+            WHEN 'session.main.end' THEN CAST(p.t1 AS VARCHAR)
+            WHEN 'session.main.start' THEN CAST(p.t0 AS VARCHAR)
             ELSE l.value END AS value,
        l.type
 FROM p, leaf l"""

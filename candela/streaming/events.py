@@ -18,7 +18,11 @@ from pyspark.sql.streaming import StreamingQuery
 from candela.operators.notify import decode_events, outbox, rejects
 from candela.schemas import EVENT_WIRE
 
-NOTIFY_TOPIC = "email-service.notifications"
+
+def _named(topic: str | None) -> str:
+    if not topic:
+        raise ValueError("a Kafka source or sink needs a topic")
+    return topic
 
 
 def read_event_stream(
@@ -26,13 +30,13 @@ def read_event_stream(
     *,
     fmt: str = "kafka",
     path: str | None = None,
-    topic: str = NOTIFY_TOPIC,
+    topic: str | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Streaming wire events from the start of the topic (or files in ``path``)."""
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
-        reader = reader.option("subscribe", topic).option("startingOffsets", "earliest")
+        reader = reader.option("subscribe", _named(topic)).option("startingOffsets", "earliest")
     else:
         reader = reader.schema(EVENT_WIRE)
     for k, v in (options or {}).items():
@@ -47,14 +51,14 @@ def write_event_stream(
     *,
     fmt: str = "kafka",
     path: str | None = None,
-    topic: str = NOTIFY_TOPIC,
+    topic: str | None = None,
     options: dict[str, str] | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
     """Start writing wire events; Kafka gets ``acks=all``."""
     writer = wire.writeStream.format(fmt).option("checkpointLocation", checkpoint)
     if fmt == "kafka":
-        writer = writer.option("topic", topic).option("kafka.acks", "all")
+        writer = writer.option("topic", _named(topic)).option("kafka.acks", "all")
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     if available_now:
@@ -63,11 +67,11 @@ def write_event_stream(
 
 
 def write_event_batch(wire: DataFrame, *, fmt: str = "kafka", path: str | None = None,
-                      topic: str = NOTIFY_TOPIC, options: dict[str, str] | None = None, mode: str = "append") -> None:
+                      topic: str | None = None, options: dict[str, str] | None = None, mode: str = "append") -> None:
     """Batch form of the sink (after a table write succeeds, for example); ``mode`` is for files."""
     writer = wire.write.format(fmt)
     if fmt == "kafka":
-        writer = writer.option("topic", topic).option("kafka.acks", "all")
+        writer = writer.option("topic", _named(topic)).option("kafka.acks", "all")
     else:
         writer = writer.mode(mode)
     for k, v in (options or {}).items():
