@@ -82,11 +82,30 @@ class Encoder:
         self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.last[[i for t, i in self.tokenizer.get_vocab().items() if suffix and t.endswith(suffix)]] = True
 
+        # a file that treats white space or letters otherwise encodes texts whole
+        probe = "It's a WORD, or Two...\nof Größe ÑAN 12 (x)! a.b  end. "
+        self.by_word = bool(suffix) and self._stretch(probe) == self._ids([probe])[0]
+        self.known, self.plain = {"": b""}, {}
+
     def _ids(self, words: Sequence[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(list(words), add_special_tokens=False)]
 
-    def _plain(self, words: Sequence[str]) -> list[bytes]:
-        """Ids of words of one piece."""
+    def _plain(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of lower-case words of one piece; ASCII ones are as the model itself has them, byte for sign."""
+        pack, split = struct.Struct, self.tokenizer.model.tokenize
+        packs = [pack(f"<{n}{'H' if self.width == 2 else 'I'}").pack for n in range(WORD_CHARS + 1)]
+        found, rest = {}, []
+        for w in words:
+            if w.isascii() and len(w) <= WORD_CHARS:
+                ids = [t.id for t in split(w)]
+                found[w] = packs[len(ids)](*ids)
+            else:
+                rest.append(w)
+        if rest:
+            found.update(zip(rest, self._many(rest)))
+        return found
+
+    def _many(self, words: list[str]) -> list[bytes]:
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=self.kind)
         ends = (np.flatnonzero(self.last[ids]) + 1) * self.width
         if len(ends) != len(words):
@@ -111,7 +130,7 @@ class Encoder:
             else:
                 other.append(w)
         if cores:
-            plain.update(zip(cores, self._plain(list(cores))))
+            plain.update(self._plain(list(cores)))
         if tails:
             plain.update(zip(tails, self._ids(list(tails))))
         found = {w: plain[c] + plain[t] if t else plain[c] for w, c, t in split}
@@ -140,12 +159,15 @@ class Encoder:
 
     def encode(self, text: str, end: int) -> bytes:
         """The ids of a text, then ``end``."""
+        last = np.array([end], dtype=self.kind).tobytes()
+        if not self.by_word:
+            return self._ids([text])[0] + last
         parts, start = [], 0
         while start < len(text):
             at = text.find(" ", start + STRETCH)
             parts.append(self._stretch(text[start : at if at >= 0 else len(text)]))
             start = at if at >= 0 else len(text)
-        return b"".join(parts) + np.array([end], dtype=self.kind).tobytes()
+        return b"".join(parts) + last
 
 
 @cache
