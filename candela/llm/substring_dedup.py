@@ -1,11 +1,17 @@
 """Substring dedup by paragraph MinHash banding.
 
-A paragraph is a line of at least ``LEAST_WORDS`` words, compared in lower
-case (A to Z) by its five-word shingles, taken as 64-bit hashes.
+Paragraphs do not depend on line ends. The words of a text, in lower case
+(A to Z), are cut before each pair of neighbouring words whose hash is the
+least (the first of equal ones) among the ``REACH`` pairs on either side, so
+two texts that share a passage cut it alike but for ``REACH`` words at its
+ends, however it is wrapped or embedded. Paragraphs have more than ``REACH``
+words, 21 on average: what is shorter at the ends of a text is joined to its
+neighbour, and a text of at most ``REACH`` words has none. They are compared
+by their five-word shingles, taken as 64-bit hashes.
 
 1. Each paragraph gets ``HASHES`` minima of its shingles, banded so that a
    pair of the wanted similarity collides in some band with at least the
-   wanted recall (``banding``).
+   wanted recall (``banding``). Equal paragraphs need no band.
 2. Equal paragraphs become one. Distinct ones that collide are verified by the
    exact Jaccard similarity of their shingle sets.
 3. Groups are connected components. A paragraph is first compared with the
@@ -14,8 +20,8 @@ case (A to Z) by its five-word shingles, taken as 64-bit hashes.
    and pairs of chunks, to tasks that compare all paragraphs of different
    components there and pass on no more links than connect them: no pairs are
    made as rows, no bucket is gathered whole, and no link is lost.
-4. The first occurrence of a group, by document id, then text and line, is
-   kept; the others are the removals.
+4. The first occurrence of a group, by document id, then text and place in it,
+   is kept; the others are the removals.
 
 Documents with the same id and the same text are one document. Null ids come
 after all others; null texts have no paragraphs.
@@ -23,19 +29,21 @@ after all others; null texts have no paragraphs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.llm import common
 
-LEAST_WORDS = 20
+#: Word pairs on either side that a cut is compared with.
+REACH = 10
 SHINGLE, SIMILARITY = 5, 0.8
-HASHES, RECALL = 56, 0.999
+HASHES, RECALL = 8, 0.98
 #: Paragraphs of a bucket in a chunk, and columns of an incidence matrix held at once.
 CHUNK, COLUMNS = 512, 8192
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -64,28 +72,55 @@ class Hashes(dict):
         return value
 
 
-def shingles(words: list[bytes], known: Hashes) -> np.ndarray:
-    """Hashes of the runs of five words."""
-    h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-    n = len(h) - SHINGLE + 1
+def mixed_runs(h: np.ndarray, length: int) -> np.ndarray:
+    """A hash of each run of ``length`` neighbouring hashes."""
+    n = max(0, len(h) - length + 1)
     out = np.zeros(n, dtype=np.uint64)
-    for k in range(SHINGLE):
+    for k in range(length):
         out = (out + h[k : k + n]) * MIX
         out ^= out >> np.uint64(32)
     return out
 
 
-def paragraphs(text: str) -> list[tuple[int, int, int, list[bytes]]]:
-    """(line, start, end, words) of the paragraphs, in code points without the white space around them."""
-    out, at = [], 0
-    for i, line in enumerate(text.split("\n")):
-        words = line.encode().lower().split()
-        if len(words) >= LEAST_WORDS:
-            bare = line.strip(common.SPACE)
-            start = at + len(line) - len(line.lstrip(common.SPACE))
-            out.append((i, start, start + len(bare), words))
-        at += len(line) + 1
-    return out
+def cuts(h: np.ndarray, reach: int) -> list[int]:
+    """Where paragraphs begin, among words of these hashes, and the end of the last."""
+    n = len(h)
+    if n <= 2 * reach + 1:
+        return [0, n]
+    pairs = mixed_runs(h, 2)
+    ends = np.full(reach, np.iinfo(np.uint64).max, dtype=np.uint64)
+    least, size = np.concatenate([ends, pairs, ends]), 1
+    while size < reach:  # minima of runs of `reach` pairs, by doubling
+        step = min(size, reach - size)
+        least, size = np.minimum(least[:-step], least[step:]), size + step
+    m = len(pairs)
+    at = np.flatnonzero((pairs < least[:m]) & (pairs <= least[reach + 1 : reach + 1 + m]))
+    return [0, *at[(at > reach) & (at < n - reach)].tolist(), n]
+
+
+def places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a UTF-8 text, in code points."""
+    b = np.frombuffer(data, dtype=np.uint8)
+    white = np.ones(len(b) + 2, dtype=bool)
+    white[1:-1] = (b == 32) | ((b >= 9) & (b <= 13))
+    at = np.flatnonzero(white[1:] != white[:-1])
+    if not data.isascii():
+        at = at - np.concatenate([[0], np.cumsum((b & 0xC0) == 0x80)])[at]
+    return at[::2], at[1::2]
+
+
+def paragraphs(text: str, known: Hashes) -> Iterator[tuple[int, int, int, list[bytes], np.ndarray]]:
+    """(unit, start, end, words, shingles) of the paragraphs; code points, end exclusive."""
+    data = text.encode()
+    words = data.lower().split()
+    if len(words) <= REACH:
+        return
+    h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+    runs = mixed_runs(h, SHINGLE)
+    starts, ends = places(data)
+    edges = cuts(h, REACH)
+    for i, (a, b) in enumerate(zip(edges, edges[1:])):
+        yield i, int(starts[a]), int(ends[b - 1]), words[a:b], runs[a : b - SHINGLE + 1]
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -107,31 +142,31 @@ def _given(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def signed_paragraphs(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """Rows (doc_id, text_key, line, start, end, n_words, key, b0 ...): all paragraphs with their band hashes."""
+    """Rows (doc_id, text_key, unit, start, end, n_words, key, b0 ...): all paragraphs with their band hashes."""
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         known, sets = Hashes(), []
-        out: dict[str, list] = {n: [] for n in ("doc_id", "text_key", "line", "start", "end", "n_words", "key")}
+        out: dict[str, list] = {n: [] for n in ("doc_id", "text_key", "unit", "start", "end", "n_words", "key")}
         for doc, key, t in zip(cols["doc_id"], cols["text_key"], cols["__text"]):
-            for line, start, end, words in paragraphs(t):
-                sets.append(shingles(words, known))
-                row = (doc, key, line, start, end, len(words), xxhash.xxh3_128_hexdigest(b" ".join(words)))
+            for unit, start, end, words, runs in paragraphs(t, known):
+                sets.append(runs)
+                row = (doc, key, unit, start, end, len(words), xxhash.xxh3_128_digest(b" ".join(words)))
                 for values, v in zip(out.values(), row):
                     values.append(v)
         bands = signatures(sets).view(np.int64) if sets else np.empty((0, BANDS), dtype=np.int64)
         return out | {f"b{i}": bands[:, i] for i in range(BANDS)}
 
-    schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, text_key long, line int, start int, end int, n_words int, key string, "
+    schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, text_key long, unit int, start int, end int, n_words int, key binary, "
     return common.map_batches(_given(docs, text, doc_id), run, schema + ", ".join(f"b{i} long" for i in range(BANDS)), slices=True)
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> DataFrame:
     """Rows (id, shingles): sorted distinct shingle hashes of paragraphs, read where each occurs first."""
-    # One row a document that is read, with the lines wanted of it: at most its own lines.
-    lines = wanted.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("line", "id"))).alias("wanted"))
+    # One row a document that is read, with the paragraphs wanted of it: at most its own.
+    units = wanted.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("unit", "id"))).alias("wanted"))
     given = _given(common.may_be_among(docs.select(f"`{doc_id}`", f"`{text}`"), doc_id, wanted, "doc_id"), text, doc_id)
     there = given.join(
-        lines.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "wanted"),
+        units.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "wanted"),
         F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")),
     ).select("__text", "wanted")
 
@@ -139,11 +174,11 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) ->
         known = Hashes()
         ids, sets = [], []
         for t, wanted in zip(cols["__text"], cols["wanted"]):
-            of_line = {w["line"]: w["id"] for w in wanted}
-            for line, _, _, words in paragraphs(t):
-                if line in of_line:
-                    ids.append(of_line[line])
-                    sets.append(np.unique(shingles(words, known)).tobytes())
+            of_unit = {w["unit"]: w["id"] for w in wanted}
+            for unit, _, _, _, runs in paragraphs(t, known):
+                if unit in of_unit:
+                    ids.append(of_unit[unit])
+                    sets.append(np.unique(runs).tobytes())
         return {"id": ids, "shingles": sets}
 
     # a document that is there twice gives its paragraphs twice
@@ -226,17 +261,18 @@ def verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, text: str,
 def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per occurrence of a paragraph whose group has at least two.
 
-    Columns: ``doc_id``, ``text_key`` (hash of the text), ``line``, ``start``
+    Columns: ``doc_id``, ``text_key`` (hash of the text), ``unit``
+    (the paragraph's number in its text), ``start``
     and ``end`` (code points, end exclusive), ``n_words``, ``group_id`` and
     ``kept``, true for the group's first occurrence.
     """
     found = common.stored(signed_paragraphs(docs, text, doc_id))
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "line")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "unit")
     bands = [f"b{i}" for i in range(BANDS)]
     once = found.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last"), *[F.min(b).alias(b) for b in bands])
     distinct = common.stored(
         once.select(
-            F.monotonically_increasing_id().alias("id"), "key", *bands, "first.doc_id", "first.text_key", "first.line",
+            F.monotonically_increasing_id().alias("id"), "key", *bands, "first.doc_id", "first.text_key", "first.unit",
             (F.col("first") != F.col("last")).alias("again"),
         )
     )
@@ -274,25 +310,43 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     rooted = distinct.drop(*bands).join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     heads = (
         rooted.groupBy("root")
-        .agg(F.min(place).alias("head"), F.min("key").alias("group_id"), F.count("*").alias("n"), F.bool_or("again").alias("again"))
+        .agg(F.min(place).alias("head"), F.min(F.hex("key")).alias("group_id"), F.count("*").alias("n"), F.bool_or("again").alias("again"))
         .where("n > 1 or again")
         .select("root", "head", "group_id")
     )
     of_key = common.stored(rooted.select("key", "root").join(heads, "root").select("key", "head", "group_id"))
     return found.join(of_key, "key").select(
-        "doc_id", "text_key", "line", "start", "end", "n_words", "group_id", place.eqNullSafe(F.col("head")).alias("kept")
+        "doc_id", "text_key", "unit", "start", "end", "n_words", "group_id", place.eqNullSafe(F.col("head")).alias("kept")
     )
 
 
-def remove(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """All documents, all columns; ``text`` without the paragraphs that are not kept (a text that loses all: empty)."""
-    gone = groups(docs, text, doc_id).where(~F.col("kept")).distinct().groupBy("doc_id", "text_key").agg(F.collect_list("line").alias("__gone"))
-    gone = gone.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__gone")
-    own = docs.withColumn("__own", F.xxhash64(f"`{text}`"))
-    both = own.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")), "left")
+def without(text: str, spans: Sequence[tuple[int, int]]) -> str:
+    """The text without these stretches (in order, apart) and the blanks after each."""
+    parts, at = [], 0
+    for start, end in spans:
+        parts.append(text[at:start])
+        while end < len(text) and text[end] in " \t":
+            end += 1
+        at = end
+    return "".join(parts) + text[at:]
 
-    def stays(_: Column, i: Column) -> Column:
-        return ~F.array_contains("__gone", i)
 
-    changed = F.when(F.col("__gone").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(F.filter(F.split(F.col(f"`{text}`"), "\n"), stays), "\n"))
+def remove(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """All documents, all columns; ``text`` without the paragraphs that are not kept (a text that loses all: empty).
+
+    The other columns pass through unread; ``__cd_`` names are reserved.
+    """
+    if taken := [c for c in docs.columns if c.startswith("__cd_")]:
+        raise ValueError(f"reserved column names: {taken}")
+    span = F.struct("start", "end")
+    gone = groups(docs, text, doc_id).where(~F.col("kept")).groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set(span)).alias("__cd_gone"))
+    gone = gone.select(F.col("doc_id").alias("__cd_id"), F.col("text_key").alias("__cd_key"), "__cd_gone")
+    own = docs.withColumn("__cd_own", F.xxhash64(f"`{text}`"))
+    both = own.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("__cd_id")) & (F.col("__cd_own") == F.col("__cd_key")), "left")
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([without(t, [(x["start"], x["end"]) for x in found]) for t, found in zip(texts, spans)], dtype=object)
+
+    changed = F.when(F.col("__cd_gone").isNull(), F.col(f"`{text}`")).otherwise(cut(F.coalesce(f"`{text}`", F.lit("")), F.coalesce("__cd_gone", F.array())))
     return both.select(*[changed.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
