@@ -31,10 +31,11 @@ from candela.plans.adapters import (
     v7_payloads,
     v8_payloads,
 )
-from candela.schemas import EVENT_WIRE
+from candela.schemas import EVENT_WIRE, PAYLOADS
 from candela.session import ensure_checkpoint_dir
 from candela.sources import merge, metadata, payloads, scans, sinks
 from candela.streaming import events as streams
+from candela.streaming import landing
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -418,7 +419,7 @@ def q_event_stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
         "value", F.when(F.col("key").cast("long") % 10 == 0, F.expr("left(cast(value as string), 9)")).otherwise(cut).cast("binary")
     ).write.parquet(topic)
     streams.run_outbox(spark, topic, _scratch(spark, "rejects-outbox"), _scratch(spark, "rejects-ckpt"), rejected_path=bad)
-    return spark.read.parquet(bad).groupBy("rejected").agg(F.count(F.lit(1)).alias("events"))
+    return streams.read_batches(spark, bad, streams.REJECTED).groupBy("rejected").agg(F.count(F.lit(1)).alias("events"))
 
 
 _OUTBOX_SQL = r"""
@@ -494,6 +495,17 @@ def q_incremental_load(spark: SparkSession, sf: str) -> DataFrame:
     return _r4(incremental.read_all(spark, root, "rows"), "ema_10d", "sma_10d")
 
 
+def q_landing_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Responses of the orders' bars that land in files, some of them twice and some rejected, as a merged table of bars."""
+    landed = v8_payloads(orders_bars(spark, sf)).withColumn("part", F.pmod(F.xxhash64("symbol"), F.lit(4)))
+    again = landed.where("part < 2")
+    wrong = landed.where("part = 3").withColumns({"status": F.lit(500), "body": F.lit("{}")})
+    source, root = _scratch(spark, "landing"), _scratch(spark, "landed")
+    for i, rows in enumerate((landed.where("part < 3"), again, wrong, landed.where("part = 3"))):
+        rows.select(*PAYLOADS.fieldNames()).coalesce(1).write.parquet(f"{source}/at={i}")
+    return landing.run_landing(spark, f"{source}/*", root, _scratch(spark, "landing-ckpt"))
+
+
 def q_missing_timestamps(spark: SparkSession, sf: str) -> DataFrame:
     return quality.missing_stamps(orders_bars(spark, sf))
 
@@ -625,6 +637,7 @@ def queries() -> dict[str, QueryFn]:
         "completeness_on_calendar": q_completeness_on_calendar,
         "merge_batches": q_merge_batches,
         "incremental_load": q_incremental_load,
+        "landing_stream": q_landing_stream,
         "check_chronology": q_check_chronology,
         "check_future": q_check_future,
         "check_completeness": q_check_completeness,
@@ -813,6 +826,7 @@ FROM want LEFT JOIN have h USING (symbol, slot) GROUP BY symbol"""
 SELECT symbol, tstamp, high, low, "open", CASE WHEN tstamp // 86400 % 3 = 2 THEN "close" + 1 ELSE "close" END AS "close", volume,
        CAST(CASE WHEN tstamp // 86400 % 3 = 2 THEN 1 ELSE 2 END AS BIGINT) AS seen FROM ({ORDERS_BARS_SQL})"""
     s["incremental_load"] = _chain_sql(ORDERS_BARS_SQL)
+    s["landing_stream"] = f"SELECT {bars_cols} FROM ({ORDERS_BARS_SQL})"
     s["check_chronology"] = """
 SELECT 'chronology' AS rule, CAST(count(*) AS BIGINT) AS checked,
        CAST(coalesce(sum(CASE WHEN ts < p THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations

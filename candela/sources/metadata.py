@@ -7,7 +7,10 @@ row.  ``legacy_paths=True`` writes array elements the way the source did,
 repeating the key after the index (``k[i].k``).
 
 Runs on VARIANT values: one aggregate finds the largest nesting depth (one
-integer to the driver), then that many generator steps are chained lazily.
+integer to the driver). Documents nested up to ``STEPS`` deep are one lazy chain
+of as many generator steps; deeper ones are read apart, ``STEPS`` levels at a
+time: what is still a container after those is written and goes on, what is a
+leaf is done. So the plan of the others does not grow with the deepest document.
 Documents that are no JSON object give no row; ``malformed_json`` lists them.
 """
 
@@ -18,6 +21,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candela.plans.segments import PREFIX, q, refuse_own_names
+from candela.session import ensure_checkpoint_dir, stored
+
+#: Levels of nesting that one plan takes apart.
+STEPS = 16
+
 
 def nesting(json_col: Column) -> Column:
     """How deep containers lie in each other in a JSON text (brackets inside its strings do not count)."""
@@ -60,56 +69,71 @@ def _leaf_type(v: Column) -> Column:
     )
 
 
+def _as_obj(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "map<string,variant>")
+
+
+def _as_arr(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "array<variant>")
+
+
+def _descend(rows: DataFrame, ids: Sequence[Column], levels: int, legacy_paths: bool) -> DataFrame:
+    """One linear chain of generators: at each level a container becomes its
+    children and a leaf passes through unchanged.  No unions, so the input is
+    read once and nothing is recomputed per level."""
+    path, key, val = (F.col(PREFIX + c) for c in ("path", "key", "v"))
+
+    def part(p: Column, k: Column, v: Column) -> Column:
+        return F.struct(p.alias(PREFIX + "path"), k.alias(PREFIX + "key"), v.alias(PREFIX + "v"))
+
+    def arr_child(x: Column, i: Column) -> Column:
+        idx = F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
+        return part(F.concat(idx, F.lit("."), key) if legacy_paths else idx, key, x)
+
+    def obj_child(e: Column) -> Column:
+        return part(F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit("."), e["key"])), e["key"], e["value"])
+
+    for _ in range(levels):
+        kids = (
+            F.when(_as_obj(val).isNotNull(), F.transform(F.map_entries(_as_obj(val)), obj_child))
+            .when(_as_arr(val).isNotNull(), F.transform(_as_arr(val), arr_child))
+            .otherwise(F.array(part(path, key, val)))
+        )
+        rows = rows.select(*ids, F.inline(kids))
+    return rows
+
+
 def flatten_json(
     df: DataFrame,
     json_col: str,
     id_cols: Sequence[str],
     *,
     legacy_paths: bool = False,
+    steps: int = STEPS,
 ) -> DataFrame:
-    ids = [F.col(c) for c in id_cols]
-    root = df.select(*ids, F.try_parse_json(json_col).alias("_v"))
-    valid = df.filter(F.try_parse_json(json_col).isNotNull())
-    depth = valid.agg(F.max(nesting(F.col(json_col)))).first()[0] or 0
-
-    def as_obj(v: Column) -> Column:
-        return F.try_variant_get(v, "$", "map<string,variant>")
-
-    def as_arr(v: Column) -> Column:
-        return F.try_variant_get(v, "$", "array<variant>")
-
-    # One linear chain of generators: at each level a container becomes its
-    # children and a leaf passes through unchanged.  No unions, so the input
-    # is read once and nothing is recomputed per level.
-    path, key, val = F.col("_path"), F.col("_key"), F.col("_v")
-    rows = root.filter(as_obj(val).isNotNull()).select(
-        *ids, F.lit("").alias("_path"), F.lit("").alias("_key"), val
-    )
-    for _ in range(depth):
-        obj_kids = F.transform(
-            F.map_entries(as_obj(val)),
-            lambda e: F.struct(
-                F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit("."), e["key"])).alias("_path"),
-                e["key"].alias("_key"),
-                e["value"].alias("_v"),
-            ),
-        )
-
-        def arr_child(x: Column, i: Column) -> Column:
-            idx = F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
-            p = F.concat(idx, F.lit("."), key) if legacy_paths else idx
-            return F.struct(p.alias("_path"), key.alias("_key"), x.alias("_v"))
-
-        arr_kids = F.transform(as_arr(val), arr_child)
-        keep = F.array(F.struct(path.alias("_path"), key.alias("_key"), val.alias("_v")))
-        nxt = F.when(as_obj(val).isNotNull(), obj_kids).when(as_arr(val).isNotNull(), arr_kids).otherwise(keep)
-        rows = rows.select(*ids, F.inline(nxt))
-
-    typed = rows.select(*id_cols, "_path", val, _leaf_type(val).alias("type"))
+    """Rows ``(id columns..., path, value, type)`` of the leaves; ``steps``: levels in one plan."""
+    refuse_own_names(df)
+    ids = [F.col(q(c)) for c in id_cols]
+    val = F.col(PREFIX + "v")
+    depth = df.filter(F.try_parse_json(json_col).isNotNull()).agg(F.max(nesting(F.col(json_col)))).first()[0] or 0
+
+    def roots(of: DataFrame) -> DataFrame:
+        parsed = of.select(*ids, F.try_parse_json(json_col).alias(PREFIX + "v")).filter(_as_obj(val).isNotNull())
+        return parsed.select(*ids, F.lit("").alias(PREFIX + "path"), F.lit("").alias(PREFIX + "key"), val)
+
+    if depth <= steps:
+        rows = _descend(roots(df), ids, depth, legacy_paths)
+    else:
+        ensure_checkpoint_dir(df.sparkSession)
+        deep = nesting(F.col(json_col)) > steps
+        rows = _descend(roots(df.filter(~deep)), ids, steps, legacy_paths)
+        left = roots(df.filter(deep))
+        for low in range(0, depth, steps):
+            done = stored(_descend(left, ids, min(steps, depth - low), legacy_paths))
+            inner = _as_obj(val).isNotNull() | _as_arr(val).isNotNull()
+            rows, left = rows.unionByName(done.filter(~inner)), done.filter(inner)
+
+    typed = rows.select(*ids, F.col(PREFIX + "path").alias("path"), val, _leaf_type(val).alias("type"))
     # doubles print as JVM doubles (2.0, 1.0E7); other leaves as their text
-    value = F.when(
-        F.col("type") == "double", F.variant_get("_v", "$", "double").cast("string")
-    ).otherwise(F.variant_get("_v", "$", "string"))
-    return typed.filter(F.col("type").isNotNull()).select(
-        *id_cols, F.col("_path").alias("path"), value.alias("value"), "type"
-    )
+    value = F.when(F.col("type") == "double", F.variant_get(val, "$", "double").cast("string")).otherwise(F.variant_get(val, "$", "string"))
+    return typed.filter(F.col("type").isNotNull()).select(*ids, "path", value.alias("value"), "type")

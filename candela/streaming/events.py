@@ -9,14 +9,21 @@ checkpoint, not by consumer-group commits.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from candela.operators.notify import decode_events, outbox, rejects
+from candela.operators.notify import addressed, decode_events, outbox, rejects
 from candela.schemas import EVENT_WIRE
+from candela.sources import merge
+
+
+#: Columns of rejected events as ``run_outbox`` writes them.
+REJECTED = "key STRING, value BINARY, rejected STRING"
 
 
 def _named(topic: str | None) -> str:
@@ -89,6 +96,33 @@ def rejects_stream(wire: DataFrame) -> DataFrame:
     return rejects(decode_events(wire)).select("key", "value", "rejected")
 
 
+def batch_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """Writes a micro-batch to a folder of its number; a batch that is run again replaces what it wrote."""
+    return lambda df, batch_id: df.write.format(fmt).mode("overwrite").save(f"{path}/batch_id={batch_id}")
+
+
+def read_batches(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet") -> DataFrame:
+    """The rows of all finished batches in a folder, without the batch's number (none: an empty table)."""
+    done = [f"{path}/batch_id={n}" for n in merge.numbered(spark, path, "batch_id")]
+    if not done:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).format(fmt).load(done)
+
+
+def outbox_batch(
+    wire: DataFrame, batch_id: int, sink_path: str, *, sink_fmt: str = "parquet", carry: Sequence[str] = (), rejected_path: str | None = None
+) -> None:
+    """One batch of wire events into the outbox and the rejects: read and decoded once, both at the same offset."""
+    sorted_ = addressed(decode_events(wire)).persist(StorageLevel.DISK_ONLY)
+    try:
+        mail = sorted_.filter(F.col("rejected").isNull())
+        batch_writer(sink_path, sink_fmt)(mail.select("to", "subject", "content", *[F.col("m")[k].alias(k) for k in carry]), batch_id)
+        if rejected_path:
+            batch_writer(rejected_path, sink_fmt)(sorted_.filter(F.col("rejected").isNotNull()).select("key", "value", "rejected"), batch_id)
+    finally:
+        sorted_.unpersist()
+
+
 def run_outbox(
     spark: SparkSession,
     source_path: str,
@@ -102,21 +136,18 @@ def run_outbox(
 ) -> DataFrame:
     """Drain the event folder once (``availableNow``) into the outbox table and read it back.
 
-    ``rejected_path``: a second query, with a checkpoint of its own, writes the
-    rejected events there.
+    ``rejected_path``: the rejected events are written there by the same query,
+    from the same read.  Both sinks have a folder for each micro-batch.
     """
-    parts = [(lambda w: outbox_stream(w, carry), sink_path, checkpoint)]
-    if rejected_path:
-        parts.append((rejects_stream, rejected_path, f"{checkpoint}-rejected"))
-    started = [
-        make(read_event_stream(spark, fmt=source_fmt, path=source_path))
-        .writeStream.format(sink_fmt)
-        .option("checkpointLocation", at)
-        .outputMode("append")
+    query = (
+        read_event_stream(spark, fmt=source_fmt, path=source_path)
+        .writeStream.foreachBatch(
+            lambda wire, n: outbox_batch(wire, n, sink_path, sink_fmt=sink_fmt, carry=carry, rejected_path=rejected_path)
+        )
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(path)
-        for make, path, at in parts
-    ]
-    for query in started:
-        query.awaitTermination()
-    return spark.read.format(sink_fmt).load(sink_path)
+        .start()
+    )
+    query.awaitTermination()
+    schema = ", ".join(f"`{c}` STRING" for c in ("to", "subject", "content", *carry))
+    return read_batches(spark, sink_path, schema, sink_fmt)
