@@ -12,17 +12,25 @@ from candela.llm import common
 #: Kinds in report order; the first four have a base pattern.
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 
-#: Words near a span that speak for its kind.
+#: Words near a span that speak for its kind, in English, German, French and Spanish; whole words only.
 SPEAKS_FOR = {
-    "email": ("mail", "contact", "write to"),
-    "ip": ("ip", "address", "host", "login"),
-    "card": ("card", "visa", "mastercard", "amex", "credit", "payment"),
-    "phone": ("phone", "tel", "call", "mobile", "fax"),
-    "iban": ("iban", "account", "bank", "transfer"),
+    "email": ("mail", "email", "mails", "emails", "contact", "write to", "schreiben", "kontakt", "courriel", "correo", "contacto", "escriba a"),
+    "ip": ("ip", "address", "host", "login", "server", "adresse", "hôte", "serveur", "dirección", "servidor"),
+    "card": ("card", "visa", "mastercard", "amex", "credit", "payment", "karte", "kreditkarte", "zahlung", "carte", "paiement", "tarjeta", "pago"),
+    "phone": ("phone", "telephone", "tel", "call", "mobile", "fax", "telefon", "anruf", "handy", "téléphone", "appeler", "teléfono", "llamar", "móvil"),
+    "iban": ("iban", "account", "bank", "transfer", "konto", "überweisung", "compte", "banque", "virement", "cuenta", "banco", "transferencia"),
     "ssn": ("ssn", "social security"),
 }
 #: Words near a span that speak against any personal number.
-SPEAKS_AGAINST = ("version", "isbn", "serial", "order no", "part no", "invoice")
+SPEAKS_AGAINST = ("version", "isbn", "serial", "order no", "part no", "invoice", "seriennummer", "rechnung", "facture", "série", "factura", "versión")
+
+
+def any_of(words: Sequence[str]) -> re.Pattern[str]:
+    """One of the words, not as a part of another."""
+    return re.compile(r"(?<![^\W\d_])(?:" + "|".join(sorted(words, key=len, reverse=True)) + r")(?![^\W\d_])")
+
+
+FOR_KIND, AGAINST_ANY = {k: any_of(w) for k, w in SPEAKS_FOR.items()}, any_of(SPEAKS_AGAINST)
 START = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "ssn": 0.4}
 FOR, AGAINST, ENOUGH = 0.2, 0.3, 0.5
 WINDOW = 40
@@ -104,7 +112,7 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 def score(text: str, kind: str, start: int, end: int) -> float:
     """Starting score of the kind, moved by the words around the span."""
     near = f"{text[max(0, start - WINDOW):start]} {text[end:end + WINDOW // 2]}".lower()
-    s = START[kind] + FOR * any(w in near for w in SPEAKS_FOR[kind]) - AGAINST * any(w in near for w in SPEAKS_AGAINST)
+    s = START[kind] + FOR * bool(FOR_KIND[kind].search(near)) - AGAINST * bool(AGAINST_ANY.search(near))
     return round(min(1.0, max(0.0, s)), 2)
 
 

@@ -35,9 +35,8 @@ ENDPOINT = re.compile(
     r"(?<![A-Za-z0-9])(?:[a-z][a-z0-9+]{1,15}://[A-Za-z0-9._~:@%-]{3,}+|(?:host(?:name)?|endpoint|server|url)[\"']?\x20?[:=]\x20?[\"']?[A-Za-z0-9._:/-]{3,}+)",
     re.IGNORECASE | re.ASCII,
 )
+#: Ends a scope: parts in different paragraphs are not linked, those of one are, however long it is.
 SCOPE_END = re.compile(r"\n[\x20\t\r]*\n")
-#: Parts further apart than this, or in different paragraphs, are not linked.
-REACH = 300
 BITS = 3.5
 
 
@@ -71,9 +70,9 @@ class Intervals:
 
 
 def linked(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Weak identifiers and secrets that have their complement near by in their paragraph.
+    """Weak identifiers and secrets that have their complement in their paragraph.
 
-    The join of the parts by nearness is a search in sorted starts, so it
+    The join of the parts by scope is a search in sorted starts, so it
     costs a logarithm a candidate, also where a text holds very many parts.
     """
     starts, stops = [], []
@@ -102,7 +101,7 @@ def linked(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int,
 
     def near(role: Intervals, a: int, b: int) -> bool:
         i = bisect_left(ends, a)
-        return role.within(max(a - REACH, ends[i - 1] if i else 0), min(b + REACH, ends[i] if i < len(ends) else len(text)))
+        return role.within(ends[i - 1] if i else 0, ends[i] if i < len(ends) else len(text))
 
     out = [("linked_secret", a, b) for a, b in keys if near(of_id, a, b) or near(of_end, a, b)]
     return out + [("linked_id", a, b) for a, b in ids if near(of_key, a, b)]
