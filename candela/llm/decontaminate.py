@@ -6,9 +6,10 @@ ones too: what is left of an edited copy that stands in very many texts is
 frequent. One pass looks the seeds up in each text and aligns the piece with
 the words around them. A text holds a copy of an item where the score of the
 best local alignment reaches ``ENOUGH`` of the score of a perfect one, for any
-piece.
+piece. A copy without ``GRAM`` words in a row as they stand in the item, such as
+one with every third or fourth word replaced, has no seed and is not found.
 
-Two bounds keep frequent seeds cheap and lose nothing, as a score of s needs
+Two bounds keep frequent seeds cheap and lose nothing that has a seed, as a score of s needs
 s / ``MATCH`` words in common: words of the piece anywhere in the text, for
 all its candidates in one step, then words of it within the window.
 
