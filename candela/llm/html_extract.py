@@ -42,8 +42,6 @@ CONSTANT, LEAST_PAGES = 0.8, 5
 MOST = 0.7
 #: Siblings that tree matching compares at once, and elements inside each other; a deeper one is put beside its parent.
 WIDE, DEEP = 64, 200
-#: Characters of a stored tree from which on runs of siblings are folded in it; a smaller one goes before it as reference.
-LARGE = 200_000
 #: Characters that a page must have besides the reference's, and pages from which on a layout has a reference of its own.
 LEAST_TEXT, LAYOUT_PAGES = 40, 2 * LEAST_PAGES
 
@@ -229,43 +227,23 @@ def content(root: Node) -> str:
 
 
 # --- wrappers ---------------------------------------------------------------
-# A tree is (label, hash of the text, length of the text, children, the nodes that it stands for).
+# A tree is (label, hash of the text, length of the text, children, the node).
 
 
-def fold(node: Node, runs: bool = False) -> tuple:
-    """The tree of a node.
-
-    ``runs``: with runs of siblings of one label folded into one; where more
-    than ``WIDE`` are left, all siblings of one label, then all of one tag,
-    then all are folded.
-    """
+def fold(node: Node) -> tuple:
+    """The tree of a node."""
     own, kids = [], []
     for kid in node.kids:
         if isinstance(kid, str):
             own.append(kid)
         elif kid.tag not in ("script", "style", "head", "br", "meta", "link"):
-            kids.append(fold(kid, runs))
-    if runs:
-        groups = [list(g) for _, g in groupby(kids, key=itemgetter(0))]
-        for label in (itemgetter(0), lambda k: k[0].split(".")[0], lambda k: ""):
-            if len(groups) > WIDE:
-                alike: dict[str, list] = {}
-                for k in kids:
-                    alike.setdefault(label(k), []).append(k)
-                groups = list(alike.values())
-        kids = [group[0] if len(group) == 1 else merged(group) for group in groups]
+            kids.append(fold(kid))
     text = " ".join("".join(own).split())
     every = xxhash.xxh64(text.encode())
     for k in kids:
         every.update(k[1].to_bytes(8, "big"))
     label = node.tag + "".join(f".{m}" for m in sorted(node.marks))
-    return label, every.intdigest(), len(text) + sum(k[2] for k in kids), kids, [node]
-
-
-def merged(group: list[tuple]) -> tuple:
-    """One list node for several."""
-    digest = xxhash.xxh64(b"".join(g[1].to_bytes(8, "big") for g in group)).intdigest()
-    return group[0][0], digest, sum(g[2] for g in group), [], [n for g in group for n in g[4]]
+    return label, every.intdigest(), len(text) + sum(k[2] for k in kids), kids, node
 
 
 def match(a: tuple, b: tuple) -> tuple[int, list[tuple[tuple, tuple]]]:
@@ -428,22 +406,19 @@ def wrappers(pages: DataFrame, html: str, url: str) -> DataFrame:
     """Rows (host, layout, wrappers) of the hosts with constant nodes; a wrapper is a stored tree and its constant nodes."""
 
     def skeleton(cols: dict[str, list]) -> dict[str, list]:
-        trees, large, layouts = [], [], []
+        trees, layouts = [], []
         for t in cols["__text"]:
-            root = parse(t)
-            whole = fold(root)
-            tree = json.dumps(bare(whole))
-            large.append(len(tree) > LARGE)
-            trees.append(json.dumps(bare(fold(root, True))) if large[-1] else tree)
+            whole = fold(parse(t))
+            trees.append(json.dumps(bare(whole)))
             layouts.append(layout(whole))
-        return {"host": cols["__host"], "layout": layouts, "tree": trees, "large": large}
+        return {"host": cols["__host"], "layout": layouts, "tree": trees}
 
     given = with_host(pages, url).select("__host", F.coalesce(F.col(f"`{html}`"), F.lit("")).alias("__text"))
-    trees = common.stored(common.map_batches(given, skeleton, "host string, layout long, tree string, large boolean", slices=True))
+    trees = common.stored(common.map_batches(given, skeleton, "host string, layout long, tree string", slices=True))
     # any page of a layout can be the reference; the smallest hash makes the choice the same in every run
     h = F.xxhash64("tree")
     pages_of = trees.groupBy("host", "layout").agg(F.count_distinct(h).alias("n"))
-    first = trees.groupBy("host", "layout").agg(F.min(F.struct("large", h.alias("h"), "tree")).alias("first"))
+    first = trees.groupBy("host", "layout").agg(F.min(F.struct(h.alias("h"), "tree")).alias("first"))
     own = common.stored(first.join(pages_of, ["host", "layout"]))
     main = own.groupBy("host").agg(F.max(F.struct("n", "layout")).alias("top")).select("host", "top.layout")
     top = own.join(main, ["host", "layout"]).select("host", F.col("layout").alias("top"), F.col("first").alias("main"))
@@ -481,7 +456,7 @@ def wrappers(pages: DataFrame, html: str, url: str) -> DataFrame:
         .agg(F.sort_array(F.collect_list("node")).alias("constant"))
     )
     each = references.select("host", "layout", F.explode("references").alias("r")).select("host", "layout", "r.*")
-    wrapper = F.struct("h", "tree", F.col("large").alias("runs"), "constant")
+    wrapper = F.struct("h", "tree", "constant")
     return each.join(constant, ["host", "h"]).groupBy("host", "layout").agg(F.sort_array(F.collect_list(wrapper)).alias("wrappers"))
 
 
@@ -504,6 +479,7 @@ def extract(
         out = []
         for page, wrappers in zip(cols["__text"], cols["__wrappers"]):
             root = parse(page)
+            whole = fold(root) if wrappers else None
             for w in wrappers or ():
                 if w["h"] not in known:
                     if len(known) > 1000:
@@ -511,10 +487,9 @@ def extract(
                     known[w["h"]] = json.loads(w["tree"])
                 tree, fixed = known[w["h"]], set(w["constant"])
                 order = {id(n): i for i, n in enumerate(numbered(tree))}
-                for p, r in match(fold(root, w["runs"]), tree)[1]:
+                for p, r in match(whole, tree)[1]:
                     if order[id(r)] in fixed and p[1] == r[1]:
-                        for node in p[4]:
-                            node.template = True
+                        p[4].template = True
             out.append(content(root))
         cols["text"] = out
         return cols
