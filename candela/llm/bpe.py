@@ -119,21 +119,23 @@ def encode(
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         v = vocabulary(path, pattern)
-        cols["ids"] = [np.asarray(v.encode(t), dtype="<u4").tobytes() for t in cols["__text"]]
-        return cols
+        return cols | {"ids": [np.asarray(v.encode(t), dtype="<u4").tobytes() for t in cols["__text"]]}
 
     schema = ", ".join(x for x in (common.fields(docs, keep), "ids binary") if x)
-    return common.map_batches(common.keep_and_text(docs, text, keep), run, schema, slices=True)
+    return common.map_batches(common.keep_and_text(docs, text, keep), run, schema, slices="__text")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The kept columns and ``decoded``: the bytes of the ids (null: empty)."""
+    """The kept columns and ``decoded``: the bytes of the ids (null: empty).
+
+    Read in slices of bounded size; ids that are kept are sent once.
+    """
+    sent = ids if ids in keep else "__ids"
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         v = vocabulary(path, pattern)
-        cols["decoded"] = [v.decode(np.frombuffer(x or b"", dtype="<u4").tolist()) for x in cols["__ids"]]
-        return cols
+        return cols | {"decoded": [v.decode(np.frombuffer(x or b"", dtype="<u4").tolist()) for x in cols[sent]]}
 
     schema = ", ".join(x for x in (common.fields(encoded, keep), "decoded binary") if x)
-    given = encoded.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{ids}`").alias("__ids"))
-    return common.map_batches(given, run, schema)
+    given = encoded.select(*[F.col(f"`{c}`") for c in keep], *([] if sent == ids else [F.col(f"`{ids}`").alias(sent)]))
+    return common.map_batches(given, run, schema, slices=sent)
