@@ -154,13 +154,27 @@ def _may_link(fp: str, other: str, chars: str, other_chars: str) -> Column:
     return (F.bit_count(F.col(fp).bitwiseXOR(F.col(other))) <= RADIUS) & (F.abs(F.col(chars) - F.col(other_chars)) <= F.least(most, F.lit(MOST_EDITS)))
 
 
+def _at_word_places(x: str, y: str) -> Column:
+    """Edits that turn one text into the other word by word, each changed word anew; null if they have unlike numbers of words.
+
+    Never less than the edit distance, and found in one pass over the texts.
+    """
+    a, b = F.split(x, " "), F.split(y, " ")
+    each = F.zip_with(a, b, lambda v, w: F.when(v == w, 0).otherwise(F.greatest(F.length(v), F.length(w))))
+    return F.when(F.size(a) == F.size(b), F.aggregate(each, F.lit(0), lambda n, m: n + m))
+
+
 def _within(x: str, y: str) -> Column:
-    """Whether the edit distance is at most ``__most``: narrow bands first, as most pairs are a few edits apart."""
+    """Whether the edit distance is at most ``__most``.
+
+    Long texts with a few changed words are told by their words; else narrow
+    bands first, as most pairs are a few edits apart.
+    """
 
     def at_most(limit: str) -> Column:
         return F.expr(f"levenshtein({x}, {y}, {limit}) >= 0")
 
-    found = at_most("least(16, __most)")
+    found = F.when(F.coalesce(_at_word_places(x, y) <= F.col("__most"), F.lit(False)), True).otherwise(at_most("least(16, __most)"))
     for low, high in ((16, 64), (64, 256), (256, MOST_EDITS)):
         found = F.when(found, True).when(F.col("__most") > low, at_most(f"least({high}, __most)")).otherwise(False)
     return found
