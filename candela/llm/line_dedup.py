@@ -31,7 +31,9 @@ share one fate. Null ids come after all others; null texts have no lines.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,12 +47,17 @@ LANES = BITS // LANE
 RADIUS = 3
 SIMILARITY, MOST_EDITS = 0.9, STRETCH * PIECE // 10
 STRIDE = 1 << 31
-WHITE = r"[\x20\t\x0B\f\r]"
+#: Words of the other text among which a word is looked for, besides those that wait.
+AHEAD = 2
+SIGNS = (" ", "\t", "\x0b", "\f", "\r")
+WHITE, WORD = r"[\x20\t\x0B\f\r]", rf"[^\x20\t\x0B\f\r]{{{PIECE}}}"
 
 
 def stretches(line: Column) -> Column:
     """The units of a line: itself, or its stretches if it is long. Put together they are the line."""
-    pieces = F.split(line, rf"(?<={WHITE})|(?<=\G.{{{PIECE}}})")
+    ends = rf"(?<={WHITE})"
+    # where no word is as long as a piece, all pieces end behind white space
+    pieces = F.when(line.rlike(WORD), F.split(line, rf"{ends}|(?<=\G.{{{PIECE}}})")).otherwise(F.split(line, ends))
 
     def cut(p: Column) -> Column:
         at = F.sequence(F.lit(0), F.floor((F.size(p) - 1) / STRETCH).cast("int"))
@@ -59,24 +66,35 @@ def stretches(line: Column) -> Column:
         )
 
     # split once, not for every stretch; a short line has no more words than a counter can hold
-    return F.when(F.length(line) <= 2 * STRETCH, F.array(line)).otherwise(F.element_at(F.transform(F.array(pieces), cut), 1))
+    return F.when(is_short(line), F.array(line)).otherwise(F.element_at(F.transform(F.array(pieces), cut), 1))
+
+
+def is_short(line: Column) -> Column:
+    """Whether a line is one unit, told without cutting it: a piece ends behind a white-space sign or is ``PIECE`` code points."""
+    rest = line
+    for sign in SIGNS:
+        rest = F.replace(rest, F.lit(sign), F.lit(""))
+    most = F.length(line) - F.length(rest) + F.floor(F.length(line) / PIECE) + 1
+    return (F.length(line) <= 2 * STRETCH) | (most <= STRETCH)
 
 
 def normal(s: Column) -> Column:
     """What is compared of a unit."""
-    return F.lower(F.trim(F.when(s.rlike(r"[\t\x0B\f\r]|\x20\x20"), F.regexp_replace(s, f"{WHITE}+", " ")).otherwise(s)))
+    other = reduce(or_, [F.contains(s, F.lit(x)) for x in ("  ", *SIGNS[1:])])
+    return F.lower(F.trim(F.when(other, F.regexp_replace(s, f"{WHITE}+", " ")).otherwise(s)))
 
 
 def units(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """Rows (doc_id, text_key, unit, s): the units that have text, as they are compared; unit is line * 2^31 + stretch.
 
     What is computed of a row stands in a step before its parts become rows,
-    else it would be computed again for every part.
+    else it would be computed again for every part. ``_outer``: a plain
+    explode first filters by the size of the array, and computes it again for that.
     """
     keyed = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(f"`{text}`").alias("text_key"), F.split(F.col(f"`{text}`"), "\n").alias("lines"))
-    lines = keyed.select("doc_id", "text_key", F.posexplode("lines").alias("line", "s"))
-    parts = F.when(F.length("s") <= 2 * STRETCH, F.array(normal(F.col("s")))).otherwise(F.transform(stretches(F.col("s")), normal))
-    cut = lines.withColumn("parts", parts).select("doc_id", "text_key", "line", F.posexplode("parts").alias("stretch", "s"))
+    lines = keyed.select("doc_id", "text_key", F.posexplode_outer("lines").alias("line", "s"))
+    parts = F.when(is_short(F.col("s")), F.array(normal(F.col("s")))).otherwise(F.transform(stretches(F.col("s")), normal))
+    cut = lines.withColumn("parts", parts).select("doc_id", "text_key", "line", F.posexplode_outer("parts").alias("stretch", "s"))
     unit = (F.col("line") * F.lit(STRIDE) + F.col("stretch")).alias("unit")
     return cut.where("s != ''").select("doc_id", "text_key", unit, "s")
 
@@ -87,7 +105,7 @@ def fingerprinted(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     own = units(docs, text, doc_id).select(
         "doc_id", "text_key", "unit", F.unhex(F.md5(F.col("s").cast("binary"))).alias("key"), F.length("s").alias("chars"), hashes.alias("hashes")
     )
-    word = own.select("doc_id", "text_key", "unit", "key", "chars", F.explode("hashes").alias("h"))
+    word = own.select("doc_id", "text_key", "unit", "key", "chars", F.explode_outer("hashes").alias("h"))
     mask = sum(1 << (LANE * k) for k in range(LANES))
     counted = word.groupBy("doc_id", "text_key", "unit", "key", "chars").agg(
         F.count("*").alias("n"),
@@ -164,20 +182,56 @@ def _at_word_places(x: str, y: str) -> Column:
     return F.when(F.size(a) == F.size(b), F.aggregate(each, F.lit(0), lambda n, m: n + m))
 
 
+def _in_step(x: str, y: str) -> Column:
+    """Edits of one way to turn one text into the other, found in one pass over the words: never less than the edit distance.
+
+    Each word of ``y`` is looked for among the next few of ``x``; between two
+    that are found, what ``x`` has becomes what ``y`` has, at most the longer
+    of both in edits. A word counts with the space behind it.
+    """
+
+    def chars(words: Column) -> Column:
+        return F.when(F.size(words) > 0, F.length(F.array_join(words, " ")) + 1).otherwise(0)
+
+    def state(at: Column, new: Column, waiting: Column, edits: Column) -> Column:
+        return F.struct(at.alias("at"), new.alias("new"), waiting.alias("waiting"), edits.alias("edits"))
+
+    def walk(words: Column) -> Column:
+        def look(s: Column, w: Column) -> Column:
+            def go(k: Column) -> Column:
+                left_out = chars(F.slice(words, s["at"] + 1, k - 1))
+                found = state(s["at"] + k, F.lit(0), F.lit(0), s["edits"] + F.greatest(s["waiting"], left_out))
+                return F.when(k > 0, found).otherwise(state(s["at"], s["new"] + 1, s["waiting"] + F.length(w) + 1, s["edits"]))
+
+            # a lambda of its own, so that the place is looked up once
+            near = F.array_position(F.slice(words, s["at"] + 1, s["new"] + AHEAD), w).cast("int")
+            return F.element_at(F.transform(F.array(near), go), 1)
+
+        def step(s: Column, w: Column) -> Column:
+            next_one = (s["new"] == 0) & (F.get(words, s["at"]) == w)
+            return F.when(next_one, state(s["at"] + 1, F.lit(0), F.lit(0), s["edits"])).otherwise(look(s, w))
+
+        def total(s: Column) -> Column:
+            return s["edits"] + F.greatest(s["waiting"], chars(F.slice(words, s["at"] + 1, F.size(words))))
+
+        return F.aggregate(F.split(y, " "), state(*[F.lit(0)] * 4), step, total)
+
+    return F.element_at(F.transform(F.array(F.split(x, " ")), walk), 1)
+
+
 def _within(x: str, y: str) -> Column:
     """Whether the edit distance is at most ``__most``.
 
-    Long texts with a few changed words are told by their words; else narrow
-    bands first, as most pairs are a few edits apart.
+    Most pairs are told by their words; only what these bounds leave open
+    needs the distance itself, whose time grows with the square of the length
+    however few edits are asked for.
     """
 
-    def at_most(limit: str) -> Column:
-        return F.expr(f"levenshtein({x}, {y}, {limit}) >= 0")
+    def told(bound: Column) -> Column:
+        return F.coalesce(bound <= F.col("__most"), F.lit(False))
 
-    found = F.when(F.coalesce(_at_word_places(x, y) <= F.col("__most"), F.lit(False)), True).otherwise(at_most("least(16, __most)"))
-    for low, high in ((16, 64), (64, 256), (256, MOST_EDITS)):
-        found = F.when(found, True).when(F.col("__most") > low, at_most(f"least({high}, __most)")).otherwise(False)
-    return found
+    exact = F.expr(f"levenshtein({x}, {y}, __most) >= 0")
+    return F.when(told(_at_word_places(x, y)), True).when(told(_in_step(x, y)), True).when(told(_in_step(y, x)), True).otherwise(exact)
 
 
 def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -203,11 +257,14 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     keys = [F.xxhash64(F.lit(t), k) for t, k in enumerate(block_keys(F.col("fp"), distinct.count()))]
     bucket = Window.partitionBy("k").orderBy("id")
     whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = [f(c).over(whole).alias(f"{n}_{c}") for n, f, cs in (("lead", F.first, ("id", "fp", "chars")), ("last", F.last, ("fp", "chars"))) for c in cs]
+    # two that share a key by chance are told here and not written; larger buckets go on whole
+    may = (F.col("n") > 2) | ((F.col("n") == 2) & _may_link("lead_fp", "last_fp", "lead_chars", "last_chars"))
     buckets = common.stored(
         distinct.select("id", "fp", "chars", F.explode(F.array(*keys)).alias("k"))
-        .select("id", "fp", "chars", "k", F.count("*").over(whole).alias("n"), *[F.first(c).over(whole).alias(f"lead_{c}") for c in ("id", "fp", "chars")])
-        .where("n > 1")
-        .drop("n")
+        .select("id", "fp", "chars", "k", F.count("*").over(whole).alias("n"), *ends)
+        .where(may)
+        .drop("n", "last_fp", "last_chars")
     )
     stars = buckets.where((F.col("id") != F.col("lead_id")) & _may_link("fp", "lead_fp", "chars", "lead_chars"))
     # of the first ones of all its buckets one is enough: what it does not link is compared below
@@ -224,7 +281,8 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     more = verified(rest, distinct, docs, text, doc_id)
     linked = common.components(edges.unionByName(more))
 
-    rooted = distinct.join(linked.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    # a unit without a link that occurs once is in no group
+    rooted = distinct.join(linked.withColumnRenamed("node", "id"), "id", "left").where(F.col("root").isNotNull() | F.col("again")).withColumn("root", F.coalesce("root", "id"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "unit")
     heads = (
         rooted.groupBy("root")
