@@ -30,6 +30,7 @@ after all others; null texts have no paragraphs.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -62,16 +63,6 @@ FACTOR = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) +
 SHIFT = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 
 
-class Hashes(dict):
-    """Word to 64-bit hash, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
 def mixed_runs(h: np.ndarray, length: int) -> np.ndarray:
     """A hash of each run of ``length`` neighbouring hashes."""
     n = max(0, len(h) - length + 1)
@@ -109,18 +100,14 @@ def places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at[::2], at[1::2]
 
 
-def paragraphs(text: str, known: Hashes) -> Iterator[tuple[int, int, int, list[bytes], np.ndarray]]:
-    """(unit, start, end, words, shingles) of the paragraphs; code points, end exclusive."""
-    data = text.encode()
+def cut_words(data: bytes) -> tuple[list[bytes], np.ndarray, list[int]]:
+    """(words, shingles, edges) of a UTF-8 text: a paragraph has the words from one edge to the next."""
     words = data.lower().split()
     if len(words) <= REACH:
-        return
-    h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-    runs = mixed_runs(h, SHINGLE)
-    starts, ends = places(data)
-    edges = cuts(h, REACH)
-    for i, (a, b) in enumerate(zip(edges, edges[1:])):
-        yield i, int(starts[a]), int(ends[b - 1]), words[a:b], runs[a : b - SHINGLE + 1]
+        return words, np.empty(0, dtype=np.uint64), []
+    # hashing a word takes less than finding it among the many words of a corpus
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    return words, mixed_runs(h, SHINGLE), cuts(h, REACH)
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -145,14 +132,20 @@ def signed_paragraphs(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """Rows (doc_id, text_key, unit, start, end, n_words, key, b0 ...): all paragraphs with their band hashes."""
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        known, sets = Hashes(), []
+        sets: list[np.ndarray] = []
         out: dict[str, list] = {n: [] for n in ("doc_id", "text_key", "unit", "start", "end", "n_words", "key")}
         for doc, key, t in zip(cols["doc_id"], cols["text_key"], cols["__text"]):
-            for unit, start, end, words, runs in paragraphs(t, known):
-                sets.append(runs)
-                row = (doc, key, unit, start, end, len(words), xxhash.xxh3_128_digest(b" ".join(words)))
-                for values, v in zip(out.values(), row):
-                    values.append(v)
+            data = t.encode()
+            words, runs, edges = cut_words(data)
+            if not edges:
+                continue
+            starts, ends = places(data)
+            at, n = np.array(edges), len(edges) - 1
+            sets += [runs[a : b - SHINGLE + 1] for a, b in pairwise(edges)]
+            digests = [xxhash.xxh3_128_digest(b" ".join(words[a:b])) for a, b in pairwise(edges)]
+            rows = ([doc] * n, [key] * n, range(n), starts[at[:-1]].tolist(), ends[at[1:] - 1].tolist(), np.diff(at).tolist(), digests)
+            for values, v in zip(out.values(), rows):
+                values += v
         bands = signatures(sets).view(np.int64) if sets else np.empty((0, BANDS), dtype=np.int64)
         return out | {f"b{i}": bands[:, i] for i in range(BANDS)}
 
@@ -171,14 +164,12 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) ->
     ).select("__text", "wanted")
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        known = Hashes()
         ids, sets = [], []
         for t, wanted in zip(cols["__text"], cols["wanted"]):
-            of_unit = {w["unit"]: w["id"] for w in wanted}
-            for unit, _, _, _, runs in paragraphs(t, known):
-                if unit in of_unit:
-                    ids.append(of_unit[unit])
-                    sets.append(np.unique(runs).tobytes())
+            _, runs, edges = cut_words(t.encode())
+            for w in wanted:
+                ids.append(w["id"])
+                sets.append(np.unique(runs[edges[w["unit"]] : edges[w["unit"] + 1] - SHINGLE + 1]).tobytes())
         return {"id": ids, "shingles": sets}
 
     # a document that is there twice gives its paragraphs twice
