@@ -15,7 +15,9 @@ that have any text, whatever their length.
    are cut into m blocks; fingerprints within ``RADIUS`` bits agree on at
    least m - RADIUS of them, so joining on every choice of that many blocks
    finds every pair. m only says how selective a key is; it grows with the
-   number of units, and any m gives the same pairs.
+   number of units, and any m gives the same pairs. A row of a bucket holds
+   every bit once: those of its choice in the key, the others beside the
+   unit's length in one more number.
 3. Links: within the radius, and at most a tenth of the longer unit's code
    points apart in edits; ``MOST_EDITS`` is the tenth of the longest unit.
 4. Groups: connected components. Every unit is first compared with the first
@@ -49,6 +51,10 @@ SIMILARITY, MOST_EDITS = 0.9, STRETCH * PIECE // 10
 STRIDE = 1 << 31
 #: Words of the other text among which a word is looked for, besides those that wait.
 AHEAD = 2
+#: Low bits that hold a unit's length beside its bits: a unit has at most ``STRETCH`` pieces, and lower case makes at most three signs of one.
+CHARS = 17
+#: A bucket of at most so many units is compared whole as it is read; of a larger one all go on.
+SMALL = 8
 SIGNS = (" ", "\t", "\x0b", "\f", "\r")
 WHITE, WORD = r"[\x20\t\x0B\f\r]", rf"[^\x20\t\x0B\f\r]{{{PIECE}}}"
 
@@ -136,40 +142,60 @@ def _majority(counters: Column, n: Column) -> Column:
 
 
 def block_keys(fp: Column, distinct: int) -> list[Column]:
-    """One key for every choice of blocks that a pair within the radius agrees on for one choice at least."""
+    """One key for every choice of blocks that a pair within the radius agrees on for one choice at least.
+
+    A struct (k, rest): ``k`` is the key, the choice and its bits; ``rest`` the other bits.
+    """
     m = next((m for m in range(RADIUS + 2, 9) if BITS * (m - RADIUS) / m >= max(1, distinct).bit_length() + 3), 9)
     edges = [BITS * i // m for i in range(m + 1)]
-    masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
-    return [fp.bitwiseAND(F.lit(sum(c))) for c in combinations(masks, m - RADIUS)]
+    blocks = [*zip(edges, edges[1:])]
+
+    def packed(some: list[tuple[int, int]], low: Column, at: int) -> Column:
+        """The bits of some blocks side by side, above ``low`` and its ``at`` bits."""
+        for a, b in some:
+            low, at = low.bitwiseOR(F.shiftleft(F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)), at)), at + b - a
+        return low
+
+    keys = []
+    for t, chosen in enumerate(combinations(blocks, m - RADIUS)):
+        others = [x for x in blocks if x not in chosen]
+        keys.append(F.struct(packed([*chosen], F.lit(t).cast("long"), 7).alias("k"), packed(others, F.lit(0).cast("long"), 0).alias("rest")))
+    return keys
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """Rows (id, s): lower-case text of distinct units, read where each occurs first."""
-    there = common.may_be_among(docs.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`")), doc_id, wanted, "doc_id").join(
-        wanted.select(F.col("doc_id").alias("__id")).distinct(), F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")), "left_semi"
-    )
-    place = wanted.select("id", F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("unit").alias("__unit"))
-    found = units(there, text, doc_id).join(
-        place, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")) & (F.col("unit") == F.col("__unit"))
+    """Rows (id, s): lower-case text of distinct units, read where each occurs first.
+
+    A document gets the list of its wanted units and gives up these alone.
+    """
+    place = F.struct("id", F.floor(F.col("unit") / STRIDE).cast("int").alias("line"), (F.col("unit") % STRIDE).cast("int").alias("stretch"))
+    lists = wanted.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_list(place).alias("places"))
+    some = common.may_be_among(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("s")), "doc_id", wanted, "doc_id")
+    both = some.withColumn("own", F.xxhash64("s")).join(lists, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("own") == F.col("__key")))
+    lines = both.select("places", F.split("s", "\n").alias("lines")).select(
+        F.explode_outer(F.transform("places", lambda p: F.struct(p["id"].alias("id"), F.get("lines", p["line"]).alias("s"), p["stretch"].alias("stretch")))).alias("p")
     )
-    return found.select("id", "s").dropDuplicates(["id"])
+    cut = lines.select("p.*").withColumn("s", F.when(is_short(F.col("s")), F.col("s")).otherwise(F.get(stretches(F.col("s")), F.col("stretch"))))
+    return cut.select("id", normal(F.col("s")).alias("s")).dropDuplicates(["id"])
 
 
-def verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """The pairs (a, b) whose units are similar enough by edit distance."""
+def verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
+    """The pairs (a, b) whose units are similar enough by edit distance, and the rows of ``distinct`` of all that were looked at."""
     pairs = common.stored(pairs.distinct())
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    s = common.stored(texts_of(docs, distinct.join(ids, "id", "left_semi"), text, doc_id))
+    ids = common.stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    asked = common.stored(common.may_be_among(distinct, "id", ids, "id").join(ids, "id", "left_semi"))
+    s = common.stored(texts_of(docs, asked, text, doc_id))
     both = pairs.join(s.select(F.col("id").alias("a"), F.col("s").alias("x")), "a").join(s.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
     most = F.least(F.floor(F.greatest(F.length("x"), F.length("y")) * (1 - SIMILARITY) + 1e-9), F.lit(MOST_EDITS)).cast("int")
     near = both.withColumn("__most", most).where(F.abs(F.length("x") - F.length("y")) <= F.col("__most"))
-    return common.stored(near.where(_within("x", "y")).select("a", "b"))
+    return common.stored(near.where(_within("x", "y")).select("a", "b")), asked
 
 
-def _may_link(fp: str, other: str, chars: str, other_chars: str) -> Column:
-    """Within the radius, and no further apart in length than their edits may be."""
+def _may_link(rest: Column, other: Column) -> Column:
+    """Of two rows of one bucket: within the radius, and no further apart in length than their edits may be."""
+    chars, other_chars = (c.bitwiseAND(F.lit((1 << CHARS) - 1)) for c in (rest, other))
     most = F.floor(F.greatest(chars, other_chars) * (1 - SIMILARITY) + 1e-9)
-    return (F.bit_count(F.col(fp).bitwiseXOR(F.col(other))) <= RADIUS) & (F.abs(F.col(chars) - F.col(other_chars)) <= F.least(most, F.lit(MOST_EDITS)))
+    return (F.bit_count(F.shiftrightunsigned(rest.bitwiseXOR(other), CHARS)) <= RADIUS) & (F.abs(chars - other_chars) <= F.least(most, F.lit(MOST_EDITS)))
 
 
 def _at_word_places(x: str, y: str) -> Column:
@@ -253,36 +279,40 @@ def groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
             F.monotonically_increasing_id().alias("id"), "key", "fp", "chars", "first.doc_id", "first.text_key", "first.unit", "again"
         )
     )
-    # one number says which blocks and what they hold; that two choices share one would only add pairs to test
-    keys = [F.xxhash64(F.lit(t), k) for t, k in enumerate(block_keys(F.col("fp"), distinct.count()))]
+    keys = F.explode(F.array(*block_keys(F.col("fp"), distinct.count())))
     bucket = Window.partitionBy("k").orderBy("id")
     whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = [f(c).over(whole).alias(f"{n}_{c}") for n, f, cs in (("lead", F.first, ("id", "fp", "chars")), ("last", F.last, ("fp", "chars"))) for c in cs]
-    # two that share a key by chance are told here and not written; larger buckets go on whole
-    may = (F.col("n") > 2) | ((F.col("n") == 2) & _may_link("lead_fp", "last_fp", "lead_chars", "last_chars"))
-    buckets = common.stored(
-        distinct.select("id", "fp", "chars", F.explode(F.array(*keys)).alias("k"))
-        .select("id", "fp", "chars", "k", F.count("*").over(whole).alias("n"), *ends)
-        .where(may)
-        .drop("n", "last_fp", "last_chars")
+    ends = [f(c).over(whole).alias(f"{n}_{c}") for n, f, c in (("lead", F.first, "id"), ("lead", F.first, "rest"), ("last", F.last, "rest"))]
+    # units that share a key by chance are told here and not written: pairs first, then small buckets; larger ones go on whole
+    shared = (
+        distinct.select("id", "chars", keys.alias("key"))
+        .select("id", "key.k", F.shiftleft("key.rest", CHARS).bitwiseOR(F.col("chars").cast("long")).alias("rest"))
+        .select("id", "k", "rest", F.count("*").over(whole).alias("n"), *ends)
+        .where((F.col("n") > 2) | ((F.col("n") == 2) & _may_link(F.col("lead_rest"), F.col("last_rest"))))
     )
-    stars = buckets.where((F.col("id") != F.col("lead_id")) & _may_link("fp", "lead_fp", "chars", "lead_chars"))
+    others = [f("rest", i).over(bucket) for i in range(1, SMALL) for f in (F.lag, F.lead)]
+    beside = shared.select("*", *[c.alias(f"o{i}") for i, c in enumerate(others)])
+    may = reduce(or_, [F.coalesce(_may_link(F.col("rest"), F.col(f"o{i}")), F.lit(False)) for i in range(len(others))])
+    buckets = common.stored(beside.where((F.col("n") > SMALL) | may).select("id", "k", "rest", "lead_id", "lead_rest"))
+    stars = buckets.where((F.col("id") != F.col("lead_id")) & _may_link(F.col("rest"), F.col("lead_rest")))
     # of the first ones of all its buckets one is enough: what it does not link is compared below
     one = stars.groupBy("id").agg(F.min("lead_id").alias("a")).select("a", F.col("id").alias("b"))
-    edges = verified(one, distinct, docs, text, doc_id)
+    edges, asked = verified(one, distinct, docs, text, doc_id)
     first = common.stored(common.components(edges))
 
-    named = buckets.select("id", "fp", "chars", "k").join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    a, b = (named.select("k", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "fp", "chars", "root")]) for s in "ab")
+    named = buckets.select("id", "k", "rest").join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    a, b = (named.select("k", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "rest", "root")]) for s in "ab")
     rest = a.join(b, "k").where(
-        (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b")) & _may_link("fp_a", "fp_b", "chars_a", "chars_b")
+        (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b")) & _may_link(F.col("rest_a"), F.col("rest_b"))
     )
     rest = rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct().join(one, ["a", "b"], "left_anti")
-    more = verified(rest, distinct, docs, text, doc_id)
-    linked = common.components(edges.unionByName(more))
+    more, also = verified(rest, distinct, docs, text, doc_id)
+    linked = common.stored(common.components(edges.unionByName(more)))
 
-    # a unit without a link that occurs once is in no group
-    rooted = distinct.join(linked.withColumnRenamed("node", "id"), "id", "left").where(F.col("root").isNotNull() | F.col("again")).withColumn("root", F.coalesce("root", "id"))
+    # a unit without a link that occurs once is in no group; one that is linked was looked at above
+    alone = distinct.where("again").join(linked.select(F.col("node").alias("id")), "id", "left_anti").withColumn("root", F.col("id"))
+    roots = linked.withColumnRenamed("node", "id")
+    rooted = common.stored(asked.unionByName(also).dropDuplicates(["id"]).join(roots, "id").unionByName(alone))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "unit")
     heads = (
         rooted.groupBy("root")
