@@ -50,8 +50,12 @@ def without_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encodes each text; the text itself gives way to its ids, a digest of them and of what they decode to."""
-    ids = bpe.encode(docs, *VOCABULARY, keep=("doc_id", "lang", "source"))
+    """Encodes each text; the text itself gives way to its ids, a digest of them and of what they decode to.
+
+    The ids are written in between: else every task would hold two Python
+    workers at once, each with the vocabulary and batches of its own.
+    """
+    ids = stored(bpe.encode(docs, *VOCABULARY, keep=("doc_id", "lang", "source")))
     back = bpe.decode(ids, *VOCABULARY, keep=("doc_id", "lang", "source", "ids"))
     return back.select(
         "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
